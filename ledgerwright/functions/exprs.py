@@ -1,4 +1,8 @@
-"""Column expressions."""
+"""Column and SQL expressions.
+
+Long column lists are built as SQL text and parsed in one call: a Python call
+per operator costs more than the query itself on small inputs.
+"""
 
 from __future__ import annotations
 
@@ -7,37 +11,42 @@ from pyspark.sql import functions as F
 
 from ledgerwright.schemas import MONEY, TOTAL
 
+ZERO = "CAST(0 AS DECIMAL(19,4))"
+
 
-def money(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast(MONEY)
+def money(value: Column) -> Column:
+    return value.cast(MONEY)
 
 
-def total(value: Column | str) -> Column:
+def total(amount: str) -> Column:
     """Sum of a money expression at full width."""
-    return F.sum(value).cast(TOTAL)
+    return F.expr(f"CAST(sum({amount}) AS {TOTAL.simpleString()})")
 
 
-def total_or_zero(value: Column | str) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0)).cast(TOTAL)
+def total_or_zero(amount: str) -> Column:
+    return F.expr(f"CAST(coalesce(sum({amount}), 0) AS {TOTAL.simpleString()})")
 
 
 def rows() -> Column:
-    return F.count(F.lit(1))
+    return F.expr("count(1)")
+
+
+def stamp(now: str) -> str:
+    return f"CAST('{now}' AS TIMESTAMP_NTZ)"
 
 
-def stamp(now: str) -> Column:
-    return F.lit(now).cast("timestamp_ntz")
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def scramble(*keys: Column | int, salt: int = 0) -> Column:
+def scramble(*keys: str, salt: int = 0) -> str:
     """A repeatable number in 0..2147483646 from integer columns.
 
     Plain modular arithmetic, so any SQL engine gives the same value. Each
     step stays far below 2**63.
     """
-    state = F.lit(salt % 2147483647).cast("bigint")
+    state = f"CAST({salt} AS BIGINT)"
     for key in keys:
-        part = (key if isinstance(key, Column) else F.lit(key)).cast("bigint")
-        state = F.pmod(state * F.lit(48271) + F.pmod(part, F.lit(2147483647)) * F.lit(69621) + F.lit(12345),
-                       F.lit(2147483647))
-    return F.pmod(state * F.lit(16807), F.lit(2147483647))
+        state = f"(({state} * 48271 + pmod({key}, 2147483647) * 69621 + 12345) % 2147483647)"
+    return f"({state} * 16807 % 2147483647)"

@@ -17,47 +17,46 @@ def allocation_rule_targets(rules: DataFrame, centers: DataFrame, now: str) -> D
     equi joins, the second without the pairs of the first, so neither side has
     to fit into memory; a target that matches nothing keeps one row.
     """
-    targets = elements(rules.where("IsActive"), "TargetSpecification").select(
+    targets = elements(rules.where("IsActive"), "TargetSpecification").selectExpr(
         "AllocationRuleID",
         "RuleCode",
         "RuleName",
         "RuleType",
         "AllocationMethod",
         "ExecutionSequence",
-        field("CostCenterID", "bigint").alias("TargetCostCenterID"),
-        field("CostCenterCode", "string").alias("TargetCostCenterCode"),
-        field("AllocationPercentage", "decimal(8,6)").alias("TargetAllocationPct"),
-        field("Priority", "int").alias("TargetPriority"),
-        field("AccountFilter", "string").alias("AccountFilter"),
-        field("ExcludePattern", "string").alias("ExcludePattern"),
+        field("CostCenterID", "bigint", "TargetCostCenterID"),
+        field("CostCenterCode", "string", "TargetCostCenterCode"),
+        field("AllocationPercentage", "decimal(8,6)", "TargetAllocationPct"),
+        field("Priority", "int", "TargetPriority"),
+        field("AccountFilter", "string"),
+        field("ExcludePattern", "string"),
         # a JSON null is a value here: it counts as conditions, but has no text
-        F.expr("variant_get(value, '$.Conditions') IS NOT NULL").alias("HasConditions"),
-        field("Conditions", "string").alias("ConditionsJson"),
+        "variant_get(value, '$.Conditions') IS NOT NULL AS HasConditions",
+        field("Conditions", "string", "ConditionsJson"),
         "EffectiveFromDate",
         "EffectiveToDate",
-        F.col("IsActive").alias("RuleIsActive"),
+        "IsActive AS RuleIsActive",
     )
-    known = centers.select(
-        F.col("CostCenterID").alias("found_id"),
-        F.col("CostCenterCode").alias("found_code"),
-        F.col("CostCenterName").alias("TargetCostCenterName"),
-        F.col("ParentCostCenterID").alias("TargetParentCostCenterID"),
-        F.col("IsActive").alias("TargetIsActive"),
+    known = centers.selectExpr(
+        "CostCenterID AS found_id",
+        "CostCenterCode AS found_code",
+        "CostCenterName AS TargetCostCenterName",
+        "ParentCostCenterID AS TargetParentCostCenterID",
+        "IsActive AS TargetIsActive",
     )
-    same_id = F.col("TargetCostCenterID") == F.col("found_id")
-    same_code = F.col("TargetCostCenterCode") == F.col("found_code")
-    by_id = targets.join(known, same_id, "left")
+    by_id = targets.join(known, F.expr("TargetCostCenterID = found_id"), "left")
     by_code = targets.join(
-        known, same_code & ~F.coalesce(F.col("TargetCostCenterID") == F.col("found_id"), F.lit(False))
+        known,
+        F.expr("TargetCostCenterCode = found_code AND (TargetCostCenterID IS NULL OR TargetCostCenterID <> found_id)"),
     )
-    codes = known.select(F.col("found_code").alias("TargetCostCenterCode"))
-    unmatched = by_id.where(F.col("found_id").isNull()).join(codes, "TargetCostCenterCode", "left_anti")
+    codes = known.selectExpr("found_code AS TargetCostCenterCode")
+    unmatched = by_id.where("found_id IS NULL").join(codes, "TargetCostCenterCode", "left_anti")
     return (
-        by_id.where(F.col("found_id").isNotNull())
+        by_id.where("found_id IS NOT NULL")
         .unionByName(by_code)
         .unionByName(unmatched)
         .drop("found_id", "found_code")
-        .withColumn("ViewGeneratedDateTime", stamp(now))
+        .withColumn("ViewGeneratedDateTime", F.expr(stamp(now)))
     )
 
 
@@ -71,19 +70,13 @@ def allocation_factor(requests: DataFrame, ledger: DataFrame, centers: DataFrame
     spread = ledger.groupBy("BudgetHeaderID", "FiscalPeriodID").agg(
         F.count_distinct("CostCenterID").alias("spread")
     )
-    weights = centers.select(
-        F.col("CostCenterID").alias("TargetCostCenterID"), F.col("AllocationWeight").alias("weight")
-    )
-    one = F.lit(1).cast(RATE)
-    basis = F.col("AllocationBasis")
-    share = F.try_divide(one, F.col("spread").cast("decimal(19,0)"))
-    factor = (
-        F.when(basis == "EQUAL", share.cast(RATE))
-        .when(basis == "HEADCOUNT", F.coalesce(F.col("weight").cast(RATE), one))
-        .otherwise(one)
-    )
+    weights = centers.selectExpr("CostCenterID AS TargetCostCenterID", "AllocationWeight AS weight")
+    rate = RATE.simpleString()
+    factor = f"""CAST(CASE AllocationBasis
+        WHEN 'EQUAL' THEN CAST(try_divide(CAST(1 AS {rate}), CAST(spread AS DECIMAL(19,0))) AS {rate})
+        WHEN 'HEADCOUNT' THEN coalesce(weight, 1) ELSE 1 END AS {rate}) AS AllocationFactor"""
     return (
         requests.join(spread, ["BudgetHeaderID", "FiscalPeriodID"], "left")
         .join(weights, "TargetCostCenterID", "left")
-        .select(*requests.columns, factor.alias("AllocationFactor"))
+        .selectExpr(*requests.columns, factor)
     )

@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwright.functions.exprs import rows, total
-from ledgerwright.schemas import TABLES, TOTAL, Table
+from ledgerwright.functions.exprs import quoted, rows, total
+from ledgerwright.schemas import TABLES, Table
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -23,8 +23,8 @@ def _present(tables: Mapping[str, DataFrame]) -> list[tuple[Table, DataFrame]]:
     return [(TABLES[name], df) for name, df in tables.items()]
 
 
-def _key(columns) -> Column:
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
+def _key(columns) -> str:
+    return f"concat_ws('/', {', '.join(columns)})"
 
 
 def audit_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -36,17 +36,13 @@ def audit_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     for table, df in _present(tables):
         keys = {f"PK_{table.name}": table.primary_key} if table.primary_key else {}
         for name, columns in {**keys, **table.unique}.items():
-            filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
             parts.append(
-                df.where(filled)
+                df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
                 .groupBy(*columns)
                 .agg(rows().alias("copies"))
-                .where(F.col("copies") > 1)
-                .select(
-                    F.lit(table.name).alias("table_name"),
-                    F.lit(name).alias("constraint_name"),
-                    _key(columns).alias("key"),
-                    "copies",
+                .where("copies > 1")
+                .selectExpr(
+                    f"'{table.name}' AS table_name", f"'{name}' AS constraint_name", f"{_key(columns)} AS key", "copies"
                 )
             )
     return _union(parts)
@@ -61,26 +57,21 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     references, parents = [], {}
     for table, df in _present(tables):
-        pairs = [
-            F.struct(
-                F.lit(fk.name).alias("constraint_name"),
-                F.lit(fk.parent).alias("parent"),
-                F.col(fk.column).cast("decimal(38,0)").alias("key"),
-            )
-            for fk in table.foreign_keys
-            if fk.parent in tables
-        ]
-        if not pairs:
+        checked = [fk for fk in table.foreign_keys if fk.parent in tables]
+        if not checked:
             continue
-        for fk in table.foreign_keys:
-            if fk.parent in tables:
-                parents[fk.parent] = tables[fk.parent].select(
-                    F.lit(fk.parent).alias("parent"), F.col(fk.parent_key).cast("decimal(38,0)").alias("key")
-                )
+        for fk in checked:
+            parents[fk.parent] = tables[fk.parent].selectExpr(
+                f"'{fk.parent}' AS parent", f"CAST({fk.parent_key} AS DECIMAL(38,0)) AS key"
+            )
+        pairs = ", ".join(
+            f"struct('{fk.name}' AS constraint_name, '{fk.parent}' AS parent,"
+            f" CAST({fk.column} AS DECIMAL(38,0)) AS key)"
+            for fk in checked
+        )
         references.append(
-            df.select(F.explode(F.array(*pairs)).alias("r"))
-            .select("r.*")
-            .where(F.col("key").isNotNull())
+            df.selectExpr(f"inline(array({pairs}))")
+            .where("key IS NOT NULL")
             .groupBy("constraint_name", "parent", "key")
             .agg(rows().alias("orphan_rows"))
             .withColumn("table_name", F.lit(table.name))
@@ -88,23 +79,23 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     return (
         _union(references)
         .join(_union(list(parents.values())), ["parent", "key"], "left_anti")
-        .select("table_name", "constraint_name", F.col("key").cast("string").alias("key"), "orphan_rows")
+        .selectExpr("table_name", "constraint_name", "CAST(key AS STRING) AS key", "orphan_rows")
     )
 
 
-def _violations(df: DataFrame, table: Table, broken: dict[str, Column], label: str) -> DataFrame:
-    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in broken.items()]))
-    return df.select(
-        F.lit(table.name).alias("table_name"),
-        F.explode(names).alias(label),
-        _key(table.primary_key).alias("row_key"),
+def _violations(df: DataFrame, table: Table, broken: dict[str, str], label: str) -> DataFrame:
+    names = ", ".join(f"CASE WHEN {condition} THEN {quoted(name)} END" for name, condition in broken.items())
+    return df.selectExpr(
+        f"'{table.name}' AS table_name",
+        f"explode(array_compact(array({names}))) AS {label}",
+        f"{_key(table.primary_key)} AS row_key",
     )
 
 
 def audit_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows that break a check: (table_name, constraint_name, row_key). NULL passes."""
     return _union([
-        _violations(df, table, {n: ~F.expr(c) for n, c in table.checks.items()}, "constraint_name")
+        _violations(df, table, {n: f"NOT ({c})" for n, c in table.checks.items()}, "constraint_name")
         for table, df in _present(tables)
         if table.checks
     ])
@@ -114,16 +105,11 @@ def audit_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
     """NULLs per required column: (table_name, column_name, row_count, null_count)."""
     parts = []
     for table, df in _present(tables):
-        counted = df.agg(
-            rows().alias("row_count"),
-            *[F.count_if(F.col(c).isNull()).alias(c) for c in table.required],
-        )
-        columns = F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in table.required
-        ])
+        counted = df.selectExpr("count(1) AS row_count", *[f"count_if({c} IS NULL) AS {c}" for c in table.required])
+        columns = ", ".join(f"struct('{c}' AS column_name, {c} AS null_count)" for c in table.required)
         parts.append(
-            counted.select(F.lit(table.name).alias("table_name"), "row_count", F.explode(columns).alias("c")).select(
-                "table_name", "c.column_name", "row_count", "c.null_count"
+            counted.selectExpr("row_count", f"explode(array({columns})) AS c").selectExpr(
+                f"'{table.name}' AS table_name", "c.column_name", "row_count", "c.null_count"
             )
         )
     return _union(parts)
@@ -140,36 +126,33 @@ def audit_invariants(
     lines = _violations(
         ledger,
         TABLES["BudgetLineItem"],
-        {"final = original + adjusted": F.col("FinalAmount") != F.col("OriginalAmount") + F.col("AdjustedAmount")},
+        {"final = original + adjusted": "FinalAmount <> OriginalAmount + AdjustedAmount"},
         "invariant",
     )
     nets = _violations(
         journal_lines,
         TABLES["ConsolidationJournalLine"],
-        {"net = debit - credit": F.col("NetAmount") != F.col("DebitAmount") - F.col("CreditAmount")},
+        {"net = debit - credit": "NetAmount <> DebitAmount - CreditAmount"},
         "invariant",
     )
     sums = journal_lines.groupBy("JournalID").agg(
         total("DebitAmount").alias("debits"), total("CreditAmount").alias("credits")
     )
-    zero = F.lit(0).cast(TOTAL)
-    booked = journals.join(sums, "JournalID", "left").withColumns(
-        {"debits": F.coalesce("debits", zero), "credits": F.coalesce("credits", zero)}
-    )
+    booked = journals.join(sums, "JournalID", "left")
     balances = _violations(
         booked,
         TABLES["ConsolidationJournal"],
         {
-            "balanced = debits equal credits": F.col("IsBalanced") != (F.col("debits") == F.col("credits")),
-            "total debits = sum of lines": F.col("TotalDebits") != F.col("debits"),
-            "total credits = sum of lines": F.col("TotalCredits") != F.col("credits"),
+            "balanced = debits equal credits": "IsBalanced <> (coalesce(debits, 0) = coalesce(credits, 0))",
+            "total debits = sum of lines": "TotalDebits <> coalesce(debits, 0)",
+            "total credits = sum of lines": "TotalCredits <> coalesce(credits, 0)",
         },
         "invariant",
     )
     locks = _violations(
         headers,
         TABLES["BudgetHeader"],
-        {"locked = status is LOCKED": F.col("IsLocked") != (F.col("StatusCode") == "LOCKED")},
+        {"locked = status is LOCKED": "IsLocked <> (StatusCode = 'LOCKED')"},
         "invariant",
     )
     return _union([lines, nets, balances, locks])

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwright.functions.exprs import quoted
 from ledgerwright.functions.text import blank_comments, has_noqa, lines, noqa_codes, one_unit, stripped
 
 SNIPPET_LENGTH = 120
@@ -91,22 +92,21 @@ def rules_at(min_severity: str = "warning") -> list[Rule]:
     return [r for r in RULES if SEVERITIES.index(r.severity) <= SEVERITIES.index(min_severity)]
 
 
-def _hits(rules: list[Rule]) -> Column:
-    """The rules a scanned line meets, each with its first position."""
-    return F.filter(
-        F.array(*[
-            F.struct(
-                F.lit(r.code).alias("code"),
-                F.lit(r.severity).alias("severity"),
-                F.lit(r.message).alias("message"),
-                F.lit(r.remedy).alias("remedy"),
-                # word characters are those of Unicode
-                F.regexp_instr(F.col("scan"), F.lit(f"(?iU){r.pattern}")).alias("column"),
-            )
-            for r in rules
-        ]),
-        lambda hit: hit["column"] > 0,
+def _hits(rules: list[Rule]) -> str:
+    """The rules a scanned line meets, each with its first position.
+
+    Word characters are those of Unicode. The texts of a rule are looked up for
+    its hits only.
+    """
+    places = ", ".join(f"regexp_instr(scan, {quoted('(?iU)' + r.pattern)})" for r in rules)
+    texts = ", ".join(
+        f"struct({quoted(r.code)} AS code, {quoted(r.severity)} AS severity,"
+        f" {quoted(r.message)} AS message, {quoted(r.remedy)} AS remedy)"
+        for r in rules
     )
+    return f"""transform(
+        filter(transform(array({places}), (p, i) -> struct(p AS column, i AS rule)), h -> h.column > 0),
+        h -> struct(h.column AS column, array({texts})[h.rule] AS about))"""
 
 
 def sql_corpus_findings(corpus: DataFrame, min_severity: str = "warning") -> DataFrame:
@@ -123,22 +123,14 @@ def sql_corpus_findings(corpus: DataFrame, min_severity: str = "warning") -> Dat
         .where(stripped(F.col("scan")) != "")
         .select("path", (F.col("pos") + 1).alias("line"), "scan", F.col("raws")[F.col("pos")].alias("raw"))
     )
-    marked, codes = has_noqa(F.col("raw")), noqa_codes(F.col("raw"))
+    raw = F.col("raw")
     return (
-        scanned.withColumn("muted", F.when(marked, codes))
-        .where(F.col("muted").isNull() | (F.size("muted") > 0))
-        .select("path", "line", "raw", "muted", F.explode(_hits(rules_at(min_severity))).alias("hit"))
-        .where(~F.coalesce(F.array_contains("muted", F.col("hit.code")), F.lit(False)))
-        .select(
-            "path",
-            "line",
-            "hit.column",
-            "hit.code",
-            "hit.severity",
-            "hit.message",
-            "hit.remedy",
-            F.substring(stripped(F.col("raw")), 1, SNIPPET_LENGTH).alias("snippet"),
-        )
+        scanned.withColumn("muted", F.when(has_noqa(raw), noqa_codes(raw)))
+        .where("muted IS NULL OR size(muted) > 0")
+        .selectExpr("path", "line", "raw", "muted", f"explode({_hits(rules_at(min_severity))}) AS hit")
+        .where("NOT coalesce(array_contains(muted, hit.about.code), false)")
+        .withColumn("snippet", F.substring(stripped(raw), 1, SNIPPET_LENGTH))
+        .select("path", "line", "hit.column", "hit.about.*", "snippet")
     )
 
 
@@ -151,15 +143,12 @@ def sorted_findings(findings: DataFrame) -> DataFrame:
 def sql_corpus_tally(findings: DataFrame) -> DataFrame:
     """Findings per severity, distinct files, and the summary text: one row."""
     per_file = findings.groupBy("path").agg(
-        *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES]
-    )
-    sums = per_file.agg(
-        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SEVERITIES], F.count("path").alias("files")
+        *[F.expr(f"count_if(severity = '{s}')").alias(s) for s in SEVERITIES]
     )
-    parts = F.concat_ws(", ", *[
-        F.when(F.col(s) > 0, F.concat(F.col(s).cast("string"), F.lit(f" {s}"))) for s in SEVERITIES
-    ])
-    summary = F.when(F.col("files") == 0, "No dialect issues found.").otherwise(
-        F.concat(parts, F.lit(" across "), F.col("files").cast("string"), F.lit(" file(s)."))
+    sums = per_file.selectExpr(*[f"coalesce(sum({s}), 0L) AS {s}" for s in SEVERITIES], "count(path) AS files")
+    parts = ", ".join(f"CASE WHEN {s} > 0 THEN concat({s}, ' {s}') END" for s in SEVERITIES)
+    return sums.selectExpr(
+        "*",
+        f"""CASE WHEN files = 0 THEN 'No dialect issues found.'
+            ELSE concat(concat_ws(', ', {parts}), ' across ', files, ' file(s).') END AS summary""",
     )
-    return sums.withColumn("summary", summary)

@@ -7,13 +7,10 @@ number of lines asked for. Draws are repeatable arithmetic on the keys.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerwright.functions.exprs import money, rows, scramble
+from ledgerwright.functions.exprs import ZERO, rows, scramble
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.schemas import NATURAL_KEY
 
@@ -26,22 +23,25 @@ JOURNAL_MONTHS = (1, 3, 6, 9, 12)
 LEDGER_LINES = 250
 JOURNAL_LINES = 100
 
-_WIDE = T.DecimalType(38, 0)
+_WIDE = "DECIMAL(38,0)"
 
 
-def uniform(low: int, high: int, draw: Column) -> Column:
+def uniform(low: int, high: int, draw: str) -> str:
     """An amount in whole cents between ``low`` and ``high``, both included."""
-    cents = F.pmod(draw, F.lit((high - low) * 100 + 1)) + F.lit(low * 100)
-    return (cents.cast(T.DecimalType(19, 0)) / F.lit(Decimal(100))).cast(T.DecimalType(19, 2))
+    return f"CAST(CAST({draw} % {(high - low) * 100 + 1} + {low * 100} AS DECIMAL(17,0)) * 0.01BD AS DECIMAL(19,2))"
 
 
 def _indexed(df: DataFrame, key: str, index: str) -> DataFrame:
     """Adds a dense index from 0 in key order."""
-    return number_rows(df, [], [key], "_n").withColumn(index, F.col("_n") - 1).drop("_n")
+    return number_rows(df, [], [key], "_n").selectExpr(*df.columns, f"_n - 1 AS {index}")
+
 
+def _counted(df: DataFrame) -> Column:
+    return df.agg(rows().alias("n")).scalar()
 
-def _quotient(value: Column, by: Column) -> Column:
-    return ((value - F.pmod(value, by)) / by).cast(_WIDE)
+
+def _quotient(value: str, by: str) -> str:
+    return f"CAST(({value} - {value} % {by}) / {by} AS {_WIDE})"
 
 
 def _drawn_cells(owners: DataFrame, owner: str, lines: int, salt: int) -> DataFrame:
@@ -50,46 +50,41 @@ def _drawn_cells(owners: DataFrame, owner: str, lines: int, salt: int) -> DataFr
     The cells are cut into as many equal strata as lines and one cell is drawn
     from each; a grid with fewer cells gives every cell once.
     """
-    size, wanted = F.col("size"), F.col("wanted")
-    spread = (
-        owners.withColumn("wanted", F.least(size, F.lit(lines).cast(_WIDE)))
-        .where(wanted > 0)
-        .withColumn("draw", F.explode(F.sequence(F.lit(0), wanted.cast("int") - 1)))
+    return (
+        owners.selectExpr("*", f"least(size, CAST({lines} AS {_WIDE})) AS wanted")
+        .where("wanted > 0")
+        .selectExpr("*", "explode(sequence(0, CAST(wanted AS INT) - 1)) AS draw")
+        .selectExpr("*", f"CAST(draw * size AS {_WIDE}) AS _from", f"CAST((draw + 1) * size AS {_WIDE}) AS _to")
+        .selectExpr("*", f"{_quotient('_from', 'wanted')} AS _low", f"{_quotient('_to', 'wanted')} AS _high")
+        .selectExpr(
+            *owners.columns,
+            f"CAST(_low + {scramble(owner, 'draw', salt=salt)} % CAST(_high - _low AS {_WIDE}) AS {_WIDE}) AS cell",
+        )
     )
-    draw = F.col("draw").cast(_WIDE)
-    low = _quotient((draw * size).cast(_WIDE), wanted)
-    high = _quotient(((draw + F.lit(1)) * size).cast(_WIDE), wanted)
-    jitter = F.pmod(scramble(F.col(owner), F.col("draw"), salt=salt).cast(_WIDE), (high - low).cast(_WIDE))
-    return spread.withColumn("cell", (low + jitter).cast(_WIDE)).drop("wanted", "draw", "size")
 
 
-def _decoded(cells: DataFrame, sizes: dict[str, Column]) -> DataFrame:
+def _decoded(cells: DataFrame, sizes: dict[str, str]) -> DataFrame:
     """Splits ``cell`` into one index per dimension, the first varying fastest."""
-    rest = F.col("cell")
-    parts = {}
     for index, size in sizes.items():
-        parts[index] = F.pmod(rest, size.cast(_WIDE)).cast("bigint")
-        rest = _quotient(rest, size.cast(_WIDE))
-    return cells.select(*cells.columns, *[c.alias(n) for n, c in parts.items()]).drop("cell")
-
-
-def _counted(df: DataFrame) -> Column:
-    return df.agg(rows().alias("n")).scalar()
+        wide = f"CAST({size} AS {_WIDE})"
+        cells = cells.selectExpr(
+            *[c for c in cells.columns if c != "cell"],
+            f"CAST(cell % {wide} AS BIGINT) AS {index}",
+            f"{_quotient('cell', wide)} AS cell",
+        )
+    return cells.drop("cell")
 
 
-def _base_amount() -> Column:
-    draw = scramble(*[F.col(k) for k in NATURAL_KEY], salt=1)
-    amount = uniform(*OTHER_RANGE, draw)
-    for kind, (low, high) in AMOUNT_RANGES.items():
-        amount = F.when(F.col("AccountType") == kind, uniform(low, high, draw)).otherwise(amount)
-    return amount
+def _base_amount() -> str:
+    draw = scramble(*NATURAL_KEY, salt=1)
+    ranges = " ".join(f"WHEN '{kind}' THEN {uniform(*limits, draw)}" for kind, limits in AMOUNT_RANGES.items())
+    return f"CASE AccountType {ranges} ELSE {uniform(*OTHER_RANGE, draw)} END"
 
 
-def _up_to_a_tenth(salt: int) -> Column:
+def _up_to_a_tenth(salt: int) -> str:
     """The base amount times a draw from 0 to 0.1, in cents."""
-    draw = F.pmod(scramble(*[F.col(k) for k in NATURAL_KEY], salt=salt), F.lit(10001))
-    share = (draw.cast(T.DecimalType(9, 0)) / F.lit(Decimal(100000))).cast(T.DecimalType(9, 5))
-    return F.round(F.col("base") * share, 2).cast(T.DecimalType(19, 2))
+    share = f"CAST({scramble(*NATURAL_KEY, salt=salt)} % 10001 AS DECIMAL(5,0)) * 0.00001BD"
+    return f"CAST(round(base * {share}, 2) AS DECIMAL(19,2))"
 
 
 def budget_grid(
@@ -114,28 +109,26 @@ def budget_grid(
         .join(per_year, "FiscalYear")
         .withColumn("accounts", n_accounts)
         .withColumn("centers", n_centers)
-        .withColumn(
-            "size",
-            (F.col("accounts").cast(_WIDE) * F.col("centers").cast(_WIDE) * F.col("periods").cast(_WIDE)).cast(_WIDE),
+        .selectExpr(
+            "*",
+            f"CAST(CAST(accounts AS {_WIDE}) * CAST(centers AS {_WIDE}) * CAST(periods AS {_WIDE}) AS {_WIDE}) AS size",
         )
     )
     cells = _decoded(
-        _drawn_cells(owners, "BudgetHeaderID", lines, salt=11),
-        {"a": F.col("accounts"), "c": F.col("centers"), "p": F.col("periods")},
+        _drawn_cells(owners, "BudgetHeaderID", lines, salt=11), {"a": "accounts", "c": "centers", "p": "periods"}
     )
-    adjusted, in_final = _up_to_a_tenth(2), _up_to_a_tenth(3)
     return (
         cells.join(usable, "a")
         .join(active, "c")
         .join(months, ["FiscalYear", "p"])
-        .withColumn("base", _base_amount())
-        .select(
+        .selectExpr(*NATURAL_KEY, f"{_base_amount()} AS base")
+        .selectExpr(
             *NATURAL_KEY,
-            money("base").alias("OriginalAmount"),
-            money(adjusted).alias("AdjustedAmount"),
-            money(F.col("base") + in_final).alias("FinalAmount"),
-            F.lit("EVEN").alias("SpreadMethodCode"),
-            F.lit(False).alias("IsAllocated"),
+            "CAST(base AS DECIMAL(19,4)) AS OriginalAmount",
+            f"CAST({_up_to_a_tenth(2)} AS DECIMAL(19,4)) AS AdjustedAmount",
+            f"CAST(base + {_up_to_a_tenth(3)} AS DECIMAL(19,4)) AS FinalAmount",
+            "'EVEN' AS SpreadMethodCode",
+            "false AS IsAllocated",
         )
     )
 
@@ -146,17 +139,15 @@ def journal_headers_numbered(headers: DataFrame, periods: DataFrame) -> DataFram
         "FiscalYear", "FiscalPeriodID", "PeriodEndDate", "PeriodName"
     )
     planned = headers.select("BudgetHeaderID", "FiscalYear").join(closing, "FiscalYear")
-    numbered = number_rows(planned, ["FiscalYear"], ["BudgetHeaderID", "FiscalPeriodID"], "n")
-    return numbered.select(
-        F.concat(F.lit("CONS-"), F.col("FiscalYear").cast("string"), F.lit("-"), F.col("n").cast("string"))
-        .alias("JournalNumber"),
-        F.lit("ELIMINATION").alias("JournalType"),
+    return number_rows(planned, ["FiscalYear"], ["BudgetHeaderID", "FiscalPeriodID"], "n").selectExpr(
+        "concat('CONS-', FiscalYear, '-', n) AS JournalNumber",
+        "'ELIMINATION' AS JournalType",
         "BudgetHeaderID",
         "FiscalPeriodID",
-        F.col("PeriodEndDate").alias("PostingDate"),
-        F.concat(F.lit("Consolidation adjustments for "), F.col("PeriodName")).alias("Description"),
-        F.lit("DRAFT").alias("StatusCode"),
-        F.lit(False).alias("IsBalanced"),
+        "PeriodEndDate AS PostingDate",
+        "concat('Consolidation adjustments for ', PeriodName) AS Description",
+        "'DRAFT' AS StatusCode",
+        "false AS IsBalanced",
     )
 
 
@@ -177,30 +168,26 @@ def journal_lines_numbered(
         journals.select("JournalID")
         .withColumn("accounts", n_accounts)
         .withColumn("centers", n_centers)
-        .withColumn("size", (F.col("accounts").cast(_WIDE) * F.col("centers").cast(_WIDE)).cast(_WIDE))
-    )
-    cells = _decoded(
-        _drawn_cells(owners, "JournalID", lines, salt=12), {"a": F.col("accounts"), "c": F.col("centers")}
+        .selectExpr("*", f"CAST(CAST(accounts AS {_WIDE}) * CAST(centers AS {_WIDE}) AS {_WIDE}) AS size")
     )
-    key = [F.col("JournalID"), F.col("GLAccountID"), F.col("CostCenterID")]
+    cells = _decoded(_drawn_cells(owners, "JournalID", lines, salt=12), {"a": "accounts", "c": "centers"})
 
-    def amount(salt: int) -> Column:
-        return money(uniform(*JOURNAL_RANGE, scramble(*key, salt=salt)))
+    def amount(salt: int) -> str:
+        draw = scramble("JournalID", "GLAccountID", "CostCenterID", salt=salt)
+        return f"CAST({uniform(*JOURNAL_RANGE, draw)} AS DECIMAL(19,4))"
 
-    debit, nothing = F.col("NormalBalance") == "D", money(F.lit(0))
-    per_journal = Window.partitionBy("JournalID").orderBy("GLAccountID", "CostCenterID")
+    debit = "NormalBalance = 'D'"
     return (
         cells.join(postable, "a")
         .join(active, "c")
-        .select(
+        .selectExpr(
             "JournalID",
-            F.row_number().over(per_journal).alias("LineNumber"),
+            "row_number() OVER (PARTITION BY JournalID ORDER BY GLAccountID, CostCenterID) AS LineNumber",
             "GLAccountID",
             "CostCenterID",
-            F.when(debit, amount(4)).otherwise(nothing).alias("DebitAmount"),
-            F.when(~debit, amount(5)).otherwise(nothing).alias("CreditAmount"),
-            F.when(debit, amount(6)).otherwise(money(-amount(6))).alias("NetAmount"),
-            F.concat(F.lit("Consolidation: "), F.col("AccountName"), F.lit(" - "), F.col("CostCenterName"))
-            .alias("Description"),
+            f"CASE WHEN {debit} THEN {amount(4)} ELSE {ZERO} END AS DebitAmount",
+            f"CASE WHEN {debit} THEN {ZERO} ELSE {amount(5)} END AS CreditAmount",
+            f"CAST(CASE WHEN {debit} THEN {amount(6)} ELSE -{amount(6)} END AS DECIMAL(19,4)) AS NetAmount",
+            "concat('Consolidation: ', AccountName, ' - ', CostCenterName) AS Description",
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwright.functions.stored import materialize
@@ -11,9 +11,9 @@ PATH_LEVELS = 20  # a path has at most this many nodes
 DEPTH = 20  # a descendant is at most this far below its root
 
 
-def _codes(chain: Column) -> Column:
+def _codes(chain: str) -> str:
     """Root-to-node path of a node-first chain."""
-    return F.array_join(F.transform(F.reverse(chain), lambda n: n["code"]), "/")
+    return f"array_join(transform(reverse({chain}), n -> n.code), '/')"
 
 
 def ancestor_chains(centers: DataFrame, levels: int) -> DataFrame:
@@ -25,37 +25,28 @@ def ancestor_chains(centers: DataFrame, levels: int) -> DataFrame:
     takes five rounds at most, and a round is stored before the next one reads
     it twice. The remaining nodes join their parent's chain once.
     """
-    nodes = centers.select(
-        F.col("CostCenterID").alias("id"),
-        F.col("CostCenterCode").alias("code"),
-        F.col("ParentCostCenterID").alias("parent"),
-    )
-    own = F.array(F.struct("id", "code"))
-    parents = nodes.where(F.col("parent").isNotNull()).select(F.col("parent").alias("id")).distinct()
+    nodes = centers.selectExpr("CostCenterID AS id", "CostCenterCode AS code", "ParentCostCenterID AS next")
+    parents = nodes.where("next IS NOT NULL").selectExpr("next AS id").distinct()
     inner = materialize(
-        nodes.join(parents, "id", "left_semi").select("id", own.alias("chain"), F.col("parent").alias("next")),
+        nodes.join(parents, "id", "left_semi").selectExpr("id", "array(struct(id, code)) AS chain", "next"),
         "chains",
     )
     length = 1
     while length < levels:
-        above = inner.select(F.col("id").alias("next"), F.col("chain").alias("rest"), F.col("next").alias("after"))
+        above = inner.selectExpr("id AS next", "chain AS rest", "next AS after")
         inner = materialize(
-            inner.join(above, "next", "left").select(
-                "id",
-                F.when(F.col("rest").isNull(), F.col("chain"))
-                .otherwise(F.concat("chain", "rest"))
-                .alias("chain"),
-                F.col("after").alias("next"),
+            inner.join(above, "next", "left").selectExpr(
+                "id", "CASE WHEN rest IS NULL THEN chain ELSE concat(chain, rest) END AS chain", "after AS next"
             ),
             "chains",
         )
         length *= 2
-        if inner.where(F.col("next").isNotNull()).isEmpty():
+        if inner.where("next IS NOT NULL").isEmpty():
             break
-    above = inner.select(F.col("id").alias("ParentCostCenterID"), F.col("chain").alias("rest"))
-    itself = F.array(F.struct(F.col("CostCenterID").alias("id"), F.col("CostCenterCode").alias("code")))
-    chain = F.when(F.col("rest").isNull(), itself).otherwise(F.slice(F.concat(itself, F.col("rest")), 1, levels))
-    return centers.join(above, "ParentCostCenterID", "left").withColumn("chain", chain).drop("rest")
+    above = inner.selectExpr("id AS ParentCostCenterID", "chain AS rest")
+    itself = "array(struct(CostCenterID AS id, CostCenterCode AS code))"
+    chain = f"CASE WHEN rest IS NULL THEN {itself} ELSE slice(concat({itself}, rest), 1, {levels}) END AS chain"
+    return centers.join(above, "ParentCostCenterID", "left").selectExpr(*centers.columns, chain)
 
 
 def cost_center_path(centers: DataFrame, requested: DataFrame | None = None) -> DataFrame:
@@ -63,10 +54,8 @@ def cost_center_path(centers: DataFrame, requested: DataFrame | None = None) ->
 
     ``literal_path`` is the node's own code. An unknown id gives NULLs.
     """
-    paths = ancestor_chains(centers, PATH_LEVELS).select(
-        "CostCenterID",
-        _codes(F.col("chain")).alias("path"),
-        F.col("CostCenterCode").alias("literal_path"),
+    paths = ancestor_chains(centers, PATH_LEVELS).selectExpr(
+        "CostCenterID", f"{_codes('chain')} AS path", "CostCenterCode AS literal_path"
     )
     if requested is None:
         return paths
@@ -81,18 +70,18 @@ def cost_center_explode(centers: DataFrame, roots: DataFrame | None = None) -> D
     subtree off. A node yields one row per ancestor, 21 at most.
     """
     chains = ancestor_chains(centers.where("IsActive"), DEPTH + 1)
-    pairs = chains.withColumn("HierarchyLevel", F.explode(F.sequence(F.lit(0), F.size("chain") - 1))).select(
-        F.col("chain")[F.col("HierarchyLevel")]["id"].alias("RootCostCenterID"),
+    pairs = chains.withColumn("HierarchyLevel", F.expr("explode(sequence(0, size(chain) - 1))")).selectExpr(
+        "chain[HierarchyLevel].id AS RootCostCenterID",
         "CostCenterID",
         "CostCenterCode",
         "CostCenterName",
         "ParentCostCenterID",
         "HierarchyLevel",
-        _codes(F.slice("chain", F.lit(1), F.col("HierarchyLevel") + 1)).alias("HierarchyPath"),
+        f"{_codes('slice(chain, 1, HierarchyLevel + 1)')} AS HierarchyPath",
     )
     if roots is None:
         return pairs
-    wanted = roots.select(F.col("CostCenterID").alias("RootCostCenterID")).distinct()
+    wanted = roots.selectExpr("CostCenterID AS RootCostCenterID").distinct()
     return pairs.join(wanted, "RootCostCenterID", "left_semi")
 
 
@@ -106,18 +95,18 @@ def elements(df: DataFrame, json: str) -> DataFrame:
     return df.lateralJoin(spark.tvf.variant_explode(F.parse_json(F.col(json).outer())))
 
 
-def field(path: str, type_: str) -> Column:
-    return F.variant_get("value", f"$.{path}", type_)
+def field(name: str, type_: str, alias: str | None = None) -> str:
+    return f"variant_get(value, '$.{name}', '{type_}') AS {alias or name}"
 
 
 def hierarchy_nodes(payloads: DataFrame, json: str = "payload") -> DataFrame:
     """Hierarchy nodes of JSON arrays."""
-    return elements(payloads, json).select(
-        field("NodeID", "bigint").alias("NodeID"),
-        field("ParentNodeID", "bigint").alias("ParentNodeID"),
-        field("NodeLevel", "int").alias("NodeLevel"),
-        field("NodePath", "string").alias("NodePath"),
-        field("SortOrder", "int").alias("SortOrder"),
-        field("IsLeaf", "boolean").alias("IsLeaf"),
-        field("AggregationWeight", "decimal(8,6)").alias("AggregationWeight"),
+    return elements(payloads, json).selectExpr(
+        field("NodeID", "bigint"),
+        field("ParentNodeID", "bigint"),
+        field("NodeLevel", "int"),
+        field("NodePath", "string"),
+        field("SortOrder", "int"),
+        field("IsLeaf", "boolean"),
+        field("AggregationWeight", "decimal(8,6)"),
     )

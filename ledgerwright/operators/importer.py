@@ -6,13 +6,10 @@ A payload row names its target budget, so one run imports into many budgets.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwright.functions.exprs import money, rows, stamp
+from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.operators.hierarchy import elements, field
 from ledgerwright.schemas import BUDGET_LINE_ITEM, LONG, NATURAL_KEY, complete
@@ -34,27 +31,28 @@ KEYS = list(NATURAL_KEY)
 
 def import_payload_rows(payloads: DataFrame) -> DataFrame:
     """Typed rows of (payload_id, BudgetHeaderID, payload), numbered within a payload."""
-    return elements(payloads, "payload").select(
+    return elements(payloads, "payload").selectExpr(
         "payload_id",
         "BudgetHeaderID",
-        (F.col("pos") + 1).alias("row_id"),
-        field("account_number", "string").alias("account_number"),
-        field("cost_center_code", "string").alias("cost_center_code"),
-        field("fiscal_year", "int").alias("fiscal_year"),
-        field("fiscal_month", "int").alias("fiscal_month"),
-        field("original_amount", "decimal(19,4)").alias("original_amount"),
-        field("adjusted_amount", "decimal(19,4)").alias("adjusted_amount"),
-        field("spread_method_code", "string").alias("spread_method_code"),
-        field("notes", "string").alias("notes"),
+        "pos + 1 AS row_id",
+        field("account_number", "string"),
+        field("cost_center_code", "string"),
+        field("fiscal_year", "int"),
+        field("fiscal_month", "int"),
+        field("original_amount", "decimal(19,4)"),
+        field("adjusted_amount", "decimal(19,4)"),
+        field("spread_method_code", "string"),
+        field("notes", "string"),
     )
 
 
 def _unique(dimension: DataFrame, keys: dict[str, str], id_: str) -> DataFrame:
     """Key -> id, for the keys that occur once."""
     return (
-        dimension.groupBy(*[F.col(c).alias(k) for k, c in keys.items()])
+        dimension.selectExpr(*[f"{c} AS {k}" for k, c in keys.items()], id_)
+        .groupBy(*keys)
         .agg(F.min(id_).alias(id_), rows().alias("_n"))
-        .where(F.col("_n") == 1)
+        .where("_n = 1")
         .drop("_n")
     )
 
@@ -78,15 +76,15 @@ def _known_keys(resolved: DataFrame, ledger: DataFrame) -> DataFrame:
     Both sides are counted in one aggregation, so a key that fills a third of
     the import is reduced on the map side and never becomes one window.
     """
-    complete_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in KEYS])
-    incoming = resolved.where(complete_key).select(*KEYS, F.lit(1).alias("incoming"), F.lit(0).alias("booked"))
-    booked = ledger.select(*KEYS, F.lit(0).alias("incoming"), F.lit(1).alias("booked"))
+    complete_key = " AND ".join(f"{k} IS NOT NULL" for k in KEYS)
+    incoming = resolved.where(complete_key).selectExpr(*KEYS, "1 AS incoming", "0 AS booked")
+    booked = ledger.selectExpr(*KEYS, "0 AS incoming", "1 AS booked")
     return (
         incoming.unionByName(booked)
         .groupBy(*KEYS)
         .agg(F.sum("incoming").alias("copies"), F.max("booked").alias("exists"))
-        .where((F.col("copies") > 1) | ((F.col("copies") == 1) & (F.col("exists") == 1)))
-        .select(*KEYS, (F.col("copies") > 1).alias("_repeated"), (F.col("exists") == 1).alias("_exists"))
+        .where("copies > 1 OR (copies = 1 AND exists = 1)")
+        .selectExpr(*KEYS, "copies > 1 AS _repeated", "exists = 1 AS _exists")
     )
 
 
@@ -103,53 +101,47 @@ def import_validate(
     """
     if duplicate_handling not in DUPLICATE_HANDLING:
         raise ValueError("Duplicate handling must be REJECT or UPDATE")
-    amount_missing = F.col("original_amount").isNull() if validation_mode in STRICT_MODES else F.lit(False)
-    rejected = F.lit(duplicate_handling == "REJECT")
-    reason = (
-        F.when(F.col("GLAccountID").isNull(), UNKNOWN_ACCOUNT)
-        .when(F.col("CostCenterID").isNull(), UNKNOWN_COST_CENTER)
-        .when(F.col("FiscalPeriodID").isNull(), NO_PERIOD)
-        .when(amount_missing, MISSING_FIELDS)
-        .when(F.coalesce("_repeated", F.lit(False)), DUPLICATE_KEY)
-    )
+    missing = "original_amount IS NULL" if validation_mode in STRICT_MODES else "false"
+    reason = f"""CASE WHEN GLAccountID IS NULL THEN '{UNKNOWN_ACCOUNT}'
+        WHEN CostCenterID IS NULL THEN '{UNKNOWN_COST_CENTER}'
+        WHEN FiscalPeriodID IS NULL THEN '{NO_PERIOD}'
+        WHEN {missing} THEN '{MISSING_FIELDS}'
+        WHEN coalesce(_repeated, false) THEN '{DUPLICATE_KEY}' END AS _reason"""
+    error = "_reason"
+    if duplicate_handling == "REJECT":
+        error = f"CASE WHEN line_exists THEN '{LINE_EXISTS}' ELSE _reason END"
     return (
         resolved.join(_known_keys(resolved, ledger), KEYS, "left")
-        .withColumn("_reason", reason)
-        .withColumn("line_exists", F.col("_reason").isNull() & F.coalesce("_exists", F.lit(False)))
-        .withColumn(
-            "validation_errors",
-            F.when(F.col("line_exists") & rejected, LINE_EXISTS).otherwise(F.col("_reason")),
-        )
-        .withColumn("is_valid", F.col("validation_errors").isNull())
-        .select(*resolved.columns, "is_valid", "validation_errors", "line_exists")
+        .selectExpr(*resolved.columns, "_exists", reason)
+        .selectExpr(*resolved.columns, "_reason", "_reason IS NULL AND coalesce(_exists, false) AS line_exists")
+        .selectExpr(*resolved.columns, f"{error} AS validation_errors", "line_exists")
+        .selectExpr(*resolved.columns, "validation_errors IS NULL AS is_valid", "validation_errors", "line_exists")
     )
 
 
-def _amount(column: str = "original_amount") -> Column:
-    """The amount to write; NULL is an error, as the target column requires one."""
-    return F.coalesce(F.col(column), F.raise_error(F.lit(f"NULL {column} in a required column")).cast("decimal(19,4)"))
+#: The amounts to write; a missing original is an error, as its column requires one.
+_ORIGINAL = """coalesce(original_amount,
+    CAST(raise_error('NULL original_amount in a required column') AS DECIMAL(19,4)))"""
+_ADJUSTED = f"coalesce(adjusted_amount, {ZERO})"
 
 
 def import_inserts(
-    validated: DataFrame, batch_id: str, now: str, new_id: Callable[[], Column] | None = None, after: int = 0
+    validated: DataFrame, batch_id: str, now: str, new_id: str | None = None, after: int = 0
 ) -> DataFrame:
-    """New ledger lines. Ids come from ``new_id``, or count on from ``after``."""
-    fresh = validated.where(F.col("is_valid") & ~F.col("line_exists"))
+    """New ledger lines. Ids are the SQL expression ``new_id``, or count on from ``after``."""
+    fresh = validated.where("is_valid AND NOT line_exists")
     if new_id is None:
         fresh = number_rows(fresh, [], ["payload_id", "row_id"], "_number")
-        identity = F.lit(after) + F.col("_number")
-    else:
-        identity = new_id()
-    adjusted = F.coalesce("adjusted_amount", money(F.lit(0)))
-    lines = fresh.select(
-        identity.alias("BudgetLineItemID"),
+        new_id = f"{after} + _number"
+    lines = fresh.selectExpr(
+        f"{new_id} AS BudgetLineItemID",
         *KEYS,
-        _amount().alias("OriginalAmount"),
-        adjusted.alias("AdjustedAmount"),
-        money(_amount() + adjusted).alias("FinalAmount"),
-        F.col("spread_method_code").alias("SpreadMethodCode"),
-        F.lit(batch_id).alias("ImportBatchID"),
-        stamp(now).alias("LastModifiedDateTime"),
+        f"{_ORIGINAL} AS OriginalAmount",
+        f"{_ADJUSTED} AS AdjustedAmount",
+        f"CAST({_ORIGINAL} + {_ADJUSTED} AS DECIMAL(19,4)) AS FinalAmount",
+        "spread_method_code AS SpreadMethodCode",
+        f"{quoted(batch_id)} AS ImportBatchID",
+        f"{stamp(now)} AS LastModifiedDateTime",
     )
     return complete(lines, BUDGET_LINE_ITEM, now)
 
@@ -159,24 +151,23 @@ def import_updates(ledger: DataFrame, validated: DataFrame, batch_id: str, now:
 
     Valid keys occur once in the import, so no line is written twice.
     """
-    adjusted = F.coalesce("adjusted_amount", money(F.lit(0)))
-    changes = validated.where(F.col("is_valid") & F.col("line_exists")).select(
+    changes = validated.where("is_valid AND line_exists").selectExpr(
         *KEYS,
-        _amount().alias("_original"),
-        adjusted.alias("_adjusted"),
-        F.col("spread_method_code").alias("_spread"),
-        F.lit(True).alias("_changed"),
+        f"{_ORIGINAL} AS _original",
+        f"{_ADJUSTED} AS _adjusted",
+        "spread_method_code AS _spread",
+        "true AS _changed",
     )
     new_values = {
-        "OriginalAmount": F.col("_original"),
-        "AdjustedAmount": F.col("_adjusted"),
-        "FinalAmount": money(F.col("_original") + F.col("_adjusted")),
-        "SpreadMethodCode": F.coalesce("_spread", "SpreadMethodCode"),
-        "ImportBatchID": F.lit(batch_id),
+        "OriginalAmount": "_original",
+        "AdjustedAmount": "_adjusted",
+        "FinalAmount": "CAST(_original + _adjusted AS DECIMAL(19,4))",
+        "SpreadMethodCode": "coalesce(_spread, SpreadMethodCode)",
+        "ImportBatchID": quoted(batch_id),
         "LastModifiedDateTime": stamp(now),
     }
-    return ledger.join(changes, KEYS, "left").select(*[
-        F.when(F.col("_changed"), new_values[c]).otherwise(F.col(c)).alias(c) if c in new_values else F.col(c)
+    return ledger.join(changes, KEYS, "left").selectExpr(*[
+        f"CASE WHEN _changed THEN {new_values[c]} ELSE {c} END AS {c}" if c in new_values else c
         for c in ledger.columns
     ])
 
@@ -187,7 +178,7 @@ def import_apply(
     batch_id: str,
     now: str,
     duplicate_handling: str = "REJECT",
-    new_id: Callable[[], Column] | None = None,
+    new_id: str | None = None,
 ) -> DataFrame:
     """The ledger after the import: lines updated (UPDATE only), new lines added."""
     if duplicate_handling not in DUPLICATE_HANDLING:
@@ -210,45 +201,37 @@ def import_result(
     """
     counts = validated.groupBy("BudgetHeaderID").agg(
         rows().alias("total_rows_loaded"),
-        F.count_if(F.col("is_valid") & ~F.col("line_exists")).alias("rows_inserted"),
-        F.count_if(F.col("is_valid") & F.col("line_exists")).alias("rows_updated"),
+        F.expr("count_if(is_valid AND NOT line_exists)").alias("rows_inserted"),
+        F.expr("count_if(is_valid AND line_exists)").alias("rows_updated"),
     )
     order = ["payload_id", "row_id", "account_number", "cost_center_code", "validation_errors"]
     first = Window.partitionBy("BudgetHeaderID").orderBy(*order)
     listed = (
-        validated.where(~F.col("is_valid"))
+        validated.where("NOT is_valid")
         .select("BudgetHeaderID", *order)
         .withColumn("_rank", F.row_number().over(first))
-        .where(F.col("_rank") <= LISTED_REJECTIONS)
+        .where(f"_rank <= {LISTED_REJECTIONS}")
         .groupBy("BudgetHeaderID")
-        .agg(
-            F.array_sort(F.collect_list(F.struct(
-                "_rank", "payload_id", F.col("row_id").alias("row"), "account_number", "cost_center_code",
-                F.col("validation_errors").alias("error"),
-            ))).alias("ranked")
-        )
-        .select("BudgetHeaderID", F.transform("ranked", lambda r: r.dropFields("_rank")).alias("ranked"))
+        .agg(F.expr(f"array_sort(collect_list(struct(_rank, {', '.join(order)})))").alias("ranked"))
     )
-    imported = F.col("rows_inserted") + F.col("rows_updated")
-    none = F.array().cast(listed.schema["ranked"].dataType)
+    rejection = """named_struct('payload_id', r.payload_id, 'row', r.row_id, 'account_number', r.account_number,
+        'cost_center_code', r.cost_center_code, 'error', r.validation_errors)"""
     return (
         counts.join(listed, "BudgetHeaderID", "left")
-        .withColumn("rows_imported", imported)
-        .withColumn("rows_rejected", F.col("total_rows_loaded") - F.col("rows_imported"))
-        .select(
-            F.lit(batch_id).alias("import_batch_id"),
-            F.lit(source).alias("import_source"),
-            F.lit(duplicate_handling).alias("duplicate_handling"),
+        .selectExpr("*", "rows_inserted + rows_updated AS rows_imported")
+        .selectExpr("*", "total_rows_loaded - rows_imported AS rows_rejected")
+        .selectExpr(
+            f"{quoted(batch_id)} AS import_batch_id",
+            f"{quoted(source)} AS import_source",
+            f"{quoted(duplicate_handling)} AS duplicate_handling",
             "BudgetHeaderID",
             "total_rows_loaded",
             "rows_imported",
             "rows_inserted",
             "rows_updated",
             "rows_rejected",
-            F.to_json(F.coalesce("ranked", none)).alias("rejections"),
-            F.when(F.col("rows_rejected") == 0, "SUCCESS")
-            .when(F.col("rows_imported") == 0, "FAILED")
-            .otherwise("PARTIAL_SUCCESS")
-            .alias("status"),
+            f"coalesce(to_json(transform(ranked, r -> {rejection})), '[]') AS rejections",
+            """CASE WHEN rows_rejected = 0 THEN 'SUCCESS' WHEN rows_imported = 0 THEN 'FAILED'
+                ELSE 'PARTIAL_SUCCESS' END AS status""",
         )
     )

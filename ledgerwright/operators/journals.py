@@ -11,10 +11,10 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwright.functions.exprs import money, rows, stamp, total_or_zero
+from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp, total
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.schemas import CONSOLIDATION_JOURNAL, TOTAL, complete
 
@@ -33,33 +33,29 @@ def requested_headers(headers: DataFrame, ids: DataFrame) -> DataFrame:
     found = ids.select("BudgetHeaderID").distinct().join(
         headers.withColumn("_found", F.lit(True)), "BudgetHeaderID", "left"
     )
-    problem = F.when(F.col("BudgetHeaderID").isNull(), "Budget header ID is required").when(
-        F.col("_found").isNull(), "Budget header not found"
-    )
-    checked = F.when(problem.isNull(), F.col("BudgetHeaderID")).otherwise(F.raise_error(problem).cast("bigint"))
-    return found.withColumn("BudgetHeaderID", checked).drop("_found")
+    checked = """CASE WHEN BudgetHeaderID IS NULL THEN CAST(raise_error('Budget header ID is required') AS BIGINT)
+        WHEN _found IS NULL THEN CAST(raise_error('Budget header not found') AS BIGINT)
+        ELSE BudgetHeaderID END AS BudgetHeaderID"""
+    return found.selectExpr(*[checked if c == "BudgetHeaderID" else c for c in headers.columns])
 
 
-def _suffix(run: Run) -> Column:
+def _suffix(run: Run) -> str:
     """Eight hex digits, random per run and different for every budget of a run."""
-    start = int(run.id[:8], 16)
-    return F.lpad(F.lower(F.hex((F.col("BudgetHeaderID") + F.lit(start)) % F.lit(1 << 32))), 8, "0")
+    return f"lpad(lower(hex((BudgetHeaderID + {int(run.id[:8], 16)}) % 4294967296)), 8, '0')"
 
 
-def _journal(headers: DataFrame, run: Run, prefix: str, kind: str, description: Column) -> DataFrame:
-    number = F.concat(
-        F.lit(prefix), F.date_format(stamp(run.now), "yyyyMMddHHmmss"), F.lit("-"), _suffix(run)
-    )
-    journal = headers.select(
-        (F.lit(run.journal_base) + F.col("BudgetHeaderID")).alias("JournalID"),
-        number.alias("JournalNumber"),
-        F.lit(kind).alias("JournalType"),
+def _journal(headers: DataFrame, run: Run, prefix: str, kind: str, about: str) -> DataFrame:
+    number = f"concat('{prefix}', date_format({stamp(run.now)}, 'yyyyMMddHHmmss'), '-', {_suffix(run)})"
+    journal = headers.selectExpr(
+        f"{run.journal_base} + BudgetHeaderID AS JournalID",
+        f"{number} AS JournalNumber",
+        f"'{kind}' AS JournalType",
         "BudgetHeaderID",
-        F.col("StartPeriodID").alias("FiscalPeriodID"),
-        stamp(run.now).cast("date").alias("PostingDate"),
-        description.alias("Description"),
-        F.lit("DRAFT").alias("StatusCode"),
-        F.md5(F.concat(F.lit(run.id), number).cast("binary")).alias("AttachmentRowGuid"),
+        "StartPeriodID AS FiscalPeriodID",
+        f"CAST({stamp(run.now)} AS DATE) AS PostingDate",
+        f"concat({quoted(about)}, BudgetCode) AS Description",
+        "'DRAFT' AS StatusCode",
+        f"md5(CAST(concat('{run.id}', {number}) AS BINARY)) AS AttachmentRowGuid",
     )
     return complete(journal, CONSOLIDATION_JOURNAL, run.now)
 
@@ -69,21 +65,20 @@ def _lines(ledger: DataFrame, journal: DataFrame, run: Run) -> DataFrame:
     entries = ledger.select(
         "BudgetHeaderID", "BudgetLineItemID", "GLAccountID", "CostCenterID", "FinalAmount"
     ).join(journal.select("BudgetHeaderID", "JournalID"), "BudgetHeaderID")
-    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber").select(
+    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber").selectExpr(
         "JournalID",
-        F.col("LineNumber").cast("int").alias("LineNumber"),
+        "CAST(LineNumber AS INT) AS LineNumber",
         "GLAccountID",
         "CostCenterID",
-        F.col("FinalAmount").alias("DebitAmount"),
-        money(F.lit(0)).alias("CreditAmount"),
-        F.col("FinalAmount").alias("NetAmount"),
-        stamp(run.now).alias("CreatedDateTime"),
+        "FinalAmount AS DebitAmount",
+        f"{ZERO} AS CreditAmount",
+        "FinalAmount AS NetAmount",
+        f"{stamp(run.now)} AS CreatedDateTime",
     )
 
 
 def cost_allocation_journal(headers: DataFrame, run: Run) -> DataFrame:
-    about = F.concat(F.lit("Cost allocation for budget "), F.col("BudgetCode"))
-    return _journal(headers, run, "ALLOC-", "ALLOCATION", about)
+    return _journal(headers, run, "ALLOC-", "ALLOCATION", "Cost allocation for budget ")
 
 
 def cost_allocation_lines(ledger: DataFrame, journal: DataFrame, run: Run) -> DataFrame:
@@ -101,38 +96,33 @@ def cost_allocation_result(
     """One result per budget. Active rules are counted, not applied; a dry run
     writes no journal and allocates nothing."""
     active = rules.where("IsActive").agg(rows().alias("n")).scalar()
+    wide = TOTAL.simpleString()
     if dry_run:
-        base = headers.select("BudgetHeaderID", F.lit(0).cast(TOTAL).alias("total_allocated"))
-        journal = base.select(
-            "BudgetHeaderID", F.lit(None).cast("bigint").alias("journal_id"),
-            F.lit(None).cast("string").alias("journal_number"),
+        journal = headers.selectExpr(
+            "BudgetHeaderID", f"CAST(0 AS {wide}) AS total", "CAST(NULL AS BIGINT) AS JournalID",
+            "CAST(NULL AS STRING) AS JournalNumber",
         )
     else:
-        sums = ledger.groupBy("BudgetHeaderID").agg(total_or_zero("FinalAmount").alias("sum"))
-        base = headers.select("BudgetHeaderID").join(sums, "BudgetHeaderID", "left").select(
-            "BudgetHeaderID", F.coalesce("sum", F.lit(0)).cast(TOTAL).alias("total_allocated")
-        )
-        journal = cost_allocation_journal(headers, run).select(
-            "BudgetHeaderID", F.col("JournalID").alias("journal_id"), F.col("JournalNumber").alias("journal_number")
-        )
-    return base.join(journal, "BudgetHeaderID").select(
+        sums = ledger.groupBy("BudgetHeaderID").agg(total("FinalAmount").alias("total"))
+        journal = cost_allocation_journal(headers, run).join(sums, "BudgetHeaderID", "left")
+    override = "CAST(NULL AS STRING)" if basis_override is None else quoted(basis_override)
+    return journal.withColumn("rules_processed", active).selectExpr(
         "BudgetHeaderID",
-        stamp(run.now).alias("allocation_start"),
-        stamp(run.now).alias("allocation_end"),
-        active.alias("rules_processed"),
-        "total_allocated",
-        F.lit(0).alias("error_count"),
-        F.lit(dry_run).alias("dry_run"),
-        "journal_id",
-        "journal_number",
-        F.lit(basis_override).cast("string").alias("allocation_basis_override"),
-        F.lit("SUCCESS").alias("status"),
+        f"{stamp(run.now)} AS allocation_start",
+        f"{stamp(run.now)} AS allocation_end",
+        "rules_processed",
+        f"CAST(coalesce(total, 0) AS {wide}) AS total_allocated",
+        "0 AS error_count",
+        f"{dry_run} AS dry_run",
+        "JournalID AS journal_id",
+        "JournalNumber AS journal_number",
+        f"{override} AS allocation_basis_override",
+        "'SUCCESS' AS status",
     )
 
 
 def consolidation_journal(headers: DataFrame, run: Run, kind: str = "FULL") -> DataFrame:
-    about = F.concat(F.lit(f"Budget consolidation ({kind}) for budget "), F.col("BudgetCode"))
-    return _journal(headers, run, "CONSOL-", "CONSOLIDATION", about)
+    return _journal(headers, run, "CONSOL-", "CONSOLIDATION", f"Budget consolidation ({kind}) for budget ")
 
 
 def _on_active_centers(ledger: DataFrame, centers: DataFrame) -> DataFrame:
@@ -157,16 +147,16 @@ def consolidation_result(
     """
     per_center = ledger.groupBy("BudgetHeaderID", "CostCenterID").agg(rows().alias("lines"))
     counts = _on_active_centers(per_center, centers).groupBy("BudgetHeaderID").agg(F.sum("lines").alias("lines"))
-    journal = consolidation_journal(headers, run, kind).select("BudgetHeaderID", "JournalID", "JournalNumber")
-    return journal.join(counts, "BudgetHeaderID", "left").select(
-        stamp(run.now).alias("consolidation_start"),
-        stamp(run.now).alias("consolidation_end"),
-        F.col("BudgetHeaderID").alias("budget_header_id"),
-        F.lit(kind).alias("consolidation_type"),
-        F.lit(eliminate_intercompany).alias("eliminate_intercompany"),
-        F.coalesce("lines", F.lit(0)).alias("consolidated_lines"),
-        F.col("JournalID").alias("journal_id"),
-        F.col("JournalNumber").alias("journal_number"),
-        F.lit(0).cast(TOTAL).alias("eliminated_amount"),
-        F.lit("SUCCESS").alias("status"),
+    journal = consolidation_journal(headers, run, kind)
+    return journal.join(counts, "BudgetHeaderID", "left").selectExpr(
+        f"{stamp(run.now)} AS consolidation_start",
+        f"{stamp(run.now)} AS consolidation_end",
+        "BudgetHeaderID AS budget_header_id",
+        f"{quoted(kind)} AS consolidation_type",
+        f"{eliminate_intercompany} AS eliminate_intercompany",
+        "coalesce(lines, 0L) AS consolidated_lines",
+        "JournalID AS journal_id",
+        "JournalNumber AS journal_number",
+        f"CAST(0 AS {TOTAL.simpleString()}) AS eliminated_amount",
+        "'SUCCESS' AS status",
     )

@@ -14,11 +14,11 @@ from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwright.functions.exprs import rows
+from ledgerwright.functions.exprs import quoted, rows
 
 #: Column kinds and their aggregates, default scale and tolerance,
 #: length of an error text.
@@ -32,8 +32,8 @@ DEFAULT_TOLERANCE = Decimal("0.0001")
 ERROR_LENGTH = 200
 
 #: Metric values keep this many decimals.
-NUMBER = T.DecimalType(38, 10)
-_METRICS = "table string, metric string, number decimal(38,10), text string"
+NUMBER = "DECIMAL(38,10)"
+_METRICS = f"table STRING, metric STRING, number {NUMBER}, text STRING"
 
 
 class SpecError(ValueError):
@@ -177,27 +177,25 @@ def _is_number(type_: T.DataType) -> bool:
     return isinstance(type_, T.NumericType)
 
 
-def _plain(number: Column) -> Column:
-    """A decimal as text without trailing zeros or an exponent."""
-    text = number.cast("string")
-    return F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+def _plain(number: str) -> str:
+    """A decimal with decimals as text, without trailing zeros or an exponent."""
+    return f"rtrim('.', rtrim('0', CAST({number} AS STRING)))"
 
 
-def _as_text(value: Column, type_: T.DataType) -> Column:
+def _as_text(value: str, type_: T.DataType) -> str:
     """The value as it is reported: plain numbers, no trailing blanks."""
     if _is_number(type_):
-        return _plain(value.cast(NUMBER))
+        return _plain(f"CAST({value} AS {NUMBER})")
     if isinstance(type_, T.BooleanType):
-        return F.upper(value.cast("string"))
-    return F.regexp_replace(value.cast("string"), r"\s+$", "")
+        return f"upper(CAST({value} AS STRING))"
+    return f"regexp_replace(CAST({value} AS STRING), '\\\\s+$', '')"
 
 
-def _aggregate(check: ColumnCheck, how: str) -> Column:
-    column = F.col(check.name)
+def _aggregate(check: ColumnCheck, how: str) -> str:
     if how == "sum":
-        exact = T.DecimalType(38, check.scale)
-        return F.sum(column.cast(exact)).cast(exact)
-    return {"count": F.count, "min": F.min, "max": F.max}[how](column)
+        exact = f"DECIMAL(38,{check.scale})"
+        return f"CAST(sum(CAST(`{check.name}` AS {exact})) AS {exact})"
+    return f"{how}(`{check.name}`)"
 
 
 def parity_metrics(check: TableCheck, df: DataFrame) -> DataFrame:
@@ -205,18 +203,21 @@ def parity_metrics(check: TableCheck, df: DataFrame) -> DataFrame:
 
     ``number`` is set for numeric values only; ``text`` is the reported form.
     """
-    wanted = {"row_count": rows()}
+    wanted = {"row_count": "count(1)"}
     for column in check.columns:
         for how in column.aggregates:
             wanted[f"{column.name}__{how}".lower()] = _aggregate(column, how)
-    one_row = df.agg(*[value.alias(name) for name, value in wanted.items()])
+    one_row = df.selectExpr(*[f"{value} AS `{name}`" for name, value in wanted.items()])
     values = []
     for f in one_row.schema:
-        value = F.col(f"`{f.name}`")
-        number = value.cast(NUMBER) if _is_number(f.dataType) else F.lit(None).cast(NUMBER)
-        values.append(F.struct(F.lit(f.name).alias("metric"), number.alias("number"),
-                               _as_text(value, f.dataType).alias("text")))
-    return one_row.select(F.explode(F.array(*values)).alias("m")).select(F.lit(check.table).alias("table"), "m.*")
+        number = f"`{f.name}`" if _is_number(f.dataType) else "NULL"
+        values.append(
+            f"struct('{f.name}' AS metric, CAST({number} AS {NUMBER}) AS number,"
+            f" {_as_text(f'`{f.name}`', f.dataType)} AS text)"
+        )
+    return one_row.selectExpr(f"explode(array({', '.join(values)})) AS m").selectExpr(
+        f"{quoted(check.table)} AS table", "m.*"
+    )
 
 
 @dataclass(frozen=True)
@@ -260,18 +261,23 @@ def run_parity(
 
 def _compared(source: DataFrame, target: DataFrame, tolerance: Decimal) -> DataFrame:
     """Every metric with both values, the delta of numbers, and whether it differs."""
-    s = source.select("table", "metric", F.col("number").alias("s_number"), F.col("text").alias("s_text"))
-    t = target.select("table", "metric", F.col("number").alias("t_number"), F.col("text").alias("t_text"))
-    delta = F.abs(F.col("s_number") - F.col("t_number"))
-    left, right = F.coalesce("s_text", F.lit("NULL")), F.coalesce("t_text", F.lit("NULL"))
-    differs = F.when(delta.isNotNull(), delta > F.lit(tolerance)).otherwise(left != right)
-    return s.join(t, ["table", "metric"], "full_outer").select(
-        "table",
-        "metric",
-        left.alias("source"),
-        right.alias("target"),
-        F.when(differs & delta.isNotNull(), _plain(delta)).otherwise(F.lit("")).alias("delta"),
-        differs.alias("differs"),
+    s = source.selectExpr("table", "metric", "number AS s_number", "text AS s_text")
+    t = target.selectExpr("table", "metric", "number AS t_number", "text AS t_text")
+    return (
+        s.join(t, ["table", "metric"], "full_outer")
+        .selectExpr(
+            "table",
+            "metric",
+            "coalesce(s_text, 'NULL') AS source",
+            "coalesce(t_text, 'NULL') AS target",
+            f"CAST(abs(s_number - t_number) AS {NUMBER}) AS distance",
+        )
+        .selectExpr("*", f"CASE WHEN distance IS NULL THEN source <> target ELSE distance > {tolerance}BD END AS differs")
+        .selectExpr(
+            "table", "metric", "source", "target",
+            f"CASE WHEN differs AND distance IS NOT NULL THEN {_plain('distance')} ELSE '' END AS delta",
+            "differs",
+        )
     )
 
 
@@ -282,15 +288,14 @@ def parity_diff(parity: Parity, tolerance: Decimal = DEFAULT_TOLERANCE) -> DataF
 
 def parity_report(parity: Parity, tolerance: Decimal = DEFAULT_TOLERANCE) -> DataFrame:
     """One row per table: rows on both sides, metrics compared, mismatches, error."""
-    count = F.col("metric") == "row_count"
     compared = (
         _compared(parity.source, parity.target, tolerance)
         .groupBy("table")
         .agg(
-            F.max(F.when(count, F.col("source"))).cast("bigint").alias("source_rows"),
-            F.max(F.when(count, F.col("target"))).cast("bigint").alias("target_rows"),
+            F.expr("CAST(max(CASE WHEN metric = 'row_count' THEN source END) AS BIGINT)").alias("source_rows"),
+            F.expr("CAST(max(CASE WHEN metric = 'row_count' THEN target END) AS BIGINT)").alias("target_rows"),
             rows().alias("metrics_compared"),
-            F.count_if("differs").alias("mismatches"),
+            F.expr("count_if(differs)").alias("mismatches"),
             F.lit("").alias("error"),
         )
     )
@@ -299,13 +304,13 @@ def parity_report(parity: Parity, tolerance: Decimal = DEFAULT_TOLERANCE) -> Dat
             [(t, 0, 0, 0, 0, e) for t, e in parity.errors.items()], compared.schema
         )
         compared = compared.unionByName(failed)
-    return compared.withColumn("matched", (F.col("mismatches") == 0) & (F.col("error") == ""))
+    return compared.withColumn("matched", F.expr("mismatches = 0 AND error = ''"))
 
 
 def parity_ok(report: DataFrame) -> DataFrame:
     """Overall outcome: one row; a report without tables is ok."""
     return report.agg(
-        F.count_if("matched").alias("matched"),
-        F.count_if(F.col("error") != "").alias("errored"),
+        F.expr("count_if(matched)").alias("matched"),
+        F.expr("count_if(error <> '')").alias("errored"),
         rows().alias("tables"),
-    ).withColumn("ok", F.col("matched") == F.col("tables"))
+    ).withColumn("ok", F.expr("matched = tables"))

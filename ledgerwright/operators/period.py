@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwright.functions.exprs import money, rows, stamp, total
-from ledgerwright.schemas import MONEY
+from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp, total
 
 #: Amount per forecast period, and the range of forecast lengths.
 FORECAST_AMOUNT = 100000
@@ -31,36 +30,32 @@ def period_set(periods: DataFrame, ids: list[int | None]) -> DataFrame:
 
 def _flagged(df: DataFrame, closing: DataFrame) -> DataFrame:
     keys = closing.select("FiscalPeriodID").distinct().withColumn("_closing", F.lit(True))
-    return df.join(keys, "FiscalPeriodID", "left").withColumn("_closing", F.coalesce("_closing", F.lit(False)))
+    return df.join(keys, "FiscalPeriodID", "left").withColumn("_closing", F.expr("coalesce(_closing, false)"))
 
 
 def close_period(periods: DataFrame, closing: DataFrame, now: str) -> DataFrame:
     """The period table with the given periods closed. Unknown ids change nothing."""
-    return (
-        _flagged(periods, closing)
-        .withColumn("IsClosed", F.col("_closing") | F.col("IsClosed"))
-        .withColumn("ClosedDateTime", F.when(F.col("_closing"), stamp(now)).otherwise(F.col("ClosedDateTime")))
-        .select(*periods.columns)
-    )
+    changed = {
+        "IsClosed": "_closing OR IsClosed AS IsClosed",
+        "ClosedDateTime": f"CASE WHEN _closing THEN {stamp(now)} ELSE ClosedDateTime END AS ClosedDateTime",
+    }
+    return _flagged(periods, closing).selectExpr(*[changed.get(c, c) for c in periods.columns])
 
 
 def close_lines(ledger: DataFrame, closing: DataFrame) -> DataFrame:
     """The ledger with every line of the given periods marked allocated."""
-    return (
-        _flagged(ledger, closing)
-        .withColumn("IsAllocated", F.col("_closing") | F.col("IsAllocated"))
-        .select(*ledger.columns)
-    )
+    changed = {"IsAllocated": "_closing OR IsAllocated AS IsAllocated"}
+    return _flagged(ledger, closing).selectExpr(*[changed.get(c, c) for c in ledger.columns])
 
 
 def close_result(closing: DataFrame, now: str, level: str = "PERIOD") -> DataFrame:
     """One result row per requested period."""
-    return closing.select(
-        F.lit("SUCCESS").alias("status"),
-        stamp(now).alias("close_start"),
-        stamp(now).alias("close_end"),
-        F.col("FiscalPeriodID").alias("period_id"),
-        F.lit(level).alias("close_level"),
+    return closing.selectExpr(
+        "'SUCCESS' AS status",
+        f"{stamp(now)} AS close_start",
+        f"{stamp(now)} AS close_end",
+        "FiscalPeriodID AS period_id",
+        f"{quoted(level)} AS close_level",
     )
 
 
@@ -77,12 +72,12 @@ def intercompany_items(ledger: DataFrame, accounts: DataFrame, centers: DataFram
 def intercompany_result(items: DataFrame, periods: DataFrame, tolerance: Decimal = Decimal("0.01")) -> DataFrame:
     """Items per requested period. Nothing is matched, so there is no variance."""
     counts = items.groupBy("FiscalPeriodID").agg(rows().alias("found"))
-    return periods.select("FiscalPeriodID").join(counts, "FiscalPeriodID", "left").select(
-        F.col("FiscalPeriodID").alias("fiscal_period_id"),
-        F.lit(tolerance).cast(MONEY).alias("tolerance_amount"),
-        F.coalesce("found", F.lit(0)).cast("bigint").alias("reconciled_count"),
-        F.lit(0).cast("bigint").alias("variance_count"),
-        money(F.lit(0)).alias("total_variance_amount"),
+    return periods.select("FiscalPeriodID").join(counts, "FiscalPeriodID", "left").selectExpr(
+        "FiscalPeriodID AS fiscal_period_id",
+        f"CAST({tolerance} AS DECIMAL(19,4)) AS tolerance_amount",
+        "coalesce(found, 0L) AS reconciled_count",
+        "0L AS variance_count",
+        f"{ZERO} AS total_variance_amount",
     )
 
 
@@ -90,13 +85,13 @@ def rolling_forecast(headers: DataFrame, months: int, base_year: str = "FiscalYe
     """The months after each budget's base month, a flat amount each."""
     if months not in FORECAST_MONTHS:
         raise ValueError("Forecast months must be between 1 and 60")
-    serial = F.col(base_year) * 12 + F.lit(base_month - 1) + F.col("PeriodNumber")
-    return headers.withColumn("PeriodNumber", F.explode(F.sequence(F.lit(1), F.lit(months)))).select(
+    serial = f"({base_year} * 12 + {base_month - 1} + PeriodNumber)"
+    return headers.withColumn("PeriodNumber", F.expr(f"explode(sequence(1, {months}))")).selectExpr(
         "BudgetHeaderID",
         "PeriodNumber",
-        F.floor(serial / 12).cast("int").alias("FiscalYear"),
-        (F.pmod(serial, F.lit(12)) + 1).cast("int").alias("FiscalMonth"),
-        money(F.lit(FORECAST_AMOUNT)).alias("ForecastAmount"),
+        f"CAST({serial} DIV 12 AS INT) AS FiscalYear",
+        f"CAST({serial} % 12 + 1 AS INT) AS FiscalMonth",
+        f"CAST({FORECAST_AMOUNT} AS DECIMAL(19,4)) AS ForecastAmount",
     )
 
 
@@ -109,50 +104,45 @@ def rolling_forecast_result(forecast: DataFrame, growth_rate_pct: Decimal = Deci
 
 def budget_header_bounds(periods: DataFrame, last_month: int = 12) -> DataFrame:
     """Three scenario budgets per fiscal year, with their first and last period."""
-    def at(month: int):
-        return F.when(F.col("FiscalMonth") == month, F.col("FiscalPeriodID"))
+    def at(month: int) -> str:
+        return f"CASE WHEN FiscalMonth = {month} THEN FiscalPeriodID END"
 
     bounds = periods.groupBy("FiscalYear").agg(
-        *[F.min(at(first)).alias(scenario) for scenario, _, _, _, first in SCENARIOS],
-        F.max(at(last_month)).alias("last"),
+        *[F.expr(f"min({at(first)})").alias(scenario) for scenario, _, _, _, first in SCENARIOS],
+        F.expr(f"max({at(last_month)})").alias("last"),
     )
-    year = F.col("FiscalYear").cast("string")
-    plans = F.array(*[
-        F.struct(
-            F.concat(F.lit("BUDGET-"), year, F.lit("-" + suffix)).alias("BudgetCode"),
-            F.concat(year, F.lit(" " + name)).alias("BudgetName"),
-            F.lit(kind).alias("BudgetType"),
-            F.lit(scenario).alias("ScenarioType"),
-            F.col(scenario).alias("StartPeriodID"),
-        )
+    plans = ", ".join(
+        f"""named_struct('BudgetCode', concat('BUDGET-', FiscalYear, '-{suffix}'),
+            'BudgetName', concat(FiscalYear, ' {name}'), 'BudgetType', '{kind}', 'ScenarioType', '{scenario}',
+            'StartPeriodID', {scenario})"""
         for scenario, kind, suffix, name, _ in SCENARIOS
-    ])
-    return bounds.select("FiscalYear", "last", F.explode(plans).alias("p")).select(
+    )
+    return bounds.selectExpr("FiscalYear", "last", f"explode(array({plans})) AS p").selectExpr(
         "p.BudgetCode",
         "p.BudgetName",
         "p.BudgetType",
         "p.ScenarioType",
         "FiscalYear",
         "p.StartPeriodID",
-        F.col("last").alias("EndPeriodID"),
-        F.lit("DRAFT").alias("StatusCode"),
-        F.lit(1).alias("VersionNumber"),
-        F.lit(False).alias("IsLocked"),
+        "last AS EndPeriodID",
+        "'DRAFT' AS StatusCode",
+        "1 AS VersionNumber",
+        "false AS IsLocked",
     )
 
 
-def _expired(now: str, hours: int):
-    return F.col("CreatedDateTime") < F.timestamp_add("HOUR", F.lit(-hours), stamp(now))
+def _expired(now: str, hours: int) -> str:
+    return f"CreatedDateTime < timestampadd(HOUR, {-hours}, {stamp(now)})"
 
 
 def kept_allocation_results(staged: DataFrame, now: str, hours: int = 24) -> DataFrame:
     """The staging table without results older than ``hours``."""
-    return staged.where(~_expired(now, hours))
+    return staged.where(f"NOT ({_expired(now, hours)})")
 
 
 def cleanup_allocation_results(staged: DataFrame, now: str, hours: int = 24) -> DataFrame:
     """How many results the cleanup removes and keeps, with its message."""
-    old = F.count_if(_expired(now, hours))
-    return staged.agg(old.alias("deleted"), (rows() - old).alias("kept")).withColumn(
-        "message", F.concat(F.lit("Deleted "), F.col("deleted").cast("string"), F.lit(" old allocation results"))
+    old = F.expr(f"count_if({_expired(now, hours)})")
+    return staged.agg(old.alias("deleted"), rows().alias("n")).selectExpr(
+        "deleted", "n - deleted AS kept", "concat('Deleted ', deleted, ' old allocation results') AS message"
     )

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerwright.functions.exprs import rows, total, total_or_zero
 from ledgerwright.schemas import NATURAL_KEY, TOTAL
@@ -40,9 +39,9 @@ def budget_consolidation_summary(
     facts = ledger.groupBy(*NATURAL_KEY).agg(
         total("OriginalAmount").alias("original"),
         total("AdjustedAmount").alias("adjusted"),
-        total(F.col("OriginalAmount") + F.col("AdjustedAmount")).alias("final"),
-        total(F.coalesce("LocalCurrencyAmount", F.lit(0))).alias("local"),
-        total(F.coalesce("ReportingCurrencyAmount", F.lit(0))).alias("reporting"),
+        total("OriginalAmount + AdjustedAmount").alias("final"),
+        total("coalesce(LocalCurrencyAmount, 0)").alias("local"),
+        total("coalesce(ReportingCurrencyAmount, 0)").alias("reporting"),
         rows().alias("lines"),
     )
     account_columns = ["GLAccountID", "AccountNumber", "AccountName", "AccountType"]
@@ -55,31 +54,28 @@ def budget_consolidation_summary(
         .join(_copies(headers, header_columns, "w3"), "BudgetHeaderID")
         .join(_copies(periods, period_columns, "w4"), "FiscalPeriodID")
     )
-    weight = F.col("w1") * F.col("w2") * F.col("w3") * F.col("w4")
 
-    def scaled(column: str) -> Column:
+    def scaled(column: str) -> str:
         # the usual weight of 1 needs no decimal product
-        return F.when(weight == 1, F.col(column)).otherwise((F.col(column) * weight).cast(TOTAL))
+        return f"CASE WHEN weight = 1 THEN {column} ELSE CAST({column} * weight AS {TOTAL.simpleString()}) END"
 
-    return joined.select(
+    return joined.selectExpr("*", "w1 * w2 * w3 * w4 AS weight").selectExpr(
         *header_columns,
         *period_columns,
         *account_columns,
         *center_columns,
-        scaled("original").alias("TotalOriginalAmount"),
-        scaled("adjusted").alias("TotalAdjustedAmount"),
-        scaled("final").alias("TotalFinalAmount"),
-        scaled("local").alias("TotalLocalCurrency"),
-        scaled("reporting").alias("TotalReportingCurrency"),
-        (F.col("lines") * weight).alias("LineItemCount"),
+        f"{scaled('original')} AS TotalOriginalAmount",
+        f"{scaled('adjusted')} AS TotalAdjustedAmount",
+        f"{scaled('final')} AS TotalFinalAmount",
+        f"{scaled('local')} AS TotalLocalCurrency",
+        f"{scaled('reporting')} AS TotalReportingCurrency",
+        "lines * weight AS LineItemCount",
     )
 
 
 def budget_variance(ledger: DataFrame) -> DataFrame:
     """Lines with an adjustment, and the adjustment in percent of the original."""
-    original, adjusted = F.col("OriginalAmount"), F.col("AdjustedAmount")
-    percent = F.when(original != 0, adjusted / original * F.lit(100)).otherwise(F.lit(0))
-    return ledger.where(adjusted != 0).select(
+    return ledger.where("AdjustedAmount <> 0").selectExpr(
         "BudgetHeaderID",
         "FiscalPeriodID",
         "GLAccountID",
@@ -87,8 +83,9 @@ def budget_variance(ledger: DataFrame) -> DataFrame:
         "OriginalAmount",
         "AdjustedAmount",
         "FinalAmount",
-        adjusted.alias("VarianceAmount"),
-        percent.cast(T.DecimalType(10, 2)).alias("VariancePercent"),
+        "AdjustedAmount AS VarianceAmount",
+        """CAST(CASE WHEN OriginalAmount <> 0 THEN AdjustedAmount / OriginalAmount * 100 ELSE 0 END
+           AS DECIMAL(10,2)) AS VariancePercent""",
     )
 
 
@@ -154,8 +151,8 @@ def budget_analysis(ledger: DataFrame, headers: DataFrame, budget_code: str | No
             total("final").alias("TotalFinal"),
         )
     )
-    ratio = F.col("TotalFinal") / F.nullif("TotalOriginal", F.lit(0))
-    return sums.withColumn("FinalToOriginalRatio", F.round(ratio, 4).cast(T.DecimalType(19, 4)))
+    ratio = F.expr("CAST(round(TotalFinal / nullif(TotalOriginal, 0), 4) AS DECIMAL(19,4))")
+    return sums.withColumn("FinalToOriginalRatio", ratio)
 
 
 def cost_center_summary(centers: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -187,11 +184,9 @@ def cost_center_summary(centers: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def _category(column: str = "AccountType") -> Column:
-    label = F.lit(None).cast("string")
-    for kind, name in CATEGORIES.items():
-        label = F.when(F.col(column) == kind, name).otherwise(label)
-    return label
+def _category() -> str:
+    names = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in CATEGORIES.items())
+    return f"CASE AccountType {names} END"
 
 
 def gl_account_distribution(
@@ -203,7 +198,7 @@ def gl_account_distribution(
     has none. That is the number of accounts, plus the lines, minus the
     accounts that have lines, so accounts are never multiplied by budgets.
     """
-    active = accounts.where("IsActive").select("GLAccountID", _category().alias("AccountCategory"))
+    active = accounts.where("IsActive").selectExpr("GLAccountID", f"{_category()} AS AccountCategory")
     booked = ledger.groupBy("BudgetHeaderID", "GLAccountID").agg(
         rows().alias("lines"), total("FinalAmount").alias("final")
     )
@@ -221,7 +216,7 @@ def gl_account_distribution(
             .select(F.lit(budget_code).alias("BudgetCode"))
             .join(headers.select("BudgetCode", "BudgetHeaderID"), "BudgetCode", "left")
         )
-    every = F.explode(F.array(*[F.lit(c) for c in [*CATEGORIES.values(), None]]))
+    every = F.expr("explode(array(" + ", ".join(f"'{c}'" for c in CATEGORIES.values()) + ", NULL))")
     per_category = active.groupBy("AccountCategory").agg(rows().alias("accounts"))
     grid = (
         codes.withColumn("slot", every)
@@ -237,8 +232,8 @@ def gl_account_distribution(
         )
         .groupBy("BudgetCode", "slot")
         .agg(
-            F.sum(F.col("accounts") + F.coalesce(F.col("lines") - F.col("touched"), F.lit(0))).alias("AccountCount"),
-            F.sum(F.coalesce("lines", F.lit(0))).alias("BudgetedAccounts"),
+            F.expr("sum(accounts + coalesce(lines - touched, 0))").alias("AccountCount"),
+            F.expr("sum(coalesce(lines, 0))").alias("BudgetedAccounts"),
             total_or_zero("final").alias("TotalBudgetAmount"),
         )
         .withColumnRenamed("slot", "AccountCategory")

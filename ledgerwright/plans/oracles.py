@@ -72,7 +72,7 @@ cte("BudgetHeader", f"""
            1 AS VersionNumber, TIMESTAMP '{LOADED_AT}' AS CreatedDateTime,
            TIMESTAMP '{LOADED_AT}' AS ModifiedDateTime
     FROM order_months GROUP BY y""", "order_months")
-_LINE_ID = """CAST(CAST(FiscalPeriodID AS HUGEINT) * 10000000000000000000000000000
+_LINE_ID = """CAST(CAST(FiscalPeriodID AS HUGEINT) * 100000000000000000000000000
     + CAST(GLAccountID AS HUGEINT) * 100000000000000 + CAST(CostCenterID AS HUGEINT) AS DECIMAL(38,0))"""
 cte("keyed_lines", """
     SELECT CAST(y AS BIGINT) AS BudgetHeaderID, l_partkey AS GLAccountID, l_suppkey + 1000 AS CostCenterID,

@@ -106,11 +106,7 @@ def import_validate(spark, d):
 def import_apply(spark, d):
     ledger = _booked(spark, d)
     validated = importer.import_validate(import_resolve_keys(spark, d), ledger, "UPDATE")
-
-    def new_id():
-        return retail.line_id(F.col("FiscalPeriodID"), F.col("GLAccountID"), F.col("CostCenterID"))
-
-    return importer.import_apply(ledger, validated, BATCH, NOW, "UPDATE", new_id).select(
+    return importer.import_apply(ledger, validated, BATCH, NOW, "UPDATE", retail.LINE_ID).select(
         "BudgetLineItemID", "BudgetHeaderID", "GLAccountID", "CostCenterID", "FiscalPeriodID", "OriginalAmount",
         "AdjustedAmount", "FinalAmount", "SpreadMethodCode", "ImportBatchID", "LastModifiedDateTime",
     )
@@ -283,7 +279,7 @@ def _drifted(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """A copy with a lost period, rounded amounts, padded, cut and changed text."""
     copy = dict(tables)
     copy["FiscalPeriod"] = copy["FiscalPeriod"].where(F.col("FiscalPeriodID") != 199606)
-    copy["GLAccount"] = copy["GLAccount"].withColumn("AccountName", F.concat("AccountName", F.lit("   ")))
+    copy["GLAccount"] = copy["GLAccount"].withColumn("AccountName", F.expr("concat(AccountName, '   ')"))
     copy["CostCenter"] = copy["CostCenter"].withColumn("CostCenterName", F.left("CostCenterName", F.lit(8)))
     copy["BudgetHeader"] = copy["BudgetHeader"].withColumn(
         "StatusCode", F.when(F.col("FiscalYear") == 1996, "APPROVED").otherwise(F.col("StatusCode"))

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 LONG = T.LongType()
@@ -436,12 +435,13 @@ STAGING_TABLES = (HIERARCHY_NODE_TEMPLATE, ALLOCATION_RESULT_STAGING, BUDGET_LIN
 TABLES = {t.name: t for t in (*CORE_TABLES, COST_CENTER_HISTORY, *STAGING_TABLES)}
 
 
-def _default(column: Col, now: Column) -> Column:
+def _default(column: Col, now: str) -> str:
     if column.default is NOW:
-        return now
+        return f"CAST('{now}' AS TIMESTAMP_NTZ)"
     if column.default is UUID:
-        return F.uuid()
-    return F.lit(column.default)
+        return "uuid()"
+    value = "NULL" if column.default is None else repr(column.default)
+    return f"CAST({value} AS {column.type.simpleString()})"
 
 
 def complete(df: DataFrame, table: Table, now: str) -> DataFrame:
@@ -451,11 +451,7 @@ def complete(df: DataFrame, table: Table, now: str) -> DataFrame:
     column order. ``now`` is the load time, fixed by the caller so that a
     recomputed task writes the same value.
     """
-    stamp = F.lit(now).cast(STAMP)
     have = set(df.columns)
-    return df.select(
-        *[
-            F.col(c.name) if c.name in have else _default(c, stamp).cast(c.type).alias(c.name)
-            for c in table.columns
-        ]
+    return df.selectExpr(
+        *[c.name if c.name in have else f"{_default(c, now)} AS {c.name}" for c in table.columns]
     )

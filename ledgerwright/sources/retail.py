@@ -1,85 +1,82 @@
 """Planning tables derived from the retail test tables.
 
 Every function reads the whole of its Parquet inputs and stays lazy, so a query
-pays only for the columns it uses. Amounts become decimals first.
+pays only for the columns it uses. Column lists are SQL expressions, parsed in
+one call.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerwright import schemas as S
-from ledgerwright.functions.exprs import money
+from ledgerwright.functions.exprs import quoted
 from ledgerwright.functions.numbering import number_rows
 
 LOADED_AT = "2024-01-01 00:00:00"
-VALID_FROM = "1992-01-01"
+VALID_FROM = "DATE'1992-01-01'"
 SUPPLIER_BASE = 1000
 NATION_BASE = 100
 REGION_BASE = 10
-LINE_ID = T.DecimalType(38, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on a scan with fewer splits than cores.
+
+    A file with one row group is one split, however many cores wait. A table
+    of many splits, as any large one is, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.year("o_orderdate").alias("y"),
-        F.month("o_orderdate").alias("m"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "year(o_orderdate) AS y", "month(o_orderdate) AS m"
     )
 
 
-def _period_id(y: Column, m: Column) -> Column:
-    return y.cast("bigint") * F.lit(100) + m
+_PERIOD = "CAST(y AS BIGINT) * 100 + m"
 
 
 def fiscal_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = _order_months(spark, sf_dir).select("y", "m").distinct()
-    y, m = F.col("y"), F.col("m")
-    start = F.make_date(y, m, F.lit(1))
-    periods = months.select(
-        _period_id(y, m).alias("FiscalPeriodID"),
-        y.alias("FiscalYear"),
-        F.floor((m + F.lit(2)) / F.lit(3)).cast("int").alias("FiscalQuarter"),
-        m.alias("FiscalMonth"),
-        F.concat(y.cast("string"), F.lit("-"), F.lpad(m.cast("string"), 2, "0")).alias("PeriodName"),
-        start.alias("PeriodStartDate"),
-        F.last_day(start).alias("PeriodEndDate"),
+    periods = _order_months(spark, sf_dir).select("y", "m").distinct().selectExpr(
+        f"{_PERIOD} AS FiscalPeriodID",
+        "y AS FiscalYear",
+        "CAST((m + 2) DIV 3 AS INT) AS FiscalQuarter",
+        "m AS FiscalMonth",
+        "concat(y, '-', lpad(CAST(m AS STRING), 2, '0')) AS PeriodName",
+        "make_date(y, m, 1) AS PeriodStartDate",
+        "last_day(make_date(y, m, 1)) AS PeriodEndDate",
     )
     return S.complete(periods, S.FISCAL_PERIOD, LOADED_AT)
 
 
 def gl_accounts(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Accounts from parts. ``dirty`` gives some of them a neighbour's number."""
-    key = F.col("p_partkey")
-    number = key - F.when(key % 97 == 1, 1).otherwise(0) if dirty else key
-    kind = (
-        F.when(F.col("p_type") == "ECONOMY", "R")
-        .when(F.col("p_type") == "MEDIUM", "A")
-        .when(F.col("p_type") == "PROMO", "L")
-        .when(F.col("p_type") == "SMALL", "E")
-        .otherwise("X")
-    )
+    number = "p_partkey - CASE WHEN p_partkey % 97 = 1 THEN 1 ELSE 0 END" if dirty else "p_partkey"
     accounts = (
         table(spark, sf_dir, "part")
-        .withColumn("AccountType", kind)
-        .select(
-            key.alias("GLAccountID"),
-            number.cast("string").alias("AccountNumber"),
-            F.col("p_name").alias("AccountName"),
+        .selectExpr(
+            "*",
+            """CASE p_type WHEN 'ECONOMY' THEN 'R' WHEN 'MEDIUM' THEN 'A' WHEN 'PROMO' THEN 'L'
+               WHEN 'SMALL' THEN 'E' ELSE 'X' END AS AccountType""",
+        )
+        .selectExpr(
+            "p_partkey AS GLAccountID",
+            f"CAST({number} AS STRING) AS AccountNumber",
+            "p_name AS AccountName",
             "AccountType",
-            F.col("p_brand").alias("AccountSubType"),
-            F.col("AccountType").isin("R", "X").alias("IsBudgetable"),
-            F.when(F.col("AccountType").isin("R", "L", "E"), "C").otherwise("D").alias("NormalBalance"),
-            (F.col("p_size") % 10 == 0).alias("IntercompanyFlag"),
-            (F.col("p_size") < 49).alias("IsActive"),
+            "p_brand AS AccountSubType",
+            "AccountType IN ('R', 'X') AS IsBudgetable",
+            "CASE WHEN AccountType IN ('R', 'L', 'E') THEN 'C' ELSE 'D' END AS NormalBalance",
+            "p_size % 10 = 0 AS IntercompanyFlag",
+            "p_size < 49 AS IsActive",
         )
     )
     return S.complete(accounts, S.GL_ACCOUNT, LOADED_AT)
@@ -88,84 +85,80 @@ def gl_accounts(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
 def cost_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corporate, then regions, nations and suppliers below it."""
 
-    def level(df, id_, code, name, parent, active, weight):
-        return df.select(
-            id_.cast("bigint").alias("CostCenterID"),
-            code.alias("CostCenterCode"),
-            name.alias("CostCenterName"),
-            parent.cast("bigint").alias("ParentCostCenterID"),
-            active.alias("IsActive"),
-            weight.cast(S.WEIGHT).alias("AllocationWeight"),
+    def level(df, id_, code, name, parent, active="true", weight="1"):
+        return df.selectExpr(
+            f"CAST({id_} AS BIGINT) AS CostCenterID",
+            f"{code} AS CostCenterCode",
+            f"{name} AS CostCenterName",
+            f"CAST({parent} AS BIGINT) AS ParentCostCenterID",
+            f"{active} AS IsActive",
+            f"CAST({weight} AS DECIMAL(5,4)) AS AllocationWeight",
+            f"{VALID_FROM} AS EffectiveFromDate",
         )
 
-    def code(prefix, key):
-        return F.concat(F.lit(prefix), F.col(key).cast("string"))
-
-    yes, one = F.lit(True), F.lit(1)
-    region, nation, supplier = F.col("r_regionkey"), F.col("n_nationkey"), F.col("s_suppkey")
-    tree = (
-        level(spark.range(1), one, F.lit("CORP"), F.lit("Corporate"), F.lit(None), yes, one)
-        .unionByName(
-            level(table(spark, sf_dir, "region"), region + REGION_BASE, code("R", "r_regionkey"),
-                  F.col("r_name"), one, yes, one)
-        )
-        .unionByName(
-            level(table(spark, sf_dir, "nation"), nation + NATION_BASE, code("N", "n_nationkey"),
-                  F.col("n_name"), F.col("n_regionkey") + REGION_BASE, yes, one)
-        )
-        .unionByName(
-            level(table(spark, sf_dir, "supplier"), supplier + SUPPLIER_BASE, code("S", "s_suppkey"),
-                  F.col("s_name"), F.col("s_nationkey") + NATION_BASE, F.col("s_acctbal") >= 0,
-                  (supplier % 10 + 1) * F.lit(Decimal("0.1")))
-        )
-        .withColumn("EffectiveFromDate", F.lit(VALID_FROM).cast("date"))
+    top = level(spark.range(1), 1, "'CORP'", "'Corporate'", "NULL")
+    regions = level(
+        table(spark, sf_dir, "region"), f"r_regionkey + {REGION_BASE}", "concat('R', r_regionkey)", "r_name", 1
     )
+    nations = level(
+        table(spark, sf_dir, "nation"), f"n_nationkey + {NATION_BASE}", "concat('N', n_nationkey)", "n_name",
+        f"n_regionkey + {REGION_BASE}",
+    )
+    suppliers = level(
+        table(spark, sf_dir, "supplier"), f"s_suppkey + {SUPPLIER_BASE}", "concat('S', s_suppkey)", "s_name",
+        f"s_nationkey + {NATION_BASE}", "s_acctbal >= 0", "(s_suppkey % 10 + 1) * 0.1",
+    )
+    tree = top.unionByName(regions).unionByName(nations).unionByName(suppliers)
     return S.complete(tree, S.COST_CENTER, LOADED_AT)
 
 
 def budget_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = _order_months(spark, sf_dir)
-    period = _period_id(F.col("y"), F.col("m"))
     headers = (
-        months.groupBy("y")
-        .agg(F.min(period).alias("StartPeriodID"), F.max(period).alias("EndPeriodID"))
-        .select(
-            F.col("y").cast("bigint").alias("BudgetHeaderID"),
-            F.format_string("BUDGET-%d-001", "y").alias("BudgetCode"),
-            F.format_string("%d Annual Budget", "y").alias("BudgetName"),
-            F.lit("ANNUAL").alias("BudgetType"),
-            F.lit("BASE").alias("ScenarioType"),
-            F.col("y").alias("FiscalYear"),
-            "StartPeriodID",
-            "EndPeriodID",
+        _order_months(spark, sf_dir)
+        .groupBy("y")
+        .agg(F.expr(f"min({_PERIOD})").alias("first"), F.expr(f"max({_PERIOD})").alias("last"))
+        .selectExpr(
+            "CAST(y AS BIGINT) AS BudgetHeaderID",
+            "concat('BUDGET-', y, '-001') AS BudgetCode",
+            "concat(y, ' Annual Budget') AS BudgetName",
+            "'ANNUAL' AS BudgetType",
+            "'BASE' AS ScenarioType",
+            "y AS FiscalYear",
+            "first AS StartPeriodID",
+            "last AS EndPeriodID",
         )
     )
     return S.complete(headers, S.BUDGET_HEADER, LOADED_AT)
 
 
-def line_id(period: Column, account: Column, center: Column) -> Column:
-    """A line's id from its natural key, in (period, account, center) order.
+#: A line's id from its natural key, in (period, account, center) order. It has
+#: 38 digits: at full scale an account and a cost center number do not fit into
+#: 63 bits together. Accounts stay below 10**12, centers below 10**14.
+LINE_ID = """CAST(CAST(FiscalPeriodID * 1000000000000 + GLAccountID AS DECIMAL(19,0)) * 100000000000000BD
+    + CAST(CostCenterID AS DECIMAL(14,0)) AS DECIMAL(38,0))"""
 
-    A 38-digit number: at full scale an account and a cost center number do not
-    fit into 63 bits together.
-    """
-    def at(c, power):
-        return c.cast(LINE_ID) * F.lit(Decimal(10) ** power).cast(LINE_ID)
 
-    return (at(period, 28) + at(account, 14) + center.cast(LINE_ID)).cast(LINE_ID)
+def _money(units: str) -> str:
+    """Money from a whole number of its smallest unit."""
+    return f"CAST(CAST({units} AS DECIMAL(19,0)) * 0.0001BD AS DECIMAL(19,4))"
 
 
 def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order's year and month, keys named as in the ledger."""
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(_order_months(spark, sf_dir), lines.l_orderkey == F.col("o_orderkey")).select(
-        F.col("y").cast("bigint").alias("BudgetHeaderID"),
-        F.col("l_partkey").alias("GLAccountID"),
-        (F.col("l_suppkey") + SUPPLIER_BASE).alias("CostCenterID"),
-        _period_id(F.col("y"), F.col("m")).alias("FiscalPeriodID"),
-        "y",
-        "m",
-        *[F.col(c) for c in lines.columns],
+    """Order lines with their order's year and month, keys named as in the ledger.
+
+    Prices are whole cents and discounts whole percents, so ``price`` and
+    ``reduction`` are exact whole numbers of a 10,000th.
+    """
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    months = _order_months(spark, sf_dir).withColumnRenamed("o_orderkey", "l_orderkey")
+    return lines.join(months, "l_orderkey").selectExpr(
+        "CAST(y AS BIGINT) AS BudgetHeaderID",
+        "l_partkey AS GLAccountID",
+        f"l_suppkey + {SUPPLIER_BASE} AS CostCenterID",
+        f"{_PERIOD} AS FiscalPeriodID",
+        "CAST(round(l_extendedprice * 100) AS BIGINT) * 100 AS price",
+        "-CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) AS reduction",
+        "*",
     )
 
 
@@ -177,20 +170,26 @@ def budget_lines(spark: SparkSession, sf_dir: str, status: str | None = None) ->
     """
     lines = keyed_lines(spark, sf_dir)
     if status is not None:
-        lines = lines.where(F.col("l_linestatus") == status)
-    price = money("l_extendedprice")
-    reduction = money(-price * F.col("l_discount").cast(S.WEIGHT))
+        lines = lines.where(f"l_linestatus = '{status}'")
+    sums = {
+        "original": "price",
+        "adjusted": "reduction",
+        "local": "CASE WHEN l_returnflag = 'R' THEN price END",
+        "reporting": "CASE WHEN l_linestatus = 'F' THEN price + reduction END",
+    }
     ledger = (
         lines.groupBy(*S.NATURAL_KEY)
-        .agg(
-            money(F.sum(price)).alias("OriginalAmount"),
-            money(F.sum(reduction)).alias("AdjustedAmount"),
-            money(F.sum(F.when(F.col("l_returnflag") == "R", price))).alias("LocalCurrencyAmount"),
-            money(F.sum(F.when(F.col("l_linestatus") == "F", price + reduction))).alias("ReportingCurrencyAmount"),
+        .agg(*[F.expr(f"sum({amount})").alias(name) for name, amount in sums.items()])
+        .selectExpr(
+            f"{LINE_ID} AS BudgetLineItemID",
+            *S.NATURAL_KEY,
+            f"{_money('original')} AS OriginalAmount",
+            f"{_money('adjusted')} AS AdjustedAmount",
+            f"{_money('original + adjusted')} AS FinalAmount",
+            f"{_money('local')} AS LocalCurrencyAmount",
+            f"{_money('reporting')} AS ReportingCurrencyAmount",
+            "'EVEN' AS SpreadMethodCode",
         )
-        .withColumn("BudgetLineItemID", line_id(F.col("FiscalPeriodID"), F.col("GLAccountID"), F.col("CostCenterID")))
-        .withColumn("FinalAmount", money(F.col("OriginalAmount") + F.col("AdjustedAmount")))
-        .withColumn("SpreadMethodCode", F.lit("EVEN"))
     )
     return S.complete(ledger, S.BUDGET_LINE_ITEM, LOADED_AT)
 
@@ -201,59 +200,42 @@ def allocation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     Targets name an existing cost center by id, by code, or by an id and a code
     that disagree; promo parts carry an object instead of an array.
     """
-    key, size = F.col("p_partkey"), F.col("p_size")
-    center = F.floor(key / 20)
-    share = F.lit(Decimal("0.25"))
-    def code(c):
-        return F.concat(F.lit("S"), c.cast("string"))
-    by_id = F.to_json(F.struct(
-        (center + SUPPLIER_BASE).alias("CostCenterID"),
-        share.alias("AllocationPercentage"),
-        F.lit(1).alias("Priority"),
-        F.concat(key.cast("string"), F.lit("%")).alias("AccountFilter"),
-    ))
-    by_code = F.to_json(F.struct(
-        code(center + 1).alias("CostCenterCode"),
-        share.alias("AllocationPercentage"),
-        F.lit(2).alias("Priority"),
-        F.when(size % 4 == 0, F.struct(size.alias("MinimumSize"))).alias("Conditions"),
-    ))
-    both = F.to_json(F.struct(
-        (size % 25 + NATION_BASE).alias("CostCenterID"),
-        code(center).alias("CostCenterCode"),
-        F.lit("X*").alias("ExcludePattern"),
-    ))
-    listed = F.concat_ws(",", by_id, by_code, F.when(size % 3 == 0, both))
-    named = F.to_json(F.struct(F.array(code(center), code(center + 1)).alias("targetCostCenters")))
-    rules = table(spark, sf_dir, "part").select(
-        (key + 1).alias("AllocationRuleID"),
-        F.concat(F.lit("RULE-"), key.cast("string")).alias("RuleCode"),
-        F.concat(F.lit("Allocate "), F.col("p_name")).alias("RuleName"),
-        F.when(size % 2 == 0, "DIRECT").otherwise("STEP_DOWN").alias("RuleType"),
-        F.when(size % 5 == 0, "HEADCOUNT").otherwise("EQUAL").alias("AllocationMethod"),
-        F.lit(1).cast("bigint").alias("SourceCostCenterID"),
-        F.when(F.col("p_type") == "PROMO", named)
-        .otherwise(F.concat(F.lit("["), listed, F.lit("]")))
-        .alias("TargetSpecification"),
-        F.when(size % 5 == 0, "HEADCOUNT").otherwise("EQUAL").alias("AllocationBasis"),
-        (size * 10).cast("int").alias("ExecutionSequence"),
-        F.lit(VALID_FROM).cast("date").alias("EffectiveFromDate"),
-        (size <= 40).alias("IsActive"),
+    center = "p_partkey DIV 20"
+    by_id = f"""to_json(named_struct('CostCenterID', {center} + {SUPPLIER_BASE}, 'AllocationPercentage', 0.25,
+        'Priority', 1, 'AccountFilter', concat(p_partkey, '%')))"""
+    by_code = f"""to_json(named_struct('CostCenterCode', concat('S', {center} + 1), 'AllocationPercentage', 0.25,
+        'Priority', 2, 'Conditions', CASE WHEN p_size % 4 = 0 THEN named_struct('MinimumSize', p_size) END))"""
+    both = f"""to_json(named_struct('CostCenterID', p_size % 25 + {NATION_BASE}, 'CostCenterCode',
+        concat('S', {center}), 'ExcludePattern', 'X*'))"""
+    named = f"to_json(named_struct('targetCostCenters', array(concat('S', {center}), concat('S', {center} + 1))))"
+    rules = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey + 1 AS AllocationRuleID",
+        "concat('RULE-', p_partkey) AS RuleCode",
+        "concat('Allocate ', p_name) AS RuleName",
+        "CASE WHEN p_size % 2 = 0 THEN 'DIRECT' ELSE 'STEP_DOWN' END AS RuleType",
+        "CASE WHEN p_size % 5 = 0 THEN 'HEADCOUNT' ELSE 'EQUAL' END AS AllocationMethod",
+        "CAST(1 AS BIGINT) AS SourceCostCenterID",
+        f"""CASE WHEN p_type = 'PROMO' THEN {named}
+            ELSE concat('[', concat_ws(',', {by_id}, {by_code}, CASE WHEN p_size % 3 = 0 THEN {both} END), ']')
+            END AS TargetSpecification""",
+        "CASE WHEN p_size % 5 = 0 THEN 'HEADCOUNT' ELSE 'EQUAL' END AS AllocationBasis",
+        "CAST(p_size * 10 AS INT) AS ExecutionSequence",
+        f"{VALID_FROM} AS EffectiveFromDate",
+        "p_size <= 40 AS IsActive",
     )
     return S.complete(rules, S.ALLOCATION_RULE, LOADED_AT)
 
 
 def journals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    periods = fiscal_periods(spark, sf_dir)
-    book = periods.select(
-        F.col("FiscalPeriodID").alias("JournalID"),
-        F.concat(F.lit("CONS-"), F.col("FiscalPeriodID").cast("string")).alias("JournalNumber"),
-        F.lit("ELIMINATION").alias("JournalType"),
-        F.col("FiscalYear").cast("bigint").alias("BudgetHeaderID"),
+    book = fiscal_periods(spark, sf_dir).selectExpr(
+        "FiscalPeriodID AS JournalID",
+        "concat('CONS-', FiscalPeriodID) AS JournalNumber",
+        "'ELIMINATION' AS JournalType",
+        "CAST(FiscalYear AS BIGINT) AS BudgetHeaderID",
         "FiscalPeriodID",
-        F.col("PeriodEndDate").alias("PostingDate"),
-        F.concat(F.lit("Consolidation adjustments for "), F.col("PeriodName")).alias("Description"),
-        F.concat(F.lit("row-"), F.col("FiscalPeriodID").cast("string")).alias("AttachmentRowGuid"),
+        "PeriodEndDate AS PostingDate",
+        "concat('Consolidation adjustments for ', PeriodName) AS Description",
+        "concat('row-', FiscalPeriodID) AS AttachmentRowGuid",
     )
     return S.complete(book, S.CONSOLIDATION_JOURNAL, LOADED_AT)
 
@@ -264,37 +246,34 @@ def journal_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> Da
     Numbering shuffles and stores the lines; pass ``numbered=False`` where no
     line number is read.
     """
-    ledger = budget_lines(spark, sf_dir)
-    credit = F.col("CostCenterID") % 2 == 1
-    amount, nothing = F.col("FinalAmount"), money(F.lit(0))
-    lines = ledger.select(
-        F.col("BudgetLineItemID").alias("JournalLineID"),
-        F.col("FiscalPeriodID").alias("JournalID"),
+    credit, nothing = "CostCenterID % 2 = 1", "CAST(0 AS DECIMAL(19,4))"
+    lines = budget_lines(spark, sf_dir).selectExpr(
+        "BudgetLineItemID AS JournalLineID",
+        "FiscalPeriodID AS JournalID",
         "GLAccountID",
         "CostCenterID",
-        F.when(credit, nothing).otherwise(amount).alias("DebitAmount"),
-        F.when(credit, amount).otherwise(nothing).alias("CreditAmount"),
-        F.when(credit, money(-amount)).otherwise(amount).alias("NetAmount"),
+        f"CASE WHEN {credit} THEN {nothing} ELSE FinalAmount END AS DebitAmount",
+        f"CASE WHEN {credit} THEN FinalAmount ELSE {nothing} END AS CreditAmount",
+        f"CASE WHEN {credit} THEN CAST(-FinalAmount AS DECIMAL(19,4)) ELSE FinalAmount END AS NetAmount",
     )
     if numbered:
         lines = number_rows(lines, ["JournalID"], ["JournalLineID"], "LineNumber")
-        lines = lines.withColumn("LineNumber", F.col("LineNumber").cast("int"))
     else:
-        lines = lines.withColumn("LineNumber", F.lit(None).cast("int"))
+        lines = lines.selectExpr("*", "CAST(NULL AS INT) AS LineNumber")
     return S.complete(lines, S.CONSOLIDATION_JOURNAL_LINE, LOADED_AT)
 
 
 def allocation_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("AllocationSessionID"),
-        F.col("event_id").alias("SourceBudgetLineItemID"),
-        (F.col("user_id") + SUPPLIER_BASE).alias("TargetCostCenterID"),
-        F.col("user_id").alias("TargetGLAccountID"),
-        money("value").alias("AllocatedAmount"),
-        F.lit(1).cast(S.SHARE).alias("AllocationPercentage"),
-        F.lit(1).cast("bigint").alias("AllocationRuleID"),
-        F.lit(1).cast("int").alias("ProcessingSequence"),
-        F.col("ts").alias("CreatedDateTime"),
+    staged = table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS AllocationSessionID",
+        "event_id AS SourceBudgetLineItemID",
+        f"user_id + {SUPPLIER_BASE} AS TargetCostCenterID",
+        "user_id AS TargetGLAccountID",
+        "CAST(value AS DECIMAL(19,4)) AS AllocatedAmount",
+        "CAST(1 AS DECIMAL(8,6)) AS AllocationPercentage",
+        "CAST(1 AS BIGINT) AS AllocationRuleID",
+        "1 AS ProcessingSequence",
+        "ts AS CreatedDateTime",
     )
     return S.complete(staged, S.ALLOCATION_RESULT_STAGING, LOADED_AT)
 
@@ -316,64 +295,56 @@ def import_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON payload per order line: an array of one element, or of two equal
     ones for returned lines of quantity 4. Some codes, months and amounts are
     wrong on purpose."""
-    quantity = F.col("l_quantity")
-    lines = keyed_lines(spark, sf_dir)
-    wrong_account = F.when(quantity == 1, F.lit(1000000000000)).otherwise(F.lit(0))
-    amount = money("l_extendedprice")
-    element = F.to_json(F.struct(
-        (F.col("GLAccountID") + wrong_account).cast("string").alias("account_number"),
-        F.when(quantity == 2, "NOPE")
-        .otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
-        .alias("cost_center_code"),
-        F.col("y").alias("fiscal_year"),
-        F.when(quantity == 3, 13).otherwise(F.col("m")).alias("fiscal_month"),
-        F.when(F.col("l_tax") != 0.08, amount).alias("original_amount"),
-        F.when(F.col("l_discount") > 0, money(-amount * F.col("l_discount").cast(S.WEIGHT))).alias("adjusted_amount"),
-        F.when(F.col("l_returnflag") != "N", "LINEAR").alias("spread_method_code"),
-        F.col("l_returnflag").alias("notes"),
-    ))
-    twice = (F.col("l_returnflag") == "R") & (quantity == 4)
-    return lines.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payload_id"),
-        "BudgetHeaderID",
-        F.concat(F.lit("["), element, F.when(twice, F.concat(F.lit(","), element)).otherwise(F.lit("")), F.lit("]"))
-        .alias("payload"),
+    element = f"""to_json(named_struct(
+        'account_number',
+        CAST(GLAccountID + CASE WHEN l_quantity = 1 THEN 1000000000000 ELSE 0 END AS STRING),
+        'cost_center_code', CASE WHEN l_quantity = 2 THEN 'NOPE' ELSE concat('S', l_suppkey) END,
+        'fiscal_year', y,
+        'fiscal_month', CASE WHEN l_quantity = 3 THEN 13 ELSE m END,
+        'original_amount', CASE WHEN l_tax <> 0.08D THEN {_money('price')} END,
+        'adjusted_amount', CASE WHEN l_discount > 0 THEN {_money('reduction')} END,
+        'spread_method_code', CASE WHEN l_returnflag <> 'N' THEN 'LINEAR' END,
+        'notes', l_returnflag))"""
+    return (
+        keyed_lines(spark, sf_dir)
+        .selectExpr("*", f"{element} AS element")
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS payload_id",
+            "BudgetHeaderID",
+            """concat('[', element,
+                CASE WHEN l_returnflag = 'R' AND l_quantity = 4 THEN concat(',', element) ELSE '' END, ']')
+                AS payload""",
+        )
     )
 
 
 def hierarchy_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON payload per cost center, holding its node; NULL for inactive ones."""
-    centers = cost_centers(spark, sf_dir)
-    id_, parent = F.col("CostCenterID"), F.col("ParentCostCenterID")
-    level = (
-        F.when(id_ >= SUPPLIER_BASE, 3).when(id_ >= NATION_BASE, 2).when(id_ >= REGION_BASE, 1).otherwise(0)
-    )
-    node = F.to_json(F.struct(
-        id_.alias("NodeID"),
-        parent.alias("ParentNodeID"),
-        level.alias("NodeLevel"),
-        F.concat_ws("/", parent.cast("string"), "CostCenterCode").alias("NodePath"),
-        (id_ % 1000).cast("int").alias("SortOrder"),
-        (id_ >= SUPPLIER_BASE).alias("IsLeaf"),
-        F.col("AllocationWeight").alias("AggregationWeight"),
-    ))
-    return centers.select(
-        id_.alias("payload_id"),
-        F.when(F.col("IsActive"), F.concat(F.lit("["), node, F.lit("]"))).alias("payload"),
+    return cost_centers(spark, sf_dir).selectExpr(
+        "CostCenterID AS payload_id",
+        f"""CASE WHEN IsActive THEN concat('[', to_json(named_struct(
+            'NodeID', CostCenterID,
+            'ParentNodeID', ParentCostCenterID,
+            'NodeLevel', CASE WHEN CostCenterID >= {SUPPLIER_BASE} THEN 3 WHEN CostCenterID >= {NATION_BASE} THEN 2
+                         WHEN CostCenterID >= {REGION_BASE} THEN 1 ELSE 0 END,
+            'NodePath', concat_ws('/', ParentCostCenterID, CostCenterCode),
+            'SortOrder', CAST(CostCenterID % 1000 AS INT),
+            'IsLeaf', CostCenterID >= {SUPPLIER_BASE},
+            'AggregationWeight', AllocationWeight)), ']') END AS payload""",
     )
 
 
 def factor_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One allocation-factor request per order; some ask for empty periods or
     unknown targets."""
-    key, y, m = F.col("o_orderkey"), F.year("o_orderdate"), F.month("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
-        key.alias("request_id"),
-        F.lit(1).cast("bigint").alias("SourceCostCenterID"),
-        (F.col("o_custkey") + SUPPLIER_BASE).alias("TargetCostCenterID"),
-        F.when(key % 3 == 0, "EQUAL").when(key % 3 == 1, "HEADCOUNT").otherwise("REVENUE").alias("AllocationBasis"),
-        _period_id(y, F.when(key % 50 == 0, 13).otherwise(m)).alias("FiscalPeriodID"),
-        y.cast("bigint").alias("BudgetHeaderID"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS request_id",
+        "CAST(1 AS BIGINT) AS SourceCostCenterID",
+        f"o_custkey + {SUPPLIER_BASE} AS TargetCostCenterID",
+        "CASE o_orderkey % 3 WHEN 0 THEN 'EQUAL' WHEN 1 THEN 'HEADCOUNT' ELSE 'REVENUE' END AS AllocationBasis",
+        """CAST(year(o_orderdate) AS BIGINT) * 100
+            + CASE WHEN o_orderkey % 50 = 0 THEN 13 ELSE month(o_orderdate) END AS FiscalPeriodID""",
+        "CAST(year(o_orderdate) AS BIGINT) AS BudgetHeaderID",
     )
 
 
@@ -415,21 +386,18 @@ def sql_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     By customer the statement stands alone, inside a comment, or next to a bare
     or a targeted noqa mark.
     """
-    which = F.col("o_orderkey") % len(STATEMENTS)
-    statement = F.array(*[F.lit(s) for _, s in STATEMENTS])[which.cast("int")]
-    code = F.array(*[F.lit(c) for c, _ in STATEMENTS])[which.cast("int")]
-    dressed = (
-        F.when(F.col("o_custkey") % 4 == 1, F.concat(F.lit("/* "), statement, F.lit("\n*/")))
-        .when(F.col("o_custkey") % 4 == 2, F.concat(statement, F.lit(" -- noqa")))
-        .when(F.col("o_custkey") % 4 == 3, F.concat(statement, F.lit(" -- noqa: "), code))
-        .otherwise(statement)
-    )
-    key = F.col("o_orderkey").cast("string")
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("q/"), key, F.lit(".sql")).alias("path"),
-        F.concat(
-            F.lit("-- order "), key, F.lit(": ISNULL(), LEN() were replaced\n"),
-            dressed,
-            F.lit("\n  SELECT [status], LEN('"), F.col("o_orderpriority"), F.lit("') FROM sales;\n"),
-        ).alias("text"),
+    which = f"CAST(o_orderkey % {len(STATEMENTS)} AS INT)"
+    codes = ", ".join(quoted(c) for c, _ in STATEMENTS)
+    statements = ", ".join(quoted(s) for _, s in STATEMENTS)
+    return (
+        spread(table(spark, sf_dir, "orders"), "o_orderkey")
+        .selectExpr("*", f"array({statements})[{which}] AS statement", f"array({codes})[{which}] AS code")
+        .selectExpr(
+            "concat('q/', o_orderkey, '.sql') AS path",
+            """concat('-- order ', o_orderkey, ': ISNULL(), LEN() were replaced\\n',
+                CASE o_custkey % 4 WHEN 1 THEN concat('/* ', statement, '\\n*/')
+                    WHEN 2 THEN concat(statement, ' -- noqa')
+                    WHEN 3 THEN concat(statement, ' -- noqa: ', code) ELSE statement END,
+                '\\n  SELECT [status], LEN(\\'', o_orderpriority, '\\') FROM sales;\\n') AS text""",
+        )
     )

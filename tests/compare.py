@@ -49,7 +49,7 @@ def spark_rows(df):
 
 
 def difference(spark, db, sf_dir, name, query, text):
-    """None when both sides agree, else what differs."""
+    """'ok' and the row count when both sides agree, else what differs."""
     have, want = spark_rows(query(spark, sf_dir)), sql_rows(db, text)
     if have[0] != want[0]:
         return f"columns {sorted(set(have[0]) ^ set(want[0]))}"
@@ -60,7 +60,7 @@ def difference(spark, db, sf_dir, name, query, text):
             f"  only in Spark {sum(extra.values())}: {list(extra)[:2]}\n"
             f"  only in SQL   {sum(missing.values())}: {list(missing)[:2]}"
         )
-    return None
+    return f"ok {sum(have[1].values())}"
 
 
 def session(cpus=8):
@@ -71,6 +71,7 @@ def session(cpus=8):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
@@ -85,7 +86,7 @@ def main(sf_dir, *names):
     for name in names or queries:
         started = time.time()
         try:
-            found = difference(spark, db, sf_dir, name, queries[name], oracles[name]) or "ok"
+            found = difference(spark, db, sf_dir, name, queries[name], oracles[name])
         except Exception as error:  # report and go on with the next query
             found = f"ERROR {type(error).__name__} {str(error)[:600]}"
         print(f"{name:32s} {time.time() - started:6.1f}s {found}", flush=True)
