@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 #: Comments, or the shortest runs that cannot start one. Literals are not special.
 _PIECES = r"(--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|[^-/]++|[-/])"
 #: Every character that ends a line.
-_LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85  ]"
-_BLANK = r"[\s\x1C-\x1F\x85   -     　]"
+_LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
+_BLANK = r"[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _NOQA = r"(?iU)--\s*noqa\b(?::\s*([\w\s,]+))?"
 _ASTRAL_WORD = r"[\x{10000}-\x{10FFFF}&&[\p{L}\p{N}]]"
 _ASTRAL = r"[\x{10000}-\x{10FFFF}]"
@@ -35,7 +35,7 @@ def one_unit(text: Column) -> Column:
     Regex positions count UTF-16 units; after this they count characters.
     """
     return F.when(
-        text.rlike(_ASTRAL), F.regexp_replace(F.regexp_replace(text, _ASTRAL_WORD, "æ"), _ASTRAL, "〓")
+        text.rlike(_ASTRAL), F.regexp_replace(F.regexp_replace(text, _ASTRAL_WORD, "\u00e6"), _ASTRAL, "\u3013")
     ).otherwise(text)
 
 
@@ -47,8 +47,12 @@ def stripped(text: Column) -> Column:
     return F.regexp_replace(text, f"^{_BLANK}+|{_BLANK}+$", "")
 
 
+def has_text(line: Column) -> Column:
+    return line.rlike(f"[^{_BLANK[1:]}")
+
+
 def has_noqa(line: Column) -> Column:
-    return line.rlike(_NOQA)
+    return line.contains("--") & line.rlike(_NOQA)
 
 
 def noqa_codes(line: Column) -> Column:

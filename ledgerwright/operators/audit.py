@@ -53,34 +53,37 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     All references of a table leave it in one pass and are counted per value
     before they meet the parents, so a value that fills a third of the table
-    travels as one row.
+    travels as one row. Constraints and parents travel as numbers.
     """
-    references, parents = [], {}
+    names, references, parents = [], {}, {}
     for table, df in _present(tables):
-        checked = [fk for fk in table.foreign_keys if fk.parent in tables]
-        if not checked:
-            continue
-        for fk in checked:
-            parents[fk.parent] = tables[fk.parent].selectExpr(
-                f"'{fk.parent}' AS parent", f"CAST({fk.parent_key} AS DECIMAL(38,0)) AS key"
+        by_type: dict[str, list[str]] = {}
+        for fk in table.foreign_keys:
+            if fk.parent not in tables:
+                continue
+            parent = tables[fk.parent]
+            type_ = parent.schema[fk.parent_key].dataType.simpleString()
+            place = list(tables).index(fk.parent)
+            by_type.setdefault(type_, []).append(
+                f"struct({len(names)} AS fk, {place} AS parent, CAST({fk.column} AS {type_}) AS key)"
             )
-        pairs = ", ".join(
-            f"struct('{fk.name}' AS constraint_name, '{fk.parent}' AS parent,"
-            f" CAST({fk.column} AS DECIMAL(38,0)) AS key)"
-            for fk in checked
-        )
-        references.append(
-            df.selectExpr(f"inline(array({pairs}))")
-            .where("key IS NOT NULL")
-            .groupBy("constraint_name", "parent", "key")
-            .agg(rows().alias("orphan_rows"))
-            .withColumn("table_name", F.lit(table.name))
-        )
-    return (
-        _union(references)
-        .join(_union(list(parents.values())), ["parent", "key"], "left_anti")
-        .selectExpr("table_name", "constraint_name", "CAST(key AS STRING) AS key", "orphan_rows")
-    )
+            names.append((table.name, fk.name))
+            parents.setdefault(type_, {})[place] = parent.selectExpr(f"{place} AS parent", f"{fk.parent_key} AS key")
+        for type_, pairs in by_type.items():
+            references.setdefault(type_, []).append(
+                df.selectExpr(f"inline(array({', '.join(pairs)}))")
+                .where("key IS NOT NULL")
+                .groupBy("fk", "parent", "key")
+                .agg(rows().alias("orphan_rows"))
+            )
+    labels = ", ".join(f"struct('{t}' AS table_name, '{n}' AS constraint_name)" for t, n in names)
+    return _union([
+        _union(found)
+        .join(_union(list(parents[type_].values())), ["parent", "key"], "left_anti")
+        .selectExpr(f"array({labels})[fk] AS label", "CAST(key AS STRING) AS key", "orphan_rows")
+        .select("label.*", "key", "orphan_rows")
+        for type_, found in references.items()
+    ])
 
 
 def _violations(df: DataFrame, table: Table, broken: dict[str, str], label: str) -> DataFrame:

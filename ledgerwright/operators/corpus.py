@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwright.functions.exprs import quoted
-from ledgerwright.functions.text import blank_comments, has_noqa, lines, noqa_codes, one_unit, stripped
+from ledgerwright.functions.text import blank_comments, has_noqa, has_text, lines, noqa_codes, one_unit, stripped
 
 SNIPPET_LENGTH = 120
 
@@ -23,66 +23,71 @@ class Rule(NamedTuple):
     pattern: str
     message: str
     remedy: str
+    words: tuple[str, ...] = ()  # upper case; a match contains one of them
 
 
 #: Severities, most severe first, and the rules. Patterns ignore case.
 SEVERITIES = ("error", "warning", "info")
 RULES = (
     Rule("SS001", "error", r"\bGETDATE\s*\(\s*\)",
-         "GETDATE() is not available.", "Call CURRENT_TIMESTAMP()."),
+         "GETDATE() is not available.", "Call CURRENT_TIMESTAMP().", ("GETDATE",)),
     Rule("SS002", "error", r"\bGETUTCDATE\s*\(\s*\)",
-         "GETUTCDATE() is not available.", "Call SYSDATE(), which is in UTC."),
+         "GETUTCDATE() is not available.", "Call SYSDATE(), which is in UTC.", ("GETUTCDATE",)),
     Rule("SS003", "error", r"\bISNULL\s*\(",
-         "ISNULL() is not available.", "Call COALESCE() or IFNULL()."),
+         "ISNULL() is not available.", "Call COALESCE() or IFNULL().", ("ISNULL",)),
     Rule("SS004", "error", r"(?:^|(?<=[\s(,=+|]))N'[^']*'",
-         "N'...' literals are not valid.", "Remove the N; strings are Unicode."),
+         "N'...' literals are not valid.", "Remove the N; strings are Unicode.", ("N'",)),
     Rule("SS005", "error", r"\[[A-Za-z_][\w ]*\]",
-         "Identifier in brackets.", "Quote it with double quotes, or not at all."),
+         "Identifier in brackets.", "Quote it with double quotes, or not at all.", ("[",)),
     Rule("SS006", "error", r"@@ROWCOUNT",
-         "@@ROWCOUNT is not available.", "Read SQLROWCOUNT in a scripting block."),
+         "@@ROWCOUNT is not available.", "Read SQLROWCOUNT in a scripting block.", ("@@ROWCOUNT",)),
     Rule("SS007", "error", r"@@IDENTITY|\bSCOPE_IDENTITY\s*\(\s*\)",
-         "The last identity value is not available.", "Use a sequence, or look the row up by a value of this run."),
+         "The last identity value is not available.", "Use a sequence, or look the row up by a value of this run.",
+         ("IDENTITY",)),
     Rule("SS008", "error", r"\bSELECT\s+TOP\s+\(?\s*\d+",
-         "SELECT TOP is not valid.", "Use LIMIT."),
+         "SELECT TOP is not valid.", "Use LIMIT.", ("TOP",)),
     Rule("SS009", "error", r"\bIDENTITY\s*\(\s*\d+\s*,\s*\d+\s*\)",
-         "IDENTITY(seed, step) is not valid.", "Declare the column AUTOINCREMENT."),
+         "IDENTITY(seed, step) is not valid.", "Declare the column AUTOINCREMENT.", ("IDENTITY",)),
     Rule("SS010", "error", r"\bNVARCHAR\s*\(|\bNCHAR\s*\(|\bNTEXT\b",
-         "National character types do not exist.", "Declare VARCHAR."),
+         "National character types do not exist.", "Declare VARCHAR.", ("NVARCHAR", "NCHAR", "NTEXT")),
     Rule("SS011", "error", r"\bDATETIME2?\b(?!_)",
-         "DATETIME and DATETIME2 do not exist.", "Declare TIMESTAMP_NTZ, or TIMESTAMP_TZ with an offset."),
+         "DATETIME and DATETIME2 do not exist.", "Declare TIMESTAMP_NTZ, or TIMESTAMP_TZ with an offset.",
+         ("DATETIME",)),
     Rule("SS012", "error", r"\bUNIQUEIDENTIFIER\b",
-         "UNIQUEIDENTIFIER does not exist.", "Declare VARCHAR(36) and default it to UUID_STRING()."),
+         "UNIQUEIDENTIFIER does not exist.", "Declare VARCHAR(36) and default it to UUID_STRING().",
+         ("UNIQUEIDENTIFIER",)),
     Rule("SS013", "error", r"\bMONEY\b|\bSMALLMONEY\b",
-         "MONEY types do not exist.", "Declare NUMBER(19,4)."),
+         "MONEY types do not exist.", "Declare NUMBER(19,4).", ("MONEY",)),
     Rule("SS014", "error", r"\bCREATE\s+(?:NON)?CLUSTERED\s+INDEX\b|\bCREATE\s+INDEX\b",
-         "Indexes cannot be created.", "Remove it; CLUSTER BY helps pruning."),
+         "Indexes cannot be created.", "Remove it; CLUSTER BY helps pruning.", ("INDEX",)),
     Rule("SS015", "error", r"\bWITH\s*\(\s*NOLOCK\s*\)|\bNOLOCK\b",
-         "NOLOCK is a locking hint.", "Remove it; readers do not block."),
+         "NOLOCK is a locking hint.", "Remove it; readers do not block.", ("NOLOCK",)),
     Rule("SS016", "error", r"\bsp_executesql\b|\bEXEC\s*\(",
-         "Dynamic SQL of another dialect.", "Use EXECUTE IMMEDIATE."),
+         "Dynamic SQL of another dialect.", "Use EXECUTE IMMEDIATE.", ("EXEC",)),
     Rule("SS017", "error", r"\b(?:BEGIN|COMMIT|ROLLBACK)\s+TRAN\b",
-         "TRAN is an abbreviation of another dialect.", "Write TRANSACTION, or plain COMMIT and ROLLBACK."),
+         "TRAN is an abbreviation of another dialect.", "Write TRANSACTION, or plain COMMIT and ROLLBACK.", ("TRAN",)),
     Rule("SS018", "error", r"\bPRINT\s+",
-         "PRINT is not available.", "Return the value."),
+         "PRINT is not available.", "Return the value.", ("PRINT",)),
     Rule("SS019", "error", r"\bDATEADD\s*\(\s*(?:yy|yyyy|mm|m|dd|d|hh|mi|n|ss|s|ms)\b",
-         "Abbreviated date part in DATEADD.", "Write the part in full."),
+         "Abbreviated date part in DATEADD.", "Write the part in full.", ("DATEADD",)),
     Rule("SS020", "error", r"\bCREATE\s+TYPE\b.*\bAS\s+TABLE\b",
-         "Table types do not exist.", "Pass a staging table or an array."),
+         "Table types do not exist.", "Pass a staging table or an array.", ("TYPE",)),
     Rule("SS101", "warning", r"\+\s*(?:N?'|\w+\s*\+)",
-         "Strings joined with + may be added as numbers.", "Join them with || or CONCAT()."),
+         "Strings joined with + may be added as numbers.", "Join them with || or CONCAT().", ("+",)),
     Rule("SS102", "info", r"\bTINYINT\b|\bSMALLINT\b|\bBIGINT\b|\bINT\b",
-         "All integer types are one 38-digit number.", "Declare a precision where the width mattered."),
+         "All integer types are one 38-digit number.", "Declare a precision where the width mattered.", ("INT",)),
     Rule("SS103", "warning", r"\bCHARINDEX\s*\(",
-         "CHARINDEX takes its arguments in another order.", "Use POSITION and check the order."),
+         "CHARINDEX takes its arguments in another order.", "Use POSITION and check the order.", ("CHARINDEX",)),
     Rule("SS104", "warning", r"\bLEN\s*\(",
-         "LEN() leaves trailing blanks out, LENGTH() counts them.", "Use LENGTH(), after a TRIM() if it mattered."),
+         "LEN() leaves trailing blanks out, LENGTH() counts them.", "Use LENGTH(), after a TRIM() if it mattered.",
+         ("LEN",)),
     Rule("SS105", "warning", r"\bTRUNCATE\s+TABLE\b",
-         "TRUNCATE acts differently inside a transaction.", "Check the transaction around it."),
+         "TRUNCATE acts differently inside a transaction.", "Check the transaction around it.", ("TRUNCATE",)),
     Rule("SS106", "warning", r"\bMERGE\b",
-         "MERGE treats several matches of a row differently.", "Make the source unique per target row."),
+         "MERGE treats several matches of a row differently.", "Make the source unique per target row.", ("MERGE",)),
     Rule("SS107", "warning",
          r":=\s*\(\s*SELECT\s+MAX\s*\(\s*[\w.]*ID\s*\)|\bSELECT\s+MAX\s*\(\s*[\w.]*ID\s*\)\s+INTO\b",
-         "MAX() of an id is not the row just written.", "Write a value of this run and look it up."),
+         "MAX() of an id is not the row just written.", "Write a value of this run and look it up.", ("MAX",)),
 )
 
 
@@ -98,7 +103,14 @@ def _hits(rules: list[Rule]) -> str:
     Word characters are those of Unicode. The texts of a rule are looked up for
     its hits only.
     """
-    places = ", ".join(f"regexp_instr(scan, {quoted('(?iU)' + r.pattern)})" for r in rules)
+
+    def place(rule: Rule) -> str:
+        found = f"regexp_instr(scan, {quoted('(?iU)' + rule.pattern)})"
+        # plain text is searched for a word first, other text may fold case in more ways
+        hints = " OR ".join(["NOT plain", *[f"contains(upscan, {quoted(w)})" for w in rule.words]])
+        return f"CASE WHEN {hints} THEN {found} ELSE 0 END"
+
+    places = ", ".join(place(r) for r in rules)
     texts = ", ".join(
         f"struct({quoted(r.code)} AS code, {quoted(r.severity)} AS severity,"
         f" {quoted(r.message)} AS message, {quoted(r.remedy)} AS remedy)"
@@ -116,17 +128,20 @@ def sql_corpus_findings(corpus: DataFrame, min_severity: str = "warning") -> Dat
     line drops the line, or the codes it names. Lines are numbered after
     blanking, so a line end inside a comment other than a newline does not count.
     """
+    text = F.regexp_replace("text", "^\ufeff", "")
     scanned = (
-        corpus.select("path", F.regexp_replace("text", "^﻿", "").alias("text"))
-        .select("path", lines(F.col("text")).alias("raws"), lines(one_unit(blank_comments(F.col("text")))).alias("scans"))
-        .select("path", "raws", F.posexplode("scans").alias("pos", "scan"))
-        .where(stripped(F.col("scan")) != "")
-        .select("path", (F.col("pos") + 1).alias("line"), "scan", F.col("raws")[F.col("pos")].alias("raw"))
+        corpus.select("path", text.alias("text"), blank_comments(text).alias("code"))
+        .select("path", lines(one_unit(F.col("code"))).alias("scan"), lines(F.col("text")).alias("raw"))
+        # zipped first, so that a line does not carry its whole file along
+        .selectExpr("path", "posexplode(arrays_zip(scan, raw)) AS (pos, both)")
+        .selectExpr("path", "pos + 1 AS line", "both.scan", "both.raw")
+        .where(has_text(F.col("scan")))
     )
     raw = F.col("raw")
     return (
         scanned.withColumn("muted", F.when(has_noqa(raw), noqa_codes(raw)))
         .where("muted IS NULL OR size(muted) > 0")
+        .selectExpr("*", "upper(scan) AS upscan", "octet_length(scan) = length(scan) AS plain")
         .selectExpr("path", "line", "raw", "muted", f"explode({_hits(rules_at(min_severity))}) AS hit")
         .where("NOT coalesce(array_contains(muted, hit.about.code), false)")
         .withColumn("snippet", F.substring(stripped(raw), 1, SNIPPET_LENGTH))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp
 from ledgerwright.functions.numbering import number_rows
+from ledgerwright.functions.stored import materialize
 from ledgerwright.operators.hierarchy import elements, field
 from ledgerwright.schemas import BUDGET_LINE_ITEM, LONG, NATURAL_KEY, complete
 
@@ -98,9 +99,12 @@ def import_validate(
 
     A repeated key rejects all its rows, also where one of them is invalid for
     another reason. ``line_exists`` is only looked up for rows that pass so far.
+    The resolved rows are stored first: they are read for their keys and again
+    for the rows, and reading them costs less than parsing the payloads twice.
     """
     if duplicate_handling not in DUPLICATE_HANDLING:
         raise ValueError("Duplicate handling must be REJECT or UPDATE")
+    resolved = materialize(resolved, "staged")
     missing = "original_amount IS NULL" if validation_mode in STRICT_MODES else "false"
     reason = f"""CASE WHEN GLAccountID IS NULL THEN '{UNKNOWN_ACCOUNT}'
         WHEN CostCenterID IS NULL THEN '{UNKNOWN_COST_CENTER}'
@@ -172,6 +176,30 @@ def import_updates(ledger: DataFrame, validated: DataFrame, batch_id: str, now:
     ])
 
 
+def run_import(
+    payloads: DataFrame,
+    ledger: DataFrame,
+    accounts: DataFrame,
+    centers: DataFrame,
+    periods: DataFrame,
+    batch_id: str,
+    now: str,
+    duplicate_handling: str = "REJECT",
+    validation_mode: str = "STRICT",
+    new_id: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """All steps: the ledger after the import, and the result per budget.
+
+    The validated rows are stored once and read by both.
+    """
+    resolved = import_resolve_keys(import_payload_rows(payloads), accounts, centers, periods)
+    validated = materialize(import_validate(resolved, ledger, duplicate_handling, validation_mode), "validated")
+    return (
+        import_apply(ledger, validated, batch_id, now, duplicate_handling, new_id),
+        import_result(validated, batch_id, duplicate_handling),
+    )
+
+
 def import_apply(
     ledger: DataFrame,
     validated: DataFrame,

@@ -102,11 +102,24 @@ def import_validate(spark, d):
     return importer.import_validate(import_resolve_keys(spark, d), _booked(spark, d), "REJECT")
 
 
+def _imported(spark, d, duplicate_handling):
+    return importer.run_import(
+        retail.import_payloads(spark, d),
+        _booked(spark, d),
+        retail.gl_accounts(spark, d, dirty=True),
+        retail.cost_centers(spark, d),
+        retail.fiscal_periods(spark, d),
+        BATCH,
+        NOW,
+        duplicate_handling,
+        new_id=retail.LINE_ID,
+    )
+
+
 @query
 def import_apply(spark, d):
-    ledger = _booked(spark, d)
-    validated = importer.import_validate(import_resolve_keys(spark, d), ledger, "UPDATE")
-    return importer.import_apply(ledger, validated, BATCH, NOW, "UPDATE", retail.LINE_ID).select(
+    ledger, _ = _imported(spark, d, "UPDATE")
+    return ledger.select(
         "BudgetLineItemID", "BudgetHeaderID", "GLAccountID", "CostCenterID", "FiscalPeriodID", "OriginalAmount",
         "AdjustedAmount", "FinalAmount", "SpreadMethodCode", "ImportBatchID", "LastModifiedDateTime",
     )
@@ -114,7 +127,8 @@ def import_apply(spark, d):
 
 @query
 def import_result(spark, d):
-    return importer.import_result(import_validate(spark, d), BATCH, "REJECT")
+    _, result = _imported(spark, d, "REJECT")
+    return result
 
 
 def _headers(spark, d):
@@ -346,7 +360,10 @@ def audit_foreign_keys(spark, d):
 
 @query
 def audit_checks(spark, d):
-    return audit.audit_checks(_audited(spark, d))
+    tables = _audited(spark, d)
+    # the net amount on the debit side: negative wherever the line is a credit
+    tables["ConsolidationJournalLine"] = tables["ConsolidationJournalLine"].withColumn("DebitAmount", F.col("NetAmount"))
+    return audit.audit_checks(tables)
 
 
 @query
