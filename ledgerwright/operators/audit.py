@@ -53,7 +53,9 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     All references of a table leave it in one pass and are counted per value
     before they meet the parents, so a value that fills a third of the table
-    travels as one row. Constraints and parents travel as numbers.
+    travels as one row. Constraints and parents travel as numbers. A left join
+    with a filter stands for the anti join, which Spark would push below the
+    union and repeat for every table.
     """
     names, references, parents = [], {}, {}
     for table, df in _present(tables):
@@ -68,7 +70,9 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
                 f"struct({len(names)} AS fk, {place} AS parent, CAST({fk.column} AS {type_}) AS key)"
             )
             names.append((table.name, fk.name))
-            parents.setdefault(type_, {})[place] = parent.selectExpr(f"{place} AS parent", f"{fk.parent_key} AS key")
+            parents.setdefault(type_, {})[place] = parent.selectExpr(
+                f"{place} AS parent", f"{fk.parent_key} AS key", "true AS known"
+            )
         for type_, pairs in by_type.items():
             references.setdefault(type_, []).append(
                 df.selectExpr(f"inline(array({', '.join(pairs)}))")
@@ -79,7 +83,8 @@ def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     labels = ", ".join(f"struct('{t}' AS table_name, '{n}' AS constraint_name)" for t, n in names)
     return _union([
         _union(found)
-        .join(_union(list(parents[type_].values())), ["parent", "key"], "left_anti")
+        .join(_union(list(parents[type_].values())), ["parent", "key"], "left")
+        .where("known IS NULL")
         .selectExpr(f"array({labels})[fk] AS label", "CAST(key AS STRING) AS key", "orphan_rows")
         .select("label.*", "key", "orphan_rows")
         for type_, found in references.items()

@@ -96,14 +96,15 @@ def budget_grid(
     The adjusted amount and the adjustment inside the final amount are two
     separate draws.
     """
-    usable = _indexed(accounts.where("IsBudgetable").select("GLAccountID", "AccountType"), "GLAccountID", "a")
-    active = _indexed(centers.where("IsActive").select("CostCenterID"), "CostCenterID", "c")
+    accounts, centers = accounts.where("IsBudgetable"), centers.where("IsActive")
+    usable = _indexed(accounts.select("GLAccountID", "AccountType"), "GLAccountID", "a")
+    active = _indexed(centers.select("CostCenterID"), "CostCenterID", "c")
     year = Window.partitionBy("FiscalYear").orderBy("FiscalMonth", "FiscalPeriodID")
     months = periods.select(
         "FiscalYear", "FiscalPeriodID", (F.row_number().over(year) - 1).cast("bigint").alias("p")
     )
     per_year = periods.groupBy("FiscalYear").agg(rows().alias("periods"))
-    n_accounts, n_centers = _counted(usable), _counted(active)
+    n_accounts, n_centers = _counted(accounts), _counted(centers)
     owners = (
         headers.select("BudgetHeaderID", "FiscalYear")
         .join(per_year, "FiscalYear")
@@ -159,11 +160,10 @@ def journal_lines_numbered(
     A journal has at most ``lines`` lines, so a plain window numbers them. The
     three amounts are separate draws.
     """
-    postable = _indexed(
-        accounts.where("IsPostable").select("GLAccountID", "AccountName", "NormalBalance"), "GLAccountID", "a"
-    )
-    active = _indexed(centers.where("IsActive").select("CostCenterID", "CostCenterName"), "CostCenterID", "c")
-    n_accounts, n_centers = _counted(postable), _counted(active)
+    accounts, centers = accounts.where("IsPostable"), centers.where("IsActive")
+    postable = _indexed(accounts.select("GLAccountID", "AccountName", "NormalBalance"), "GLAccountID", "a")
+    active = _indexed(centers.select("CostCenterID", "CostCenterName"), "CostCenterID", "c")
+    n_accounts, n_centers = _counted(accounts), _counted(centers)
     owners = (
         journals.select("JournalID")
         .withColumn("accounts", n_accounts)
