@@ -1,7 +1,7 @@
 """Cost-allocation and consolidation journals, one per budget.
 
-A run is identified by ``Run``: its id, its clock and the first free journal
-id are fixed before anything is computed, so a retried task writes the same
+A run is identified by ``Run``: its id, its clock and the first free ids are
+fixed before anything is computed, so a retried task writes the same
 numbers. Nothing is read back to find the new journal.
 """
 
@@ -21,11 +21,12 @@ from ledgerwright.schemas import CONSOLIDATION_JOURNAL, TOTAL, complete
 
 @dataclass(frozen=True)
 class Run:
-    """``id`` is 32 hex digits; ``journal_base`` must not be below any existing journal id."""
+    """``id`` is 32 hex digits; the bases must not be below any existing journal or line id."""
 
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
     now: str = field(default_factory=lambda: datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
     journal_base: int = 0
+    line_base: int = 0
 
 
 def requested_headers(headers: DataFrame, ids: DataFrame) -> DataFrame:
@@ -65,7 +66,8 @@ def _lines(ledger: DataFrame, journal: DataFrame, run: Run) -> DataFrame:
     entries = ledger.select(
         "BudgetHeaderID", "BudgetLineItemID", "GLAccountID", "CostCenterID", "FinalAmount"
     ).join(journal.select("BudgetHeaderID", "JournalID"), "BudgetHeaderID")
-    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber").selectExpr(
+    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber", overall="n").selectExpr(
+        f"{run.line_base} + n AS JournalLineID",
         "JournalID",
         "CAST(LineNumber AS INT) AS LineNumber",
         "GLAccountID",

@@ -323,7 +323,8 @@ ORACLES["consolidation_journal"] = sql(_with_guid("consol_journal"), "consol_jou
 
 def _journal_lines(journal: str, join: str = "") -> str:
     return f"""
-SELECT JournalID, CAST(row_number() OVER (PARTITION BY JournalID ORDER BY BudgetLineItemID) AS INTEGER) AS LineNumber,
+SELECT {RUN.line_base} + row_number() OVER (ORDER BY JournalID, BudgetLineItemID) AS JournalLineID,
+       JournalID, CAST(row_number() OVER (PARTITION BY JournalID ORDER BY BudgetLineItemID) AS INTEGER) AS LineNumber,
        l.GLAccountID, l.CostCenterID, l.FinalAmount AS DebitAmount, CAST(0 AS DECIMAL(19,4)) AS CreditAmount,
        l.FinalAmount AS NetAmount, {STAMP} AS CreatedDateTime
 FROM BudgetLineItem l JOIN {journal} j ON l.BudgetHeaderID = j.BudgetHeaderID {join}"""
@@ -532,7 +533,8 @@ def _journal_amount(salt: int) -> str:
 
 
 ORACLES["journal_lines_numbered"] = sql(f"""
-SELECT JournalID, CAST(row_number() OVER (PARTITION BY JournalID ORDER BY GLAccountID, CostCenterID) AS INTEGER)
+SELECT {RUN.line_base} + row_number() OVER (ORDER BY JournalID, BudgetLineItemID) AS JournalLineID,
+       JournalID, CAST(row_number() OVER (PARTITION BY JournalID ORDER BY GLAccountID, CostCenterID) AS INTEGER)
            AS LineNumber,
        GLAccountID, CostCenterID,
        CASE WHEN NormalBalance = 'D' THEN {_journal_amount(4)} ELSE 0 END AS DebitAmount,

@@ -4,6 +4,7 @@ from sample_ledger import NOW
 
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.functions.stored import SETTING, materialize, shared_folder
+from ledgerwright.operators import journals
 from ledgerwright.sources import files
 
 
@@ -19,6 +20,8 @@ def test_numbers_follow_the_order_in_every_group(spark):
         seen[g] = seen.get(g, 0) + 1
         want[g, i] = seen[g]
     assert got == want
+    both = number_rows(df, ["g"], ["id"], "n", overall="all").orderBy("g", "id").collect()
+    assert [r["all"] for r in both] == list(range(1, 12001)) and all(r.n == want[r.g, r.id] for r in both)
     flat = [r.n for r in number_rows(df, [], ["id"], "n").orderBy("id").collect()]
     assert flat == list(range(1, 12001))
     assert number_rows(df.limit(0), ["g"], ["id"], "n").collect() == []
@@ -56,6 +59,18 @@ def test_required_columns_are_checked_on_write(spark, sample, tmp_path):
         raise AssertionError("a NULL was written")
 
 
+def test_a_journal_run_is_stored_whole(spark, sample, tmp_path):
+    run = journals.Run(id="0" * 32, now=NOW, journal_base=10, line_base=100)
+    journal = journals.cost_allocation_journal(sample["BudgetHeader"], run)
+    lines = journals.cost_allocation_lines(sample["BudgetLineItem"], journal, run)
+    files.append_run(
+        {"ConsolidationJournal": journal, "ConsolidationJournalLine": lines}, str(tmp_path), run.id, run.now)
+    stored = files.read_runs(spark, str(tmp_path), "ConsolidationJournalLine")
+    assert stored.select("JournalLineID").distinct().count() == 250
+    assert stored.where("JournalLineID BETWEEN 101 AND 350 AND LocalCurrencyCode = 'USD'").count() == 250
+    assert files.read_runs(spark, str(tmp_path), "ConsolidationJournal").count() == 3
+
+
 def test_a_run_counts_once_it_is_committed(spark, sample, tmp_path):
     root = str(tmp_path)
     centers = sample["CostCenter"]
