@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerwright.llm import near_dedup
+from ledgerwright.llm import line_dedup, near_dedup
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,3 +25,14 @@ def query(build: Query) -> Query:
 @query
 def op3_minhash_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"), size=3, percent=85, lower=True)
+
+
+@query
+def op5_line_dedup(spark, d):
+    rows = line_dedup.dedup_lines(table(spark, d, "documents"))
+    return rows.select(
+        "doc_id",
+        F.col("__lines").cast("long").alias("n_lines"),
+        F.col("__removed").cast("long").alias("n_removed"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
