@@ -1,46 +1,73 @@
-"""Links inside dense groups by comparison with their best linked members."""
+"""Components of links, completed inside dense groups by comparison with their best linked members."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwright.llm.components import components
 from ledgerwright.llm.shared import Workspace
 
 
-def hub_links(space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed) -> DataFrame:
-    """``links`` and what comparing every member of a cell with the cell's hub adds.
+def hub_components(
+    space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed
+) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all linked nodes, and all links.
 
     ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
-    ``confirmed`` keeps the pairs that are links. A cell's hub is the node with most
-    links so far, the least one among equals; each round takes the next hub. Rounds
-    end when one finds no link. A round is linear in the cells: hubs are chosen by an
-    aggregate and joined back.
+    ``confirmed`` keeps the pairs that are links. While a cell holds several
+    components, its members outside the hub's component are compared with the hub:
+    the node with most links, the least one among equals, another one in each round.
+    Rounds end when one finds no link. A round is linear in the cells: hubs are chosen
+    by an aggregate and joined back.
     """
+    labels = space.store(components(space, links), "components")
     if not dense.limit(1).count():
-        return links
+        return labels, links
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+    degrees = space.store(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
+    members = dense.distinct().join(degrees, "node", "left")
+    members = space.store(members.select("cell", "node", F.coalesce("links", F.lit(0)).alias("links")), "cell-members")
     used = None
     while True:
-        ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-        degrees = space.store(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
-        ranked = dense.join(degrees, "node", "left")
-        if used is not None:
-            ranked = ranked.join(used.withColumnRenamed("hub", "node"), ["cell", "node"], "left_anti")
-        ranked = ranked.select("cell", "node", F.coalesce("links", F.lit(0)).alias("links"))
-        most = ranked.groupBy("cell").agg(F.max("links").alias("links"))
-        most = space.store(most, "most")
-        chosen = space.store(
-            ranked.join(most, ["cell", "links"]).groupBy("cell").agg(F.min("node").alias("hub")), "hubs"
-        )
+        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = space.store(named, "named")
+        mixed = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        mixed = space.store(mixed.where("low < high").select("cell"), "mixed")
+        open_ = named.join(mixed, "cell", "left_semi")
+        free = open_ if used is None else open_.join(used.select("cell", F.col("hub").alias("node")), ["cell", "node"], "left_anti")
+        most = space.store(free.groupBy("cell").agg(F.max("links").alias("links")), "most")
+        chosen = free.join(most, ["cell", "links"]).groupBy("cell").agg(F.min("node").alias("hub"))
+        chosen = chosen.join(named.select("cell", F.col("node").alias("hub"), F.col("component").alias("own")), ["cell", "hub"])
+        chosen = space.store(chosen, "hubs")
         used = chosen if used is None else used.unionAll(chosen)
         fresh = (
-            dense.join(chosen, "cell")
-            .where("node != hub")
+            open_.join(chosen, "cell")
+            .where("component != own")
             .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
             .distinct()
         )
         fresh = space.store(fresh.join(tried, ["a", "b"], "left_anti"), "hub-pairs")
         more = confirmed(fresh)
         if not more.limit(1).count():
-            return links
-        tried, links = tried.unionAll(fresh), links.unionAll(more)
+            return labels, links
+        links = links.unionAll(more)
+        labels = _joined(space, labels, more)
+
+
+def _joined(space: Workspace, labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels after some more links, from the components of the linked components."""
+
+    def named(side):
+        return F.coalesce(F.col(f"{side}_label"), F.col(side)).alias(side)
+
+    lifted = more
+    for side in ("a", "b"):
+        lifted = lifted.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label")), side, "left")
+    lifted = space.store(lifted.select(named("a"), named("b")).distinct(), "lifted")
+    over = space.store(components(space, lifted).select(F.col("node").alias("component"), F.col("component").alias("root")), "over")
+    kept = labels.join(over, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    new = over.join(labels, F.col("node") == over["component"], "left_anti").select(
+        F.col("component").alias("node"), F.col("root").alias("component")
+    )
+    return space.store(kept.unionAll(new), "components")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwright.llm import words
-from ledgerwright.llm.components import components
+from ledgerwright.llm.hubs import hub_components
 from ledgerwright.llm.shared import Workspace, arrow_map, slices
 
 TREES = 16
@@ -206,19 +206,16 @@ def near_duplicates(
         )
         return space.store(arrow_map(both, _confirm(percent), "a long, b long").distinct(), "confirmed")
 
-    links = confirmed(pairs)
-    if cells.limit(1).count():
-        dense = space.store(
-            trees.select("tree", F.substring("key", 1, 4 * least).alias("cell"), "doc_id")
-            .join(cells.select("tree", "cell"), ["tree", "cell"])
-            .select(F.xxhash64("tree", "cell").alias("cell"), "doc_id"),
-            "dense",
-        )
-        links = _hub_rounds(space, dense, pairs, links, confirmed)
-    component = components(space, links)
+    dense = space.store(
+        trees.select("tree", F.substring("key", 1, 4 * least).alias("cell"), "doc_id")
+        .join(cells.select("tree", "cell"), ["tree", "cell"])
+        .select(F.xxhash64("tree", "cell").alias("cell"), F.col("doc_id").alias("node")),
+        "dense",
+    )
+    component, links = hub_components(space, dense, pairs, confirmed(pairs), confirmed)
     ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
     degree = space.store(ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links")), "degrees")
-    found = space.store(component.select(F.col("node").alias("class"), "component"), "components")
+    found = component.select(F.col("node").alias("class"), "component")
     return (
         members.join(found, "class", "left")
         .join(degree, "class", "left")
@@ -232,27 +229,3 @@ def near_duplicates(
         .select("doc_id", "n_shingles", "component_id", "kept", "n_links")
     )
 
-
-def _hub_rounds(space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed) -> DataFrame:
-    """Compare every member of a dense cell with the cell's best linked set, until that links nothing new."""
-    hubs = None
-    while True:
-        ends = links.select(F.col("a").alias("doc_id")).unionAll(links.select(F.col("b").alias("doc_id")))
-        degrees = space.store(ends.groupBy("doc_id").agg(F.count(F.lit(1)).alias("links")), "degrees")
-        ranked = dense.join(degrees, "doc_id", "left")
-        if hubs is not None:
-            ranked = ranked.join(hubs.withColumnRenamed("hub", "doc_id"), ["cell", "doc_id"], "left_anti")
-        best = F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("doc_id")).alias("minus")))
-        chosen = space.store(ranked.groupBy("cell").agg((-best["minus"]).alias("hub")), "hubs")
-        hubs = chosen if hubs is None else hubs.unionAll(chosen)
-        fresh = (
-            dense.join(chosen, "cell")
-            .where("doc_id != hub")
-            .select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
-            .distinct()
-        )
-        fresh = space.store(fresh.join(tried, ["a", "b"], "left_anti"), "hub-pairs")
-        more = confirmed(fresh)
-        if not more.limit(1).count():
-            return links
-        tried, links = tried.unionAll(fresh), links.unionAll(more)
