@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import line_dedup, near_dedup
+from ledgerwright.llm import line_dedup, near_dedup, packing
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ def op5_line_dedup(spark, d):
         F.col("__removed").cast("long").alias("n_removed"),
         F.sha2("text", 256).alias("text_sha256"),
     )
+
+
+@query
+def op9_best_fit_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"))
