@@ -67,12 +67,16 @@ def split_item(text: str, answer: str | None = None) -> tuple[str, str]:
     return (text[: ends[-1]], text[ends[-1] :]) if ends else (text, text)
 
 
+def _runs(tokens: np.ndarray) -> np.ndarray:
+    return np.unique(words.shingles(tokens, RUN))
+
+
 @dataclass
 class Index:
     """Postings of a shard of items; see the module."""
 
     ids: list
-    parts: list  # of each item: question and answer runs, and its number of words
+    checks: list  # of each item: runs and number of words of the question, the same of the answer, words in all
     terms: np.ndarray  # sorted hashes
     starts: np.ndarray  # postings of each term
     part: np.ndarray
@@ -92,13 +96,13 @@ def build_index(items: list[tuple], frequency: dict[int, int], n_items: int, mea
             continue
         owner = len(ids)
         ids.append(item)
-        checks.append((np.unique(words.shingles(q, RUN)), np.unique(words.shingles(a, RUN)), len(whole)))
+        checks.append(((_runs(q), len(q)), (_runs(a), len(a)), len(whole)))
         parts += [(owner, whole[k : k + PART]) for k in range(0, len(whole), PART)]
     parts.sort(key=lambda p: (len(p[1]), p[0]))
     rows = []
     for k, (_, tokens) in enumerate(parts):
         term, tf = np.unique(tokens, return_counts=True)
-        df = np.array([frequency.get(int(t), 1) for t in term], float)
+        df = np.array([frequency.get(int(t), 1) for t in term.view(np.int64)], float)
         idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
         w = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(tokens) / mean))
         rows.append((term, np.full(len(term), k), w / w.sum()))
@@ -149,8 +153,8 @@ def retrieve(index: Index, tokens: np.ndarray, at: np.ndarray, threshold: float)
     ends = np.append(begins[1:], len(passage))
     most = index.bounds.max(axis=1)
     hopeful = np.flatnonzero(np.add.reduceat(most[term], begins) >= threshold - 1e-4)
-    for step in range(0, len(hopeful), 4096):
-        some = hopeful[step : step + 4096]
+    for step in range(0, len(hopeful), 1024):
+        some = hopeful[step : step + 1024]
         length = ends[some] - begins[some]
         rows = np.repeat(begins[some], length) + _counting(length)
         offsets = np.concatenate([[0], np.cumsum(length)[:-1]])
@@ -174,34 +178,146 @@ def _counting(lengths: np.ndarray) -> np.ndarray:
     return np.arange(total[-1]) - np.repeat(total - lengths, lengths)
 
 
-def _overlap(runs: np.ndarray, there: np.ndarray) -> float:
-    return float(np.isin(runs, there).mean()) if len(runs) else 1.0
-
-
 def _present(runs: np.ndarray, n_words: int, text: np.ndarray) -> float:
     """Share of the runs in the text; a part shorter than a run is looked up at its own length."""
-    return _overlap(runs, words.shingles(text, min(RUN, max(1, n_words)))) if len(text) else 0.0
+    if not n_words:
+        return 1.0
+    return float(np.isin(runs, words.shingles(text, min(RUN, n_words))).mean())
 
 
-def _matches(index: Index, batch: pa.RecordBatch, threshold: float, overlap: float) -> pa.RecordBatch:
-    tokens, at = words.hashed(batch.column(1), lower=True, blanks=words.PUNCTUATION)
-    ids = batch.column(0)
+def _matches(index: Index, texts: pa.Array, threshold: float, overlap: float) -> dict[tuple, tuple]:
+    """By row and item, the best verified passage: score, minus its first word, both overlaps."""
     best: dict[tuple, tuple] = {}
+    if not index.ids:
+        return best
+    tokens, at = words.hashed(texts, lower=True, blanks=words.PUNCTUATION)
     for d, start, part, score in retrieve(index, tokens, at, threshold):
         item = int(index.owner[part])
-        q, a, n = index.parts[item]
+        question, answer, n = index.checks[item]
         low = max(int(at[d]), int(at[d]) + start - n)
         around = tokens[low : min(int(at[d + 1]), int(at[d]) + start + 2 * PART + n)]
-        both = []
-        for runs, size in ((q, index.sizes[item][0]), (a, index.sizes[item][1])):
-            both.append(_present(runs, size, around))
+        both = [_present(*side, around) for side in (question, answer)]
         if min(both) >= overlap:
             row = (score, -start, *both)
             best[d, item] = max(best.get((d, item), row), row)
-    rows = [(ids[d].as_py(), index.ids[i], -s[1], s[0], s[2], s[3]) for (d, i), s in best.items()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)],
-        ["doc_id", "item_id", "start_word", "score", "question_overlap", "answer_overlap"],
+    return best
+
+
+def _indexes(items: DataFrame, answer: str | None, space: Workspace) -> Iterator[Index]:
+    """An index for each shard of the items."""
+    chosen = items.where("text IS NOT NULL").select(
+        F.col("item_id").cast("long"), "text", (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer")
     )
+
+    def parted(text, reply):
+        question, reply = split_item(text, reply)
+        return (text if question == reply else f"{question}\n{reply}"), question, reply
+
+    def of(batches):
+        for batch in batches:
+            rows = [parted(t, a) for t, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            found = [_terms(whole) for whole, _, _ in rows]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([q for _, q, _ in rows], pa.string()),
+                    pa.array([a for _, _, a in rows], pa.string()),
+                    pa.array([np.unique(t).view(np.int64) for t in found], pa.list_(pa.int64())),
+                    pa.array([len(t) for t in found], pa.int64()),
+                ],
+                ["item_id", "question", "answer", "terms", "n"],
+            )
+
+    schema = "item_id long, question string, answer string, terms array<long>, n long"
+    made = space.store(arrow_map(chosen, of, schema), "items").where("n > 0")
+    total = made.agg(
+        F.count(F.lit(1)).alias("items"), F.sum("n").alias("words"), F.sum(F.ceil(F.col("n") / PART)).alias("parts")
+    ).first()
+    if not total["items"]:
+        return
+    shards = int(-(-total["words"] // SHARD_WORDS))
+    made = made.withColumn("shard", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards)))
+    terms = made.select("shard", F.explode("terms").alias("term"))
+    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    named = space.store(terms.distinct().join(counted, "term"), "terms")
+    for shard in range(shards):
+        frequency = {r.term: r.df for r in named.where(F.col("shard") == shard).collect()}
+        rows = made.where(F.col("shard") == shard).select("item_id", "question", "answer").collect()
+        rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.question, r.answer))
+        yield build_index([tuple(r) for r in rows], frequency, total["items"], total["words"] / total["parts"])
+
+
+def contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
+    answer: str | None = None,
+    space: Workspace | None = None,
+) -> DataFrame:
+    """A row for each document (doc_id, text) and item (item_id, text) that it holds, with its best passage."""
+    spark = docs.sparkSession
+    space = space or Workspace(spark, "decontaminate")
+    chosen = docs.select(F.col("doc_id").cast("long"), "text")
+    found = [spark.createDataFrame([], _SCHEMA)]
+    for index in _indexes(items, answer, space):
+        shared = spark.sparkContext.broadcast(index)
+
+        def of(batches, shared=shared):
+            for whole in batches:
+                for batch in slices(whole, "text", _BYTES):
+                    ids = batch.column(0).to_pylist()
+                    best = _matches(shared.value, batch.column(1), threshold, overlap)
+                    rows = [(ids[d], shared.value.ids[i], -s[1], s[0], s[2], s[3]) for (d, i), s in best.items()]
+                    columns = zip(*rows, strict=True) if rows else [()] * len(_KINDS)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(c), t) for c, t in zip(columns, _KINDS.values(), strict=True)], list(_KINDS)
+                    )
+
+        found.append(arrow_map(chosen, of, _SCHEMA))
+    best = F.max(F.struct("score", (-F.col("start_word")).alias("minus"), "question_overlap", "answer_overlap"))
+    rows = reduce(DataFrame.unionAll, found).groupBy("doc_id", "item_id").agg(best.alias("best"))
+    return rows.select(
+        "doc_id",
+        "item_id",
+        (-F.col("best.minus")).alias("start_word"),
+        F.col("best.score").alias("score"),
+        F.col("best.question_overlap").alias("question_overlap"),
+        F.col("best.answer_overlap").alias("answer_overlap"),
+    )
+
+
+_KINDS = {
+    "doc_id": pa.int64(),
+    "item_id": pa.int64(),
+    "start_word": pa.int64(),
+    "score": pa.float64(),
+    "question_overlap": pa.float64(),
+    "answer_overlap": pa.float64(),
+}
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
+    answer: str | None = None,
+    space: Workspace | None = None,
+) -> DataFrame:
+    """``docs`` without the rows that hold an item; all columns stay as they are."""
+    spark = docs.sparkSession
+    space = space or Workspace(spark, "decontaminate")
+    at = docs.columns.index("text")
+    for index in _indexes(items, answer, space):
+        shared = spark.sparkContext.broadcast(index)
+
+        def of(batches, shared=shared):
+            for whole in batches:
+                for batch in slices(whole, "text", _BYTES):
+                    stay = np.ones(batch.num_rows, bool)
+                    stay[[d for d, _ in _matches(shared.value, batch.column(at), threshold, overlap)]] = False
+                    yield batch.filter(pa.array(stay))
+
+        docs = arrow_map(docs, of, docs.schema)
+    return docs

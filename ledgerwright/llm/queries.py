@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import line_dedup, near_dedup, packing
+from ledgerwright.llm import decontaminate, line_dedup, near_dedup, packing
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,8 @@ def op5_line_dedup(spark, d):
 @query
 def op9_best_fit_packing(spark, d):
     return packing.pack(table(spark, d, "documents"))
+
+
+@query
+def op2_benchmark_decontamination(spark, d):
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))

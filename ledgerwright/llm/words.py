@@ -57,7 +57,13 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def hashed(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes that separate words: white space alone, or all of ASCII but letters and digits.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def hashed(texts: pa.Array, lower: bool = False, blanks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and the n + 1 positions where each text's begin."""
     data, offsets = buffers(texts)
     out, ends_at = [], []
@@ -68,12 +74,12 @@ def hashed(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray
         high = min(low + _PIECE, len(data))
         while True:
             piece = data[low:high]
-            blank = (piece == 32) | ((piece >= 9) & (piece <= 13))
+            blank = blanks[piece]
             if high == len(data):
                 break
             edges = offsets[np.searchsorted(offsets, low, "right") : np.searchsorted(offsets, high, "right")]
-            blanks = np.flatnonzero(blank)
-            cut = max(edges[-1] - low if len(edges) else 0, blanks[-1] + 1 if len(blanks) else 0)
+            gaps = np.flatnonzero(blank)
+            cut = max(edges[-1] - low if len(edges) else 0, gaps[-1] + 1 if len(gaps) else 0)
             if cut > 0:
                 high = low + int(cut)
                 piece, blank = data[low:high], blank[:cut]
