@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import decontaminate, line_dedup, near_dedup, packing
+from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,8 @@ def op9_best_fit_packing(spark, d):
 @query
 def op2_benchmark_decontamination(spark, d):
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op6_language_id(spark, d):
+    return language.predict(table(spark, d, "documents"))
