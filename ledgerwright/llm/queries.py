@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing
+from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing, substring_dedup
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,9 @@ def op2_benchmark_decontamination(spark, d):
 @query
 def op6_language_id(spark, d):
     return language.predict(table(spark, d, "documents"))
+
+
+@query
+def op4_substring_dedup(spark, d):
+    rows = substring_dedup.dedup_substrings(table(spark, d, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

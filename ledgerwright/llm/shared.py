@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Workspace:
@@ -35,9 +36,15 @@ class Workspace:
         self._steps = 0
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back. Its shuffle files go once it is written: nothing else reads them."""
         self._steps += 1
         path = f"{self.path}/{self._steps:03d}-{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
