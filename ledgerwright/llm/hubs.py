@@ -17,8 +17,8 @@ def hub_components(
     ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
     ``confirmed`` keeps the pairs that are links. While a cell holds several
     components, its members outside the hub's component are compared with the hub:
-    the node with most links, the least one among equals, another one in each round.
-    Rounds end when one finds no link. A round is linear in the cells: hubs are chosen
+    the node with most links, the least one among equals, of a component that had no
+    hub yet. Rounds end when one finds no link. A round is linear in the cells: hubs are chosen
     by an aggregate and joined back.
     """
     labels = space.store(components(space, links), "components")
@@ -32,17 +32,20 @@ def hub_components(
     while True:
         named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         named = space.store(named, "named")
-        mixed = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = space.store(mixed.where("low < high").select("cell"), "mixed")
-        open_ = named.join(mixed, "cell", "left_semi")
-        free = open_ if used is None else open_.join(used.select("cell", F.col("hub").alias("node")), ["cell", "node"], "left_anti")
-        most = space.store(free.groupBy("cell").agg(F.max("links").alias("links")), "most")
-        chosen = free.join(most, ["cell", "links"]).groupBy("cell").agg(F.min("node").alias("hub"))
-        chosen = chosen.join(named.select("cell", F.col("node").alias("hub"), F.col("component").alias("own")), ["cell", "hub"])
+        free = named
+        if used is not None:
+            spent = used.join(labels.withColumnRenamed("node", "hub"), "hub", "left")
+            spent = spent.select("cell", F.coalesce("component", "hub").alias("component")).distinct()
+            free = named.join(spent, ["cell", "component"], "left_anti")
+        best = F.max(F.struct("links", (-F.col("node")).alias("minus"), "component")).alias("best")
+        spread = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        chosen = space.store(free.groupBy("cell").agg(best), "best")
+        chosen = chosen.join(space.store(spread.where("low < high").select("cell"), "mixed"), "cell")
+        chosen = chosen.select("cell", (-F.col("best.minus")).alias("hub"), F.col("best.component").alias("own"))
         chosen = space.store(chosen, "hubs")
-        used = chosen if used is None else used.unionAll(chosen)
+        used = chosen.select("cell", "hub") if used is None else used.unionAll(chosen.select("cell", "hub"))
         fresh = (
-            open_.join(chosen, "cell")
+            named.join(chosen, "cell")
             .where("component != own")
             .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
             .distinct()

@@ -17,8 +17,7 @@ sorted runs, and equal sets are reduced to one before anything else.
 
 Nulls, empty texts and texts without words have no shingles and are linked with
 nothing. A null id is no document's name: such rows keep a null component and stay.
-Repeated rows of one id give one result row each; their links are those of the id's
-least set. Further columns do not matter.
+Repeated rows of one id give one result row each; the id is linked by any of its texts. Further columns do not matter.
 """
 
 from __future__ import annotations
@@ -44,6 +43,7 @@ _BYTES = 4 << 20
 
 _FIRST = words.mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _MULTIPLY = ((_FIRST >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)[:, None]
+_CELL = words.mix(np.arange(1, DEPTH + 1, dtype=np.uint64)) | np.uint64(1)
 _TURN = (_FIRST & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None]
 
 
@@ -89,6 +89,8 @@ def signatures(docs: DataFrame, size: int, lower: bool) -> DataFrame:
 
 
 def _neighbours(least: int):
+    """Pairs (a, b) of neighbours, and members (cell, a) of regions beyond ``WINDOW`` with b null."""
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, key, doc = np.empty(0, np.int32), np.empty((0, DEPTH), np.uint32), np.empty(0, np.int64)
         for batch in batches:
@@ -99,9 +101,8 @@ def _neighbours(least: int):
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(-1, DEPTH)
             key = np.concatenate([key, raw.astype(np.uint32)])
             doc = np.concatenate([doc, batch.column(2).to_numpy()])
-            n = len(doc)
 
-            def near(o, at=slice(None), tree=tree, key=key):
+            def near(o, tree=tree, key=key):
                 """Whether rows share a prefix with the row ``o`` before; False for the first rows."""
                 out = np.zeros(len(tree), bool)
                 if o < len(tree):
@@ -115,11 +116,20 @@ def _neighbours(least: int):
                 if o > BESIDE:
                     rows &= ~dense
                 rows = np.flatnonzero(rows)
-                rows = rows[rows >= old]
+                rows = rows[(rows >= old) & (doc[rows] != doc[rows - o])]
                 found.append(np.stack([doc[rows], doc[rows - o]]))
             a, b = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
-            keep = max(0, n - WINDOW)
+            inside = np.unique(np.flatnonzero(dense)[:, None] - np.arange(WINDOW + 1))
+            cell = words.mix(key[inside, :least].astype(np.uint64) @ _CELL[:least] + tree[inside].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.maximum(a, b), doc[inside]])),
+                    pa.concat_arrays([pa.array(np.minimum(a, b)), pa.nulls(len(inside), pa.int64())]),
+                    pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cell.view(np.int64))]),
+                ],
+                ["a", "b", "cell"],
+            )
+            keep = max(0, len(doc) - WINDOW)
             tree, key, doc = tree[keep:], key[keep:], doc[keep:]
 
     return of
@@ -159,33 +169,19 @@ def near_duplicates(
     space = space or Workspace(docs.sparkSession, "near-dedup")
     signed = space.store(signatures(docs, size, lower), "signatures")
     classes = space.store(
-        signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("class")),
+        signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy("set_key")
+        .agg(F.min("doc_id").alias("class"), F.first("signature").alias("signature")),
         "classes",
     )
-    members = signed.join(classes, "set_key", "left")
-    # One set stands for its class; a repeated id stands once, by the least of its sets.
-    owners = (
-        members.where("doc_id = class")
-        .groupBy("doc_id")
-        .agg(F.min("set_key").alias("set_key"))
-    )
-    sets = space.store(
-        members.where("doc_id = class").join(owners, ["doc_id", "set_key"], "left_semi")
-        .dropDuplicates(["doc_id"]).select("doc_id", "signature"),
-        "sets",
-    )
     width = 4 * DEPTH
-    trees = sets.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "doc_id", "signature").select(
-        "tree", F.expr(f"substring(signature, tree * {width} + 1, {width})").alias("key"), "doc_id"
+    trees = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "class", "signature").select(
+        "tree", F.expr(f"substring(signature, tree * {width} + 1, {width})").alias("key"), F.col("class").alias("doc_id")
     )
-    cells = (
-        trees.groupBy("tree", F.substring("key", 1, 4 * least).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > WINDOW)
-    )
-    cells = space.store(cells, "cells")
     ordered = trees.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
-    pairs = space.store(arrow_map(ordered, _neighbours(least), "a long, b long").distinct(), "pairs")
+    near = space.store(arrow_map(ordered, _neighbours(least), "a long, b long, cell long"), "neighbours")
+    pairs = space.store(near.where("cell IS NULL").select("a", "b").distinct(), "pairs")
+    dense = near.where("cell IS NOT NULL").select("cell", F.col("a").alias("node"))
     nodes = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
 
     def full(batches):
@@ -194,7 +190,7 @@ def near_duplicates(
                 [batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], ["doc_id", "shingles"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(nodes, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(nodes.hint("merge"), "doc_id", "left_semi")
     full_sets = arrow_map(texts, full, "doc_id long, shingles binary")
     full_sets = space.store(full_sets, "shingles")
 
@@ -206,16 +202,11 @@ def near_duplicates(
         )
         return space.store(arrow_map(both, _confirm(percent), "a long, b long").distinct(), "confirmed")
 
-    dense = space.store(
-        trees.select("tree", F.substring("key", 1, 4 * least).alias("cell"), "doc_id")
-        .join(cells.select("tree", "cell"), ["tree", "cell"])
-        .select(F.xxhash64("tree", "cell").alias("cell"), F.col("doc_id").alias("node")),
-        "dense",
-    )
     component, links = hub_components(space, dense, pairs, confirmed(pairs), confirmed)
     ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
     degree = space.store(ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links")), "degrees")
     found = component.select(F.col("node").alias("class"), "component")
+    members = signed.select("doc_id", "n_shingles", "set_key").join(classes.select("set_key", "class"), "set_key", "left")
     return (
         members.join(found, "class", "left")
         .join(degree, "class", "left")
