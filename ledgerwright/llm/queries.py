@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing, substring_dedup
+from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing, substring_dedup, toxicity
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op6_language_id(spark, d):
 def op4_substring_dedup(spark, d):
     rows = substring_dedup.dedup_substrings(table(spark, d, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_toxicity(spark, d):
+    return toxicity.predict(table(spark, d, "documents"), table(spark, d, "labels"))
