@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ledgerwright.llm.components import components
 from ledgerwright.llm.shared import Workspace
 
+#: A cell with so many members outside its main component compares each of them with all of its members.
+OUTSIDERS = 8
+
 
 def hub_components(
     space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed
@@ -17,33 +20,30 @@ def hub_components(
     ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
     ``confirmed`` keeps the pairs that are links. While a cell holds several
     components, its members outside the hub's component are compared with the hub:
-    the node with most links, the least one among equals, of a component that had no
-    hub yet. Rounds end when one finds no link. A round is linear in the cells: hubs are chosen
+    the node with most links so far, the least one among equals, another one in each
+    round. Rounds end when one finds no link; the few members then left outside a cell's
+    main component are compared with all of the cell. A round is linear in the cells: hubs are chosen
     by an aggregate and joined back.
     """
     labels = space.store(components(space, links), "components")
     if not dense.limit(1).count():
         return labels, links
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-    degrees = space.store(ends.groupBy("node").agg(F.count(F.lit(1)).alias("links")), "degrees")
-    members = dense.distinct().join(degrees, "node", "left")
-    members = space.store(members.select("cell", "node", F.coalesce("links", F.lit(0)).alias("links")), "cell-members")
-    used = None
+    members, used = dense.distinct(), None
     while True:
-        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+        degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+        state = space.store(labels.join(degrees, "node"), "state")
+        named = members.join(state, "node", "left").select(
+            "cell", "node", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component")
+        )
         named = space.store(named, "named")
-        free = named
-        if used is not None:
-            spent = used.join(labels.withColumnRenamed("node", "hub"), "hub", "left")
-            spent = spent.select("cell", F.coalesce("component", "hub").alias("component")).distinct()
-            free = named.join(spent, ["cell", "component"], "left_anti")
-        best = F.max(F.struct("links", (-F.col("node")).alias("minus"), "component")).alias("best")
         spread = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        chosen = space.store(free.groupBy("cell").agg(best), "best")
-        chosen = chosen.join(space.store(spread.where("low < high").select("cell"), "mixed"), "cell")
+        mixed = space.store(spread.where("low < high").select("cell"), "mixed")
+        free = named if used is None else named.join(used, ["cell", "node"], "left_anti")
+        best = F.max(F.struct("links", (-F.col("node")).alias("minus"), "component")).alias("best")
+        chosen = space.store(free.groupBy("cell").agg(best), "best").join(mixed, "cell")
         chosen = chosen.select("cell", (-F.col("best.minus")).alias("hub"), F.col("best.component").alias("own"))
         chosen = space.store(chosen, "hubs")
-        used = chosen.select("cell", "hub") if used is None else used.unionAll(chosen.select("cell", "hub"))
         fresh = (
             named.join(chosen, "cell")
             .where("component != own")
@@ -53,9 +53,35 @@ def hub_components(
         fresh = space.store(fresh.join(tried, ["a", "b"], "left_anti"), "hub-pairs")
         more = confirmed(fresh)
         if not more.limit(1).count():
-            return labels, links
-        links = links.unionAll(more)
+            return _outsiders(space, named, tried.unionAll(fresh), labels, links, confirmed)
+        links, tried = links.unionAll(more), tried.unionAll(fresh)
         labels = _joined(space, labels, more)
+        now = chosen.select("cell", F.col("hub").alias("node"))
+        used = now if used is None else used.unionAll(now)
+        members = space.store(members.join(mixed, "cell", "left_semi"), "open")
+
+
+def _outsiders(
+    space: Workspace, named: DataFrame, tried: DataFrame, labels: DataFrame, links: DataFrame, confirmed
+) -> tuple[DataFrame, DataFrame]:
+    """Labels and links after comparing the few members outside a cell's main component with all others in the cell."""
+    parts = space.store(named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n")), "cell-parts")
+    main = parts.groupBy("cell").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+    few = space.store(main.where(F.col("all") - F.col("most") <= OUTSIDERS), "few")
+    small = parts.join(few, "cell").where("n < most OR 2 * most = `all`").select("cell", "component")
+    outside = space.store(named.join(space.store(small, "small"), ["cell", "component"]), "outside")
+    outside = outside.select("cell", F.col("node").alias("outsider"), F.col("component").alias("own"))
+    pairs = (
+        named.join(outside, "cell")
+        .where("component != own")
+        .select(F.greatest("node", "outsider").alias("a"), F.least("node", "outsider").alias("b"))
+        .distinct()
+    )
+    pairs = space.store(pairs.join(tried, ["a", "b"], "left_anti"), "outsider-pairs")
+    more = confirmed(pairs)
+    if not more.limit(1).count():
+        return labels, links
+    return _joined(space, labels, more), links.unionAll(more)
 
 
 def _joined(space: Workspace, labels: DataFrame, more: DataFrame) -> DataFrame:
