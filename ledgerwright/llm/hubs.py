@@ -9,7 +9,7 @@ from ledgerwright.llm.components import components
 from ledgerwright.llm.shared import Workspace
 
 #: A cell with so many members outside its main component compares each of them with all of its members.
-OUTSIDERS = 8
+OUTSIDERS = 64
 
 
 def hub_components(
