@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwright.llm import decontaminate, language, line_dedup, near_dedup, packing, substring_dedup, toxicity
+from ledgerwright.llm import (
+    decontaminate,
+    html_text,
+    language,
+    line_dedup,
+    near_dedup,
+    packing,
+    substring_dedup,
+    toxicity,
+)
 from ledgerwright.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +71,8 @@ def op4_substring_dedup(spark, d):
 @query
 def op7_toxicity(spark, d):
     return toxicity.predict(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query
+def op8_html_extraction(spark, d):
+    return html_text.extract(table(spark, d, "pages"))
