@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerwright.llm import (
     decontaminate,
+    fingerprint,
     html_text,
     language,
     line_dedup,
@@ -76,3 +77,8 @@ def op7_toxicity(spark, d):
 @query
 def op8_html_extraction(spark, d):
     return html_text.extract(table(spark, d, "pages"))
+
+
+@query
+def op10_iblt_fingerprint(spark, d):
+    return fingerprint.fingerprints(table(spark, d, "documents"))
