@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwright.llm.components import components
@@ -10,6 +10,10 @@ from ledgerwright.llm.shared import Workspace
 
 #: A cell with so many members outside its main component compares each of them with all of its members.
 OUTSIDERS = 64
+#: Rounds end when one links a smaller share of the pairs it compares.
+YIELD = 0.01
+#: Hubs of a cell in one round, each of another component.
+HUBS = 8
 
 
 def hub_components(
@@ -19,10 +23,10 @@ def hub_components(
 
     ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
     ``confirmed`` keeps the pairs that are links. While a cell holds several
-    components, its members outside the hub's component are compared with the hub:
-    the node with most links so far, the least one among equals, another one in each
-    round. Rounds end when one finds no link; the few members then left outside a cell's
-    main component are compared with all of the cell. A round is linear in the cells: hubs are chosen
+    components, its members are compared with the hubs of other components: in each of
+    the first ``HUBS`` components the node with most links so far, the least one among
+    equals, another one in each round. Rounds end when one finds next to nothing; the few members then left outside a
+    cell's main component are compared with all of the cell. A round is linear in the cells: hubs are chosen
     by an aggregate and joined back.
     """
     labels = space.store(components(space, links), "components")
@@ -39,10 +43,14 @@ def hub_components(
         named = space.store(named, "named")
         spread = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         mixed = space.store(spread.where("low < high").select("cell"), "mixed")
-        free = named if used is None else named.join(used, ["cell", "node"], "left_anti")
-        best = F.max(F.struct("links", (-F.col("node")).alias("minus"), "component")).alias("best")
-        chosen = space.store(free.groupBy("cell").agg(best), "best").join(mixed, "cell")
-        chosen = chosen.select("cell", (-F.col("best.minus")).alias("hub"), F.col("best.component").alias("own"))
+        free = named.join(mixed.hint("merge"), "cell", "left_semi")
+        if used is not None:
+            free = free.join(used, ["cell", "node"], "left_anti")
+        best = F.max(F.struct("links", (-F.col("node")).alias("minus"))).alias("best")
+        ranked = free.groupBy("cell", "component").agg(best)
+        first = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("best").desc()))
+        chosen = ranked.withColumn("rank", first).where(F.col("rank") <= HUBS)
+        chosen = chosen.select("cell", (-F.col("best.minus")).alias("hub"), F.col("component").alias("own"))
         chosen = space.store(chosen, "hubs")
         fresh = (
             named.join(chosen, "cell")
@@ -52,10 +60,16 @@ def hub_components(
         )
         fresh = space.store(fresh.join(tried, ["a", "b"], "left_anti"), "hub-pairs")
         more = confirmed(fresh)
-        if not more.limit(1).count():
-            return _outsiders(space, named, tried.unionAll(fresh), labels, links, confirmed)
-        links, tried = links.unionAll(more), tried.unionAll(fresh)
-        labels = _joined(space, labels, more)
+        linked = more.count()
+        if linked:
+            links, labels = links.unionAll(more), _joined(space, labels, more)
+        tried = tried.unionAll(fresh)
+        if linked < YIELD * fresh.count():
+            named = named.drop("component").join(labels, "node", "left")
+            named = named.withColumn("component", F.coalesce("component", "node"))
+            return _outsiders(space, space.store(named, "named"), tried, labels, links, confirmed)
+        if not linked:
+            return labels, links
         now = chosen.select("cell", F.col("hub").alias("node"))
         used = now if used is None else used.unionAll(now)
         members = space.store(members.join(mixed, "cell", "left_semi"), "open")
