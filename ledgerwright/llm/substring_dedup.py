@@ -24,8 +24,8 @@ equal rows get equal results. Further columns do not matter.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,6 @@ SHARD = 60_000
 _BYTES = 2 << 20
 #: A segment in a long: first word, windows, 16 bits that tell texts of one id apart.
 _WINDOWS_AT, _TAG_AT = 32, 40
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def _windows_least(tokens: np.ndarray, window: int, gram: int) -> np.ndarray:
@@ -215,20 +214,26 @@ def _covered(window: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, ats, begins, ends = [], [], [], []
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for doc, at, least in rows:
-                dup = np.frombuffer(least, np.int64) < doc
-                if dup.any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], dup.view(np.int8), [0]])))
-                    start = at & ((1 << _WINDOWS_AT) - 1)
-                    for a, b in edge.reshape(-1, 2).tolist():
-                        docs.append(doc)
-                        ats.append(at >> _TAG_AT)
-                        begins.append(start + a)
-                        ends.append(start + b + window - 1)
+            least = batch.column(2)
+            sizes = np.array([len(v) // 8 for v in least.to_pylist()], np.int64)
+            flat = np.frombuffer(b"".join(least.to_pylist()), np.int64)
+            doc, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            dup = flat < doc[owner]
+            inner = owner[1:] == owner[:-1]
+            first = dup.copy()
+            first[1:] &= ~(dup[:-1] & inner)
+            last = dup.copy()
+            last[:-1] &= ~(dup[1:] & inner)
+            row = owner[first]
+            start = (at[row] & ((1 << _WINDOWS_AT) - 1)) - (np.cumsum(sizes) - sizes)[row]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())],
+                [
+                    pa.array(doc[row]),
+                    pa.array(at[row] >> _TAG_AT),
+                    pa.array(start + np.flatnonzero(first)),
+                    pa.array(start + np.flatnonzero(last) + window),
+                ],
                 ["doc", "tag", "begin", "end"],
             )
 
@@ -282,15 +287,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sp
             for batch in slices(whole, "text", 2 * _BYTES):
                 counts, removed, texts = [], [], []
                 for text, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    found = _WORD.findall(text or "")
+                    found = text.encode().split() if text else []  # bytes split at the same six characters
                     counts.append(len(found))
                     if lost:
-                        stay = np.ones(len(found), bool)
+                        stay = bytearray(b"\1") * len(found)
                         for r in lost:
-                            stay[r["begin"] : r["end"]] = False
-                        found = [found[k] for k in np.flatnonzero(stay)]
+                            stay[r["begin"] : r["end"]] = bytes(r["end"] - r["begin"])
+                        found = list(compress(found, stay))
                     removed.append(counts[-1] - len(found))
-                    texts.append(" ".join(found))
+                    texts.append(b" ".join(found).decode())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
                     ["doc_id", "n_words", "n_removed", "text"],
