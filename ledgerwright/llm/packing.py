@@ -4,12 +4,12 @@ Documents become token ids; only those longer than a sequence are cut. What has
 packed is then a count for each length from 1 to ``CAPACITY``, which does not grow
 with the corpus, so the packing itself is solved once on the driver over these counts:
 
-1. Reduction after Martello and Toth: with the longest remaining piece of length ``w``,
-   a set of up to two others that fits beside it and dominates every other such set is
-   fixed with it. Fixed: a piece that fits with none; a single partner that fills the
-   rest exactly, or is the longest that fits when no two others fit beside it, or is at
-   least as long as any two that do. This never costs a sequence. Fixing whole runs of
-   equal lengths at once keeps the work independent of their counts.
+1. Reduction after Martello and Toth: beside the longest remaining piece, the set of at
+   most two others that dominates all sets that fit is fixed with it. Dominant are
+   nothing where nothing fits; one piece that fills the rest, or that is the longest
+   where no two fit, or as long as any two that do; and two pieces where no three fit
+   and any other two are no longer, one by one. This never costs a sequence. Equal
+   sequences are fixed at once, so the work does not depend on the counts.
 2. Where nothing dominates, the longest piece opens a sequence that is filled best-fit:
    the longest piece that fits, again and again. Then reduction is tried anew.
 
@@ -22,6 +22,7 @@ packed once each: every row is a document of its own. Further columns do not mat
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,26 +38,56 @@ CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks that a task remembers with their ids.
-_MEMORY = 300_000
+_MEMORY = 250_000
 _SHORT = 48
 _BYTES = 4 << 20
+#: Composed letters that the vocabulary's normalization only lower-cases, and its rule for pieces.
+_LETTERS = "À-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[!-~¡¿{_LETTERS}]+")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: A character for each byte: printable ones stand for themselves, the others follow 255 in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARACTERS = [
+    chr(b) if b in _PRINTABLE else chr(256 + sum(c not in _PRINTABLE for c in range(b))) for b in range(256)
+]
+
+
+class _Pieces(dict):
+    """Ids of lower-case pieces that the vocabulary's rules never cut further, as little-endian bytes."""
+
+    def __init__(self, model):
+        self._model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        mapped = "".join(map(_BYTE_CHARACTERS.__getitem__, piece.encode()))
+        out = np.array([t.id for t in self._model.tokenize(mapped)], "<u4").tobytes()
+        if len(self) >= _MEMORY:
+            self.clear()
+        self[piece] = out
+        return out
 
 
 class Chunks(dict):
     """Token ids of chunks of text between white space, as little-endian bytes.
 
     The vocabulary's rules never join characters across white space, so the ids of a
-    text are those of its chunks in order. A task remembers the chunks it has seen.
+    text are those of its chunks in order. A task remembers the chunks it has seen. In
+    chunks of printable ASCII and Latin-1 letters the rules are applied here, which
+    leaves only new pieces to the tokenizer; all others go through it whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._pieces = _Pieces(self._tokenizer.model)
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self._tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+        text = chunk.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            out = b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text.lower())))
+        else:
+            out = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) >= _MEMORY:
             self.clear()
         if len(chunk) <= _SHORT:
