@@ -17,6 +17,7 @@ from ledgerwright.llm import (
     packing,
     substring_dedup,
     toxicity,
+    url_filter,
 )
 from ledgerwright.llm.shared import table
 
@@ -82,3 +83,12 @@ def op8_html_extraction(spark, d):
 @query
 def op10_iblt_fingerprint(spark, d):
     return fingerprint.fingerprints(table(spark, d, "documents"))
+
+
+@query
+def op1_url_filter(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    return url_filter.judge(url_filter.captures_of(pages), url_filter.entries_of(pages))
+
+
+ORACLES["op1_url_filter"] = url_filter.ORACLE
