@@ -87,8 +87,8 @@ def _followers(space: Workspace, keyed: DataFrame) -> DataFrame:
     in_part = Window.partitionBy("part").orderBy(*order)
     inner = placed.withColumn("next", F.lead(F.struct(*_KEY)).over(in_part))
     # A row for each partition.
-    heads = placed.groupBy("part").agg(F.min(F.struct((-F.col("id") - 1).alias("turned"), "hash")).alias("head"))
-    heads = heads.select("part", F.struct((-F.col("head.turned") - 1).alias("id"), F.col("head.hash").alias("hash")).alias("head"))
+    heads = placed.groupBy("part").agg(F.min(F.struct(F.bitwise_not("id").alias("turned"), "hash")).alias("head"))
+    heads = heads.select("part", F.struct(F.bitwise_not("head.turned").alias("id"), F.col("head.hash").alias("hash")).alias("head"))
     by_part = Window.orderBy("part")
     after = heads.select("part", F.lead("head").over(by_part).alias("after"), F.first("head").over(by_part).alias("first"))
     after = space.store(after.select("part", F.coalesce("after", "first").alias("after")), "heads")
