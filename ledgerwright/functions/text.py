@@ -10,6 +10,7 @@ _PIECES = r"(--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|[^-/]++|[-/])"
 #: Every character that ends a line.
 _LINE_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
 _BLANK = r"[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+BLANKS_AT_END = rf"{_BLANK}+\z"
 _NOQA = r"(?iU)--\s*noqa\b(?::\s*([\w\s,]+))?"
 _ASTRAL_WORD = r"[\x{10000}-\x{10FFFF}&&[\p{L}\p{N}]]"
 _ASTRAL = r"[\x{10000}-\x{10FFFF}]"

@@ -1,6 +1,7 @@
 """Declared constraints as queries: what storage does not enforce.
 
-Each audit reads a table once, whatever the number of its constraints.
+An audit reads a table once for all of its constraints of a kind; invariants over
+journals read the lines of each journal table once more.
 """
 
 from __future__ import annotations
@@ -30,21 +31,38 @@ def _key(columns) -> str:
 def audit_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Keys that occur more than once: (table_name, constraint_name, key, copies).
 
-    Counted by the key columns themselves, so equal keys meet on the map side.
+    All keys of a table are grouping sets of one aggregation: one scan and one shuffle
+    for each table. Counted by the key columns themselves, so equal keys meet on the
+    map side; a key with a NULL is none.
     """
     parts = []
     for table, df in _present(tables):
         keys = {f"PK_{table.name}": table.primary_key} if table.primary_key else {}
-        for name, columns in {**keys, **table.unique}.items():
-            parts.append(
-                df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
-                .groupBy(*columns)
-                .agg(rows().alias("copies"))
-                .where("copies > 1")
-                .selectExpr(
-                    f"'{table.name}' AS table_name", f"'{name}' AS constraint_name", f"{_key(columns)} AS key", "copies"
-                )
+        keys |= table.unique
+        if not keys:
+            continue
+        columns = list(dict.fromkeys(c for key in keys.values() for c in key))
+        sets = [[F.col(c) for c in key] for key in keys.values()]
+        # A bit for each column outside the set, the first column's highest.
+        names = {
+            sum(1 << len(columns) - 1 - k for k, c in enumerate(columns) if c not in key): name
+            for name, key in keys.items()
+        }
+        whole = " ".join(
+            f"WHEN {g} THEN {' AND '.join(f'{c} IS NOT NULL' for c in keys[name])}" for g, name in names.items()
+        )
+        called = " ".join(f"WHEN {g} THEN '{name}'" for g, name in names.items())
+        shown = " ".join(f"WHEN {g} THEN {_key(keys[name])}" for g, name in names.items())
+        parts.append(
+            df.select(*columns)
+            .groupingSets(sets, *[F.col(c) for c in columns])
+            .agg(rows().alias("copies"), F.grouping_id().alias("_set"))
+            .where(f"copies > 1 AND CASE _set {whole} END")
+            .selectExpr(
+                f"'{table.name}' AS table_name", f"CASE _set {called} END AS constraint_name",
+                f"CASE _set {shown} END AS key", "copies",
             )
+        )
     return _union(parts)
 
 

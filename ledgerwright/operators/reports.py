@@ -19,7 +19,6 @@ from ledgerwright.schemas import NATURAL_KEY, TOTAL
 CATEGORIES = {"R": "Revenue", "X": "Expense", "A": "Asset", "L": "Liability", "E": "Equity"}
 
 FIRST_LINES = 10
-_CANDIDATES = 1000
 
 
 def _copies(df: DataFrame, columns: list[str], weight: str) -> DataFrame:
@@ -105,29 +104,25 @@ def budget_line_sample(
 ) -> DataFrame:
     """The first lines by id, with the names of their dimensions.
 
-    The first lines that have all three dimensions are nearly always among the
-    first few ledger lines, so those are joined alone. If too few of them
-    survive the joins, the whole ledger is joined.
+    Lines without one of the dimensions are left out before the limit; repeated
+    dimension rows then repeat lines, so the limit holds again after the joins.
     """
-
-    def described(part: DataFrame) -> DataFrame:
-        return (
-            part.join(headers.select("BudgetHeaderID", "BudgetCode", "BudgetName"), "BudgetHeaderID")
-            .join(accounts.select("GLAccountID", "AccountNumber", "AccountName"), "GLAccountID")
-            .join(centers.select("CostCenterID", "CostCenterCode", "CostCenterName"), "CostCenterID")
-            .orderBy("BudgetLineItemID")
-            .limit(lines)
-            .select(
-                "BudgetCode", "BudgetName", "AccountNumber", "AccountName", "CostCenterCode", "CostCenterName",
-                "OriginalAmount", "AdjustedAmount", "FinalAmount",
-            )
-        )
-
-    first = described(ledger.orderBy("BudgetLineItemID").limit(max(_CANDIDATES, lines)))
-    found = first.collect()  # at most `lines` rows
-    if len(found) >= lines:
-        return ledger.sparkSession.createDataFrame(found, first.schema)
-    return described(ledger)
+    dimensions = (
+        (headers, "BudgetHeaderID", ["BudgetCode", "BudgetName"]),
+        (accounts, "GLAccountID", ["AccountNumber", "AccountName"]),
+        (centers, "CostCenterID", ["CostCenterCode", "CostCenterName"]),
+    )
+    first = ledger
+    for dimension, key, _ in dimensions:
+        first = first.join(dimension.select(key), key, "left_semi")
+    first = first.orderBy("BudgetLineItemID").limit(lines)
+    for dimension, key, names in dimensions:
+        first = first.join(dimension.select(key, *names), key)
+    return (
+        first.orderBy("BudgetLineItemID")
+        .limit(lines)
+        .select(*[n for _, _, names in dimensions for n in names], "OriginalAmount", "AdjustedAmount", "FinalAmount")
+    )
 
 
 def budget_analysis(ledger: DataFrame, headers: DataFrame, budget_code: str | None = None) -> DataFrame:
@@ -156,7 +151,13 @@ def budget_analysis(ledger: DataFrame, headers: DataFrame, budget_code: str | No
 
 
 def cost_center_summary(centers: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Lines and total per active cost center, with its parent's code."""
+    """Lines and total per active cost center, with its parent's code.
+
+    Ids are not enforced. A repeated center or parent repeats its lines in the total,
+    as the joins would, but a line counts once for each code, name and parent: ids are
+    reduced to those of a group with the number of their repetitions first.
+    """
+    group = ["CostCenterCode", "CostCenterName", "parent"]
     booked = ledger.groupBy("CostCenterID").agg(
         F.count_distinct("BudgetLineItemID").alias("lines"),
         total("FinalAmount").alias("final"),
@@ -164,15 +165,19 @@ def cost_center_summary(centers: DataFrame, ledger: DataFrame) -> DataFrame:
     parents = centers.select(
         F.col("CostCenterID").alias("ParentCostCenterID"), F.col("CostCenterCode").alias("parent")
     )
-    return (
+    named = (
         centers.where("IsActive")
         .select("CostCenterID", "CostCenterCode", "CostCenterName", "ParentCostCenterID")
         .join(parents, "ParentCostCenterID", "left")
-        .join(booked, "CostCenterID", "left")
-        .groupBy("CostCenterCode", "CostCenterName", "parent")
+        .groupBy(*group, "CostCenterID")
+        .agg(rows().alias("times"))
+    )
+    return (
+        named.join(booked, "CostCenterID", "left")
+        .groupBy(*group)
         .agg(
             F.coalesce(F.sum("lines"), F.lit(0)).alias("BudgetLineCount"),
-            total("final").alias("TotalBudgetAmount"),
+            total("CASE WHEN times = 1 THEN final ELSE final * times END").alias("TotalBudgetAmount"),
         )
         .select(
             "CostCenterCode",

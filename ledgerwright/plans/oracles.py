@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerwright.operators.corpus import RULES
-from ledgerwright.operators.parity import PLANNING_SPEC, parse_spec
+from ledgerwright.operators.parity import PLANNING_SPEC
 from ledgerwright.plans.queries import BATCH, CLOSE_BEFORE, FORECAST_MONTHS, NOW, RUN
 from ledgerwright.schemas import TABLES
 from ledgerwright.sources.retail import LOADED_AT, STATEMENTS
@@ -545,7 +545,7 @@ JOIN active_centers c ON c.c = g.cell // accounts""", "journal_cells", "postable
 
 # --- parity -----------------------------------------------------------------
 
-_CHECKS = parse_spec(PLANNING_SPEC)
+_AGGREGATES = {"numeric": "count sum min max", "text": "count min max", "date": "count min max"}
 #: The drifted copies, as in the Spark query.
 _DRIFT = {
     "FiscalPeriod": "SELECT * FROM FiscalPeriod WHERE FiscalPeriodID <> 199606",
@@ -564,24 +564,25 @@ def _plain(value: str) -> str:
 
 def _metrics(side: dict[str, str]) -> str:
     selects = []
-    for check in _CHECKS:
-        source = f"({side[check.table]})" if check.table in side else check.table
+    for entry in PLANNING_SPEC["tables"]:
+        table = entry["name"]
+        source = f"({side[table]})" if table in side else table
 
         def one(metric: str, value: str, numeric: bool) -> str:
             number = f"CAST({value} AS DECIMAL(38,10))"
             text = f"rtrim(CAST({value} AS VARCHAR))"
-            return (f"SELECT '{check.table}' AS \"table\", '{metric}' AS metric, "
+            return (f"SELECT '{table}' AS \"table\", '{metric}' AS metric, "
                     + (f"{number} AS number, {_plain(number)} AS text" if numeric
                        else f"CAST(NULL AS DECIMAL(38,10)) AS number, {text} AS text") + f" FROM {source}")
 
         selects.append(one("row_count", "count(*)", True))
-        for column in check.columns:
-            numeric = column.kind == "numeric"
-            name = column.name
-            for how in column.aggregates:
-                value = (f"CAST(sum(CAST({name} AS DECIMAL(38,{column.scale}))) AS DECIMAL(38,{column.scale}))"
+        for column in entry["columns"]:
+            column = {"name": column} if isinstance(column, str) else column
+            name, kind, scale = column["name"], column.get("kind", "text"), column.get("scale", 4)
+            for how in _AGGREGATES[kind].split():
+                value = (f"CAST(sum(CAST({name} AS DECIMAL(38,{scale}))) AS DECIMAL(38,{scale}))"
                          if how == "sum" else f"{how}({name})")
-                selects.append(one(f"{name}__{how}".lower(), value, numeric or how == "count"))
+                selects.append(one(f"{name}__{how}".lower(), value, kind == "numeric" or how == "count"))
     return "\nUNION ALL ".join(selects)
 
 

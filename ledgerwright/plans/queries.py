@@ -307,14 +307,14 @@ def _drifted(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def _parity(spark, d):
     tables = retail.core_tables(spark, d, numbered=False)
-    return parity.run_parity(spark, parity.parse_spec(parity.PLANNING_SPEC), tables, _drifted(tables))
+    return parity.run_parity(spark, parity.read_spec(parity.PLANNING_SPEC), tables, _drifted(tables))
 
 
 @query
 def parity_metrics(spark, d):
     tables = retail.core_tables(spark, d, numbered=False)
-    checks = parity.parse_spec(parity.PLANNING_SPEC)
-    return reduce(DataFrame.unionByName, [parity.parity_metrics(c, tables[c.table]) for c in checks])
+    spec = parity.read_spec(parity.PLANNING_SPEC)
+    return reduce(DataFrame.unionByName, [parity.parity_metrics(t, m, tables[t]) for t, m in spec.items()])
 
 
 @query

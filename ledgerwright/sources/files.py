@@ -80,25 +80,36 @@ def replace_folders(df: DataFrame, root: str, name: str, now: str) -> None:
 
 
 def append_run(frames: dict[str, DataFrame], root: str, run_id: str, now: str) -> None:
-    """Append the rows of one run to several tables, then mark the run committed."""
+    """Write the rows of one run to its own folders of several tables, then mark the run committed.
+
+    A retry replaces what a failed attempt left under the same id; a committed id is refused.
+    """
     spark = next(iter(frames.values())).sparkSession
+    if not _committed(spark, root).where(F.col(RUN_COLUMN) == run_id).isEmpty():
+        raise ValueError(f"run {run_id} is committed already")
     for name, df in frames.items():
-        rows = _typed(complete(df, TABLES[name], now), name).withColumn(RUN_COLUMN, F.lit(run_id))
-        rows.write.mode("append").partitionBy(RUN_COLUMN).parquet(_path(root, f"{name}_runs"))
+        rows = _typed(complete(df, TABLES[name], now), name)
+        rows.write.mode("overwrite").parquet(f"{_path(root, f'{name}_runs')}/{RUN_COLUMN}={run_id}")
     spark.createDataFrame([(run_id,)], f"{RUN_COLUMN} string").coalesce(1).write.mode("append").parquet(
         _path(root, _RUNS)
     )
 
 
+def _committed(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of committed runs; none where no run was ever committed."""
+    try:
+        return spark.read.schema(f"{RUN_COLUMN} string").parquet(_path(root, _RUNS))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{RUN_COLUMN} string")
+
+
 def read_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Rows of committed runs of a table."""
     schema = T.StructType([*TABLES[name].schema.fields, T.StructField(RUN_COLUMN, T.StringType())])
     rows = spark.read.schema(schema).parquet(_path(root, f"{name}_runs"))
-    try:
-        committed = spark.read.schema(f"{RUN_COLUMN} string").parquet(_path(root, _RUNS))
-    except AnalysisException:  # no run was ever committed
-        return rows.limit(0)
-    return rows.join(committed, RUN_COLUMN, "left_semi").drop(RUN_COLUMN)
+    return rows.join(_committed(spark, root), RUN_COLUMN, "left_semi").drop(RUN_COLUMN)
 
 
 def read_sql_files(spark: SparkSession, *paths: str) -> DataFrame:

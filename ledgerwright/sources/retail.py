@@ -25,16 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a scan with fewer splits than cores.
-
-    A file with one row group is one split, however many cores wait. A table
-    of many splits, as any large one is, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "year(o_orderdate) AS y", "month(o_orderdate) AS m"
@@ -149,7 +139,7 @@ def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Prices are whole cents and discounts whole percents, so ``price`` and
     ``reduction`` are exact whole numbers of a 10,000th.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     months = _order_months(spark, sf_dir).withColumnRenamed("o_orderkey", "l_orderkey")
     return lines.join(months, "l_orderkey").selectExpr(
         "CAST(y AS BIGINT) AS BudgetHeaderID",
@@ -390,7 +380,7 @@ def sql_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = ", ".join(quoted(c) for c, _ in STATEMENTS)
     statements = ", ".join(quoted(s) for _, s in STATEMENTS)
     return (
-        spread(table(spark, sf_dir, "orders"), "o_orderkey")
+        table(spark, sf_dir, "orders")
         .selectExpr("*", f"array({statements})[{which}] AS statement", f"array({codes})[{which}] AS code")
         .selectExpr(
             "concat('q/', o_orderkey, '.sql') AS path",

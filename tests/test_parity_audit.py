@@ -15,15 +15,15 @@ def side(spark, *rows, types="amount decimal(19,5), name string"):
 
 
 def diffs(spark, source, target):
-    result = parity.run_parity(spark, parity.parse_spec(SPEC), source, target)
+    result = parity.run_parity(spark, parity.read_spec(SPEC), source, target)
     return {r.metric: r for r in parity.parity_diff(result).collect()}
 
 
 def test_spec_defaults_and_errors(tmp_path):
-    check = parity.parse_spec({"tables": [{"name": "T", "columns": ["Name", {"name": "A", "kind": "numeric"}]}]})[0]
-    assert check.columns == (parity.ColumnCheck("Name", "text", 4), parity.ColumnCheck("A", "numeric", 4))
-    assert (check.source, check.target) == ("dbo.T", "Planning.T")
-    assert "sum" in check.columns[1].aggregates and "sum" not in check.columns[0].aggregates
+    found = parity.read_spec({"tables": [{"name": "T", "columns": ["Name", {"name": "A", "kind": "numeric"}]}]})["T"]
+    assert [(m.metric, m.scale) for m in found] == [
+        ("row_count", 4), ("name__count", 4), ("name__min", 4), ("name__max", 4),
+        ("a__count", 4), ("a__sum", 4), ("a__min", 4), ("a__max", 4)]
     for bad, message in (
         ({"tables": []}, "no tables"),
         (None, "no tables"),
@@ -32,25 +32,27 @@ def test_spec_defaults_and_errors(tmp_path):
         ({"tables": [{"name": "T", "columns": [{"name": "C", "kind": "blob"}]}]}, "kind must be"),
     ):
         with pytest.raises(parity.SpecError, match=message):
-            parity.parse_spec(bad)
-    with pytest.raises(parity.SpecError, match="no parity spec"):
-        parity.load_spec(tmp_path / "gone.yaml")
+            parity.read_spec(bad)
+    (tmp_path / "bad.json").write_text("{")
+    for path, message in (("gone.json", "no parity spec"), ("bad.json", "cannot be read")):
+        with pytest.raises(parity.SpecError, match=message):
+            parity.read_spec(tmp_path / path)
     (tmp_path / "spec.json").write_text(json.dumps(SPEC))
-    assert parity.load_spec(tmp_path / "spec.json")[0].key == "id"
+    assert parity.read_spec(tmp_path / "spec.json") == parity.read_spec(SPEC)
 
 
 def test_spec_covers_every_core_table():
-    checks = parity.parse_spec(parity.PLANNING_SPEC)
-    assert [c.table for c in checks] == [t.name for t in S.CORE_TABLES]
-    for check in checks:
-        assert {c.name for c in check.columns} <= set(S.TABLES[check.table].schema.names)
-    assert sum(1 + sum(len(c.aggregates) for c in check.columns) for check in checks) == 97
+    spec = parity.read_spec(parity.PLANNING_SPEC)
+    assert list(spec) == [t.name for t in S.CORE_TABLES]
+    for table, found in spec.items():
+        assert {m.column for m in found if m.column} <= set(S.TABLES[table].schema.names)
+    assert sum(map(len, spec.values())) == 97
 
 
 def test_equal_sides(spark):
     one = side(spark, ("1.5", "a"), (None, None))
     assert diffs(spark, one, one) == {}
-    metrics = parity.run_parity(spark, parity.parse_spec(SPEC), one, one).source.collect()
+    metrics = parity.run_parity(spark, parity.read_spec(SPEC), one, one).source.collect()
     assert {m.metric: m.text for m in metrics} == {
         "row_count": "2", "amount__count": "1", "amount__sum": "1.5", "amount__min": "1.5", "amount__max": "1.5",
         "name__count": "1", "name__min": "a", "name__max": "a"}
@@ -73,7 +75,7 @@ def test_differences(spark):
 
 def test_a_bad_table_does_not_stop_the_others(spark, sample):
     tables = {"CostCenter": sample["CostCenter"], "GLAccount": sample["GLAccount"]}
-    checks = parity.parse_spec({"tables": [
+    checks = parity.read_spec({"tables": [
         {"name": "CostCenter", "columns": [{"name": "AllocationPercentage", "kind": "numeric"}]},
         {"name": "GLAccount", "columns": ["AccountNumber"]},
         {"name": "Missing", "columns": ["x"]},
@@ -84,12 +86,33 @@ def test_a_bad_table_does_not_stop_the_others(spark, sample):
     assert "Missing" in report["Missing"].error and report["GLAccount"].matched
     overall = parity.parity_ok(parity.parity_report(result)).first()
     assert (overall.matched, overall.errored, overall.tables, overall.ok) == (1, 2, 3, False)
-    assert parity.parity_ok(parity.parity_report(parity.run_parity(spark, [], {}, {}))).first().ok
+    assert parity.parity_ok(parity.parity_report(parity.run_parity(spark, {}, {}, {}))).first().ok
+
+
+def test_what_fails_while_running_is_the_tables_error(spark, tmp_path):
+    (tmp_path / "torn").mkdir()
+    (tmp_path / "torn" / "part-0.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    wide = spark.sql("SELECT CAST(9e37 AS DECIMAL(38,0)) AS a FROM range(3)")
+    tables = {"Wide": wide, "Torn": spark.read.schema("a long").parquet(str(tmp_path / "torn")),
+              "Good": spark.sql("SELECT CAST(1 AS DECIMAL(38,12)) AS a")}
+    spec = parity.read_spec({"tables": [
+        {"name": n, "columns": [{"name": "a", "kind": "numeric", "scale": 12 if n == "Good" else 0}]} for n in tables]})
+    report = {r.table: r for r in parity.parity_report(parity.run_parity(spark, spec, tables, tables)).collect()}
+    assert report["Wide"].error and report["Torn"].error and not report["Wide"].matched
+    assert report["Good"].matched and report["Good"].error == ""
+
+
+def test_declared_scale_and_all_blanks(spark):
+    spec = parity.read_spec({"tables": [{"name": "T", "columns": [{"name": "a", "kind": "numeric", "scale": 12}, "n"]}]})
+    one = {"T": spark.sql("SELECT 0.000000000001BD AS a, 'x\u00a0' AS n")}
+    two = {"T": spark.sql("SELECT 0.000000000004BD AS a, 'x' AS n")}
+    found = parity.parity_diff(parity.run_parity(spark, spec, one, two), Decimal("1e-12")).collect()
+    assert {(r.metric, r.delta) for r in found} == {(f"a__{h}", "0.000000000003") for h in ("sum", "min", "max")}
 
 
 def test_dropping_a_row_is_found(spark, sample):
     tables = {n: df for n, df in sample.items()}
-    checks = [c for c in parity.parse_spec(parity.PLANNING_SPEC) if c.table in tables]
+    checks = {t: m for t, m in parity.read_spec(parity.PLANNING_SPEC).items() if t in tables}
     copy = {**tables, "BudgetLineItem": tables["BudgetLineItem"].orderBy("BudgetLineItemID").limit(249)}
     assert parity.parity_diff(parity.run_parity(spark, checks, tables, tables)).isEmpty()
     found = parity.parity_diff(parity.run_parity(spark, checks, tables, copy)).collect()

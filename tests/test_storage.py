@@ -79,3 +79,22 @@ def test_a_run_counts_once_it_is_committed(spark, sample, tmp_path):
     centers.selectExpr("*", "'run-2' AS RunID").write.mode("append").partitionBy("RunID").parquet(
         f"{root}/CostCenter_runs")
     assert files.read_runs(spark, root, "CostCenter").count() == 4
+
+
+def test_a_retried_run_is_read_once(spark, sample, tmp_path):
+    root, centers = str(tmp_path), sample["CostCenter"]
+    bad = centers.selectExpr(*["raise_error('lost') AS CostCenterName" if c == "CostCenterName" else c for c in centers.columns])
+    files.append_run({"CostCenter": centers.limit(2)}, root, "run-0", NOW)
+    try:
+        files.append_run({"CostCenter": centers, "GLAccount": bad}, root, "run-1", NOW)
+    except Exception:
+        pass
+    assert files.read_runs(spark, root, "CostCenter").count() == 2
+    files.append_run({"CostCenter": centers}, root, "run-1", NOW)
+    assert files.read_runs(spark, root, "CostCenter").count() == 2 + centers.count()
+    try:
+        files.append_run({"CostCenter": centers}, root, "run-1", NOW)
+    except ValueError as error:
+        assert "run-1" in str(error)
+    else:
+        raise AssertionError("a committed run was written again")
