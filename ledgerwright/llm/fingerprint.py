@@ -31,6 +31,8 @@ from ledgerwright.llm.shared import Workspace
 PIECE = 16
 CELLS = 24
 ROUNDS = 8
+#: Digests of a task in an attempt, on average; all rounds of a task run at once.
+DIGESTS = 50_000
 _PIECES = rf"\S++(?:[^\S\n]++\S++){{0,{PIECE - 1}}}+"
 #: Stands for a null id in keys.
 _NO_ID = -(1 << 63)
@@ -144,7 +146,8 @@ def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
             F.transform("left", lambda d: F.struct(d.alias("d"), F.lit(1).cast("long").alias("n"))),
             F.transform("right", lambda d: F.struct(d.alias("d"), F.lit(-1).cast("long").alias("n"))),
         )
-        dealt = todo.repartition(*_KEY)
+        count = todo.agg(F.sum(F.size("left") + F.size("right"))).first()[0] or 0
+        dealt = todo.repartition(max(1, -(-count // DIGESTS)), *_KEY)
         signed = dealt.select(*_KEY, "kind", "size", F.explode(both).alias("x")).select(*_KEY, "kind", "size", "x.d", "x.n")
         places = F.array(*[_place(F.col("d"), j, F.col("size"), attempt) for j in range(3)])
         cells = signed.select(*_KEY, "kind", "size", "n", "d", F.explode(places).alias("cell"))
