@@ -78,7 +78,7 @@ class Index:
     ids: list
     checks: list  # of each item: runs and number of words of the question, the same of the answer, words in all
     terms: np.ndarray  # sorted hashes
-    starts: np.ndarray  # postings of each term
+    cells: np.ndarray  # of each posting: term and block as one number, in order
     part: np.ndarray
     weight: np.ndarray
     owner: np.ndarray  # item of each part
@@ -114,12 +114,13 @@ def build_index(items: list[tuple], frequency: dict[int, int], n_items: int, mea
     terms, starts = np.unique(term[order], return_index=True)
     part, weight = part[order], weight[order]
     row = np.repeat(np.arange(len(terms)), np.diff(np.append(starts, len(part))))
-    bounds = np.zeros((len(terms), (len(parts) + BLOCK - 1) // BLOCK), np.float32)
+    blocks = (len(parts) + BLOCK - 1) // BLOCK
+    bounds = np.zeros((len(terms), blocks), np.float32)
     np.maximum.at(bounds, (row, part // BLOCK), weight.astype(np.float32))
     table = np.zeros(1 << _TABLE_BITS, bool)
     table[(terms & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)] = True
     owner = np.array([o for o, _ in parts])
-    return Index(ids, checks, terms, np.append(starts, len(part)), part, weight, owner, bounds, table)
+    return Index(ids, checks, terms, row * blocks + part // BLOCK, part, weight, owner, bounds, table)
 
 
 def _known(index: Index, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,23 +160,33 @@ def retrieve(index: Index, tokens: np.ndarray, at: np.ndarray, threshold: float)
         rows = np.repeat(begins[some], length) + _counting(length)
         offsets = np.concatenate([[0], np.cumsum(length)[:-1]])
         bound = np.add.reduceat(index.bounds[term[rows]], offsets, axis=0)
-        for i, b in zip(*np.nonzero(bound >= threshold - 1e-4), strict=True):
+        opened = np.stack(np.nonzero(bound >= threshold - 1e-4))
+        for at_once in range(0, opened.shape[1], 4096):
+            i, b = opened[:, at_once : at_once + 4096]
             k = some[i]
-            score = np.zeros(BLOCK)
-            for t in term[begins[k] : ends[k]]:
-                if index.bounds[t, b] > 0:
-                    low, high = index.starts[t], index.starts[t + 1]
-                    lo, hi = np.searchsorted(index.part[low:high], [b * BLOCK, (b + 1) * BLOCK]) + low
-                    score[index.part[lo:hi] - b * BLOCK] += index.weight[lo:hi]
-            for j in np.flatnonzero(score >= threshold):
-                d = int(np.searchsorted(first, found[k], "right") - 1)
-                yield d, int(found[k] - first[d]) * PART, int(b * BLOCK + j), float(score[j])
+            score = _scores(index, term, begins[k], ends[k] - begins[k], b)
+            for pair, j in zip(*np.nonzero(score >= threshold), strict=True):
+                d = int(np.searchsorted(first, found[k[pair]], "right") - 1)
+                start = int(found[k[pair]] - first[d]) * PART
+                yield d, start, int(b[pair] * BLOCK + j), float(score[pair, j])
+
+
+def _scores(index: Index, term: np.ndarray, begins: np.ndarray, lengths: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """Exact scores of passages (rows), given by their terms, for the parts of a block each (columns)."""
+    pair = np.repeat(np.arange(len(begins)), lengths)
+    cell = term[np.repeat(begins, lengths) + _counting(lengths)] * index.bounds.shape[1] + blocks[pair]
+    low = np.searchsorted(index.cells, cell, "left")
+    count = np.searchsorted(index.cells, cell, "right") - low
+    held = np.flatnonzero(count)
+    posting = np.repeat(low[held], count[held]) + _counting(count[held])
+    place = np.repeat(pair[held], count[held]) * BLOCK + index.part[posting] % BLOCK
+    return np.bincount(place, index.weight[posting], len(begins) * BLOCK).reshape(-1, BLOCK)
 
 
 def _counting(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... for each length, one after the other."""
     total = np.cumsum(lengths)
-    return np.arange(total[-1]) - np.repeat(total - lengths, lengths)
+    return np.arange(total[-1] if len(total) else 0) - np.repeat(total - lengths, lengths)
 
 
 def _present(runs: np.ndarray, n_words: int, text: np.ndarray) -> float:
