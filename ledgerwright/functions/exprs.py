@@ -50,3 +50,10 @@ def scramble(*keys: str, salt: int = 0) -> str:
     for key in keys:
         state = f"(({state} * 48271 + pmod({key}, 2147483647) * 69621 + 12345) % 2147483647)"
     return f"({state} * 16807 % 2147483647)"
+
+
+def key_id(*parts: str) -> str:
+    """A whole number of 120 bits from the given expressions, the same in every run."""
+    text = f"md5(CAST(concat_ws('/', {', '.join(parts)}) AS BINARY))"
+    half = "CAST(conv(substr({}, {}, 15), 16, 10) AS DECIMAL(19,0))".format
+    return f"CAST({half(text, 1)} * 1152921504606846976BD + {half(text, 16)} AS DECIMAL(38,0))"

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp
-from ledgerwright.functions.numbering import number_rows
+from ledgerwright.functions.exprs import ZERO, key_id, quoted, rows, stamp
 from ledgerwright.functions.stored import materialize
 from ledgerwright.operators.hierarchy import elements, field
-from ledgerwright.schemas import BUDGET_LINE_ITEM, LONG, NATURAL_KEY, complete
+from ledgerwright.schemas import BUDGET_LINE_ITEM, LINE_ID, NATURAL_KEY, complete
 
 #: How to treat lines that exist, modes that require an amount,
 #: rejection reasons in the order they are given, rejections listed in a result.
@@ -129,16 +128,11 @@ _ORIGINAL = """coalesce(original_amount,
 _ADJUSTED = f"coalesce(adjusted_amount, {ZERO})"
 
 
-def import_inserts(
-    validated: DataFrame, batch_id: str, now: str, new_id: str | None = None, after: int = 0
-) -> DataFrame:
-    """New ledger lines. Ids are the SQL expression ``new_id``, or count on from ``after``."""
-    fresh = validated.where("is_valid AND NOT line_exists")
-    if new_id is None:
-        fresh = number_rows(fresh, [], ["payload_id", "row_id"], "_number")
-        new_id = f"{after} + _number"
-    lines = fresh.selectExpr(
-        f"{new_id} AS BudgetLineItemID",
+def import_inserts(validated: DataFrame, batch_id: str, now: str, new_id: str | None = None) -> DataFrame:
+    """New ledger lines. Ids are the SQL expression ``new_id``, or follow from batch, payload and row."""
+    new_id = new_id or key_id(quoted(batch_id), "payload_id", "row_id")
+    lines = validated.where("is_valid AND NOT line_exists").selectExpr(
+        f"CAST({new_id} AS {LINE_ID.simpleString()}) AS BudgetLineItemID",
         *KEYS,
         f"{_ORIGINAL} AS OriginalAmount",
         f"{_ADJUSTED} AS AdjustedAmount",
@@ -211,12 +205,8 @@ def import_apply(
     """The ledger after the import: lines updated (UPDATE only), new lines added."""
     if duplicate_handling not in DUPLICATE_HANDLING:
         raise ValueError("Duplicate handling must be REJECT or UPDATE")
-    after = 0
-    if new_id is None:
-        highest = ledger.agg(F.max("BudgetLineItemID").cast(LONG).alias("id")).first()
-        after = highest["id"] or 0
     kept = import_updates(ledger, validated, batch_id, now) if duplicate_handling == "UPDATE" else ledger
-    return kept.unionByName(import_inserts(validated, batch_id, now, new_id, after).select(*ledger.columns))
+    return kept.unionByName(import_inserts(validated, batch_id, now, new_id).select(*ledger.columns))
 
 
 def import_result(

@@ -1,8 +1,9 @@
 """Cost-allocation and consolidation journals, one per budget.
 
-A run is identified by ``Run``: its id, its clock and the first free ids are
-fixed before anything is computed, so a retried task writes the same
-numbers. Nothing is read back to find the new journal.
+A run is identified by ``Run``: its id and its clock are fixed before anything is
+computed, and ids follow from them: a journal's from its kind, run and budget, a
+line's from its journal and number. A retried task writes the same numbers, two
+runs or two kinds share none, and nothing is read back.
 """
 
 from __future__ import annotations
@@ -18,15 +19,16 @@ from ledgerwright.functions.exprs import ZERO, quoted, rows, stamp, total
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.schemas import CONSOLIDATION_JOURNAL, TOTAL, complete
 
+#: Room for the line numbers of a journal in its lines' ids.
+LINES = 1_000_000_000_000
+
 
 @dataclass(frozen=True)
 class Run:
-    """``id`` is 32 hex digits; the bases must not be below any existing journal or line id."""
+    """``id`` is 32 hex digits."""
 
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
     now: str = field(default_factory=lambda: datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
-    journal_base: int = 0
-    line_base: int = 0
 
 
 def requested_headers(headers: DataFrame, ids: DataFrame) -> DataFrame:
@@ -48,7 +50,8 @@ def _suffix(run: Run) -> str:
 def _journal(headers: DataFrame, run: Run, prefix: str, kind: str, about: str) -> DataFrame:
     number = f"concat('{prefix}', date_format({stamp(run.now)}, 'yyyyMMddHHmmss'), '-', {_suffix(run)})"
     journal = headers.selectExpr(
-        f"{run.journal_base} + BudgetHeaderID AS JournalID",
+        f"CAST(conv(substr(md5(CAST(concat('{kind}/{run.id}/', BudgetHeaderID) AS BINARY)), 1, 15), 16, 10) AS BIGINT)"
+        " AS JournalID",
         f"{number} AS JournalNumber",
         f"'{kind}' AS JournalType",
         "BudgetHeaderID",
@@ -66,8 +69,8 @@ def _lines(ledger: DataFrame, journal: DataFrame, run: Run) -> DataFrame:
     entries = ledger.select(
         "BudgetHeaderID", "BudgetLineItemID", "GLAccountID", "CostCenterID", "FinalAmount"
     ).join(journal.select("BudgetHeaderID", "JournalID"), "BudgetHeaderID")
-    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber", overall="n").selectExpr(
-        f"{run.line_base} + n AS JournalLineID",
+    return number_rows(entries, ["JournalID"], ["BudgetLineItemID"], "LineNumber").selectExpr(
+        f"CAST(CAST(JournalID AS DECIMAL(19,0)) * {LINES}BD + LineNumber AS DECIMAL(38,0)) AS JournalLineID",
         "JournalID",
         "CAST(LineNumber AS INT) AS LineNumber",
         "GLAccountID",

@@ -263,6 +263,9 @@ cte("validated", f"""
           FROM matched)""", "matched")
 ORACLES["import_validate"] = sql("SELECT * FROM validated", "validated")
 
+_NEW_HASH = f"md5('{BATCH}/' || payload_id || '/' || row_id)"
+_NEW_ID = f"""CAST(('0x' || substr({_NEW_HASH}, 1, 15))::BIGINT AS HUGEINT) * 1152921504606846976
+       + ('0x' || substr({_NEW_HASH}, 16, 15))::BIGINT"""
 ORACLES["import_apply"] = sql(f"""
 SELECT b.BudgetLineItemID, {_KEYS},
        CASE WHEN m.found THEN m.original_amount ELSE b.OriginalAmount END AS OriginalAmount,
@@ -275,7 +278,7 @@ SELECT b.BudgetLineItemID, {_KEYS},
        CASE WHEN m.found THEN {STAMP} ELSE b.LastModifiedDateTime END AS LastModifiedDateTime
 FROM BookedLine b LEFT JOIN (SELECT * FROM matched WHERE found) m USING ({_KEYS})
 UNION ALL
-SELECT {_LINE_ID}, {_KEYS}, original_amount, coalesce(adjusted_amount, 0),
+SELECT {_NEW_ID}, {_KEYS}, original_amount, coalesce(adjusted_amount, 0),
        CAST(original_amount + coalesce(adjusted_amount, 0) AS DECIMAL(19,4)), spread_method_code, '{BATCH}', {STAMP}
 FROM matched WHERE reason IS NULL AND NOT found""", "matched", "BookedLine")
 
@@ -298,7 +301,7 @@ LEFT JOIN (
 
 def _journal(prefix: str, kind: str, about: str) -> str:
     return f"""
-    SELECT {RUN.journal_base} + BudgetHeaderID AS JournalID,
+    SELECT ('0x' || substr(md5('{kind}/{RUN.id}/' || BudgetHeaderID), 1, 15))::BIGINT AS JournalID,
            '{prefix}' || strftime({STAMP}, '%Y%m%d%H%M%S') || '-'
                || printf('%08x', (BudgetHeaderID + {int(RUN.id[:8], 16)}) % 4294967296) AS JournalNumber,
            '{kind}' AS JournalType, BudgetHeaderID, StartPeriodID AS FiscalPeriodID,
@@ -323,7 +326,8 @@ ORACLES["consolidation_journal"] = sql(_with_guid("consol_journal"), "consol_jou
 
 def _journal_lines(journal: str, join: str = "") -> str:
     return f"""
-SELECT {RUN.line_base} + row_number() OVER (ORDER BY JournalID, BudgetLineItemID) AS JournalLineID,
+SELECT CAST(JournalID AS HUGEINT) * 1000000000000
+           + row_number() OVER (PARTITION BY JournalID ORDER BY BudgetLineItemID) AS JournalLineID,
        JournalID, CAST(row_number() OVER (PARTITION BY JournalID ORDER BY BudgetLineItemID) AS INTEGER) AS LineNumber,
        l.GLAccountID, l.CostCenterID, l.FinalAmount AS DebitAmount, CAST(0 AS DECIMAL(19,4)) AS CreditAmount,
        l.FinalAmount AS NetAmount, {STAMP} AS CreatedDateTime

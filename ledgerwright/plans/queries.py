@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 NOW = "2024-01-16 00:00:00"
 BATCH = "import-0001"
-RUN = journals.Run(id="0f1e2d3c4b5a69788796a5b4c3d2e1f0", now=NOW, journal_base=1000000, line_base=5000)
+RUN = journals.Run(id="0f1e2d3c4b5a69788796a5b4c3d2e1f0", now=NOW)
 FORECAST_MONTHS = 18
 CLOSE_BEFORE = "1998-07-01"
 
@@ -112,7 +112,6 @@ def _imported(spark, d, duplicate_handling):
         BATCH,
         NOW,
         duplicate_handling,
-        new_id=retail.LINE_ID,
     )
 
 

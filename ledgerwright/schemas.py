@@ -24,6 +24,8 @@ SHARE = T.DecimalType(8, 6)
 WEIGHT = T.DecimalType(5, 4)
 #: Sums of MONEY are widened to this, so both sides of a comparison agree.
 TOTAL = T.DecimalType(38, 4)
+#: Ids of ledger and journal lines: built from their keys, wider than 63 bits.
+LINE_ID = T.DecimalType(38, 0)
 
 NOW = object()  # default: the load time
 UUID = object()  # default: a fresh identifier per row
@@ -249,7 +251,7 @@ NATURAL_KEY = ("BudgetHeaderID", "GLAccountID", "CostCenterID", "FiscalPeriodID"
 BUDGET_LINE_ITEM = Table(
     "BudgetLineItem",
     (
-        _need("BudgetLineItemID", LONG),
+        _need("BudgetLineItemID", LINE_ID),
         _need("BudgetHeaderID", LONG),
         _need("GLAccountID", LONG),
         _need("CostCenterID", LONG),
@@ -267,7 +269,7 @@ BUDGET_LINE_ITEM = Table(
         _may("SourceReference", TEXT),
         _may("ImportBatchID", TEXT),
         _need("IsAllocated", BOOL, False),
-        _may("AllocationSourceLineID", LONG),
+        _may("AllocationSourceLineID", LINE_ID),
         _may("AllocationPercentage", SHARE),
         _may("LastModifiedByUserID", LONG),
         _need("LastModifiedDateTime", STAMP, NOW),
@@ -333,7 +335,7 @@ CONSOLIDATION_JOURNAL = Table(
 CONSOLIDATION_JOURNAL_LINE = Table(
     "ConsolidationJournalLine",
     (
-        _need("JournalLineID", LONG),
+        _need("JournalLineID", LINE_ID),
         _need("JournalID", LONG),
         _need("LineNumber", INT),
         _need("GLAccountID", LONG),

@@ -5,7 +5,7 @@ from sample_ledger import NOW, value
 
 from ledgerwright.operators import allocation, generate, hierarchy, journals, period, reports
 
-RUN = journals.Run(id="00000010" + "0" * 24, now=NOW, journal_base=500)
+RUN = journals.Run(id="00000010" + "0" * 24, now=NOW)
 
 
 def test_summary_matches_a_plain_join(sample):
@@ -125,7 +125,7 @@ def test_allocation_journal(spark, sample):
         sample["BudgetHeader"], spark.createDataFrame([(1,)], "BudgetHeaderID bigint"))
     journal = journals.cost_allocation_journal(headers, RUN)
     head = journal.first()
-    assert (head.JournalNumber, head.JournalID) == ("ALLOC-20240601120000-00000011", 501)
+    assert head.JournalNumber == "ALLOC-20240601120000-00000011"
     lines = journals.cost_allocation_lines(sample["BudgetLineItem"], journal, RUN).cache()
     result = journals.cost_allocation_result(headers, sample["BudgetLineItem"], sample["AllocationRule"], RUN).first()
     assert lines.count() == 250 and result.rules_processed == 3
@@ -224,3 +224,14 @@ def test_generated_journals(sample):
     assert lines.count() == 200
     assert lines.where("(DebitAmount > 0) = (CreditAmount > 0)").isEmpty()
     assert lines.where("GLAccountID = 20").isEmpty()  # not postable
+
+
+def test_journals_share_no_ids(sample):
+    ids, lines = [], []
+    for run in (RUN, journals.Run(id="1" * 32, now=RUN.now)):
+        for journal in (journals.cost_allocation_journal(sample["BudgetHeader"], run),
+                        journals.consolidation_journal(sample["BudgetHeader"], run)):
+            ids += [r.JournalID for r in journal.collect()]
+            booked = journals.cost_allocation_lines(sample["BudgetLineItem"], journal, run)
+            lines += [r.JournalLineID for r in booked.select("JournalLineID").collect()]
+    assert len(set(ids)) == len(ids) == 12 and len(set(lines)) == len(lines) == 1000

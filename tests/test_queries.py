@@ -6,6 +6,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from ledgerwright.plans.oracles import ORACLES
+from ledgerwright.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the test tables")
@@ -17,12 +19,13 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(entry.queries()) - set(entry.CORPUS_QUERIES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    found = difference(spark, db, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name])
+    found = difference(spark, db, SF_DIR, name, QUERIES[name], ORACLES[name])
     assert found.startswith("ok"), found
 
 
