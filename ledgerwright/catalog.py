@@ -48,7 +48,11 @@ _FUNCTIONS = (
 
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame], now: str) -> None:
-    """Make the tables, both views and the functions available to ``spark.sql``."""
+    """Make the tables, both views and the functions available to ``spark.sql``.
+
+    The two hierarchy functions read paths and the closure as they are now; call
+    ``refresh_hierarchy`` after ``CostCenter`` changes. All else follows the tables.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     budget_consolidation_summary(
@@ -56,12 +60,17 @@ def register(spark: SparkSession, tables: Mapping[str, DataFrame], now: str) ->
         tables["FiscalPeriod"],
     ).createOrReplaceTempView(SUMMARY_VIEW)
     allocation_rule_targets(tables["AllocationRule"], tables["CostCenter"], now).createOrReplaceTempView(TARGETS_VIEW)
-    materialize(cost_center_path(tables["CostCenter"]), "paths").createOrReplaceTempView(PATHS)
-    materialize(cost_center_explode(tables["CostCenter"]), "closure").createOrReplaceTempView(CLOSURE)
+    refresh_hierarchy(tables["CostCenter"])
     for definition in _FUNCTIONS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {definition}")
 
 
+def refresh_hierarchy(centers: DataFrame) -> None:
+    """Store paths and closure of the cost centers anew for the hierarchy functions."""
+    materialize(cost_center_path(centers), "paths").createOrReplaceTempView(PATHS)
+    materialize(cost_center_explode(centers), "closure").createOrReplaceTempView(CLOSURE)
+
+
 def object_inventory(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One labelled row per kind of object found in the session's catalog."""
     names = {v["viewName"].lower() for v in spark.sql("SHOW VIEWS").collect()}

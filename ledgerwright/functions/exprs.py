@@ -52,6 +52,11 @@ def scramble(*keys: str, salt: int = 0) -> str:
     return f"({state} * 16807 % 2147483647)"
 
 
+def scramble_wide(*keys: str, salt: int = 0) -> str:
+    """A repeatable number below 2**62 from two draws, for ranges beyond one."""
+    return f"({scramble(*keys, salt=salt)} * 2147483647 + {scramble(*keys, salt=salt + 100)})"
+
+
 def key_id(*parts: str) -> str:
     """A whole number of 120 bits from the given expressions, the same in every run."""
     text = f"md5(CAST(concat_ws('/', {', '.join(parts)}) AS BINARY))"

@@ -2,31 +2,56 @@
 
 Used where a result is read more than once or a loop must cut its lineage. A
 lost executor costs a re-read of files, not a recomputation.
+
+    with stored.run(spark):
+        ledger.write.parquet(...)  # what is stored on the way goes when the block ends
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_RUN = "ledgerwright.run.folder"
+_local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
+    """The folder of the running block, else the session's checkpoint folder.
+
+    A local session without the setting gets a temporary folder that goes with the
+    process; a cluster has to name one.
+    """
+    folder = spark.conf.get(_RUN, None) or spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ledgerwright-")
-    context.setCheckpointDir(folder)
-    return folder
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="ledgerwright-"))
+        atexit.register(shutil.rmtree, _local[0], True)
+    return _local[0]
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is stored in the block; removed when it ends."""
+    outer = spark.conf.get(_RUN, None)
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    spark.conf.set(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        spark.conf.unset(_RUN) if outer is None else spark.conf.set(_RUN, outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwright.functions.exprs import ZERO, rows, scramble
+from ledgerwright.functions.exprs import ZERO, rows, scramble, scramble_wide
 from ledgerwright.functions.numbering import number_rows
 from ledgerwright.schemas import NATURAL_KEY
 
@@ -24,6 +24,8 @@ LEDGER_LINES = 250
 JOURNAL_LINES = 100
 
 _WIDE = "DECIMAL(38,0)"
+#: Draws that one row unfolds to at a time.
+_BLOCK = 4096
 
 
 def uniform(low: int, high: int, draw: str) -> str:
@@ -44,21 +46,28 @@ def _quotient(value: str, by: str) -> str:
     return f"CAST(({value} - {value} % {by}) / {by} AS {_WIDE})"
 
 
-def _drawn_cells(owners: DataFrame, owner: str, lines: int, salt: int) -> DataFrame:
-    """``lines`` different cell numbers below ``size`` for each owner.
+def _drawn_cells(owners: DataFrame, owner: str, lines: int | None, rate: float | None, salt: int) -> DataFrame:
+    """Different cell numbers below ``size`` for each owner: a share ``rate`` of them, ``lines`` at most.
 
     The cells are cut into as many equal strata as lines and one cell is drawn
-    from each; a grid with fewer cells gives every cell once.
+    from each; a grid with fewer cells gives every cell once. Draws reach any cell
+    of strata of up to 2**62 cells.
     """
+    wanted = "size" if rate is None else f"CAST(ceil(CAST(size AS DOUBLE) * {rate}) AS {_WIDE})"
+    if lines is not None:
+        wanted = f"least({wanted}, CAST({lines} AS {_WIDE}))"
     return (
-        owners.selectExpr("*", f"least(size, CAST({lines} AS {_WIDE})) AS wanted")
+        owners.selectExpr("*", f"least(size, {wanted}) AS wanted")
         .where("wanted > 0")
-        .selectExpr("*", "explode(sequence(0, CAST(wanted AS INT) - 1)) AS draw")
+        .selectExpr("*", f"explode(sequence(0L, CAST((wanted - 1) / {_BLOCK} AS BIGINT))) AS _block")
+        .selectExpr(
+            "*", f"explode(sequence(_block * {_BLOCK}, least(_block * {_BLOCK} + {_BLOCK - 1}, CAST(wanted AS BIGINT) - 1))) AS draw"
+        )
         .selectExpr("*", f"CAST(draw * size AS {_WIDE}) AS _from", f"CAST((draw + 1) * size AS {_WIDE}) AS _to")
         .selectExpr("*", f"{_quotient('_from', 'wanted')} AS _low", f"{_quotient('_to', 'wanted')} AS _high")
         .selectExpr(
             *owners.columns,
-            f"CAST(_low + {scramble(owner, 'draw', salt=salt)} % CAST(_high - _low AS {_WIDE}) AS {_WIDE}) AS cell",
+            f"CAST(_low + {scramble_wide(owner, 'draw', salt=salt)} % CAST(_high - _low AS {_WIDE}) AS {_WIDE}) AS cell",
         )
     )
 
@@ -88,10 +97,16 @@ def _up_to_a_tenth(salt: int) -> str:
 
 
 def budget_grid(
-    headers: DataFrame, accounts: DataFrame, centers: DataFrame, periods: DataFrame, lines: int = LEDGER_LINES
+    headers: DataFrame,
+    accounts: DataFrame,
+    centers: DataFrame,
+    periods: DataFrame,
+    lines: int | None = LEDGER_LINES,
+    rate: float | None = None,
 ) -> DataFrame:
     """Sample ledger lines: per budget, distinct cells of budgetable account,
-    active cost center and period of its year.
+    active cost center and period of its year, a share ``rate`` of all and at
+    most ``lines`` unless that is None.
 
     The adjusted amount and the adjustment inside the final amount are two
     separate draws.
@@ -116,7 +131,7 @@ def budget_grid(
         )
     )
     cells = _decoded(
-        _drawn_cells(owners, "BudgetHeaderID", lines, salt=11), {"a": "accounts", "c": "centers", "p": "periods"}
+        _drawn_cells(owners, "BudgetHeaderID", lines, rate, salt=11), {"a": "accounts", "c": "centers", "p": "periods"}
     )
     return (
         cells.join(usable, "a")
@@ -153,12 +168,16 @@ def journal_headers_numbered(headers: DataFrame, periods: DataFrame) -> DataFram
 
 
 def journal_lines_numbered(
-    journals: DataFrame, accounts: DataFrame, centers: DataFrame, lines: int = JOURNAL_LINES
+    journals: DataFrame,
+    accounts: DataFrame,
+    centers: DataFrame,
+    lines: int | None = JOURNAL_LINES,
+    rate: float | None = None,
 ) -> DataFrame:
     """Sample lines per journal, numbered by account and cost center.
 
-    A journal has at most ``lines`` lines, so a plain window numbers them. The
-    three amounts are separate draws.
+    ``lines`` and ``rate`` are as in budget_grid; a journal's lines are numbered in one
+    window. The three amounts are separate draws.
     """
     accounts, centers = accounts.where("IsPostable"), centers.where("IsActive")
     postable = _indexed(accounts.select("GLAccountID", "AccountName", "NormalBalance"), "GLAccountID", "a")
@@ -170,7 +189,7 @@ def journal_lines_numbered(
         .withColumn("centers", n_centers)
         .selectExpr("*", f"CAST(CAST(accounts AS {_WIDE}) * CAST(centers AS {_WIDE}) AS {_WIDE}) AS size")
     )
-    cells = _decoded(_drawn_cells(owners, "JournalID", lines, salt=12), {"a": "accounts", "c": "centers"})
+    cells = _decoded(_drawn_cells(owners, "JournalID", lines, rate, salt=12), {"a": "accounts", "c": "centers"})
 
     def amount(salt: int) -> str:
         draw = scramble("JournalID", "GLAccountID", "CostCenterID", salt=salt)

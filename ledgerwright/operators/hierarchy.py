@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerwright.functions.stored import materialize
 
-PATH_LEVELS = 20  # a path has at most this many nodes
-DEPTH = 20  # a descendant is at most this far below its root
+#: Nodes of a path at most, and how far below its root a descendant is at most.
+PATH_LEVELS = 20
+DEPTH = 20
 
 
 def _codes(chain: str) -> str:
@@ -49,12 +50,14 @@ def ancestor_chains(centers: DataFrame, levels: int) -> DataFrame:
     return centers.join(above, "ParentCostCenterID", "left").selectExpr(*centers.columns, chain)
 
 
-def cost_center_path(centers: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+def cost_center_path(
+    centers: DataFrame, requested: DataFrame | None = None, levels: int = PATH_LEVELS
+) -> DataFrame:
     """Path from the root to each cost center, or to the requested ids only.
 
     ``literal_path`` is the node's own code. An unknown id gives NULLs.
     """
-    paths = ancestor_chains(centers, PATH_LEVELS).selectExpr(
+    paths = ancestor_chains(centers, levels).selectExpr(
         "CostCenterID", f"{_codes('chain')} AS path", "CostCenterCode AS literal_path"
     )
     if requested is None:
@@ -62,14 +65,15 @@ def cost_center_path(centers: DataFrame, requested: DataFrame | None = None) ->
     return requested.select("CostCenterID").join(paths, "CostCenterID", "left")
 
 
-def cost_center_explode(centers: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+def cost_center_explode(centers: DataFrame, roots: DataFrame | None = None, depth: int = DEPTH) -> DataFrame:
     """Active descendants of every active root, the root itself at level 0.
 
     Walking up from each node gives the same pairs as walking down from each
     root: the chain over active nodes stops at an inactive one, which cuts its
-    subtree off. A node yields one row per ancestor, 21 at most.
+    subtree off. A node yields one row per ancestor, ``depth`` + 1 at most; deeper
+    pairs are left out.
     """
-    chains = ancestor_chains(centers.where("IsActive"), DEPTH + 1)
+    chains = ancestor_chains(centers.where("IsActive"), depth + 1)
     pairs = chains.withColumn("HierarchyLevel", F.expr("explode(sequence(0, size(chain) - 1))")).selectExpr(
         "chain[HierarchyLevel].id AS RootCostCenterID",
         "CostCenterID",

@@ -467,7 +467,8 @@ def _scramble(salt: int, *keys: str) -> str:
 def _cells(owners: str, owner: str, size: str, lines: int, salt: int) -> str:
     """Stratified cell numbers of every owner."""
     return f"""
-    SELECT *, low + {_scramble(salt, owner, "draw")} % (high - low) AS cell
+    SELECT *, low + (CAST({_scramble(salt, owner, "draw")} AS HUGEINT) * 2147483647
+                     + {_scramble(salt + 100, owner, "draw")}) % (high - low) AS cell
     FROM (SELECT *, draw * size // wanted AS low, (draw + 1) * size // wanted AS high
           FROM (SELECT *, CAST(unnest(range(0, CAST(wanted AS BIGINT))) AS HUGEINT) AS draw
                 FROM (SELECT *, least(size, {lines}) AS wanted

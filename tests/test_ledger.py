@@ -235,3 +235,41 @@ def test_journals_share_no_ids(sample):
             booked = journals.cost_allocation_lines(sample["BudgetLineItem"], journal, run)
             lines += [r.JournalLineID for r in booked.select("JournalLineID").collect()]
     assert len(set(ids)) == len(ids) == 12 and len(set(lines)) == len(lines) == 1000
+
+
+def test_draws_reach_the_upper_half_of_wide_strata(spark):
+    owners = spark.range(40).selectExpr("id AS owner", "CAST(86000000000000 AS DECIMAL(38,0)) AS size")
+    cells = generate._drawn_cells(owners, "owner", 250, None, salt=11)
+    inside = cells.selectExpr("CAST(cell % 344000000000 AS DOUBLE) / 344000000000 AS at")
+    low, high = inside.selectExpr("min(at)", "max(at)").first()
+    assert cells.distinct().count() == 40 * 250 and low < 0.01 and high > 0.99
+    half = generate._drawn_cells(owners.selectExpr("owner", "CAST(9001 AS DECIMAL(38,0)) AS size"), "owner", None, 0.5, 3)
+    assert half.distinct().count() == 40 * 4501
+
+
+def test_repeated_centers_count_a_line_once(sample):
+    centers = sample["CostCenter"].unionAll(sample["CostCenter"])
+    once = {r.CostCenterCode: r for r in reports.cost_center_summary(sample["CostCenter"], sample["BudgetLineItem"]).collect()}
+    for r in reports.cost_center_summary(centers, sample["BudgetLineItem"]).collect():
+        assert r.BudgetLineCount == once[r.CostCenterCode].BudgetLineCount
+
+
+def test_line_sample_passes_over_lines_without_an_account(sample):
+    ledger = sample["BudgetLineItem"]
+    cut = ledger.orderBy("BudgetLineItemID").limit(200).selectExpr(
+        *["-1L AS GLAccountID" if c == "GLAccountID" else c for c in ledger.columns])
+    rest = ledger.join(cut.select("BudgetLineItemID"), "BudgetLineItemID", "left_anti").select(*ledger.columns)
+    found = reports.budget_line_sample(
+        cut.unionByName(rest), sample["BudgetHeader"], sample["GLAccount"], sample["CostCenter"])
+    want = rest.orderBy("BudgetLineItemID").limit(10).select("FinalAmount").collect()
+    assert [r.FinalAmount for r in found.collect()] == [r.FinalAmount for r in want]
+
+
+def test_a_run_folder_goes_with_its_block(spark):
+    import os
+
+    from ledgerwright.functions import stored
+
+    with stored.run(spark) as folder:
+        assert stored.materialize(spark.range(3), "x").count() == 3 and os.listdir(folder)
+    assert not os.path.exists(folder)
