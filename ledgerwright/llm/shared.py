@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -13,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SETTING = "spark.checkpoint.dir"
+from ledgerwright.functions.stored import shared_folder
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -26,13 +26,8 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-        if not root:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-            root = tempfile.mkdtemp(prefix="llm-")
         self.spark = spark
-        self.path = os.path.join(root.rstrip("/"), f"{label}-{uuid.uuid4().hex}")
+        self.path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._steps = 0
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
