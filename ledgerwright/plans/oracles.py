@@ -699,7 +699,10 @@ cte("corpus", f"""
     SELECT 'q/' || o_orderkey || '.sql' AS path,
            '-- order ' || o_orderkey || ': ISNULL(), LEN() were replaced' || chr(10) || {_DRESSED} || chr(10)
            || '  SELECT [status], LEN(''' || o_orderpriority || ''') FROM sales;' || chr(10) AS text
-    FROM orders JOIN statements ON n = o_orderkey % {len(STATEMENTS)}""", "statements")
+    FROM orders JOIN statements ON n = o_orderkey % {len(STATEMENTS)}
+    UNION ALL
+    SELECT 'd/' || doc_id || '.sql', statement || chr(10) || coalesce(text, '') || chr(10) || statement || chr(10)
+    FROM documents JOIN statements ON n = doc_id % {len(STATEMENTS)}""", "statements")
 cte("scanned", r"""
     SELECT path, unnest(range(1, len(scans) + 1)) AS line, unnest(scans) AS scan, unnest(raws) AS raw
     FROM (SELECT path, string_split(text, chr(10)) AS raws, string_split(array_to_string(list_transform(
@@ -729,8 +732,9 @@ cte("findings", "\nUNION ALL ".join(
 ORACLES["sql_corpus_findings"] = sql("""SELECT * REPLACE (CAST(line AS INTEGER) AS line,
     CAST("column" AS INTEGER) AS "column") FROM findings""", "findings")
 ORACLES["sql_corpus_tally"] = sql("""
-SELECT error, warning, info, files, error || ' error, ' || warning || ' warning across ' || files || ' file(s).'
+SELECT error, warning, info, files,
+       error || ' error, ' || warning || ' warning, ' || info || ' info across ' || files || ' file(s).'
            AS summary
 FROM (SELECT count(*) FILTER (severity = 'error') AS error, count(*) FILTER (severity = 'warning') AS warning,
-             CAST(0 AS BIGINT) AS info, count(DISTINCT path) AS files
-      FROM findings WHERE severity <> 'info')""", "findings")
+             count(*) FILTER (severity = 'info') AS info, count(DISTINCT path) AS files
+      FROM findings)""", "findings")

@@ -333,7 +333,7 @@ def sql_corpus_findings(spark, d):
 
 @query
 def sql_corpus_tally(spark, d):
-    return corpus.sql_corpus_tally(corpus.sql_corpus_findings(retail.sql_corpus(spark, d)))
+    return corpus.sql_corpus_tally(corpus.sql_corpus_findings(retail.sql_corpus(spark, d), "info"))
 
 
 def _audited(spark, d, numbered=False):

@@ -361,6 +361,7 @@ STATEMENTS = (
     ("SS019", "SELECT DATEADD(mm, 3, start_date) FROM period;"),
     ("SS020", "CREATE TYPE LineRows AS TABLE (id NUMBER);"),
     ("SS101", "SELECT first_name + ' ' + last_name FROM manager;"),
+    ("SS102", "ALTER TABLE header ADD revision SMALLINT;"),
     ("SS103", "SELECT CHARINDEX('-', code) FROM center;"),
     ("SS104", "SELECT LEN(code) FROM center;"),
     ("SS105", "TRUNCATE TABLE staging;"),
@@ -371,11 +372,17 @@ STATEMENTS = (
 
 
 def sql_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One SQL file per order: a note, a statement, and a query over the order.
+    """SQL files: one per order, and one per document with all of its text.
 
-    By customer the statement stands alone, inside a comment, or next to a bare
-    or a targeted noqa mark.
+    An order's file has a note, a statement, and a query over the order. By
+    customer the statement stands alone, inside a comment, or next to a bare or a
+    targeted noqa mark. A document's file has its text between two statements.
     """
+    by_document = f"element_at(array({', '.join(quoted(x) for _, x in STATEMENTS)}), CAST(doc_id % {len(STATEMENTS)} AS INT) + 1)"
+    documents = table(spark, sf_dir, "documents").selectExpr(
+        "concat('d/', doc_id, '.sql') AS path",
+        f"concat({by_document}, '\\n', coalesce(text, ''), '\\n', {by_document}, '\\n') AS text",
+    )
     which = f"CAST(o_orderkey % {len(STATEMENTS)} AS INT)"
     codes = ", ".join(quoted(c) for c, _ in STATEMENTS)
     statements = ", ".join(quoted(s) for _, s in STATEMENTS)
@@ -390,4 +397,5 @@ def sql_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN 3 THEN concat(statement, ' -- noqa: ', code) ELSE statement END,
                 '\\n  SELECT [status], LEN(\\'', o_orderpriority, '\\') FROM sales;\\n') AS text""",
         )
+        .unionByName(documents)
     )
