@@ -15,50 +15,42 @@ from ledgerwright.operators.period import budget_header_bounds
 
 NOW = "2024-06-01 12:00:00"
 
-# number, name, type, postable, budgetable, normal balance, intercompany
+# type, first number, accounts, normal balance, budgetable; numbers go up by 100
+KINDS = [
+    ("R", 4000, 5, "C", True),
+    ("X", 5000, 9, "D", True),
+    ("A", 1000, 3, "D", False),
+    ("L", 2000, 2, "C", False),
+    ("E", 3000, 1, "C", False),
+]
+# number, name, type, postable, budgetable, normal balance, intercompany: the last
+# budgetable account of a type is for intercompany lines, equity is not posted to
 ACCOUNTS = [
-    ("4000", "Product Revenue", "R", True, True, "C", False),
-    ("4100", "Service Revenue", "R", True, True, "C", False),
-    ("4200", "Consulting Revenue", "R", True, True, "C", False),
-    ("4300", "Other Revenue", "R", True, True, "C", False),
-    ("4500", "Intercompany Revenue", "R", True, True, "C", True),
-    ("5000", "Salaries & Wages", "X", True, True, "D", False),
-    ("5100", "Employee Benefits", "X", True, True, "D", False),
-    ("5200", "Office Rent", "X", True, True, "D", False),
-    ("5300", "Utilities", "X", True, True, "D", False),
-    ("5400", "Depreciation", "X", True, True, "D", False),
-    ("5500", "Supplies", "X", True, True, "D", False),
-    ("5600", "Travel", "X", True, True, "D", False),
-    ("5700", "Professional Services", "X", True, True, "D", False),
-    ("5900", "Intercompany Expense", "X", True, True, "D", True),
-    ("1000", "Cash", "A", True, False, "D", False),
-    ("1100", "Accounts Receivable", "A", True, False, "D", False),
-    ("1500", "Fixed Assets", "A", True, False, "D", False),
-    ("2000", "Accounts Payable", "L", True, False, "C", False),
-    ("2100", "Accrued Expenses", "L", True, False, "C", False),
-    ("3000", "Retained Earnings", "E", False, False, "C", False),
+    (str(first + 100 * k), f"{kind} account {k}", kind, kind != "E", budgetable, balance, budgetable and k == n - 1)
+    for kind, first, n, balance, budgetable in KINDS
+    for k in range(n)
 ]
 
 # code, name, parent, weight
 CENTERS = [
-    ("CORP", "Corporate", None, "1"),
-    ("OPS", "Operations Division", 1, "1"),
-    ("SALES", "Sales Department", 2, "0.4"),
-    ("SALES-N", "Sales - North", 3, "0.2"),
-    ("SALES-S", "Sales - South", 3, "0.2"),
-    ("OPS-DEPT", "Operations Dept", 2, "0.3"),
-    ("FIN", "Finance Division", 1, "1"),
-    ("ACC", "Accounting", 7, "0.5"),
-    ("FP", "Financial Planning", 7, "0.5"),
-    ("HR", "Human Resources", 1, "1"),
-    ("IT", "Information Technology", 1, "1"),
+    ("CORP", "whole company", None, "1"),
+    ("OPS", "works", 1, "0.9"),
+    ("SALES", "shops", 2, "0.4"),
+    ("SALES-N", "shops up north", 3, "0.25"),
+    ("LAB", "test bench", 3, "0.15"),
+    ("YARD", "stores and vans", 2, "0.6"),
+    ("FIN", "money", 1, "0.8"),
+    ("ACC", "books", 7, "0.45"),
+    ("FP", "plans", 7, "0.35"),
+    ("HR", "people", 1, "1"),
+    ("LEGAL", "contracts", 1, "0.7"),
 ]
 
 # code, method and basis, source, targets, sequence
 RULES = [
-    ("CORP-ALLOC-1", "HEADCOUNT", 1, '{"targetCostCenters": ["OPS", "FIN"]}', 10),
-    ("FIN-ALLOC-2", "HEADCOUNT", 7, '{"targetCostCenters": ["ACC", "FP"]}', 20),
-    ("OPS-ALLOC-3", "REVENUE", 2, '{"targetCostCenters": ["SALES", "OPS-DEPT"]}', 15),
+    ("SPLIT-A", "HEADCOUNT", 1, '{"targetCostCenters": ["OPS", "FIN"]}', 10),
+    ("SPLIT-B", "EQUAL", 7, '{"targetCostCenters": ["ACC", "FP"]}', 30),
+    ("SPLIT-C", "REVENUE", 2, '{"targetCostCenters": ["SALES", "YARD"]}', 20),
 ]
 
 
