@@ -26,7 +26,8 @@ class Rule(NamedTuple):
     words: tuple[str, ...] = ()  # upper case; a match contains one of them
 
 
-#: Severities, most severe first, and the rules. Patterns ignore case.
+#: Severities, most severe first, and the rules. Patterns ignore case. SS004 leaves out that a quote may
+#: be doubled inside the literal: its first position is the same, and a long literal does not exhaust the regex stack.
 SEVERITIES = ("error", "warning", "info")
 RULES = (
     Rule("SS001", "error", r"\bGETDATE\s*\(\s*\)",
