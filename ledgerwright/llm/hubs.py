@@ -17,14 +17,14 @@ HUBS = 8
 
 
 def hub_components(
-    space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed
+    space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed, hubs: int = HUBS
 ) -> tuple[DataFrame, DataFrame]:
     """(node, component) of all linked nodes, and all links.
 
     ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
     ``confirmed`` keeps the pairs that are links. While a cell holds several
     components, its members are compared with the hubs of other components: in each of
-    the first ``HUBS`` components the node with most links so far, the least one among
+    the first ``hubs`` components the node with most links so far, the least one among
     equals, another one in each round. Rounds end when one finds next to nothing; the few members then left outside a
     cell's main component are compared with all of the cell. A round is linear in the cells: hubs are chosen
     by an aggregate and joined back.
@@ -49,7 +49,7 @@ def hub_components(
         best = F.max(F.struct("links", (-F.col("node")).alias("minus"))).alias("best")
         ranked = free.groupBy("cell", "component").agg(best)
         first = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("best").desc()))
-        chosen = ranked.withColumn("rank", first).where(F.col("rank") <= HUBS)
+        chosen = ranked.withColumn("rank", first).where(F.col("rank") <= hubs)
         chosen = chosen.select("cell", (-F.col("best.minus")).alias("hub"), F.col("component").alias("own"))
         chosen = space.store(chosen, "hubs")
         fresh = (
