@@ -1,38 +1,49 @@
-"""Components of links, completed inside dense groups by comparison with their best linked members."""
+"""Components of links, completed inside dense groups by hubs first and by an exact prefix join for the rest."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwright.llm.components import components
 from ledgerwright.llm.shared import Workspace
 
-#: A cell with so many members outside its main component compares each of them with all of its members.
-OUTSIDERS = 64
-#: Rounds end when one links a smaller share of the pairs it compares.
-YIELD = 0.01
+#: A cell has another round while each joins this share of its components; the prefix join completes the others.
+YIELD = 0.1
 #: Hubs of a cell in one round, each of another component.
 HUBS = 8
 
 
 def hub_components(
-    space: Workspace, dense: DataFrame, tried: DataFrame, links: DataFrame, confirmed, hubs: int = HUBS
+    space: Workspace,
+    dense: DataFrame,
+    tried: DataFrame,
+    links: DataFrame,
+    confirmed: Callable[[DataFrame], DataFrame],
+    exact: Callable[[DataFrame], DataFrame],
+    sets: Callable[[DataFrame], DataFrame],
+    percent: int,
+    hubs: int = HUBS,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, component) of all linked nodes, and all links.
 
-    ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b, and
-    ``confirmed`` keeps the pairs that are links. While a cell holds several
-    components, its members are compared with the hubs of other components: in each of
-    the first ``hubs`` components the node with most links so far, the least one among
-    equals, another one in each round. Rounds end when one finds next to nothing; the few members then left outside a
-    cell's main component are compared with all of the cell. A round is linear in the cells: hubs are chosen
-    by an aggregate and joined back.
+    ``dense`` has (cell, node), ``tried`` and ``links`` have (a, b) with a > b; ``confirmed``
+    and ``exact`` keep the pairs that are links. ``sets`` gives (node, key, pieces) of the
+    given nodes: the distinct pieces of every set of a node, told apart by the key.
+
+    While a cell holds several components, its members are compared with the hubs of other
+    components: in each of the first ``hubs`` components the node with most links so far,
+    the least one among equals, another one in each round. A round is linear in the cells.
+    A cell whose components become fewer by less than ``YIELD`` in a round has no further
+    one. Members of such cells that are still in different components are then compared
+    by ``_apart``, which misses no link.
     """
     labels = space.store(components(space, links), "components")
     if not dense.limit(1).count():
         return labels, links
-    members, used = dense.distinct(), None
+    members, used, before, late = dense.distinct(), None, None, None
     while True:
         ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
         degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
@@ -41,8 +52,17 @@ def hub_components(
             "cell", "node", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component")
         )
         named = space.store(named, "named")
-        spread = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = space.store(spread.where("low < high").select("cell"), "mixed")
+        parts = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
+        mixed = parts.groupBy("cell").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        if before is not None:
+            mixed = mixed.join(before, "cell").withColumn("ends", F.col("parts") > (1 - YIELD) * F.col("before"))
+            mixed = space.store(mixed, "judged")
+            ended = named.join(mixed.where("ends"), "cell", "left_semi").select("cell", "node")
+            late = ended if late is None else late.unionAll(ended)
+            mixed = mixed.where("NOT ends")
+        mixed = space.store(mixed.select("cell", F.col("parts").alias("before")), "mixed")
+        if not mixed.limit(1).count():
+            break
         free = named.join(mixed.hint("merge"), "cell", "left_semi")
         if used is not None:
             free = free.join(used, ["cell", "node"], "left_anti")
@@ -60,42 +80,69 @@ def hub_components(
         )
         fresh = space.store(fresh.join(tried, ["a", "b"], "left_anti"), "hub-pairs")
         more = confirmed(fresh)
-        linked = more.count()
-        if linked:
+        if more.limit(1).count():
             links, labels = links.unionAll(more), _joined(space, labels, more)
         tried = tried.unionAll(fresh)
-        if linked < YIELD * fresh.count():
-            named = named.drop("component").join(labels, "node", "left")
-            named = named.withColumn("component", F.coalesce("component", "node"))
-            return _outsiders(space, space.store(named, "named"), tried, labels, links, confirmed)
-        if not linked:
-            return labels, links
         now = chosen.select("cell", F.col("hub").alias("node"))
-        used = now if used is None else used.unionAll(now)
+        used, before = now if used is None else used.unionAll(now), mixed
         members = space.store(members.join(mixed, "cell", "left_semi"), "open")
+    if late is None:
+        return labels, links
+    named = late.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = space.store(named, "late")
+    spread = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    nodes = named.join(spread.where("low < high"), "cell", "left_semi").select("node", "component").distinct()
+    nodes = space.store(nodes, "late-nodes")
+    if not nodes.limit(1).count():
+        return labels, links
+    more = exact(_apart(space, nodes, sets(nodes), percent))
+    if not more.limit(1).count():
+        return labels, links
+    return _joined(space, labels, more), links.unionAll(more)
 
 
-def _outsiders(
-    space: Workspace, named: DataFrame, tried: DataFrame, labels: DataFrame, links: DataFrame, confirmed
-) -> tuple[DataFrame, DataFrame]:
-    """Labels and links after comparing the few members outside a cell's main component with all others in the cell."""
-    parts = space.store(named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n")), "cell-parts")
-    main = parts.groupBy("cell").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-    few = space.store(main.where(F.col("all") - F.col("most") <= OUTSIDERS), "few")
-    small = parts.join(few, "cell").where("n < most OR 2 * most = `all`").select("cell", "component")
-    outside = space.store(named.join(space.store(small, "small"), ["cell", "component"]), "outside")
-    outside = outside.select("cell", F.col("node").alias("outsider"), F.col("component").alias("own"))
+def _prefixes(space: Workspace, sets: DataFrame, percent: int) -> DataFrame:
+    """(piece, node, size, rest) of the rarest pieces of every set, as many as two linked sets cannot both be without.
+
+    Two sets of similarity ``percent`` share a piece among the first size - ceil(percent x size) + 1 of each in any
+    common order. Rare pieces come first, so what most sets share is in few prefixes. ``rest`` counts the pieces behind.
+    """
+    pieces = sets.select("node", "key", F.size("pieces").alias("size"), F.explode("pieces").alias("piece"))
+    often = space.store(pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    # Pieces of one set only are the rarest; they lead nowhere and are only counted.
+    ranked = pieces.join(often, "piece").groupBy("node", "key", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "piece"))).alias("ranked")
+    )
+    take = F.expr(f"size(ranked) - (({percent} * size + 99) DIV 100) + 1").cast("int")
+    taken = ranked.withColumn("take", take).where("take > 0")
+    return taken.select(
+        "node", "size", F.size("ranked").alias("all"), F.posexplode(F.slice("ranked", 1, F.col("take"))).alias("place", "item")
+    ).select("node", "size", (F.col("all") - F.col("place") - 1).alias("rest"), F.col("item.piece").alias("piece"))
+
+
+def _apart(space: Workspace, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of ``nodes`` (node, component) in different components that can be links.
+
+    Pairs share a prefix piece and can still reach the similarity behind it. Those of a
+    piece's largest component are compared with its other nodes only, not with each other.
+    """
+    held = space.store(_prefixes(space, sets, percent).join(nodes, "node"), "prefixes")
+    parts = held.groupBy("piece", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("piece").agg(
+        F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")
+    )
+    main = space.store(main.where("parts > 1").select("piece", F.col("most.component").alias("main")), "piece-parts")
+    held = space.store(held.join(main, "piece").withColumn("main", F.col("component") == F.col("main")), "apart")
+    other = held.select("piece", *[F.col(c).alias(f"other_{c}") for c in ("node", "size", "rest", "component", "main")])
     pairs = (
-        named.join(outside, "cell")
-        .where("component != own")
-        .select(F.greatest("node", "outsider").alias("a"), F.least("node", "outsider").alias("b"))
-        .distinct()
+        held.where("NOT main")
+        .join(other, "piece")
+        .where("component != other_component AND (other_main OR node > other_node)")
+        .where(f"100 * least(size, other_size) >= {percent} * greatest(size, other_size)")
+        .where(f"(1 + least(rest, other_rest)) * {100 + percent} >= {percent} * (size + other_size)")
     )
-    pairs = space.store(pairs.join(tried, ["a", "b"], "left_anti"), "outsider-pairs")
-    more = confirmed(pairs)
-    if not more.limit(1).count():
-        return labels, links
-    return _joined(space, labels, more), links.unionAll(more)
+    pairs = pairs.select(F.greatest("node", "other_node").alias("a"), F.least("node", "other_node").alias("b"))
+    return space.store(pairs.distinct(), "apart-pairs")
 
 
 def _joined(space: Workspace, labels: DataFrame, more: DataFrame) -> DataFrame:

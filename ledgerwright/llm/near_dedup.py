@@ -8,8 +8,8 @@ in a run and share a prefix of at least ``least`` values:
 * where at most ``WINDOW`` sets share the prefix, all of them are neighbours;
 * in denser regions a set meets the sets next to it only, which share its longest
   prefixes, so the depth follows the density. Each such region is then compared with
-  its hubs: the set with most confirmed links first, and again with the next one,
-  until a round finds nothing new. Every comparison is linear in the region.
+  its hubs, the sets with most confirmed links, while that joins much of the region.
+  Sets of a region that are still apart meet by an exact prefix join (see hubs.py).
 
 Candidates become links only by the exact similarity of their full shingle sets, and
 links become components. No group is collected: regions of any size are rows in
@@ -206,7 +206,20 @@ def near_duplicates(
         )
         return space.store(arrow_map(both, _confirm(percent), "a long, b long").distinct(), "confirmed")
 
-    component, links = hub_components(space, dense, pairs, confirmed(pairs), confirmed)
+    def unpacked(batches):
+        for batch in batches:
+            packed = batch.column(1)
+            values = np.frombuffer(b"".join(packed.to_pylist()), np.int64)
+            at = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.binary_length(packed)) // 8)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(values))], ["node", "pieces"]
+            )
+
+    def sets(of: DataFrame) -> DataFrame:
+        wanted = full_sets.join(of.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi").distinct()
+        return arrow_map(wanted, unpacked, "node long, pieces array<long>").withColumn("key", F.xxhash64("pieces"))
+
+    component, links = hub_components(space, dense, pairs, confirmed(pairs), confirmed, confirmed, sets, percent)
     ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
     degree = space.store(ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links")), "degrees")
     found = component.select(F.col("node").alias("class"), "component")
