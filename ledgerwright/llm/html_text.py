@@ -5,14 +5,17 @@ a block where it can:
 
 * boilerplate: inside navigation, headers, footers, asides, forms, dialogs, hidden or
   non-text elements, or an element whose class, id or role names such a part, an advert,
-  a notice or comments; or mostly links;
+  a notice or comments; or mostly links. Class and id names never judge ``html``, ``body``,
+  ``main``, ``article`` or an element around a main one; names such as no-sidebar or
+  has-comments say how a page is laid out and judge nothing;
 * content: inside ``article`` or ``main`` where the page has one; otherwise long enough
   with enough stop words;
 * boilerplate too: long without stop words, outside any main element.
 
 Everything else is short and ambiguous. The second pass gives it the label of the
 nearest decided block. Of two as near, the one in the same element wins; else a heading
-follows the one after it, and another block is content only if both are. Content blocks are joined in page order.
+follows the one after it, and another block is content only if both are. On a page without any content block, stop
+words judge its short blocks too. Content blocks are joined in page order.
 
 Character references are decoded, white space within a block becomes one space. Null,
 empty and tag-only pages have an empty text; unclosed and truncated markup is read as
@@ -46,6 +49,9 @@ _BLOCKS = set(
 )
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _MAIN = {"article", "main"}
+_WHOLE = _MAIN | {"html", "body"}
+#: Words before a part's name that tell of its absence or of the layout around it.
+_NEUTRAL = {"no", "not", "non", "without", "has", "have", "with"}
 _OUTSIDE = {"nav", "footer", "aside", "form", "head", "menu", "dialog", "button", "select", "fieldset"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu"}
 _PARTS = set(
@@ -101,20 +107,40 @@ def _is_part(name: str, attributes: str, in_main: bool) -> bool:
             return True
         if key == "style" and _HIDDEN.search(value):
             return True
-        if key in ("class", "id") and not _PARTS.isdisjoint(p.lower() for p in _NAME_PART.findall(value)):
-            return True
     return False
 
 
-def blocks(page: str) -> list[Block]:
-    """All blocks with text, in page order."""
+def _is_named_part(name: str, attributes: str) -> bool:
+    """Whether a class or id names a part; names after a neutral word of theirs do not count."""
+    if name in _WHOLE or not attributes.strip():
+        return False
+    for key, value in _ATTRIBUTE.findall(attributes):
+        if key.lower() not in ("class", "id"):
+            continue
+        for one in value.strip("\"'").split():
+            for word in _NAME_PART.findall(one):
+                if word.lower() in _NEUTRAL:
+                    break
+                if word.lower() in _PARTS:
+                    return True
+    return False
+
+
+def blocks(page: str, spared: frozenset[int] = frozenset()) -> list[Block]:
+    """All blocks with text, in page order. Class words do not judge elements that start at ``spared``.
+
+    Those are the elements around the page's first ``main``, or its first ``article`` where it has none: known
+    only once that starts, so such a page is read again.
+    """
     out: list[Block] = []
-    open_: list[tuple[str, bool, bool, int]] = []  # elements that matter: name, outside, main, number
+    # Elements that matter: name, outside, main, number, start, and whether class words judged it.
+    open_: list[tuple[str, bool, bool, int, int, bool]] = []
+    around: dict[str, list[tuple[int, bool]]] = {}
     current = Block("", False, False, 0)
     at, in_link, number = 0, False, 0
 
     def state() -> tuple[bool, bool, int]:
-        return open_[-1][1:] if open_ else (False, False, 0)
+        return open_[-1][1:4] if open_ else (False, False, 0)
 
     def begin(tag: str) -> None:
         nonlocal current, in_link
@@ -177,18 +203,30 @@ def blocks(page: str) -> list[Block]:
             if open_ and open_[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 open_.pop()
                 outside, main, _ = state()
+        if name in _MAIN and name not in around:
+            around[name] = [o[4:] for o in open_]
         part = _is_part(name, match["attributes"], main)
+        named = not part and token not in spared and _is_named_part(name, match["attributes"])
+        part = part or named
         keeps = part or name in _MAIN or any(name == o[0] for o in open_) or name in ("div", "section")
         if keeps and name not in _VOID and not match["attributes"].rstrip().endswith("/"):
             number += 1
-            open_.append((name, outside or part, main or name in _MAIN, number))
+            open_.append((name, outside or part, main or name in _MAIN, number, token, named))
             begin(name)
         elif name in _BLOCKS:
             begin(name)
     begin("")
+    judged = around.get("main", around.get("article", []))
+    if not spared and any(named for _, named in judged):
+        return blocks(page, frozenset(start for start, _ in judged))
     return out
 
 
+def _dense(block: Block) -> bool:
+    words = _WORD.findall(block.text.lower())
+    return sum(w in _STOP for w in words) >= STOP_DENSITY * max(1, len(words))
+
+
 def _first_label(block: Block, has_main: bool) -> bool | None:
     if block.outside:
         return False
@@ -200,8 +238,7 @@ def _first_label(block: Block, has_main: bool) -> bool | None:
         return True
     if has_main or len(block.text) < LONG:
         return None
-    words = _WORD.findall(block.text.lower())
-    return sum(w in _STOP for w in words) >= STOP_DENSITY * max(1, len(words))
+    return _dense(block)
 
 
 def _nearest(labels: list[bool | None], order: range) -> list[int | None]:
@@ -235,6 +272,8 @@ def main_text(page: str | None) -> str:
     found = blocks(page) if page else []
     has_main = any(b.main for b in found)
     labels = [_first_label(b, has_main) for b in found]
+    if not any(labels):
+        labels = [True if label is None and _dense(b) else label for b, label in zip(found, labels, strict=True)]
     before = _nearest(labels, range(len(found)))
     after = _nearest(labels, range(len(found) - 1, -1, -1))
     return " ".join(
