@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwright.llm import (
+    byte_bpe,
     decontaminate,
     fingerprint,
     html_text,
@@ -92,3 +93,14 @@ def op1_url_filter(spark, d):
 
 
 ORACLES["op1_url_filter"] = url_filter.ORACLE
+
+
+@query
+def op13_byte_bpe(spark, d):
+    rows = byte_bpe.decode(byte_bpe.encode(table(spark, d, "documents")))
+    return rows.selectExpr(
+        "doc_id",
+        "CAST(length(ids) / 4 AS BIGINT) AS n_tokens",
+        "sha2(ids, 256) AS ids_sha256",
+        "sha2(data, 256) AS decoded_sha256",
+    )

@@ -30,14 +30,17 @@ class Workspace:
         self.path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._steps = 0
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written and read back. Its shuffle files go once it is written: nothing else reads them."""
+    def store(self, df: DataFrame, name: str, folders: list[str] | None = None) -> DataFrame:
+        """``df`` written and read back. Its shuffle files go once it is written: nothing else reads them.
+
+        ``folders`` are columns that get a folder for each value.
+        """
         self._steps += 1
         path = f"{self.path}/{self._steps:03d}-{name}"
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.parquet(path, partitionBy=folders)
         finally:
             self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
