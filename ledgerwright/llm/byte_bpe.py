@@ -95,12 +95,13 @@ def splitter(cut: str) -> Callable[[str], list[bytes]]:
     here = {r"\p{L}": set(regex.findall(r"\p{L}", every)), r"\p{N}": set(regex.findall(r"\p{N}", every))}
     other = (letters ^ here[r"\p{L}"]) | (numbers ^ here[r"\p{N}"])
     stand_in = {ord(c): "a" if c in letters else "1" if c in numbers else "!" for c in other}
-    differs = regex.compile("[" + "".join(map(regex.escape, sorted(other))) + "]") if other else None
+    # One range is searched for fast; only a text with a character in it is compared one by one.
+    suspect = re.compile(f"[{re.escape(min(other))}-{re.escape(max(other))}]") if other else None
 
     def split(text: str) -> list[bytes]:
         if plain is not None and text.isascii():
             return plain.findall(text.encode())
-        if differs is not None and differs.search(text):
+        if suspect is not None and suspect.search(text) and not other.isdisjoint(text):
             return [text[m.start() : m.end()].encode() for m in whole.finditer(text.translate(stand_in))]
         return list(map(str.encode, whole.findall(text)))
 
@@ -124,7 +125,7 @@ def _edges(lengths: np.ndarray) -> np.ndarray:
 def _packed(values: np.ndarray) -> bytes:
     """Whole numbers below 2^32 as compressed byte planes."""
     planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -145,7 +146,7 @@ class _Numbers(dict):
 
 
 class _Block:
-    """Documents in a row, as numbers of their words."""
+    """Documents in a row, as numbers of their words in order of appearance."""
 
     def __init__(self):
         self.numbers, self.places = _Numbers(), array("I")
@@ -165,18 +166,16 @@ class _Block:
         words = list(self.numbers)
         hashes = _hashes(words)
         order = np.argsort(hashes, kind="stable")
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
-        places = rank[np.frombuffer(self.places, np.uint32)] if words else rank
         ordered = [words[k] for k in order]
         sample = hashes[hashes < np.uint64((1 << 64) // _SAMPLED)].view(np.int64)
-        blob = zstandard.ZstdCompressor(level=1).compress(b"".join(ordered))
+        blob = zstandard.ZstdCompressor(level=3).compress(b"".join(ordered))
         return {
             "kind": ["places", "words"],
             "block": [block, block],
             "ids": [self.ids, None],
             "counts": [self.counts, None],
-            "places": [_packed(places), None],
+            "places": [_packed(np.frombuffer(self.places, np.uint32)), None],
+            "order": [_packed(order), None],
             "words": [None, blob],
             "lengths": [None, _packed(np.fromiter(map(len, ordered), np.int64, len(ordered)))],
             "sample": [None, sample.tolist()],
@@ -189,6 +188,7 @@ _BLOCKS = {
     "ids": (pa.list_(pa.int64()), "array<long>"),
     "counts": (pa.list_(pa.int32()), "array<int>"),
     "places": (pa.binary(), "binary"),
+    "order": (pa.binary(), "binary"),
     "words": (pa.binary(), "binary"),
     "lengths": (pa.binary(), "binary"),
     "sample": (pa.list_(pa.int64()), "array<long>"),
@@ -281,23 +281,25 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current = None
     for batch in batches:
         for r in range(batch.num_rows):
-            block, first, ids, counts, places, tokens, sizes = (c[r].as_py() for c in batch.columns)
+            block, first, ids, counts, places, order, tokens, sizes = (c[r].as_py() for c in batch.columns)
             if first < 0:
                 if current is not None:
                     yield from _documents(*current)
-                current = ids, counts, places, [], []
+                current = ids, counts, places, order, [], []
             else:
-                current[3].append(_unpacked(tokens).astype("<u4"))
-                current[4].append(_unpacked(sizes))
+                current[4].append(_unpacked(tokens).astype("<u4"))
+                current[5].append(_unpacked(sizes))
     if current is not None:
         yield from _documents(*current)
 
 
-def _documents(ids, counts, places, tokens, sizes) -> Iterator[pa.RecordBatch]:
-    places = _unpacked(places)
+def _documents(ids, counts, places, order, tokens, sizes) -> Iterator[pa.RecordBatch]:
+    places, order = _unpacked(places), _unpacked(order)
     flat = np.concatenate(tokens) if tokens else np.empty(0, "<u4")
-    sizes = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
-    starts, edges = _edges(sizes)[:-1], _edges(np.array(counts))
+    answered = np.concatenate(sizes) if sizes else order
+    starts, sizes = np.empty_like(order), np.empty_like(order)
+    starts[order], sizes[order] = _edges(answered)[:-1], answered
+    edges = _edges(np.array(counts))
     low = 0
     while low < len(ids):
         high = max(low + 1, int(np.searchsorted(edges, edges[low] + (_BYTES >> 3), "right")) - 1)
@@ -332,10 +334,10 @@ def encode(docs: DataFrame, path: str | None = None, cut: str | None = None, blo
         ),
         "answers",
     )
-    rows = stored.where("kind = 'places'").selectExpr(
-        "block", "-1L AS first", "ids", "counts", "places", "CAST(NULL AS BINARY) AS tokens", "CAST(NULL AS BINARY) AS sizes"
+    places = stored.where("kind = 'places'").selectExpr(
+        "block", "-1L AS first", "ids", "counts", "places", "order", "CAST(NULL AS BINARY) AS tokens", "CAST(NULL AS BINARY) AS sizes"
     )
-    rows = rows.unionByName(answers, allowMissingColumns=True)
+    rows = places.unionByName(answers, allowMissingColumns=True)
     return arrow_map(
         rows.repartition("block").sortWithinPartitions("block", "first"), _assemble, "doc_id long, ids binary"
     )
