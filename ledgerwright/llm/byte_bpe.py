@@ -9,7 +9,8 @@ vocabulary. Most words of a corpus repeat, so each distinct one is encoded once:
    about ``SHARD`` distinct words; a block sends its words of a shard as one row. A task
    encodes each distinct word of its shards once and answers every block that asked. A
    word that fills a third of the corpus is still one entry of a block.
-3. Join the answers back to their block, and put the ids together by position.
+3. Join the answers back to their block, and put the ids together by position. Blocks are
+   stored bucketed by their number, so only the answers move.
 
 Decoding joins ids with the vocabulary's table of token bytes; that table has as many
 rows as the vocabulary, whatever the corpus, so it is sent to the tasks.
@@ -42,7 +43,7 @@ from ledgerwright.llm.shared import Workspace, arrow_map, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text in a block, or one document.
-BLOCK = 32 << 20
+BLOCK = 8 << 20
 #: Distinct words of a shard, about.
 SHARD = 100_000
 #: One hash in so many is kept to estimate the number of distinct words.
@@ -162,7 +163,7 @@ class _Block:
         self.size += len(text)
 
     def rows(self, block: int) -> dict[str, list]:
-        """The block's positions, and its distinct words in order of their hash."""
+        """The block's positions, and its distinct words in order of their hash with their numbers."""
         words = list(self.numbers)
         hashes = _hashes(words)
         order = np.argsort(hashes, kind="stable")
@@ -170,20 +171,18 @@ class _Block:
         sample = hashes[hashes < np.uint64((1 << 64) // _SAMPLED)].view(np.int64)
         blob = zstandard.ZstdCompressor(level=3).compress(b"".join(ordered))
         return {
-            "kind": ["places", "words"],
-            "block": [block, block],
-            "ids": [self.ids, None],
-            "counts": [self.counts, None],
-            "places": [_packed(np.frombuffer(self.places, np.uint32)), None],
-            "order": [_packed(order), None],
-            "words": [None, blob],
-            "lengths": [None, _packed(np.fromiter(map(len, ordered), np.int64, len(ordered)))],
-            "sample": [None, sample.tolist()],
+            "block": [block],
+            "ids": [self.ids],
+            "counts": [self.counts],
+            "places": [_packed(np.frombuffer(self.places, np.uint32))],
+            "order": [_packed(order)],
+            "words": [blob],
+            "lengths": [_packed(np.fromiter(map(len, ordered), np.int64, len(ordered)))],
+            "sample": [sample.tolist()],
         }
 
 
 _BLOCKS = {
-    "kind": (pa.string(), "string"),
     "block": (pa.int64(), "long"),
     "ids": (pa.list_(pa.int64()), "array<long>"),
     "counts": (pa.list_(pa.int32()), "array<int>"),
@@ -277,20 +276,13 @@ def _encode(path: str, cut: str):
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of the documents of each block: its positions come first, then the answers in order of its words."""
-    current = None
+    """Ids of the documents of each block, from its positions and the answers in order of its words."""
     for batch in batches:
         for r in range(batch.num_rows):
-            block, first, ids, counts, places, order, tokens, sizes = (c[r].as_py() for c in batch.columns)
-            if first < 0:
-                if current is not None:
-                    yield from _documents(*current)
-                current = ids, counts, places, order, [], []
-            else:
-                current[4].append(_unpacked(tokens).astype("<u4"))
-                current[5].append(_unpacked(sizes))
-    if current is not None:
-        yield from _documents(*current)
+            ids, counts, places, order, answers = (c[r].as_py() for c in batch.columns)
+            tokens = [_unpacked(a["tokens"]).astype("<u4") for a in answers or ()]
+            sizes = [_unpacked(a["sizes"]) for a in answers or ()]
+            yield from _documents(ids, counts, places, order, tokens, sizes)
 
 
 def _documents(ids, counts, places, order, tokens, sizes) -> Iterator[pa.RecordBatch]:
@@ -307,22 +299,24 @@ def _documents(ids, counts, places, order, tokens, sizes) -> Iterator[pa.RecordB
         out = _ragged(flat, starts[here], sizes[here])
         cuts = _edges(sizes[here])[edges[low : high + 1] - edges[low]]
         texts = [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[low:high], pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "ids"])
+        columns = [pa.array(ids[low:high], pa.int64()), pa.array(texts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids"])
         low = high
 
 
-def encode(docs: DataFrame, path: str | None = None, cut: str | None = None, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str | None = None, cut: str | None = None, block: int = BLOCK, shard: int = SHARD
+) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit numbers) of every row of ``docs``."""
     path, cut = path or vocabulary(), cut or pattern()
     space = Workspace(docs.sparkSession, "byte-bpe")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = ", ".join(f"{c} {t}" for c, (_, t) in _BLOCKS.items())
-    stored = space.store(arrow_map(texts, _explode(cut, block), schema), "blocks", ["kind"])
-    words = stored.where("kind = 'words'")
-    distinct = words.select(F.explode("sample").alias("h")).agg(F.count_distinct("h")).first()[0] * _SAMPLED
+    stored = space.store_by(arrow_map(texts, _explode(cut, block), schema), "blocks", "block")
+    distinct = stored.select(F.explode("sample").alias("h")).agg(F.count_distinct("h")).first()[0] * _SAMPLED
     shards = max(1, -(-distinct // shard))
     asked = arrow_map(
-        words.select("block", "words", "lengths"),
+        stored.select("block", "words", "lengths"),
         _to_shards(shards),
         "shard long, block long, first long, words binary, lengths binary",
     )
@@ -334,13 +328,9 @@ def encode(docs: DataFrame, path: str | None = None, cut: str | None = None, blo
         ),
         "answers",
     )
-    places = stored.where("kind = 'places'").selectExpr(
-        "block", "-1L AS first", "ids", "counts", "places", "order", "CAST(NULL AS BINARY) AS tokens", "CAST(NULL AS BINARY) AS sizes"
-    )
-    rows = places.unionByName(answers, allowMissingColumns=True)
-    return arrow_map(
-        rows.repartition("block").sortWithinPartitions("block", "first"), _assemble, "doc_id long, ids binary"
-    )
+    answers = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("first", "tokens", "sizes"))).alias("answers"))
+    rows = stored.select("block", "ids", "counts", "places", "order").join(answers, "block", "left").drop("block")
+    return arrow_map(rows, _assemble, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -30,20 +30,34 @@ class Workspace:
         self.path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._steps = 0
 
-    def store(self, df: DataFrame, name: str, folders: list[str] | None = None) -> DataFrame:
-        """``df`` written and read back. Its shuffle files go once it is written: nothing else reads them.
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back. Its shuffle files go once it is written: nothing else reads them."""
+        path = self._next(name)
+        self._write(lambda: df.write.parquet(path))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def store_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """``df`` stored as a table bucketed by ``key``: a join on it moves the other side only.
 
-        ``folders`` are columns that get a folder for each value.
+        There are as many buckets as shuffle partitions. The table's files are in this folder.
         """
+        path, table_name = self._next(name), f"stored_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        write = df.write.format("parquet").option("path", path).bucketBy(buckets, key)
+        self._write(lambda: write.saveAsTable(table_name))
+        return self.spark.table(table_name)
+
+    def _next(self, name: str) -> str:
         self._steps += 1
-        path = f"{self.path}/{self._steps:03d}-{name}"
+        return f"{self.path}/{self._steps:03d}-{name}"
+
+    def _write(self, action) -> None:
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path, partitionBy=folders)
+            action()
         finally:
             self.spark.conf.set(_CLEANUP, before)
-        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
