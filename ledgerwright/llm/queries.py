@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerwright.llm import (
     byte_bpe,
     decontaminate,
+    divergence,
     fingerprint,
     html_text,
     language,
@@ -104,3 +105,11 @@ def op13_byte_bpe(spark, d):
         "sha2(ids, 256) AS ids_sha256",
         "sha2(data, 256) AS decoded_sha256",
     )
+
+
+@query
+def op12_source_divergence(spark, d):
+    return divergence.audit(table(spark, d, "documents"))
+
+
+ORACLES["op12_source_divergence"] = divergence.ORACLE
