@@ -17,6 +17,7 @@ from ledgerwright.llm import (
     line_dedup,
     near_dedup,
     packing,
+    spelling,
     substring_dedup,
     toxicity,
     url_filter,
@@ -113,3 +114,8 @@ def op12_source_divergence(spark, d):
 
 
 ORACLES["op12_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op11_spelling_variants(spark, d):
+    return spelling.variants(table(spark, d, "documents"))
