@@ -118,25 +118,31 @@ def matching(index: FMIndex, patterns: np.ndarray, starts: np.ndarray, lengths:
 
     Matching statistics cut off at ``depth``: each pattern is read from its end, one
     symbol is put before the match, and when the match has ``depth`` symbols its last
-    one is dropped first. A match that breaks off begins anew after the break.
+    one is dropped first. Where no symbol can be put before, every window with the match
+    and that symbol is ruled out, and the search goes on with windows that end one symbol
+    earlier; before a symbol that the text lacks, none that holds it is tried.
     """
     depth = index.depth
-    active = np.argsort(-lengths, kind="stable")
+    active = np.flatnonzero(lengths >= depth)
+    offset = np.asarray(lengths, np.int64) - 1
     low = np.zeros(len(lengths), np.int64)
     high = np.full(len(lengths), len(index.order), np.int64)
     matched = np.zeros(len(lengths), np.int64)
-    for step in range(int(lengths.max()) if len(lengths) else 0):
-        active = active[: np.searchsorted(-lengths[active], -step, "left")]
-        offset = lengths[active] - 1 - step
-        symbol = patterns[starts[active] + offset]
+    while len(active):
         full = active[matched[active] == depth]
         low[full], high[full] = index.drop_last(low[full])
         matched[full] -= 1
+        symbol = patterns[starts[active] + offset[active]]
         known = symbol <= index.symbols
         a, b = index.extend(np.where(known, symbol, 0), low[active], high[active])
         good = known & (a < b)
-        low[active] = np.where(good, a, 0)
-        high[active] = np.where(good, b, len(index.order))
-        matched[active] = np.where(good, matched[active] + 1, 0)
-        hit = matched[active] == depth
-        yield active[hit], offset[hit], low[active[hit]], high[active[hit]]
+        went, broke = active[good], active[~good]
+        low[went], high[went] = a[good], b[good]
+        matched[went] += 1
+        offset[went] -= 1
+        end = offset[broke] + np.where(known[~good], matched[broke], 0)
+        low[broke], high[broke], matched[broke], offset[broke] = 0, len(index.order), 0, end - 1
+        hit = went[matched[went] == depth]
+        yield hit, offset[hit] + 1, low[hit], high[hit]
+        # Left are patterns in which a window still fits before the end of the match.
+        active = active[offset[active] + 1 + np.minimum(matched[active], depth - 1) >= depth]

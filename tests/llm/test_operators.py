@@ -144,8 +144,7 @@ def test_near_duplicates_of_one_hub(spark):
 
 
 def line_set(line):
-    blank = " \t\n\x0b\f\r"
-    return {m.group(1) for m in re.finditer(rf"(?s)(?=([^{blank}].{{0,7}}))[^{blank}]{{1,8}}", line)}
+    return {line[k : k + 8] for k in range(max(1, len(line) - 7))}
 
 
 def test_line_dedup(docs):
@@ -198,7 +197,7 @@ def test_substring_dedup_deals_hot_keys_by_window(docs, monkeypatch):
     assert {(r.doc_id, r.n_removed, r.text) for r in substring_dedup.dedup_substrings(docs).collect()} == want
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=500, deadline=None)
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=60), st.integers(2, 6), st.lists(st.integers(1, 5), min_size=1, max_size=30))
 def test_fm_index_finds_every_window(symbols, depth, pattern):
     index = fm_index.FMIndex(np.array([*symbols, 0]), depth)
