@@ -20,6 +20,7 @@ from ledgerwright.operators import (
     parity,
     period,
     reports,
+    row_parity,
 )
 from ledgerwright.sources import retail
 
@@ -326,6 +327,19 @@ def parity_report(spark, d):
     return parity.parity_report(_parity(spark, d))
 
 
+@query
+def parity_rows(spark, d):
+    tables = retail.core_tables(spark, d, numbered=False)
+    copy = _drifted(tables)
+    # Neighbouring accounts swap their numbers, and their lines' amounts change places: no aggregate shows it.
+    swapped = "GLAccountID + CASE GLAccountID % 50 WHEN 10 THEN 1 WHEN 11 THEN -1 ELSE 0 END"
+    copy["GLAccount"] = copy["GLAccount"].withColumn("AccountNumber", F.expr(f"CAST({swapped} AS STRING)"))
+    copy["ConsolidationJournalLine"] = copy["ConsolidationJournalLine"].withColumn(
+        "NetAmount", F.expr("CASE WHEN CostCenterID % 2 = 0 AND NetAmount > 50000 THEN -NetAmount ELSE NetAmount END")
+    )
+    return row_parity.parity_rows(spark, row_parity.read_row_spec(parity.PLANNING_SPEC), tables, copy)
+
+
 @query
 def sql_corpus_findings(spark, d):
     return corpus.sql_corpus_findings(retail.sql_corpus(spark, d), "info")
