@@ -16,18 +16,30 @@ _ASTRAL_WORD = r"[\x{10000}-\x{10FFFF}&&[\p{L}\p{N}]]"
 _ASTRAL = r"[\x{10000}-\x{10FFFF}]"
 
 
+def pieces(text: Column) -> Column:
+    """The text as an array of comments and of runs without one."""
+    return F.regexp_extract_all(text, F.lit(_PIECES), F.lit(1))
+
+
+def ends_in_comment(text: Column) -> Column:
+    """Whether a block comment is open at the end of a text that begins outside of one."""
+    last = F.element_at(pieces(text), -1)
+    closed = (F.length(last) >= 4) & last.endswith("*/")
+    return F.when(text.contains("/*"), last.startswith("/*") & ~closed).otherwise(F.lit(False))
+
+
 def blank_comments(text: Column) -> Column:
     """The text with comments overwritten by spaces; offsets and newlines stay."""
-    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(1))
-    return F.array_join(
+    blanked = F.array_join(
         F.transform(
-            pieces,
+            pieces(text),
             lambda p: F.when(
                 p.startswith("--") | p.startswith("/*"), F.regexp_replace(p, r"[^\n]", " ")
             ).otherwise(p),
         ),
         "",
     )
+    return F.when(text.contains("--") | text.contains("/*"), blanked).otherwise(text)
 
 
 def one_unit(text: Column) -> Column:
@@ -36,10 +48,14 @@ def one_unit(text: Column) -> Column:
     Regex positions count UTF-16 units; after this they count characters.
     """
     return F.when(
-        text.rlike(_ASTRAL), F.regexp_replace(F.regexp_replace(text, _ASTRAL_WORD, "\u00e6"), _ASTRAL, "\u3013")
+        ~is_ascii(text) & text.rlike(_ASTRAL), F.regexp_replace(F.regexp_replace(text, _ASTRAL_WORD, "\u00e6"), _ASTRAL, "\u3013")
     ).otherwise(text)
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def lines(text: Column) -> Column:
     return F.split(text, _LINE_ENDS)
 
@@ -49,7 +65,8 @@ def stripped(text: Column) -> Column:
 
 
 def has_text(line: Column) -> Column:
-    return line.rlike(f"[^{_BLANK[1:]}")
+    # Most lines begin, after spaces, with a visible ASCII character.
+    return F.left(F.ltrim(line), F.lit(1)).between("!", "~") | line.rlike(f"[^{_BLANK[1:]}")
 
 
 def has_noqa(line: Column) -> Column:

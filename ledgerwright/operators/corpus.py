@@ -8,13 +8,26 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwright.functions.exprs import quoted
-from ledgerwright.functions.text import blank_comments, has_noqa, has_text, lines, noqa_codes, one_unit, stripped
+from ledgerwright.functions.stored import materialize
+from ledgerwright.functions.text import (
+    blank_comments,
+    ends_in_comment,
+    has_noqa,
+    has_text,
+    lines,
+    noqa_codes,
+    one_unit,
+    stripped,
+)
 
 SNIPPET_LENGTH = 120
+BOM = "^\ufeff"
+#: Letters outside of ASCII that a pattern takes for I, I, S and K when it ignores case.
+FOLDED = "\u0130\u0131\u017f\u212a"
 
 
 class Rule(NamedTuple):
@@ -101,14 +114,13 @@ def rules_at(min_severity: str = "warning") -> list[Rule]:
 def _hits(rules: list[Rule]) -> str:
     """The rules a scanned line meets, each with its first position.
 
-    Word characters are those of Unicode. The texts of a rule are looked up for
-    its hits only.
+    Word characters are those of Unicode. A line is searched for a rule's word
+    before the pattern runs. The texts of a rule are looked up for its hits only.
     """
 
     def place(rule: Rule) -> str:
         found = f"regexp_instr(scan, {quoted('(?iU)' + rule.pattern)})"
-        # plain text is searched for a word first, other text may fold case in more ways
-        hints = " OR ".join(["NOT plain", *[f"contains(upscan, {quoted(w)})" for w in rule.words]])
+        hints = " OR ".join(f"contains(upscan, {quoted(w)})" for w in rule.words)
         return f"CASE WHEN {hints} THEN {found} ELSE 0 END"
 
     places = ", ".join(place(r) for r in rules)
@@ -129,20 +141,28 @@ def sql_corpus_findings(corpus: DataFrame, min_severity: str = "warning") -> Dat
     line drops the line, or the codes it names. Lines are numbered after
     blanking, so a line end inside a comment other than a newline does not count.
     """
-    text = F.regexp_replace("text", "^\ufeff", "")
-    scanned = (
-        corpus.select("path", text.alias("text"), blank_comments(text).alias("code"))
-        .select("path", lines(one_unit(F.col("code"))).alias("scan"), lines(F.col("text")).alias("raw"))
+    text = F.regexp_replace("text", BOM, "")
+    return _findings(_lines(corpus.select("path", text.alias("text"), blank_comments(text).alias("code"))), min_severity)
+
+
+def _lines(texts: DataFrame, *others: str) -> DataFrame:
+    """``path, others, line, scan, raw`` of the lines of (path, others, text, code) that hold something but comments."""
+    return (
+        texts.select("path", *others, lines(one_unit(F.col("code"))).alias("scan"), lines(F.col("text")).alias("raw"))
         # zipped first, so that a line does not carry its whole file along
-        .selectExpr("path", "posexplode(arrays_zip(scan, raw)) AS (pos, both)")
-        .selectExpr("path", "pos + 1 AS line", "both.scan", "both.raw")
+        .selectExpr("path", *others, "posexplode(arrays_zip(scan, raw)) AS (pos, both)")
+        .selectExpr("path", *others, "pos + 1 AS line", "both.scan", "both.raw")
         .where(has_text(F.col("scan")))
     )
+
+
+def _findings(scanned: DataFrame, min_severity: str) -> DataFrame:
+    """Findings in lines (path, line, scan, raw)."""
     raw = F.col("raw")
     return (
         scanned.withColumn("muted", F.when(has_noqa(raw), noqa_codes(raw)))
         .where("muted IS NULL OR size(muted) > 0")
-        .selectExpr("*", "upper(scan) AS upscan", "octet_length(scan) = length(scan) AS plain")
+        .selectExpr("*", f"upper(translate(scan, {quoted(FOLDED)}, 'IISK')) AS upscan")
         .selectExpr("path", "line", "raw", "muted", f"explode({_hits(rules_at(min_severity))}) AS hit")
         .where("NOT coalesce(array_contains(muted, hit.about.code), false)")
         .withColumn("snippet", F.substring(stripped(raw), 1, SNIPPET_LENGTH))
@@ -150,6 +170,111 @@ def sql_corpus_findings(corpus: DataFrame, min_severity: str = "warning") -> Dat
     )
 
 
+def _earlier(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """What all rows of the group before a row do, as one function of the state, in ``was0`` and ``was1``.
+
+    A row maps an open comment (1) or none (0) to the state after it, in ``to0`` and
+    ``to1``. It either sets the state, keeps it, or turns it around. So the state before
+    a row is what the last setting row made of it, turned by the rows since.
+    """
+    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum(F.expr("CAST(to0 > to1 AS INT)")).over(before), F.lit(0))
+    rows = rows.withColumn("_turned", turned)
+    # The number of turns is kept with each setting row: it has none of its own.
+    setting = F.when(F.col("to0") == F.col("to1"), F.struct(F.col("to0").alias("made"), F.col("_turned").alias("at")))
+    rows = rows.withColumn("_set", F.last(setting, ignorenulls=True).over(before))
+    return rows.selectExpr(
+        *[c for c in rows.columns if c not in ("_turned", "_set")],
+        *[f"(coalesce(_set.made, {k}) + _turned - coalesce(_set.at, 0)) % 2 AS was{k}" for k in (0, 1)],
+    )
+
+
+def chunk_starts(chunks: DataFrame) -> DataFrame:
+    """``path, block, chunk, open, before, raw_before`` of every chunk.
+
+    That is whether a comment is open where it begins, and the lines before it: as they are
+    numbered, and as they are in the text, where a line end inside a comment counts too.
+
+    Each chunk is a function of the state at its beginning: of whether a comment is open,
+    and of how many lines it has. Functions are put together within a block, blocks within
+    a file, and nothing but one small row a chunk is ordered for it.
+    """
+    text, code = F.col("text"), blank_comments(F.col("text"))
+    rest = F.substring("text", F.expr("instr(text, '*/') + 2"), F.length("text"))
+    ends = F.size(lines(code)) - 1
+    inside = F.size(lines(_blank_open(text))) - 1
+    rows = chunks.select(
+        "path", "block", "chunk",
+        ends_in_comment(text).cast("int").alias("to0"),
+        F.when(text.contains("*/"), ends_in_comment(rest).cast("int")).otherwise(1).alias("to1"),
+        ends.alias("lines0"), inside.alias("lines1"), (F.size(lines(text)) - 1).alias("raw"),
+    )
+    rows = materialize(rows, "chunk-states")
+    rows = _earlier(rows, ["path", "block"], ["chunk"])
+    lines_of = "IF(was{k} = 1, lines1, lines0)".format
+    of_block = rows.groupBy("path", "block").agg(
+        *[F.expr(f"max_by(IF(was{k} = 1, to1, to0), chunk)").alias(f"to{k}") for k in (0, 1)],
+        *[F.expr(f"sum({lines_of(k=k)})").alias(f"lines{k}") for k in (0, 1)],
+        F.sum("raw").alias("raw"),
+    )
+    blocks = _earlier(of_block, ["path"], ["block"])
+    blocks = _sums_before(blocks.selectExpr("path", "block", "was0 AS open", "IF(was0 = 1, lines1, lines0) AS n", "raw"), ["path"], "block")
+    blocks = blocks.selectExpr("path", "block", "open", "n_before AS n_block", "raw_before AS raw_block")
+    rows = rows.join(blocks, ["path", "block"]).selectExpr(
+        "path", "block", "chunk", "n_block", "raw_block", "raw", "IF(open = 1, was1, was0) AS open",
+        f"IF(open = 1, {lines_of(k=1)}, {lines_of(k=0)}) AS n",
+    )
+    return _sums_before(rows, ["path", "block"], "chunk").selectExpr(
+        "path", "block", "chunk", "open", "n_block + n_before AS before", "raw_block + raw_before AS raw_before"
+    )
+
+
+def _sums_before(rows: DataFrame, group: list[str], order: str) -> DataFrame:
+    """``rows`` with the sums of ``n`` and ``raw`` over the earlier rows of the group."""
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "raw")])
+
+
+def _blank_open(text):
+    """The text with its comments blanked, where one is open at its beginning."""
+    end = F.expr("instr(text, '*/') + 1")
+    head, rest = F.substring(text, F.lit(1), end), F.substring(text, end + 1, F.length(text))
+    spaces = F.regexp_replace(head, r"[^\n]", " ")
+    return F.when(text.contains("*/"), F.concat(spaces, blank_comments(rest))).otherwise(F.regexp_replace(text, r"[^\n]", " "))
+
+
+def sql_chunk_findings(chunks: DataFrame, min_severity: str = "warning") -> DataFrame:
+    """Findings in files given in pieces (path, block, chunk, text), as of the files as a whole.
+
+    Chunks end with a line feed, but for a file's last one, and are in order of (block,
+    chunk); a block is what one task can order. No task needs a whole file: a comment that
+    is open over many chunks reaches them as one bit (see ``chunk_starts``).
+    """
+    chunks = materialize(chunks.withColumn("text", F.coalesce("text", F.lit(""))), "chunks")
+    texts = chunks.join(chunk_starts(chunks), ["path", "block", "chunk"]).withColumn(
+        "text", F.when(F.col("before") == 0, F.regexp_replace("text", BOM, "")).otherwise(F.col("text"))
+    )
+    text = F.col("text")
+    code = F.when(F.col("open") == 1, _blank_open(text)).otherwise(blank_comments(text))
+    texts = texts.select("path", "before", "raw_before", "text", code.alias("code"))
+    scanned = _lines(texts, "before", "raw_before").withColumn("line", F.expr("CAST(before + line AS INT)"))
+    # A line is shown as the text's line of its number. After line ends inside of comments that is an earlier one,
+    # which may be in another chunk.
+    late = F.col("raw_before") > F.col("before")
+    shown = texts.join(texts.where(late).select("path").distinct(), "path", "left_semi").select(
+        "path", "raw_before", F.posexplode(lines(F.col("text"))).alias("pos", "raw")
+    )
+    shown = shown.selectExpr("path", "CAST(raw_before + pos + 1 AS INT) AS line", "raw")
+    moved = scanned.where(late).select("path", "line", "scan").join(_numbered_once(shown), ["path", "line"])
+    same = scanned.where(~late).select("path", "line", "scan", "raw")
+    return _findings(same.unionByName(moved), min_severity)
+
+
+def _numbered_once(shown: DataFrame) -> DataFrame:
+    """A chunk's last line is empty and has the number of the next chunk's first: that one counts."""
+    return shown.groupBy("path", "line").agg(F.max("raw").alias("raw"))
+
+
 def sorted_findings(findings: DataFrame) -> DataFrame:
     """Findings most severe first, then by path and position."""
     rank = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity"))

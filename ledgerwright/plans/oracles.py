@@ -740,17 +740,11 @@ cte("corpus", f"""
     UNION ALL
     SELECT 'd/' || doc_id || '.sql', statement || chr(10) || coalesce(text, '') || chr(10) || statement || chr(10)
     FROM documents JOIN statements ON n = doc_id % {len(STATEMENTS)}""", "statements")
-cte("scanned", r"""
-    SELECT path, unnest(range(1, len(scans) + 1)) AS line, unnest(scans) AS scan, unnest(raws) AS raw
-    FROM (SELECT path, string_split(text, chr(10)) AS raws, string_split(array_to_string(list_transform(
-              regexp_extract_all(text, '(--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|[^-/]+|[-/])', 1),
-              lambda t: CASE WHEN t[1:2] IN ('--', '/*') THEN regexp_replace(t, '[^\n]', ' ', 'g') ELSE t END), ''),
-              chr(10)) AS scans FROM corpus)""", "corpus")
-cte("marked", r"""
-    SELECT *, regexp_matches(raw, '(?i)--\s*noqa\b') AS marked,
-           list_filter(list_transform(string_split(regexp_extract(raw, '(?i)--\s*noqa\b(?::\s*([\w\s,]+))?', 1), ','),
-                                      lambda c: upper(trim(c))), lambda c: c <> '') AS codes
-    FROM scanned WHERE trim(scan) <> ''""", "scanned")
+cte("scripts", f"""
+    SELECT 's/' || o_orderpriority || '.sql' AS path,
+           string_agg('-- order ' || o_orderkey || chr(10) || CASE WHEN o_custkey % 7 = 0 THEN '*/ ' ELSE '' END || statement
+                      || CASE WHEN o_custkey % 11 = 0 THEN ' /* later' ELSE '' END || chr(10), '' ORDER BY o_orderkey) AS text
+    FROM orders JOIN statements ON n = o_orderkey % {len(STATEMENTS)} GROUP BY o_orderpriority""", "statements")
 
 
 def _prefixed(pattern: str) -> str:
@@ -760,18 +754,36 @@ def _prefixed(pattern: str) -> str:
     return f"^(.*?)(?:{pattern.replace('(?!_)', '')})"
 
 
-cte("findings", "\nUNION ALL ".join(
+def _found(marked: str) -> str:
+    return "\nUNION ALL ".join(
     f"""SELECT path, line, len(regexp_extract(scan, {_quoted("(?i)" + _prefixed(r.pattern))}, 1)) + 1 AS "column",
     {_quoted(r.code)} AS code, {_quoted(r.severity)} AS severity, {_quoted(r.message)} AS message,
     {_quoted(r.remedy)} AS remedy, left(trim(raw), 120) AS snippet
-    FROM marked WHERE regexp_matches(scan, {_quoted("(?i)" + _prefixed(r.pattern))})
-    AND NOT (marked AND (len(codes) = 0 OR list_contains(codes, {_quoted(r.code)})))""" for r in RULES), "marked")
+    FROM {marked} WHERE regexp_matches(scan, {_quoted("(?i)" + _prefixed(r.pattern))})
+    AND NOT (marked AND (len(codes) = 0 OR list_contains(codes, {_quoted(r.code)})))""" for r in RULES)
+
+
+for _texts in ("corpus", "scripts"):
+    cte(f"{_texts}_lines", rf"""
+        SELECT path, unnest(range(1, len(scans) + 1)) AS line, unnest(scans) AS scan, unnest(raws) AS raw
+        FROM (SELECT path, string_split(text, chr(10)) AS raws, string_split(array_to_string(list_transform(
+                  regexp_extract_all(text, '(--[^\n]*|/\*[\s\S]*?(?:\*/|\z)|[^-/]+|[-/])', 1),
+                  lambda t: CASE WHEN t[1:2] IN ('--', '/*') THEN regexp_replace(t, '[^\n]', ' ', 'g') ELSE t END), ''),
+                  chr(10)) AS scans FROM {_texts})""", _texts)
+    cte(f"{_texts}_marked", rf"""
+        SELECT *, regexp_matches(raw, '(?i)--\s*noqa\b') AS marked,
+               list_filter(list_transform(string_split(regexp_extract(raw, '(?i)--\s*noqa\b(?::\s*([\w\s,]+))?', 1), ','),
+                                          lambda c: upper(trim(c))), lambda c: c <> '') AS codes
+        FROM {_texts}_lines WHERE trim(scan) <> ''""", f"{_texts}_lines")
+    cte(f"{_texts}_findings", _found(f"{_texts}_marked"), f"{_texts}_marked")
 ORACLES["sql_corpus_findings"] = sql("""SELECT * REPLACE (CAST(line AS INTEGER) AS line,
-    CAST("column" AS INTEGER) AS "column") FROM findings""", "findings")
+    CAST("column" AS INTEGER) AS "column") FROM corpus_findings""", "corpus_findings")
+ORACLES["sql_script_findings"] = sql("""SELECT * REPLACE (CAST(line AS INTEGER) AS line,
+    CAST("column" AS INTEGER) AS "column") FROM scripts_findings""", "scripts_findings")
 ORACLES["sql_corpus_tally"] = sql("""
 SELECT error, warning, info, files,
        error || ' error, ' || warning || ' warning, ' || info || ' info across ' || files || ' file(s).'
            AS summary
 FROM (SELECT count(*) FILTER (severity = 'error') AS error, count(*) FILTER (severity = 'warning') AS warning,
              count(*) FILTER (severity = 'info') AS info, count(DISTINCT path) AS files
-      FROM findings)""", "findings")
+      FROM corpus_findings)""", "corpus_findings")

@@ -350,6 +350,11 @@ def sql_corpus_tally(spark, d):
     return corpus.sql_corpus_tally(corpus.sql_corpus_findings(retail.sql_corpus(spark, d), "info"))
 
 
+@query
+def sql_script_findings(spark, d):
+    return corpus.sql_chunk_findings(retail.sql_scripts(spark, d), "info")
+
+
 def _audited(spark, d, numbered=False):
     """Core tables and a staging table, with ambiguous account numbers."""
     tables = retail.core_tables(spark, d, numbered)

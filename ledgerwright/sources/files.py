@@ -112,12 +112,33 @@ def read_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
     return rows.join(_committed(spark, root), RUN_COLUMN, "left_semi").drop(RUN_COLUMN)
 
 
+_SQL = "*.[sS][qQ][lL]"
+
+
+def _sql_text(spark: SparkSession, paths: tuple[str, ...], **how) -> DataFrame:
+    return spark.read.options(recursiveFileLookup=True, pathGlobFilter=_SQL).text(list(paths), **how)
+
+
 def read_sql_files(spark: SparkSession, *paths: str) -> DataFrame:
     """(path, text) of every .sql file under the given folders, one row per file."""
-    files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.[sS][qQ][lL]")
-        .text(list(paths))
-    )
+    files = _sql_text(spark, paths, wholetext=True)
     return files.select(F.input_file_name().alias("path"), F.make_valid_utf8("value").alias("text"))
+
+
+def read_sql_chunks(spark: SparkSession, *paths: str, most: int = 8 << 20, lines: int = 20_000) -> DataFrame:
+    """(path, block, chunk, text) of every .sql file under the given folders.
+
+    Files of up to ``most`` bytes are one chunk. Larger ones are read by as many tasks as
+    Spark has splits for them; a split is a block, and ``lines`` rows in a row a chunk.
+    """
+    small = _sql_text(spark, paths, wholetext=True).where(f"_metadata.file_size <= {most}")
+    small = small.selectExpr("input_file_name() AS path", "0L AS block", "0L AS chunk", "make_valid_utf8(value) AS text")
+    # Rows of a split are in one task and in order, so their numbers are too.
+    large = _sql_text(spark, paths, lineSep="\n").where(f"_metadata.file_size > {most}")
+    large = large.selectExpr(
+        "input_file_name() AS path", "_metadata.file_block_start AS block", "monotonically_increasing_id() AS at",
+        "make_valid_utf8(value) AS line",
+    )
+    joined = "concat(array_join(transform(array_sort(collect_list(struct(at, line))), x -> x.line), '\n'), '\n') AS text"
+    large = large.groupBy("path", "block", F.expr(f"at div {lines}").alias("chunk")).agg(F.expr(joined))
+    return small.unionByName(large)

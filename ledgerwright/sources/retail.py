@@ -399,3 +399,20 @@ def sql_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .unionByName(documents)
     )
+
+
+def sql_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One long SQL file for each order priority, in chunks of an order each.
+
+    By customer an order's statement stands alone, or opens a comment that a later order
+    closes, so that whole runs of orders are inside of one.
+    """
+    which = f"CAST(o_orderkey % {len(STATEMENTS)} AS INT)"
+    statements = ", ".join(quoted(x) for _, x in STATEMENTS)
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('s/', o_orderpriority, '.sql') AS path",
+        "o_orderkey div 1000 AS block",
+        "o_orderkey AS chunk",
+        f"""concat('-- order ', o_orderkey, '\n', CASE WHEN o_custkey % 7 = 0 THEN '*/ ' ELSE '' END,
+            array({statements})[{which}], CASE WHEN o_custkey % 11 = 0 THEN ' /* later' ELSE '' END, '\n') AS text""",
+    )

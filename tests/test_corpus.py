@@ -1,4 +1,8 @@
+import random
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerwright.operators import corpus
 from ledgerwright.sources import files
@@ -97,8 +101,61 @@ def test_tally_and_order(spark):
 
 def test_files(spark, tmp_path):
     (tmp_path / "deep").mkdir()
-    (tmp_path / "deep" / "a.sql").write_bytes(b"\xef\xbb\xbfSELECT LEN(x);\n\xff")
+    (tmp_path / "deep" / "a.sql").write_bytes(b"\xef\xbb\xbfSELECT LEN(x);\n\xff /* \n LEN( \n*/\nGETDATE()")
     (tmp_path / "b.SQL").write_text("PRINT 'x'")
     (tmp_path / "c.txt").write_text("PRINT 'x'")
     found = corpus.sql_corpus_findings(files.read_sql_files(spark, str(tmp_path))).collect()
-    assert {(f.path.rsplit("/", 1)[1], f.code, f.column) for f in found} == {("a.sql", "SS104", 8), ("b.SQL", "SS018", 1)}
+    assert {(f.path.rsplit("/", 1)[1], f.line, f.code, f.column) for f in found} == {
+        ("a.sql", 1, "SS104", 8), ("a.sql", 5, "SS001", 1), ("b.SQL", 1, "SS018", 1)}
+
+
+def test_letters_that_fold_to_ascii_are_all_known(spark):
+    """A rule's word is searched for in upper case; no other letter may stand for one of it."""
+    points = spark.range(128, 0x110000).where("id NOT BETWEEN 55296 AND 57343")
+    both = points.selectExpr("id", "decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') AS c")
+    found = both.where(r"c RLIKE '(?iU)^(?:[A-Z]|[a-z])$'").collect()
+    assert {r.c for r in found} == set(corpus.FOLDED)
+    folds = dict(zip(corpus.FOLDED, "IISK"))
+    for r in found:
+        assert spark.range(1).selectExpr(f"'{folds[r.c]}' RLIKE '(?iU)^{r.c}$' AS same").first().same
+
+
+def _chunked(spark, texts, blocks):
+    """Files cut behind every line feed; ``blocks`` chunks to a block."""
+    rows = []
+    for path, text in texts.items():
+        parts = [p for p in re.split(r"(?<=\n)", text) if p] or [""]
+        rows += [(path, k // blocks, k, p) for k, p in enumerate(parts)]
+    return spark.createDataFrame(rows, "path string, block long, chunk long, text string")
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 1000])
+def test_chunks_give_what_whole_files_give(spark, blocks):
+    """Random texts of delimiters, words and all line ends, cut behind every line feed."""
+    rng = random.Random(blocks)
+    words = ["/*", "*/", "--", "/", "*", "-", "/*/", "\n", "\n", "\r", "\r\n", "\u2028", "LEN(", "LEN(", "GETDATE()", "\nLEN(", " x ", "'", "-- noqa", "\U0001f600"]
+    texts = {f"f{k}.sql": "".join(rng.choices(words, k=rng.randint(0, 40))) for k in range(400)}
+    texts |= {"bom.sql": "\ufeff/*\n\ufeff LEN( */ LEN(\nLEN(", "open.sql": "/*" + "\nLEN(" * 20, "none.sql": ""}
+    whole = spark.createDataFrame(list(texts.items()), "path string, text string")
+    expected = sorted(corpus.sql_corpus_findings(whole).collect())
+    assert len(expected) > 300
+    assert sorted(corpus.sql_chunk_findings(_chunked(spark, texts, blocks)).collect()) == expected
+
+
+def test_large_files_are_read_in_chunks(spark, tmp_path):
+    """A file over several blocks, with a comment open across them, and small files beside it."""
+    body = "".join(f"SELECT LEN(c{k}) /* {'open' if k % 7 == 3 else '*/'}\nGETDATE()\n" for k in range(20_000))
+    (tmp_path / "large.sql").write_text(body)
+    (tmp_path / "small.sql").write_text("SELECT LEN(x);\r\nPRINT 'x'")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        chunks = files.read_sql_chunks(spark, str(tmp_path), most=10_000, lines=500)
+        counts = {r.path.rsplit("/", 1)[1]: (r.blocks, r.chunks) for r in chunks.groupBy("path").agg(
+            F.count_distinct("block").alias("blocks"), F.count(F.lit(1)).alias("chunks")).collect()}
+        assert counts["small.sql"] == (1, 1) and counts["large.sql"][0] > 3 and counts["large.sql"][1] >= 80
+        found = sorted(tuple(r)[1:] for r in corpus.sql_chunk_findings(chunks, "info").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = corpus.sql_corpus_findings(files.read_sql_files(spark, str(tmp_path)), "info").collect()
+    assert found == sorted(tuple(r)[1:] for r in whole) and len(found) > 5000
