@@ -149,8 +149,9 @@ def _lines(texts: DataFrame, *others: str) -> DataFrame:
     """``path, others, line, scan, raw`` of the lines of (path, others, text, code) that hold something but comments."""
     return (
         texts.select("path", *others, lines(one_unit(F.col("code"))).alias("scan"), lines(F.col("text")).alias("raw"))
-        # zipped first, so that a line does not carry its whole file along
-        .selectExpr("path", *others, "posexplode(arrays_zip(scan, raw)) AS (pos, both)")
+        # Zipped first, so that a line does not carry its whole file along. An inner explode would have Spark cut the
+        # text into lines once more, to leave empty arrays out.
+        .selectExpr("path", *others, "posexplode_outer(arrays_zip(scan, raw)) AS (pos, both)")
         .selectExpr("path", *others, "pos + 1 AS line", "both.scan", "both.raw")
         .where(has_text(F.col("scan")))
     )
@@ -163,8 +164,8 @@ def _findings(scanned: DataFrame, min_severity: str) -> DataFrame:
         scanned.withColumn("muted", F.when(has_noqa(raw), noqa_codes(raw)))
         .where("muted IS NULL OR size(muted) > 0")
         .selectExpr("*", f"upper(translate(scan, {quoted(FOLDED)}, 'IISK')) AS upscan")
-        .selectExpr("path", "line", "raw", "muted", f"explode({_hits(rules_at(min_severity))}) AS hit")
-        .where("NOT coalesce(array_contains(muted, hit.about.code), false)")
+        .selectExpr("path", "line", "raw", "muted", f"explode_outer({_hits(rules_at(min_severity))}) AS hit")
+        .where("hit IS NOT NULL AND NOT coalesce(array_contains(muted, hit.about.code), false)")
         .withColumn("snippet", F.substring(stripped(raw), 1, SNIPPET_LENGTH))
         .select("path", "line", "hit.column", "hit.about.*", "snippet")
     )
