@@ -31,10 +31,15 @@ KEYS = list(NATURAL_KEY)
 
 def import_payload_rows(payloads: DataFrame) -> DataFrame:
     """Typed rows of (payload_id, BudgetHeaderID, payload), numbered within a payload."""
-    return elements(payloads, "payload").selectExpr(
+    return typed_rows(elements(payloads, "payload").withColumn("row_id", F.col("pos") + 1))
+
+
+def typed_rows(numbered: DataFrame) -> DataFrame:
+    """The fields of payload elements (payload_id, BudgetHeaderID, row_id, value)."""
+    return numbered.selectExpr(
         "payload_id",
         "BudgetHeaderID",
-        "pos + 1 AS row_id",
+        "row_id",
         field("account_number", "string"),
         field("cost_center_code", "string"),
         field("fiscal_year", "int"),

@@ -232,6 +232,19 @@ cte("payload_rows", """
     JOIN (SELECT CAST(1 AS INTEGER) AS row_id UNION ALL SELECT 2) n ON row_id <= copies""", "keyed_lines")
 ORACLES["import_payload_rows"] = sql("SELECT * FROM payload_rows", "payload_rows")
 
+ORACLES["import_chunk_rows"] = sql("""
+SELECT 'y' || BudgetHeaderID AS payload_id, BudgetHeaderID, CAST(1 + row_number() OVER (PARTITION BY BudgetHeaderID ORDER BY
+           l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, price, l_tax, l_discount, l_returnflag) AS INTEGER) AS row_id,
+       CAST(l_partkey + CASE WHEN l_quantity = 1 THEN 1000000000000 ELSE 0 END AS VARCHAR) AS account_number,
+       CASE WHEN l_quantity = 2 THEN 'NOPE' ELSE 'S' || l_suppkey END AS cost_center_code,
+       CAST(y AS INTEGER) AS fiscal_year, CAST(CASE WHEN l_quantity = 3 THEN 13 ELSE m END AS INTEGER) AS fiscal_month,
+       CASE WHEN l_tax <> 0.08 THEN price END AS original_amount, CASE WHEN l_discount > 0 THEN cut END AS adjusted_amount,
+       CASE WHEN l_returnflag <> 'N' THEN 'LINEAR' END AS spread_method_code, l_returnflag || '],"[{\\", é' AS notes
+FROM keyed_lines
+UNION ALL
+SELECT DISTINCT 'y' || BudgetHeaderID, BudgetHeaderID, 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM keyed_lines""", "keyed_lines")
+
 cte("resolved", """
     SELECT r.*, a.id AS GLAccountID, c.id AS CostCenterID, p.id AS FiscalPeriodID
     FROM payload_rows r

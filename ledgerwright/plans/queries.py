@@ -18,6 +18,7 @@ from ledgerwright.operators import (
     importer,
     journals,
     parity,
+    payload_chunks,
     period,
     reports,
     row_parity,
@@ -83,6 +84,11 @@ def import_payload_rows(spark, d):
     return importer.import_payload_rows(retail.import_payloads(spark, d))
 
 
+@query
+def import_chunk_rows(spark, d):
+    return payload_chunks.import_chunk_rows(retail.import_chunks(spark, d))
+
+
 @query
 def import_resolve_keys(spark, d):
     return importer.import_resolve_keys(

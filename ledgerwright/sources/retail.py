@@ -281,11 +281,9 @@ def core_tables(spark: SparkSession, sf_dir: str, numbered: bool = True) -> dict
     }
 
 
-def import_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON payload per order line: an array of one element, or of two equal
-    ones for returned lines of quantity 4. Some codes, months and amounts are
-    wrong on purpose."""
-    element = f"""to_json(named_struct(
+def _element(notes: str) -> str:
+    """The JSON text of an order line as a payload element."""
+    return f"""to_json(named_struct(
         'account_number',
         CAST(GLAccountID + CASE WHEN l_quantity = 1 THEN 1000000000000 ELSE 0 END AS STRING),
         'cost_center_code', CASE WHEN l_quantity = 2 THEN 'NOPE' ELSE concat('S', l_suppkey) END,
@@ -294,10 +292,45 @@ def import_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         'original_amount', CASE WHEN l_tax <> 0.08D THEN {_money('price')} END,
         'adjusted_amount', CASE WHEN l_discount > 0 THEN {_money('reduction')} END,
         'spread_method_code', CASE WHEN l_returnflag <> 'N' THEN 'LINEAR' END,
-        'notes', l_returnflag))"""
+        'notes', {notes}))"""
+
+
+#: Notes that look like JSON themselves.
+NOTES = """concat(l_returnflag, '],"[{\\\\\", é')"""
+
+
+def import_chunks(spark: SparkSession, sf_dir: str, lines: int = 100) -> DataFrame:
+    """One payload a year: an array of null and all its order lines, in chunks that are cut inside of a line."""
+    order = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity price l_tax l_discount l_returnflag".split()
+    numbered = number_rows(keyed_lines(spark, sf_dir), ["BudgetHeaderID"], order, "n")
+    pieces = numbered.selectExpr(
+        "BudgetHeaderID", "n", f"concat(',', {_element(NOTES)}) AS text", "CAST(l_partkey % 150 AS INT) AS at"
+    )
+    halves = f"""explode(array(struct(n div {lines} AS chunk, 2 * n AS place, left(text, at) AS data),
+        struct((n + 1) div {lines} AS chunk, 2 * n + 1 AS place, substr(text, at + 1) AS data))) AS h"""
+    last = f"struct((max(n) + 1) div {lines} AS chunk, 2 * max(n) + 2 AS place, ']' AS data)"
+    ends = pieces.groupBy("BudgetHeaderID").agg(
+        F.expr(f"array(struct(0L AS chunk, 0L AS place, '[null' AS data), {last})").alias("ends")
+    )
+    parts = pieces.selectExpr("BudgetHeaderID", halves).unionAll(ends.selectExpr("BudgetHeaderID", "explode(ends) AS h"))
+    text = "array_join(transform(array_sort(collect_list(struct(h.place, h.data))), x -> x.data), '')"
+    return (
+        parts.groupBy("BudgetHeaderID", F.col("h.chunk").alias("chunk"))
+        .agg(F.expr(text).alias("text"))
+        .selectExpr(
+            "concat('y', BudgetHeaderID) AS payload_id", "BudgetHeaderID", "chunk div 100 AS block", "chunk",
+            "CAST(text AS BINARY) AS data",
+        )
+    )
+
+
+def import_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON payload per order line: an array of one element, or of two equal
+    ones for returned lines of quantity 4. Some codes, months and amounts are
+    wrong on purpose."""
     return (
         keyed_lines(spark, sf_dir)
-        .selectExpr("*", f"{element} AS element")
+        .selectExpr("*", f"{_element('l_returnflag')} AS element")
         .selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS payload_id",
             "BudgetHeaderID",
