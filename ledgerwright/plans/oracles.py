@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerwright.operators.corpus import RULES
 from ledgerwright.operators.parity import PLANNING_SPEC
-from ledgerwright.plans.queries import BATCH, CLOSE_BEFORE, FORECAST_MONTHS, NOW, RUN
+from ledgerwright.plans.queries import BATCH, CLOSE_BEFORE, FORECAST_MONTHS, NOW, RINGS, RUN
 from ledgerwright.schemas import TABLES
 from ledgerwright.sources.retail import LOADED_AT, STATEMENTS
 
@@ -734,6 +734,23 @@ FROM (SELECT j.JournalID, coalesce(sum(DebitAmount), 0) AS debits, coalesce(sum(
       FROM ConsolidationJournal j LEFT JOIN ConsolidationJournalLine l ON l.JournalID = j.JournalID
       GROUP BY j.JournalID)""", "BudgetLineItem", "ConsolidationJournal", "ConsolidationJournalLine")
 
+_SELF = [(t, fk, RINGS[t]) for t in RINGS for fk in TABLES[t].foreign_keys if fk.column == RINGS[t][0]]
+cte("rings", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS t, '{fk.name}' AS c, {fk.parent_key} AS id, {ring[1]} AS parent FROM {t}" for t, fk, ring in _SELF),
+    *RINGS)
+cte("reached", """
+    SELECT t, c, id AS start, parent AS node FROM rings WHERE parent IS NOT NULL
+    UNION SELECT r.t, r.c, start, parent FROM reached r JOIN rings g ON g.t = r.t AND g.c = r.c AND g.id = node
+    WHERE parent IS NOT NULL""", "rings")
+cte("on_ring", "SELECT t, c, start AS id FROM reached WHERE start = node", "reached")
+cte("ring_of", """
+    SELECT r.t, r.c, start, min(node) AS ring FROM reached r JOIN on_ring o ON o.t = r.t AND o.c = r.c AND o.id = node
+    GROUP BY r.t, r.c, start""", "on_ring", "reached")
+ORACLES["audit_cycles"] = sql("""
+SELECT g.t AS table_name, g.c AS constraint_name, CAST(ring AS VARCHAR) AS cycle, count(o.id) AS length,
+       count(*) - count(o.id) AS hanging
+FROM ring_of g LEFT JOIN on_ring o ON o.t = g.t AND o.c = g.c AND o.id = start GROUP BY g.t, g.c, ring""", "ring_of", "on_ring")
+
 # --- corpus -----------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from ledgerwright.operators import (
     allocation,
     audit,
     corpus,
+    cycles,
     generate,
     hierarchy,
     importer,
@@ -409,3 +410,24 @@ def audit_invariants(spark, d):
         retail.journal_lines(spark, d, numbered=False),
         retail.budget_headers(spark, d),
     )
+
+
+#: Parents that turn some hierarchies into rings: accounts in chains of 200 of which the first 120 close, and cost
+#: centers of three with a fourth beside them.
+RINGS = {
+    "GLAccount": ("ParentAccountID", "GLAccountID + CASE WHEN GLAccountID % 200 = 1 THEN 119 ELSE -1 END"),
+    "CostCenter": (
+        "ParentCostCenterID",
+        """CASE WHEN CostCenterID < 1000 THEN ParentCostCenterID WHEN CostCenterID % 10 IN (1, 2, 4) THEN CostCenterID + 1
+        WHEN CostCenterID % 10 IN (3, 5) THEN CostCenterID - 2 ELSE ParentCostCenterID END""",
+    ),
+    "BudgetHeader": ("BaseBudgetHeaderID", "BudgetHeaderID - 1"),
+}
+
+
+@query
+def audit_cycles(spark, d):
+    tables = retail.core_tables(spark, d, numbered=False)
+    for name, (column, parent) in RINGS.items():
+        tables[name] = tables[name].withColumn(column, F.expr(f"CAST({parent} AS BIGINT)"))
+    return cycles.audit_cycles(tables)
