@@ -13,7 +13,7 @@ twice the digests of both texts, then doubling with other hashes, until all are
 The likeness of two texts is 1 minus the differing share of their digests.
 
 All cells of a pair stay in one partition: a pair is one row in the only shuffle of an
-attempt, and the rounds of peeling are aggregates within it.
+attempt, and the turns of peeling are aggregates within it.
 
 Null texts are empty and have no digests; two texts without any have likeness 1.
 Documents follow each other by descending id, rows of one id by the hash of their text,
@@ -30,8 +30,11 @@ from ledgerwright.llm.shared import Workspace
 
 PIECE = 16
 CELLS = 24
-ROUNDS = 8
-#: Digests of a task in an attempt, on average; all rounds of a task run at once.
+#: Turns of peeling in an attempt, one part of the cells after the other. A task holds an aggregation for each.
+TURNS = 7
+#: Least digests of two texts from which their difference is estimated.
+LEAST = 32
+#: Digests of a task in an attempt, on average; all turns of a task run at once.
 DIGESTS = 50_000
 _PIECES = rf"\S++(?:[^\S\n]++\S++){{0,{PIECE - 1}}}+"
 #: Stands for a null id in keys.
@@ -105,28 +108,25 @@ def _followers(space: Workspace, keyed: DataFrame) -> DataFrame:
     )
 
 
-def _round(cells: DataFrame, attempt: int) -> DataFrame:
-    """One round of peeling. The cell -1 of a pair counts the digests found."""
-    pure = (F.col("cell") >= 0) & (F.abs("n") == 1) & (F.col("checks") == _check(F.col("keys")))
+def _turn(cells: DataFrame, part: int, attempt: int) -> DataFrame:
+    """One turn of peeling by the cells of one part. The cell -1 of a pair counts the digests found."""
+    mine = F.expr(f"cell >= {part} * (size div 3) AND cell < {part + 1} * (size div 3)")
+    pure = mine & (F.abs("n") == 1) & (F.col("checks") == _check(F.col("keys")))
     nothing = F.lit(0).cast("long")
 
-    def row(cell, tag, n, keys, checks):
-        return F.struct(cell.alias("cell"), tag.alias("tag"), n.alias("n"), keys.alias("keys"), checks.alias("checks"))
+    def row(cell, n, keys, checks):
+        return F.struct(cell.alias("cell"), n.alias("n"), keys.alias("keys"), checks.alias("checks"))
 
-    own = row(F.col("cell"), F.lit(None).cast("long"), F.col("n"), F.col("keys"), F.col("checks"))
+    own = row(F.col("cell"), F.col("n"), F.col("keys"), F.col("checks"))
+    # The cell itself is empty after this: only the two others and the count are left of it.
     taken = [
-        row(_place(F.col("keys"), j, F.col("size"), attempt), F.col("keys"), -F.col("n"), F.col("keys"), F.col("checks"))
+        row(_place(F.col("keys"), j, F.col("size"), attempt), -F.col("n"), F.col("keys"), F.col("checks"))
         for j in range(3)
+        if j != part
     ]
-    counted = row(F.lit(-1).cast("long"), F.col("keys"), F.lit(1).cast("long"), nothing, nothing)
-    rows = cells.select(
-        *_KEY, "kind", "size", F.explode(F.when(pure, F.array(own, *taken, counted)).otherwise(F.array(own))).alias("r")
-    ).select(*_KEY, "kind", "size", "r.*")
-    # A digest that several cells give away is taken out once.
-    once = rows.groupBy(*_KEY, "kind", "size", "cell", "tag").agg(
-        F.max("n").alias("n"), F.max("keys").alias("keys"), F.max("checks").alias("checks")
-    )
-    return _summed(once)
+    counted = row(F.lit(-1).cast("long"), F.lit(1).cast("long"), nothing, nothing)
+    rows = cells.select(*_KEY, "kind", "size", F.explode(F.when(pure, F.array(*taken, counted)).otherwise(F.array(own))).alias("r"))
+    return _summed(rows.select(*_KEY, "kind", "size", "r.*"))
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -137,10 +137,19 @@ def _summed(rows: DataFrame) -> DataFrame:
     )
 
 
+def _estimated(left: Column, right: Column) -> Column:
+    """Cells for the digests that only one of two texts has, by the shared part of their least digests; both are sorted."""
+    l_, r_ = F.slice(left, 1, LEAST), F.slice(right, 1, LEAST)
+    least = F.slice(F.array_sort(F.array_union(l_, r_)), 1, LEAST)
+    shared = F.size(F.array_intersect(F.array_intersect(least, l_), r_)) / F.size(least)
+    differing = (F.size(left) + F.size(right)) * (1 - shared) / (1 + shared)
+    return (F.ceil(differing * 2 / 3) * 3 + CELLS).cast("long")
+
+
 def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
     """id, hash, kind and differing (digests in one of ``left`` and ``right`` only) for all pairs."""
     out, attempt = None, 0
-    todo = pairs.withColumn("size", F.lit(CELLS).cast("long"))
+    todo = pairs.withColumn("size", _estimated(F.col("left"), F.col("right")))
     while True:
         both = F.concat(
             F.transform("left", lambda d: F.struct(d.alias("d"), F.lit(1).cast("long").alias("n"))),
@@ -152,8 +161,8 @@ def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
         places = F.array(*[_place(F.col("d"), j, F.col("size"), attempt) for j in range(3)])
         cells = signed.select(*_KEY, "kind", "size", "n", "d", F.explode(places).alias("cell"))
         cells = _summed(cells.select(*_KEY, "kind", "size", "cell", "n", F.col("d").alias("keys"), _check(F.col("d")).alias("checks")))
-        for _ in range(ROUNDS):
-            cells = _round(cells, attempt)
+        for turn in range(TURNS):
+            cells = _turn(cells, turn % 3, attempt)
         result = cells.groupBy(*_KEY, "kind").agg(
             F.sum(F.when(F.col("cell") == -1, F.col("n"))).alias("differing"),
             F.max(F.col("cell") >= 0).alias("stuck"),
