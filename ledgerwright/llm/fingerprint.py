@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwright.llm.shared import Workspace
+from ledgerwright.llm.shared import Workspace, plain_operators
 
 PIECE = 16
 CELLS = 24
@@ -167,7 +167,9 @@ def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("cell") == -1, F.col("n"))).alias("differing"),
             F.max(F.col("cell") >= 0).alias("stuck"),
         )
-        result = space.store(result, "peeled")
+        # Generated code would make one method of all turns; their plain operators need less memory.
+        with plain_operators(space.spark):
+            result = space.store(result, "peeled")
         good = result.where("NOT stuck").select(*_KEY, "kind", "differing")
         out = good if out is None else out.unionAll(good)
         stuck = result.where("stuck").select(*_KEY, "kind")

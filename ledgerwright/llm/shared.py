@@ -6,6 +6,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,18 @@ class Workspace:
             self.spark.conf.set(_CLEANUP, before)
 
 
+@contextmanager
+def plain_operators(spark: SparkSession) -> Iterator[None]:
+    """Plans made in the block run operator by operator, without code generated for whole stages."""
+    setting = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
