@@ -81,12 +81,12 @@ def sketch_text(found: Column) -> Column:
 
 
 def _followers(space: Workspace, keyed: DataFrame) -> DataFrame:
-    """id, hash, next_id, next_hash and third (of the characters) for all distinct documents.
+    """id, hash, next_id, next_hash, third (of the characters) and copies for all distinct documents.
 
     Keys are range-partitioned and stored with their partition; the next key is the
     next one there, or the first one of the next partition, or of the first.
     """
-    keys = keyed.select(*_KEY, F.length("text").alias("n")).distinct()
+    keys = keyed.select(*_KEY, F.length("text").alias("n")).groupBy(*_KEY, "n").agg(F.count(F.lit(1)).alias("copies"))
     order = [F.col("id").desc(), F.col("hash")]
     placed = space.store(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order")
     in_part = Window.partitionBy("part").orderBy(*order)
@@ -103,6 +103,7 @@ def _followers(space: Workspace, keyed: DataFrame) -> DataFrame:
             F.coalesce("next", "after")["id"].alias("next_id"),
             F.coalesce("next", "after")["hash"].alias("next_hash"),
             F.expr("n div 3").cast("int").alias("third"),
+            "copies",
         ),
         "followers",
     )
@@ -192,8 +193,10 @@ def fingerprints(docs: DataFrame, space: Workspace | None = None) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     followers = _followers(space, keyed)
+    # Both joins read one shuffle of the texts.
+    distinct = keyed.groupBy(*_KEY).agg(F.first("text").alias("text"))
     heads = (
-        keyed.join(
+        distinct.join(
             followers.select(
                 F.col("next_id").alias("id"), F.col("next_hash").alias("hash"),
                 F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), "third",
@@ -201,28 +204,24 @@ def fingerprints(docs: DataFrame, space: Workspace | None = None) -> DataFrame:
             _KEY,
         )
         .select(F.col("own_id").alias("id"), F.col("own_hash").alias("hash"), F.expr("substring(text, 1, third)").alias("head"))
-        .groupBy(*_KEY)
-        .agg(F.first("head").alias("head"))
     )
-    edited = keyed.join(heads.hint("merge"), _KEY).select(
+    edited = distinct.join(heads.hint("merge"), _KEY).select(
         *_KEY,
         F.length("text").cast("long").alias("n_chars"),
         F.concat(F.expr("substring(text, 1, length(text) - length(text) div 3)"), "head").alias("edited"),
-        digests(F.col("text")).alias("found"),
+        digests(F.col("text")).alias("left"),
     )
     rows = space.store(
         edited.select(
-            *_KEY, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "found", digests(F.col("edited")).alias("changed")
+            *_KEY, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "left", digests(F.col("edited")).alias("right")
         ),
         "digests",
     )
-    own = rows.select(*_KEY, "found", "changed").dropDuplicates(_KEY)
-    following = followers.select(*_KEY, "next_id", "next_hash")
-    nexts = rows.select(F.col("id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("found").alias("right"))
-    nexts = nexts.dropDuplicates(["next_id", "next_hash"])
-    to_next = following.join(nexts, ["next_id", "next_hash"]).join(own.select(*_KEY, F.col("found").alias("left")), _KEY)
-    pairs = own.select(*_KEY, F.lit(0).alias("kind"), F.col("found").alias("left"), F.col("changed").alias("right"))
-    pairs = space.store(pairs.unionAll(to_next.select(*_KEY, F.lit(1).alias("kind"), "left", "right")), "pairs")
+    # A document and its edited text are a pair as they are stored; only pairs with the next one are put together.
+    nexts = rows.select(F.col("id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("left").alias("right"))
+    to_next = followers.select(*_KEY, "next_id", "next_hash").join(nexts, ["next_id", "next_hash"])
+    to_next = to_next.join(rows.select(*_KEY, "left"), _KEY).select(*_KEY, F.lit(1).alias("kind"), "left", "right")
+    pairs = rows.select(*_KEY, F.lit(0).alias("kind"), "left", "right").unionAll(space.store(to_next, "next"))
     sized = pairs.select(*_KEY, "kind", (F.size("left") + F.size("right")).alias("total"))
     differing = space.store(difference_sizes(space, pairs.where("size(left) + size(right) > 0")), "differing")
     likeness = F.coalesce(1 - F.coalesce("differing", F.lit(0)) / F.nullif(F.col("total"), F.lit(0)), F.lit(1.0))
@@ -235,12 +234,15 @@ def fingerprints(docs: DataFrame, space: Workspace | None = None) -> DataFrame:
             F.max(F.when(F.col("kind") == 1, F.col("likeness"))).alias("near_next"),
         )
     )
-    return rows.join(space.store(near, "near"), _KEY).select(
+    each = rows.join(space.store(near, "near"), _KEY).join(followers.select(*_KEY, "copies"), _KEY)
+    prints = [sketch_text(F.col("left")).alias("fingerprint"), sketch_text(F.col("right")).alias("edited_fingerprint")]
+    once = each.select(*_KEY, "copies", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
-        sketch_text(F.col("found")).alias("fingerprint"),
-        sketch_text(F.col("changed")).alias("edited_fingerprint"),
+        "fingerprint",
+        "edited_fingerprint",
         "near_edited",
         "near_next",
     )
