@@ -23,6 +23,8 @@ Columns other than doc_id and text do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,10 +149,18 @@ def _estimated(left: Column, right: Column) -> Column:
     return (F.ceil(differing * 2 / 3) * 3 + CELLS).cast("long")
 
 
-def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
-    """id, hash, kind and differing (digests in one of ``left`` and ``right`` only) for all pairs."""
+def _of_kinds(kinds: list[DataFrame]) -> DataFrame:
+    pairs = [k.select(*_KEY, F.lit(n).alias("kind"), "left", "right") for n, k in enumerate(kinds)]
+    return reduce(DataFrame.unionAll, pairs)
+
+
+def difference_sizes(space: Workspace, kinds: list[DataFrame]) -> DataFrame:
+    """id, hash, kind and differing (digests in one of ``left`` and ``right`` only) for all pairs.
+
+    Pairs (id, hash, left, right) come by kind. Those of a later attempt are picked where they are stored.
+    """
     out, attempt = None, 0
-    todo = pairs.withColumn("size", _estimated(F.col("left"), F.col("right")))
+    todo = _of_kinds(kinds).withColumn("size", _estimated(F.col("left"), F.col("right")))
     while True:
         both = F.concat(
             F.transform("left", lambda d: F.struct(d.alias("d"), F.lit(1).cast("long").alias("n"))),
@@ -178,7 +188,8 @@ def difference_sizes(space: Workspace, pairs: DataFrame) -> DataFrame:
             return out
         attempt += 1
         wide = f"((size(left) + size(right)) * {1 << attempt} div 3) * 3 + {CELLS}"
-        todo = pairs.join(stuck, [*_KEY, "kind"], "left_semi").withColumn("size", F.expr(wide).cast("long"))
+        again = [k.join(stuck.where(F.col("kind") == n).select(*_KEY), _KEY, "left_semi") for n, k in enumerate(kinds)]
+        todo = _of_kinds(again).withColumn("size", F.expr(wide).cast("long"))
 
 
 def fingerprints(docs: DataFrame, space: Workspace | None = None) -> DataFrame:
@@ -211,19 +222,20 @@ def fingerprints(docs: DataFrame, space: Workspace | None = None) -> DataFrame:
         F.concat(F.expr("substring(text, 1, length(text) - length(text) div 3)"), "head").alias("edited"),
         digests(F.col("text")).alias("left"),
     )
-    rows = space.store(
+    rows = space.store_by(
         edited.select(
             *_KEY, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "left", digests(F.col("edited")).alias("right")
         ),
         "digests",
+        *_KEY,
     )
     # A document and its edited text are a pair as they are stored; only pairs with the next one are put together.
     nexts = rows.select(F.col("id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("left").alias("right"))
     to_next = followers.select(*_KEY, "next_id", "next_hash").join(nexts, ["next_id", "next_hash"])
-    to_next = to_next.join(rows.select(*_KEY, "left"), _KEY).select(*_KEY, F.lit(1).alias("kind"), "left", "right")
-    pairs = rows.select(*_KEY, F.lit(0).alias("kind"), "left", "right").unionAll(space.store(to_next, "next"))
-    sized = pairs.select(*_KEY, "kind", (F.size("left") + F.size("right")).alias("total"))
-    differing = space.store(difference_sizes(space, pairs.where("size(left) + size(right) > 0")), "differing")
+    to_next = to_next.join(rows.select(*_KEY, "left"), _KEY).select(*_KEY, "left", "right")
+    kinds = [rows.select(*_KEY, "left", "right"), space.store_by(to_next, "next", *_KEY)]
+    sized = _of_kinds(kinds).select(*_KEY, "kind", (F.size("left") + F.size("right")).alias("total"))
+    differing = space.store(difference_sizes(space, [k.where("size(left) + size(right) > 0") for k in kinds]), "differing")
     likeness = F.coalesce(1 - F.coalesce("differing", F.lit(0)) / F.nullif(F.col("total"), F.lit(0)), F.lit(1.0))
     near = (
         sized.join(differing, [*_KEY, "kind"], "left")

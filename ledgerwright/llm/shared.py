@@ -37,14 +37,14 @@ class Workspace:
         self._write(lambda: df.write.parquet(path))
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def store_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
-        """``df`` stored as a table bucketed by ``key``: a join on it moves the other side only.
+    def store_by(self, df: DataFrame, name: str, *key: str) -> DataFrame:
+        """``df`` stored as a table bucketed by ``key``: a join on these columns moves the other side only.
 
         There are as many buckets as shuffle partitions. The table's files are in this folder.
         """
         path, table_name = self._next(name), f"stored_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        write = df.write.format("parquet").option("path", path).bucketBy(buckets, key)
+        write = df.write.format("parquet").option("path", path).bucketBy(buckets, *key)
         self._write(lambda: write.saveAsTable(table_name))
         return self.spark.table(table_name)
 
