@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerwright.functions.stored import materialize
 from ledgerwright.operators import importer, period
-from ledgerwright.sources import files
+from ledgerwright.sources import files, versions
 
 LEDGER = "BudgetLineItem"
 
@@ -63,3 +63,41 @@ def run_import(
     after = importer.import_apply(part, validated, batch_id, now, duplicate_handling)
     files.replace_folders(materialize(after, "imported"), root, LEDGER, now)
     return importer.import_result(validated, batch_id, duplicate_handling)
+
+
+def close_published(spark: SparkSession, root: str, closing: DataFrame, run_id: str, now: str) -> int:
+    """``close_lines`` as one new version of the ledger; its number."""
+    snapshot = versions.read_version(spark, root, LEDGER)
+    part = touched(snapshot.rows, closing)
+    closed = materialize(period.close_lines(part, closing), "closed")
+    return versions.publish(closed, root, LEDGER, now, run_id, closing, snapshot)
+
+
+def import_published(
+    spark: SparkSession,
+    root: str,
+    payloads: DataFrame,
+    accounts: DataFrame,
+    centers: DataFrame,
+    periods: DataFrame,
+    batch_id: str,
+    now: str,
+    duplicate_handling: str = "REJECT",
+    validation_mode: str = "STRICT",
+) -> DataFrame:
+    """``run_import`` as one new version of the ledger; the result per budget.
+
+    Refused with ``versions.Conflict`` if another run changed a folder in which keys were
+    looked up: two imports of a budget cannot both insert a line.
+    """
+    snapshot = versions.read_version(spark, root, LEDGER)
+    resolved = importer.import_resolve_keys(importer.import_payload_rows(payloads), accounts, centers, periods)
+    resolved = materialize(resolved, "resolved")
+    known = touched(snapshot.rows, resolved)
+    validated = materialize(
+        importer.import_validate(resolved, known, duplicate_handling, validation_mode), "validated"
+    )
+    part = touched(snapshot.rows, validated.where("is_valid"))
+    after = materialize(importer.import_apply(part, validated, batch_id, now, duplicate_handling), "imported")
+    versions.publish(after, root, LEDGER, now, batch_id, resolved, snapshot)
+    return importer.import_result(validated, batch_id, duplicate_handling)

@@ -817,3 +817,8 @@ SELECT error, warning, info, files,
 FROM (SELECT count(*) FILTER (severity = 'error') AS error, count(*) FILTER (severity = 'warning') AS warning,
              count(*) FILTER (severity = 'info') AS info, count(DISTINCT path) AS files
       FROM corpus_findings)""", "corpus_findings")
+
+# --- stored ledger: published changes give the same rows -----------------------
+
+ORACLES["close_lines_stored"] = ORACLES["close_lines"]
+ORACLES["import_apply_stored"] = ORACLES["import_apply"]

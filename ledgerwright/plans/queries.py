@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,8 +24,10 @@ from ledgerwright.operators import (
     period,
     reports,
     row_parity,
+    stored_ledger,
 )
-from ledgerwright.sources import retail
+from ledgerwright.functions.stored import shared_folder
+from ledgerwright.sources import files, retail, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +211,40 @@ def close_lines(spark, d):
     )
 
 
+def _stored(spark, ledger: DataFrame) -> str:
+    """The ledger as a stored table in a folder of its own."""
+    root = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    files.write_table(ledger, root, stored_ledger.LEDGER, NOW)
+    return root
+
+
+@query
+def close_lines_stored(spark, d):
+    root = _stored(spark, retail.budget_lines(spark, d))
+    stored_ledger.close_published(spark, root, _closing(spark, d), BATCH, NOW)
+    return versions.read_version(spark, root, stored_ledger.LEDGER).rows.select(*close_lines(spark, d).columns)
+
+
+@query
+def import_apply_stored(spark, d):
+    root = _stored(spark, _booked(spark, d))
+    stored_ledger.import_published(
+        spark,
+        root,
+        retail.import_payloads(spark, d),
+        retail.gl_accounts(spark, d, dirty=True),
+        retail.cost_centers(spark, d),
+        retail.fiscal_periods(spark, d),
+        BATCH,
+        NOW,
+        "UPDATE",
+    )
+    return versions.read_version(spark, root, stored_ledger.LEDGER).rows.select(
+        "BudgetLineItemID", "BudgetHeaderID", "GLAccountID", "CostCenterID", "FiscalPeriodID", "OriginalAmount",
+        "AdjustedAmount", "FinalAmount", "SpreadMethodCode", "ImportBatchID", "LastModifiedDateTime",
+    )
+
+
 @query
 def intercompany_items(spark, d):
     return period.intercompany_items(

@@ -79,6 +79,12 @@ def replace_folders(df: DataFrame, root: str, name: str, now: str) -> None:
     )
 
 
+def write_folders(df: DataFrame, path: str, name: str, now: str) -> None:
+    """Rows of a table in its folders below ``path``, in place of what is there."""
+    rows = _typed(complete(df, TABLES[name], now), name)
+    _laid_out(rows, name).write.mode("overwrite").partitionBy(*FOLDERS[name]).parquet(path)
+
+
 def append_run(frames: dict[str, DataFrame], root: str, run_id: str, now: str) -> None:
     """Write the rows of one run to its own folders of several tables, then mark the run committed.
 
