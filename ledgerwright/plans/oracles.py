@@ -208,6 +208,16 @@ cte("down", """
     WHERE c.IsActive AND HierarchyLevel < 20""", "CostCenter")
 ORACLES["cost_center_explode"] = sql("SELECT * FROM down", "down")
 
+cte("active", "SELECT CostCenterID AS id, ParentCostCenterID AS parent FROM CostCenter WHERE IsActive", "CostCenter")
+cte("walk", """
+    SELECT id, 0 AS level, [id] AS path FROM active WHERE parent IS NULL OR parent NOT IN (SELECT id FROM active)
+    UNION ALL SELECT a.id, level + 1, list_append(path, a.id) FROM walk JOIN active a ON a.parent = walk.id""", "active")
+cte("below", "SELECT unnest(path) AS id, count(*) AS n FROM walk GROUP BY 1", "walk")
+ORACLES["cost_center_labels"] = sql("""
+SELECT w.id AS CostCenterID, CAST(2 * r - level AS BIGINT) AS "first", CAST(2 * r - level + 2 * n - 1 AS BIGINT) AS "last",
+       CAST(level AS INTEGER) AS level
+FROM (SELECT *, row_number() OVER (ORDER BY path) - 0.5 AS r FROM walk) w JOIN below USING (id)""", "walk", "below")
+
 ORACLES["budget_variance"] = sql("""
 SELECT BudgetHeaderID, FiscalPeriodID, GLAccountID, CostCenterID, OriginalAmount, AdjustedAmount, FinalAmount,
        AdjustedAmount AS VarianceAmount,

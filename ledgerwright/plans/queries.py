@@ -25,6 +25,7 @@ from ledgerwright.operators import (
     reports,
     row_parity,
     stored_ledger,
+    subtrees,
 )
 from ledgerwright.functions.stored import shared_folder
 from ledgerwright.sources import files, retail, versions
@@ -78,6 +79,11 @@ def cost_center_explode(spark, d):
     return hierarchy.cost_center_explode(retail.cost_centers(spark, d))
 
 
+@query
+def cost_center_labels(spark, d):
+    return subtrees.center_labels(retail.cost_centers(spark, d))
+
+
 @query
 def budget_variance(spark, d):
     return reports.budget_variance(retail.budget_lines(spark, d))
