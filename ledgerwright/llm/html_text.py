@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -135,6 +136,8 @@ def blocks(page: str, spared: frozenset[int] = frozenset()) -> list[Block]:
     out: list[Block] = []
     # Elements that matter: name, outside, main, number, start, and whether class words judged it.
     open_: list[tuple[str, bool, bool, int, int, bool]] = []
+    # How many of each name are open: a page of open or of stray tags is read in linear time.
+    depth: Counter[str] = Counter()
     around: dict[str, list[tuple[int, bool]]] = {}
     current = Block("", False, False, 0)
     at, in_link, number = 0, False, 0
@@ -150,6 +153,11 @@ def blocks(page: str, spared: frozenset[int] = frozenset()) -> list[Block]:
                 out.append(current)
         current, in_link = Block(tag, *state()), False
 
+    def close() -> str:
+        name = open_.pop()[0]
+        depth[name] -= 1
+        return name
+
     while at < len(page):
         token = page.find("<", at)
         if token < 0:
@@ -177,19 +185,17 @@ def blocks(page: str, spared: frozenset[int] = frozenset()) -> list[Block]:
         if match["close"]:
             if name == "a":
                 in_link = False
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    begin("")
-                    del open_[k:]
-                    current.outside, current.main, current.parent = state()
-                    break
-            else:
-                if name in _BLOCKS:
-                    begin("")
+            if depth[name]:
+                begin("")
+                while close() != name:
+                    pass
+                current.outside, current.main, current.parent = state()
+            elif name in _BLOCKS:
+                begin("")
             continue
         if name in _RAW:
-            end = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.IGNORECASE).search(page, at)
             if not match["attributes"].rstrip().endswith("/"):
+                end = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
             continue
         outside, main, _ = state()
@@ -198,19 +204,20 @@ def blocks(page: str, spared: frozenset[int] = frozenset()) -> list[Block]:
         if name in _BLOCKS:
             # A new block ends an open paragraph or item that was only kept for its class.
             if open_ and open_[-1][0] == "p":
-                open_.pop()
+                close()
                 outside, main, _ = state()
             if open_ and open_[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                open_.pop()
+                close()
                 outside, main, _ = state()
         if name in _MAIN and name not in around:
             around[name] = [o[4:] for o in open_]
         part = _is_part(name, match["attributes"], main)
         named = not part and token not in spared and _is_named_part(name, match["attributes"])
         part = part or named
-        keeps = part or name in _MAIN or any(name == o[0] for o in open_) or name in ("div", "section")
+        keeps = part or name in _MAIN or depth[name] > 0 or name in ("div", "section")
         if keeps and name not in _VOID and not match["attributes"].rstrip().endswith("/"):
             number += 1
+            depth[name] += 1
             open_.append((name, outside or part, main or name in _MAIN, number, token, named))
             begin(name)
         elif name in _BLOCKS:

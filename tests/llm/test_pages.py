@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from ledgerwright.llm import html_text
@@ -24,3 +26,13 @@ RULES = "This is the text that was written for all of the people who read it."
 def test_layout_names_and_short_pages(page):
     text = html_text.main_text(page.format(RULES))
     assert RULES in text and "not for me" not in text
+
+
+def test_nested_and_stray_tags_take_linear_time():
+    """Pages of about a megabyte; reading them was quadratic once."""
+    n = 100_000
+    pages = ["<div>" * n + "<b>x" * n, "<div>" * n + "</i>" * n, "<p>x<svg/>" * n, "<div class=ad>" * n + "</div>" * n]
+    for page in pages:
+        start = time.perf_counter()
+        html_text.blocks(page)
+        assert time.perf_counter() - start < 5
