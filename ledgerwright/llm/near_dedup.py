@@ -162,13 +162,21 @@ def _confirm(percent: int):
     return of
 
 
+def _of_one_id(members: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of an id that has several texts; most ids have one, and none of these."""
+    of = members.where("class IS NOT NULL").select("doc_id", F.col("class").alias("a"))
+    least = of.groupBy("doc_id").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("doc_id", "b")
+    return of.join(least, "doc_id").where("a > b").select("a", "b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, lower: bool = False, least: int = 4, space: Workspace | None = None
 ) -> DataFrame:
     """doc_id, n_shingles, n_links, component_id and kept of every row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 x shared >= ``percent`` x joint ``size``-word
-    shingles. ``n_links`` counts the confirmed candidate links of the document's set.
+    shingles. ``n_links`` counts the confirmed candidate links of the document's set,
+    and those to the other sets of one id.
     """
     space = space or Workspace(docs.sparkSession, "near-dedup")
     signed = space.store(signatures(docs, size, lower), "signatures")
@@ -219,11 +227,12 @@ def near_duplicates(
         wanted = full_sets.join(of.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi").distinct()
         return arrow_map(wanted, unpacked, "node long, pieces array<long>").withColumn("key", F.xxhash64("pieces"))
 
-    component, links = hub_components(space, dense, pairs, confirmed(pairs), confirmed, confirmed, sets, percent)
+    members = signed.select("doc_id", "n_shingles", "set_key").join(classes.select("set_key", "class"), "set_key", "left")
+    known = confirmed(pairs).unionAll(_of_one_id(members))
+    component, links = hub_components(space, dense, pairs, known, confirmed, confirmed, sets, percent)
     ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
     degree = space.store(ends.groupBy("class").agg(F.count(F.lit(1)).alias("n_links")), "degrees")
     found = component.select(F.col("node").alias("class"), "component")
-    members = signed.select("doc_id", "n_shingles", "set_key").join(classes.select("set_key", "class"), "set_key", "left")
     return (
         members.join(found, "class", "left")
         .join(degree, "class", "left")

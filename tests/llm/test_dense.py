@@ -59,3 +59,14 @@ def test_near_duplicates_of_many_families(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = near_dedup.near_duplicates(frame, 3).collect()
     assert {r.doc_id: r.component_id for r in rows} == want
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    """Its texts belong together, whatever they are linked with."""
+    x, y, z = (" ".join(f"{c}{k}" for k in range(30)) for c in "xyz")
+    rows = [(1, x), (5, x), (5, y), (7, y), (7, z), (9, z), (20, x + " more"), (30, "one of its own"), (30, None)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [
+        (1, 1), (5, 1), (5, 1), (7, 1), (7, 1), (9, 1), (20, 1), (30, 30), (30, 30)
+    ]
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
