@@ -184,23 +184,24 @@ def payload_elements(chunks: DataFrame) -> DataFrame:
         window = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("commas").over(window), F.lit(0))
 
-    of_block = of_block.select(*_KEY[:3], earlier(_KEY[:2], "block").alias("block_before"))
+    # A payload without commas of depth one has one element or none.
+    single = (F.sum("commas").over(Window.partitionBy(*_KEY[:2])) == 0).alias("single")
+    of_block = of_block.select(*_KEY[:3], earlier(_KEY[:2], "block").alias("block_before"), single)
     counts = counts.select(*_KEY, earlier(_KEY[:3], "chunk").alias("before"))
-    counts = counts.join(of_block, _KEY[:3]).selectExpr(*_KEY, "block_before + before AS before")
+    counts = counts.join(of_block, _KEY[:3]).selectExpr(*_KEY, "block_before + before AS before", "single")
     parts = parts.join(counts, _KEY).withColumn("row_id", F.expr("CAST(before + n + 1 AS INT)"))
 
-    whole = parts.where("whole").selectExpr(*_KEY[:2], "row_id", "CAST(data AS STRING) AS element", "commas")
+    whole = parts.where("whole").selectExpr(*_KEY[:2], "row_id", "CAST(data AS STRING) AS element", "single")
     cuts = parts.where("NOT whole").groupBy(*_KEY[:2], "row_id").agg(
         F.expr(
             "CAST(unhex(array_join(transform(array_sort(collect_list(struct(block, chunk, data))), x -> hex(x.data)), ''))"
             " AS STRING)"
         ).alias("element"),
-        F.sum("commas").alias("commas"),
+        F.expr("bool_or(single)").alias("single"),
     )
     found = whole.unionByName(cuts)
     # An array without elements has one blank segment; behind a comma, a blank one is an error that parsing finds.
-    single = parts.groupBy(*_KEY[:2]).agg(F.expr("max(row_id) = 1").alias("single"))
-    found = found.join(single, _KEY[:2]).where("NOT (single AND trim(BOTH ' \\t\\r\\n' FROM element) = '')")
+    found = found.where("NOT (single AND trim(BOTH ' \\t\\r\\n' FROM element) = '')")
     return found.select(*_KEY[:2], "row_id", "element")
 
 

@@ -94,3 +94,20 @@ def test_a_file_of_one_line_is_read_by_many_tasks(spark, tmp_path):
         (k + 1, r["account_number"], r["notes"]) for k, r in enumerate(rows_)
     ]
     assert {r.BudgetHeaderID for r in found} == {3}
+
+
+def test_the_elements_of_one_payload_stay_in_many_tasks(spark):
+    """Also where no side of a join is small enough to be sent to all tasks."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    elements = 400
+    data = ("[" + ",".join(f'{{"a": {k}}}' for k in range(elements)) + "]").encode()
+    chunks = [("p", 1, k // 100, k // 50, data[k : k + 50]) for k in range(0, len(data), 50)]
+    try:
+        for key, value in zip(before, ("false", "-1", "8"), strict=True):
+            spark.conf.set(key, value)
+        found = payload_chunks.payload_elements(spark.createDataFrame(chunks, SCHEMA))
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(tasks) == elements and max(tasks) < elements / 2
