@@ -98,17 +98,19 @@ def import_validate(
     ledger: DataFrame,
     duplicate_handling: str = "REJECT",
     validation_mode: str = "STRICT",
+    stored: bool = False,
 ) -> DataFrame:
     """Adds ``is_valid``, ``validation_errors`` (the first reason) and ``line_exists``.
 
     A repeated key rejects all its rows, also where one of them is invalid for
     another reason. ``line_exists`` is only looked up for rows that pass so far.
     The resolved rows are stored first: they are read for their keys and again
-    for the rows, and reading them costs less than parsing the payloads twice.
+    for the rows, and reading them costs less than parsing the payloads twice. Pass
+    ``stored=True`` for rows that are.
     """
     if duplicate_handling not in DUPLICATE_HANDLING:
         raise ValueError("Duplicate handling must be REJECT or UPDATE")
-    resolved = materialize(resolved, "staged")
+    resolved = resolved if stored else materialize(resolved, "staged")
     missing = "original_amount IS NULL" if validation_mode in STRICT_MODES else "false"
     reason = f"""CASE WHEN GLAccountID IS NULL THEN '{UNKNOWN_ACCOUNT}'
         WHEN CostCenterID IS NULL THEN '{UNKNOWN_COST_CENTER}'

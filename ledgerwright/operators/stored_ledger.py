@@ -57,7 +57,7 @@ def run_import(
     resolved = materialize(resolved, "resolved")
     known = touched(ledger, resolved)
     validated = materialize(
-        importer.import_validate(resolved, known, duplicate_handling, validation_mode), "validated"
+        importer.import_validate(resolved, known, duplicate_handling, validation_mode, stored=True), "validated"
     )
     part = touched(ledger, validated.where("is_valid"))
     after = importer.import_apply(part, validated, batch_id, now, duplicate_handling)
@@ -95,7 +95,7 @@ def import_published(
     resolved = materialize(resolved, "resolved")
     known = touched(snapshot.rows, resolved)
     validated = materialize(
-        importer.import_validate(resolved, known, duplicate_handling, validation_mode), "validated"
+        importer.import_validate(resolved, known, duplicate_handling, validation_mode, stored=True), "validated"
     )
     part = touched(snapshot.rows, validated.where("is_valid"))
     after = materialize(importer.import_apply(part, validated, batch_id, now, duplicate_handling), "imported")
