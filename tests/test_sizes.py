@@ -55,3 +55,10 @@ def test_a_large_ledger_is_grouped_in_more_partitions(spark, folder, monkeypatch
         assert "REPARTITION_BY_NUM" in frame._jdf.queryExecution().executedPlan().toString()
     assert sorted(ledger.collect()) == small
     assert summary.count() == len(small)
+
+
+def test_row_parity_makes_the_ledger_once(spark, folder, monkeypatch):
+    made, lines = [], retail.budget_lines
+    monkeypatch.setattr(retail, "budget_lines", lambda *a, **k: made.append(a) or lines(*a, **k))
+    assert queries.QUERIES["parity_rows"](spark, folder).count() > 0
+    assert len(made) == 1
