@@ -57,6 +57,26 @@ def test_a_large_ledger_is_grouped_in_more_partitions(spark, folder, monkeypatch
     assert summary.count() == len(small)
 
 
+@pytest.mark.parametrize("name", ["import_validate", "import_apply", "import_result", "import_apply_stored"])
+def test_imports_store_with_partitions_for_their_rows(spark, folder, monkeypatch, name):
+    expected = sorted(map(str, queries.QUERIES[name](spark, folder).collect()))
+    seen = []
+    for module in (importer, stored_ledger):
+        def recorded(df, label):
+            seen.append((label, int(spark.conf.get(PARTITIONS))))
+            return stored.materialize(df, label)
+
+        monkeypatch.setattr(module, "materialize", recorded)
+    monkeypatch.setattr(stored, "ROWS_A_TASK", 2)
+    before = spark.conf.get(PARTITIONS)
+    found = sorted(map(str, queries.QUERIES[name](spark, folder).collect()))
+    assert found == expected
+    assert min(n for _, n in seen) >= 30 and spark.conf.get(PARTITIONS) == before
+    if name == "import_apply_stored":
+        # the resolved rows are stored once
+        assert [label for label, _ in seen] == ["resolved", "validated", "imported"]
+
+
 def test_row_parity_makes_the_ledger_once(spark, folder, monkeypatch):
     made, lines = [], retail.budget_lines
     monkeypatch.setattr(retail, "budget_lines", lambda *a, **k: made.append(a) or lines(*a, **k))
