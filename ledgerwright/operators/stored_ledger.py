@@ -68,8 +68,8 @@ def run_import(
 def close_published(spark: SparkSession, root: str, closing: DataFrame, run_id: str, now: str) -> int:
     """``close_lines`` as one new version of the ledger; its number."""
     snapshot = versions.read_version(spark, root, LEDGER)
-    part = touched(snapshot.rows, closing)
-    closed = materialize(period.close_lines(part, closing), "closed")
+    # Published folders are beside those that are read, so the rows need no other store.
+    closed = period.close_lines(touched(snapshot.rows, closing), closing)
     return versions.publish(closed, root, LEDGER, now, run_id, closing, snapshot)
 
 

@@ -77,6 +77,15 @@ def test_imports_store_with_partitions_for_their_rows(spark, folder, monkeypatch
         assert [label for label, _ in seen] == ["resolved", "validated", "imported"]
 
 
+def test_closed_lines_are_written_once(spark, folder, monkeypatch):
+    labels = []
+    monkeypatch.setattr(stored_ledger, "materialize", lambda df, label: labels.append(label) or stored.materialize(df, label))
+    rows = queries.QUERIES["close_lines_stored"](spark, folder).collect()
+    assert labels == []
+    assert sorted(rows) == sorted(queries.QUERIES["close_lines"](spark, folder).collect())
+    assert {r.IsAllocated for r in rows} == {True}
+
+
 def test_row_parity_makes_the_ledger_once(spark, folder, monkeypatch):
     made, lines = [], retail.budget_lines
     monkeypatch.setattr(retail, "budget_lines", lambda *a, **k: made.append(a) or lines(*a, **k))
