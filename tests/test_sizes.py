@@ -91,3 +91,13 @@ def test_row_parity_makes_the_ledger_once(spark, folder, monkeypatch):
     monkeypatch.setattr(retail, "budget_lines", lambda *a, **k: made.append(a) or lines(*a, **k))
     assert queries.QUERIES["parity_rows"](spark, folder).count() > 0
     assert len(made) == 1
+
+
+def test_keys_of_many_rows_are_counted_in_more_partitions(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr(stored, "ROWS_A_TASK", 2)
+    monkeypatch.setattr(
+        queries, "materialize", lambda df, label: seen.append(int(spark.conf.get(PARTITIONS))) or stored.materialize(df, label)
+    )
+    queries.QUERIES["audit_unique"](spark, folder).collect()
+    assert seen and min(seen) >= 120
