@@ -23,11 +23,15 @@ packed once each: every row is a document of its own. Further columns do not mat
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,10 +41,11 @@ from ledgerwright.llm.shared import Workspace, arrow_map, slices
 CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks that a task remembers with their ids.
-_MEMORY = 250_000
+#: Chunks that a Python worker remembers with their ids.
+_MEMORY = 500_000
 _SHORT = 48
-_BYTES = 4 << 20
+#: Text whose distinct chunks are looked up once.
+_BYTES = 16 << 20
 #: Composed letters that the vocabulary's normalization only lower-cases, and its rule for pieces.
 _LETTERS = "À-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[!-~¡¿{_LETTERS}]+")
@@ -52,6 +57,13 @@ _BYTE_CHARACTERS = [
 ]
 
 
+def _little(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class _Pieces(dict):
     """Ids of lower-case pieces that the vocabulary's rules never cut further, as little-endian bytes."""
 
@@ -59,8 +71,9 @@ class _Pieces(dict):
         self._model = model
 
     def __missing__(self, piece: str) -> bytes:
-        mapped = "".join(map(_BYTE_CHARACTERS.__getitem__, piece.encode()))
-        out = np.array([t.id for t in self._model.tokenize(mapped)], "<u4").tobytes()
+        # Pieces hold no white space, so the bytes of ASCII stand for themselves.
+        mapped = piece if piece.isascii() else "".join(map(_BYTE_CHARACTERS.__getitem__, piece.encode()))
+        out = _little([t.id for t in self._model.tokenize(mapped)])
         if len(self) >= _MEMORY:
             self.clear()
         self[piece] = out
@@ -71,7 +84,7 @@ class Chunks(dict):
     """Token ids of chunks of text between white space, as little-endian bytes.
 
     The vocabulary's rules never join characters across white space, so the ids of a
-    text are those of its chunks in order. A task remembers the chunks it has seen. In
+    text are those of its chunks in order. The chunks seen are remembered. In
     chunks of printable ASCII and Latin-1 letters the rules are applied here, which
     leaves only new pieces to the tokenizer; all others go through it whole.
     """
@@ -85,9 +98,10 @@ class Chunks(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            out = b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text.lower())))
+            text = text.lower()
+            out = self._pieces[text] if text.isalpha() else b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text)))
         else:
-            out = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            out = _little(self._tokenizer.encode(text, add_special_tokens=False).ids)
         if len(self) >= _MEMORY:
             self.clear()
         if len(chunk) <= _SHORT:
@@ -97,6 +111,25 @@ class Chunks(dict):
     def ids(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split())) if text else b""
 
+    def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts in order, and the n + 1 positions where each text's begin. Null is empty."""
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = words.flatten().dictionary_encode()
+        found = [self[chunk] for chunk in coded.dictionary.cast(pa.large_binary()).to_pylist()]
+        data = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, which = np.cumsum(lengths) - lengths, coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths[which])])
+        ids = data[np.repeat(starts[which] - ends[:-1], lengths[which]) + np.arange(ends[-1])]
+        first = words.offsets.to_numpy()
+        return ids, ends[first - first[0]]
+
+
+@lru_cache(1)
+def _chunks(path: str) -> Chunks:
+    """Kept from task to task of a worker."""
+    return Chunks(path)
+
 
 def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -108,14 +141,15 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     """A row for each piece, with the task that made it and its number among that task's pieces of its length."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(path or vocabulary())
-        end = np.array([END], "<u4").tobytes()
+        chunks = _chunks(path or vocabulary())
+        end = _little([END])
         task, made = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for whole in batches:
             for batch in slices(whole, "text", _BYTES):
                 out = []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids = chunks.ids(text) + end
+                tokens, bounds = chunks.all_ids(batch.column(1))
+                for doc, low, high in zip(batch.column(0).to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                    ids = tokens[low:high].tobytes() + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         n = len(part) // 4

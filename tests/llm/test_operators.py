@@ -321,6 +321,22 @@ def test_chunks_give_the_tokenizers_ids(text):
     assert np.frombuffer(chunks.ids(text), "<u4").tolist() == want
 
 
+def test_chunks_of_many_texts_are_looked_up_once():
+    texts = pa.array(["left out", None, "", " a  Don't x\x1cy\u00a0z\r\n", "caf\u00e9 12 \u6f22 a", " <|endoftext|>a "] + ["a b"] * 50).slice(1)
+    asked = []
+
+    class Counted(packing.Chunks):
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    ids, bounds = Counted(packing.vocabulary()).all_ids(texts)
+    assert len(asked) == len(set(asked)) < 20
+    chunks = packing.Chunks(packing.vocabulary())
+    for text, low, high in zip(texts.to_pylist(), bounds[:-1], bounds[1:], strict=True):
+        assert ids[low:high].tobytes() == chunks.ids(text)
+
+
 def test_packing(docs):
     rows = packing.pack(docs.select("doc_id", "text"), capacity=512).collect()
     chunks = packing.Chunks(packing.vocabulary())
