@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 from ledgerwright.llm import near_dedup
+from ledgerwright.llm import components as stars
+from ledgerwright.llm import hubs
 from ledgerwright.llm.hubs import hub_components
 from ledgerwright.llm.shared import Workspace
 from tests.llm.test_operators import prose, roots
@@ -70,3 +72,60 @@ def test_an_id_with_several_texts_is_one_document(spark):
         (1, 1), (5, 1), (5, 1), (7, 1), (7, 1), (9, 1), (20, 1), (30, 30), (30, 30)
     ]
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_a_pair_meets_about_once(spark):
+    """Sets that share most of their prefixes, where each shared piece of a prefix once gave the pair again."""
+    rng = random.Random(3)
+    sets = {}
+    for n in range(60):
+        sets[n] = sorted({*rng.sample(range(140), 130), *range(1000 + 5 * n, 1005 + 5 * n)})
+    frame = spark.createDataFrame([(n, 0, s) for n, s in sets.items()], "node long, key int, pieces array<long>")
+    held = hubs._prefixes(Workspace(spark, "dense"), frame, 80)
+    held = held.selectExpr("*", "node AS component", "false AS main")
+    met = [(r.a, r.b) for r in hubs._met(held, 80).collect()]
+    links = {(a, b) for a in sets for b in sets if a > b and alike(set(sets[a]), set(sets[b]))}
+    assert len(links) > 1000 and links <= set(met)
+    assert len(met) < 1.5 * len(set(met))
+
+
+def test_steps_of_components_leave_few_files(spark, tmp_path):
+    """A few links give a few files whatever the number of shuffle partitions, and the steps are gone at the end."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    space = Workspace(spark, "few")
+    space.path = str(tmp_path / "few")
+    links = spark.createDataFrame([(k + 1, k) for k in range(50)] + [(200, 100)], "a long, b long")
+    try:
+        for name, value in zip(names, ("60", "false"), strict=True):
+            spark.conf.set(name, value)
+        found = stars.components(space, links)
+        assert {r.node: r.component for r in found.collect()} == {k: 0 for k in range(51)} | {200: 100, 100: 100}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(list((tmp_path / "few").rglob("*.parquet"))) < 10
+
+
+def test_small_cells_have_one_round(spark):
+    """Cells of many families, complete after one round of hubs and the prefix join."""
+    sets = {}
+    for family in range(40):
+        own = [10_000 * (family + 1) + k for k in range(30)]
+        for member in range(4):
+            sets[4 * family + member] = {*range(60), *own, 10_000_000 + 4 * family + member}
+    frame = spark.createDataFrame([(n, 0, sorted(s)) for n, s in sets.items()], "node long, key int, pieces array<long>")
+    dense = spark.createDataFrame([(0, n) for n in sets], "cell long, node long")
+    none = spark.createDataFrame([], "a long, b long")
+    rounds = []
+
+    def exact(pairs):
+        rounds.append(pairs)
+        kept = [(r.a, r.b) for r in pairs.collect() if alike(sets[r.a], sets[r.b])]
+        return spark.createDataFrame(kept, "a long, b long")
+
+    space = Workspace(spark, "dense")
+    pieces = lambda nodes: frame.join(nodes, "node", "left_semi")
+    found, _ = hub_components(space, dense, none, none, exact, exact, pieces, 80, hubs=1, small=200)
+    assert {r.node: r.component for r in found.collect()} == {n: n // 4 * 4 for n in range(160)}
+    assert len(rounds) == 2
