@@ -47,11 +47,23 @@ def grams(word: str, order: int) -> list[str]:
     return [marked[k : k + order] for k in range(len(marked) - order + 1)]
 
 
+class Scores:
+    """Scores of keys for each language as rows of one array, not an array for each key."""
+
+    def __init__(self, keys: list[str], logs: np.ndarray):
+        self._row = {key: k for k, key in enumerate(keys)}
+        self._logs = logs
+
+    def get(self, key: str) -> np.ndarray | None:
+        row = self._row.get(key)
+        return None if row is None else self._logs[row]
+
+
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: Scores
+    grams: dict[int, Scores]
 
     def vector(self, word: str) -> np.ndarray:
         """The word's score for each language."""
@@ -65,7 +77,7 @@ class Model:
         return np.zeros(len(self.languages))
 
 
-def _scores(counts: dict[str, Counter], languages: list[str], most: int) -> dict[str, np.ndarray]:
+def _scores(counts: dict[str, Counter], languages: list[str], most: int) -> Scores:
     """Log relative frequency by language for the most frequent keys, smoothed."""
     total = Counter()
     for c in counts.values():
@@ -74,7 +86,7 @@ def _scores(counts: dict[str, Counter], languages: list[str], most: int) -> dict
     sizes = np.array([sum(counts[x].values()) for x in languages], float)
     table = np.array([[counts[x][k] for x in languages] for k in kept], float).reshape(len(kept), len(languages))
     logs = np.log(table + _SMOOTH) - np.log(sizes + _SMOOTH * max(1, len(total)))
-    return dict(zip(kept, logs, strict=True))
+    return Scores(kept, logs)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Model:

@@ -41,7 +41,7 @@ from ledgerwright.llm.shared import Workspace, arrow_map, slices
 CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks that a Python worker remembers with their ids.
+#: Chunks that a task remembers with their ids.
 _MEMORY = 500_000
 _SHORT = 48
 #: Text whose distinct chunks are looked up once.
@@ -111,6 +111,11 @@ class Chunks(dict):
     def ids(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split())) if text else b""
 
+    def forget(self) -> None:
+        """Drop the chunks and pieces seen."""
+        self.clear()
+        self._pieces.clear()
+
     def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in order, and the n + 1 positions where each text's begin. Null is empty."""
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
@@ -127,7 +132,7 @@ class Chunks(dict):
 
 @lru_cache(1)
 def _chunks(path: str) -> Chunks:
-    """Kept from task to task of a worker."""
+    """The tokenizer is kept from task to task of a worker, what it has seen is not: other stages use the worker, too."""
     return Chunks(path)
 
 
@@ -158,6 +163,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], _NAMES
                 )
+        chunks.forget()
 
     return arrow_map(
         docs.select(F.col("doc_id").cast("long"), "text"),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from ledgerwright.llm import packing
+from ledgerwright.llm import language, packing
 from ledgerwright.llm.queries import ORACLES, QUERIES
+from ledgerwright.llm.shared import arrow_map
 from tests.compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,3 +58,24 @@ def test_stages(spark, tmp_path):
         ids = np.frombuffer(chunks.ids(text), "<u4").tolist() + [1]
         part = np.array(ids[r.start : r.start + r.length], "<u4")
         assert zlib.crc32(part.tobytes()) == r.ids_crc32
+
+
+def test_workers_keep_no_chunks(spark):
+    """Python workers serve all stages; what packing has seen once stayed in them."""
+    rows = [(k, " ".join(f"word{k}x{i}" for i in range(200))) for k in range(64)]
+    packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+
+    def seen(batches):
+        for batch in batches:
+            chunks = packing._chunks(packing.vocabulary())
+            yield pa.RecordBatch.from_arrays([pa.array([len(chunks) + len(chunks._pieces)] * batch.num_rows, pa.int64())], ["n"])
+
+    assert {r.n for r in arrow_map(spark.range(64).repartition(8), seen, "n long").collect()} == {0}
+
+
+def test_a_model_takes_little_room():
+    """An array for each word and n-gram once took several times the room of the keys."""
+    counts = {"aa": language.Counter({f"w{k}": 1 + k % 7 for k in range(5000)}), "bb": language.Counter({"v": 3})}
+    scores = language._scores(counts, ["aa", "bb"], 4000)
+    assert scores.get("nothing") is None and scores.get("w6").shape == (2,)
+    assert len(pickle.dumps(scores)) < 4000 * 40
