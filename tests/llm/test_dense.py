@@ -89,6 +89,17 @@ def test_a_pair_meets_about_once(spark):
     assert len(met) < 1.5 * len(set(met))
 
 
+def test_sets_of_rare_pieces_only_have_no_prefix(spark):
+    """Where so few pieces occur elsewhere that a set is linked with none, there is nothing to take."""
+    sets = {n: [*range(20), *range(1000 * n, 1000 * n + n)] for n in range(1, 40)} | {50: list(range(90_000, 90_100)), 51: [90_000]}
+    rows = [(n, 0, s) for n, s in sets.items()]
+    frame = spark.createDataFrame(rows, "node long, key int, pieces array<long>").repartition(3)
+    found = hubs._prefixes(Workspace(spark, "dense"), frame, 80).collect()
+    want = {n: max(0, len(s) - (80 * len(s) + 99) // 100 + 1 - (len(s) - 20)) for n, s in sets.items() if n < 50} | {50: 0, 51: 1}
+    assert want[39] == 0 and want[1] > 0
+    assert {n: sum(r.node == n for r in found) for n in sets} == want
+
+
 def test_steps_of_components_leave_few_files(spark, tmp_path):
     """A few links give a few files whatever the number of shuffle partitions, and the steps are gone at the end."""
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
