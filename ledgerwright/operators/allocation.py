@@ -15,7 +15,9 @@ def allocation_rule_targets(rules: DataFrame, centers: DataFrame, now: str) -> D
 
     A target names its cost center by id or by code. That OR is split into two
     equi joins, the second without the pairs of the first, so neither side has
-    to fit into memory; a target that matches nothing keeps one row.
+    to fit into memory; a target that matches nothing keeps one row. The joins are
+    sorted ones: cost centers grow with the data, and stored as columns they take so
+    little room that Spark would send them to all tasks by way of the driver.
     """
     targets = elements(rules.where("IsActive"), "TargetSpecification").selectExpr(
         "AllocationRuleID",
@@ -43,13 +45,13 @@ def allocation_rule_targets(rules: DataFrame, centers: DataFrame, now: str) -> D
         "CostCenterName AS TargetCostCenterName",
         "ParentCostCenterID AS TargetParentCostCenterID",
         "IsActive AS TargetIsActive",
-    )
+    ).hint("merge")
     by_id = targets.join(known, F.expr("TargetCostCenterID = found_id"), "left")
     by_code = targets.join(
         known,
         F.expr("TargetCostCenterCode = found_code AND (TargetCostCenterID IS NULL OR TargetCostCenterID <> found_id)"),
     )
-    codes = known.selectExpr("found_code AS TargetCostCenterCode")
+    codes = known.selectExpr("found_code AS TargetCostCenterCode").hint("merge")
     unmatched = by_id.where("found_id IS NULL").join(codes, "TargetCostCenterCode", "left_anti")
     return (
         by_id.where("found_id IS NOT NULL")

@@ -101,3 +101,12 @@ def test_keys_of_many_rows_are_counted_in_more_partitions(spark, folder, monkeyp
     )
     queries.QUERIES["audit_unique"](spark, folder).collect()
     assert seen and min(seen) >= 120
+
+
+def test_cost_centers_are_not_sent_to_all_tasks_for_rule_targets(spark, folder):
+    """Their files say little about their size in memory, also where these are below the broadcast threshold."""
+    targets = queries.QUERIES["allocation_rule_targets"](spark, folder)
+    assert "Broadcast" not in targets._jdf.queryExecution().executedPlan().toString()
+    rows = targets.collect()
+    assert "Broadcast" not in targets._jdf.queryExecution().executedPlan().toString()
+    assert rows and {r.RuleIsActive for r in rows} == {True}
