@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwright.functions.exprs import ZERO, key_id, quoted, rows, stamp
-from ledgerwright.functions.stored import materialize
+from ledgerwright.functions.stored import Pieces, in_slice, materialize
 from ledgerwright.operators.hierarchy import elements, field
 from ledgerwright.schemas import BUDGET_LINE_ITEM, LINE_ID, NATURAL_KEY, complete
 
@@ -99,6 +99,7 @@ def import_validate(
     duplicate_handling: str = "REJECT",
     validation_mode: str = "STRICT",
     stored: bool = False,
+    slices: int = 1,
 ) -> DataFrame:
     """Adds ``is_valid``, ``validation_errors`` (the first reason) and ``line_exists``.
 
@@ -107,10 +108,30 @@ def import_validate(
     The resolved rows are stored first: they are read for their keys and again
     for the rows, and reading them costs less than parsing the payloads twice. Pass
     ``stored=True`` for rows that are.
+
+    With several ``slices`` the rows are resolved and stored by slices of the payloads, then
+    judged and stored by slices of the keys, and what was judged is removed: the disk holds
+    the shuffles of one slice at a time. The result is stored.
     """
     if duplicate_handling not in DUPLICATE_HANDLING:
         raise ValueError("Duplicate handling must be REJECT or UPDATE")
-    resolved = resolved if stored else materialize(resolved, "staged")
+    if stored or slices == 1:
+        resolved = resolved if stored else materialize(resolved, "staged")
+        return _validated(resolved, ledger, duplicate_handling, validation_mode)
+    spark = resolved.sparkSession
+    staged, booked, judged = Pieces(spark, "staged", KEYS, slices), Pieces(spark, "booked", KEYS, slices), Pieces(spark, "judged")
+    for k in range(slices):
+        staged.add(resolved.where(in_slice(["payload_id"], slices, k)))
+    booked.add(ledger.select(*KEYS))
+    for k in range(slices):
+        judged.add(_validated(staged.rows(k), booked.rows(k), duplicate_handling, validation_mode))
+        staged.drop(k)
+    for done in (staged, booked):
+        done.drop()
+    return judged.rows()
+
+
+def _validated(resolved: DataFrame, ledger: DataFrame, duplicate_handling: str, validation_mode: str) -> DataFrame:
     missing = "original_amount IS NULL" if validation_mode in STRICT_MODES else "false"
     reason = f"""CASE WHEN GLAccountID IS NULL THEN '{UNKNOWN_ACCOUNT}'
         WHEN CostCenterID IS NULL THEN '{UNKNOWN_COST_CENTER}'
@@ -188,13 +209,15 @@ def run_import(
     duplicate_handling: str = "REJECT",
     validation_mode: str = "STRICT",
     new_id: str | None = None,
+    slices: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """All steps: the ledger after the import, and the result per budget.
 
     The validated rows are stored once and read by both.
     """
     resolved = import_resolve_keys(import_payload_rows(payloads), accounts, centers, periods)
-    validated = materialize(import_validate(resolved, ledger, duplicate_handling, validation_mode), "validated")
+    validated = import_validate(resolved, ledger, duplicate_handling, validation_mode, slices=slices)
+    validated = materialize(validated, "validated") if slices == 1 else validated
     return (
         import_apply(ledger, validated, batch_id, now, duplicate_handling, new_id),
         import_result(validated, batch_id, duplicate_handling),

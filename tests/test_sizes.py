@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from ledgerwright.functions import stored
@@ -110,3 +112,44 @@ def test_cost_centers_are_not_sent_to_all_tasks_for_rule_targets(spark, folder):
     rows = targets.collect()
     assert "Broadcast" not in targets._jdf.queryExecution().executedPlan().toString()
     assert rows and {r.RuleIsActive for r in rows} == {True}
+
+
+@pytest.mark.parametrize("name", ["import_validate", "import_apply", "import_result"])
+def test_large_imports_go_slice_by_slice(spark, folder, monkeypatch, tmp_path, name):
+    """The same rows, and what was resolved is not kept beside what was judged."""
+    expected = sorted(map(str, queries.QUERIES[name](spark, folder).collect()))
+    monkeypatch.setattr(stored, "ROWS_A_SLICE", 10, raising=False)
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path))
+    found = queries.QUERIES[name](spark, folder)
+    assert sorted(map(str, found.collect())) == expected
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["judged"]
+
+
+def test_slices_keep_repeated_and_null_keys_together(spark):
+    keys = [(1, 2, 3, 4), (1, 2, 3, 5), (1, None, 3, 4), (None, None, None, None)]
+    rows = [(p, *keys[k % 4], k % 3) for k, p in enumerate([None, "a", "b", "a", "c", "c", "d", None, "e", "f"] * 3)]
+    rows.append(("z", 9, 9, 9, 9, 1))
+    names = "payload_id string, " + ", ".join(f"{k} long" for k in importer.KEYS)
+    resolved = spark.createDataFrame(rows, f"{names}, original_amount int")
+    ledger = spark.createDataFrame([(1, 2, 3, 5), (9, 9, 9, 9), (9, 9, 9, 9), (7, None, 7, 7)], ", ".join(f"{k} long" for k in importer.KEYS))
+    for handling in importer.DUPLICATE_HANDLING:
+        whole = importer.import_validate(resolved, ledger, handling)
+        sliced = importer.import_validate(resolved, ledger, handling, slices=3)
+        assert sliced.dtypes == whole.dtypes
+        assert sorted(map(str, sliced.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    """They took the disk until the session's end, beside those of the next steps."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def written():
+        return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before = written()
+    rows = stored.materialize(spark.range(1000).selectExpr("id % 7 AS k", "id").repartition(5, "k"), "rows")
+    until = time.monotonic() + 10
+    while written() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not written() - before
+    assert rows.count() == 1000
