@@ -24,7 +24,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, ov
     holds a third of the ledger does not survive. Here the rows are range
     partitioned on (group, order), so a large group spans many partitions, and
     stored once with their position. What is left is a running sum over one
-    count per (group, partition), joined back to the stored rows. ``overall``
+    count per (group, partition), stored and joined back to the stored rows. ``overall``
     adds a second number, over all rows in (group, order). ``group`` may be
     empty, its columns must not be NULL; ``order`` must identify a row within
     its group.
@@ -36,7 +36,9 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, ov
         "numbered",
     ).selectExpr("*", f"shiftright(_position, {_SLICE_BITS}) AS _slice")
     counts = placed.groupBy(*group, "_slice").agg(F.min("_position").alias("_first"), rows().alias("_rows"))
-    numbered = placed.join(_running(counts, group, "_before"), [*group, "_slice"])
+    # Stored, its size is known before the rows would be moved to meet it.
+    offsets = materialize(_running(counts, group, "_before"), "offsets")
+    numbered = placed.join(offsets, [*group, "_slice"])
     numbers = [f"_position - _first + _before + 1 AS {name}"]
     if overall is not None:
         slices = placed.groupBy("_slice").agg(rows().alias("_rows"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwright.functions.arrow import map_batches
-from ledgerwright.functions.stored import materialize
+from ledgerwright.functions.stored import Pieces, materialize
 from ledgerwright.operators.importer import typed_rows
 
 #: States of the reader: outside of strings, inside of one, behind a backslash.
@@ -172,9 +172,13 @@ def payload_elements(chunks: DataFrame) -> DataFrame:
         "CAST(payload_id AS STRING) AS payload_id", "CAST(BudgetHeaderID AS BIGINT) AS BudgetHeaderID",
         "CAST(block AS BIGINT) AS block", "CAST(chunk AS BIGINT) AS chunk", "coalesce(CAST(data AS BINARY), X'') AS data",
     )
-    chunks = materialize(chunks, "payload-chunks")
+    held = Pieces(chunks.sparkSession, "payload-chunks")
+    held.add(chunks)
+    chunks = held.rows()
     placed = chunks.join(chunk_states(chunks), _KEY).select(*_KEY, "data", "state", "depth")
     parts = materialize(map_batches(placed, _segments, _SEGMENTS), "segments")
+    # The segments have all of the chunks' text, so the chunks need not be kept beside them.
+    held.drop()
 
     # Commas of earlier blocks, and of earlier chunks of the block.
     counts = materialize(parts.groupBy(*_KEY).agg(F.max("commas").alias("commas")), "commas")

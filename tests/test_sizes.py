@@ -6,7 +6,7 @@ import time
 
 import pytest
 
-from ledgerwright.functions import stored
+from ledgerwright.functions import numbering, stored
 from ledgerwright.operators import importer, stored_ledger
 from ledgerwright.plans import queries
 from ledgerwright.sources import retail
@@ -153,3 +153,20 @@ def test_a_stored_step_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not written() - before
     assert rows.count() == 1000
+
+
+def test_chunked_payloads_store_what_is_read_again(spark, folder, monkeypatch, tmp_path):
+    """Of the lines only what elements have, and no chunks once they are cut."""
+    expected = sorted(map(str, queries.QUERIES["import_chunk_rows"](spark, folder).collect()))
+    monkeypatch.setattr(stored, "shared_folder", lambda spark: str(tmp_path))
+    assert sorted(map(str, queries.QUERIES["import_chunk_rows"](spark, folder).collect())) == expected
+    assert not list(tmp_path.glob("payload-chunks-*"))
+    (numbered,) = tmp_path.glob("numbered-*")
+    assert not {"l_shipdate", "l_linestatus", "l_extendedprice"} & set(spark.read.parquet(str(numbered)).columns)
+
+
+def test_numbered_rows_do_not_move_to_meet_few_offsets(spark):
+    rows = numbering.number_rows(spark.range(5000).selectExpr("id % 3 AS g", "id"), ["g"], ["id"], "n")
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    found = {(r.g, r.id): r.n for r in rows.collect()}
+    assert found == {(k % 3, k): k // 3 + 1 for k in range(5000)}
